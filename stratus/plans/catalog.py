@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus import oracles as O
-from stratus.plans import marts, staging
+from stratus.operators import quality
+from stratus.plans import marts, panels, staging
 from stratus.sources import bindings
 
 AS_OF_BASELINE = datetime(2024, 2, 10, 0, 0, 0)
@@ -103,9 +104,9 @@ M7_SPEC = ("s:city_name s:country s:continent t:reading_at d:temperature_c d:win
            "d:precipitation_mm s:weather_condition s:event_type")
 
 
-@register("m1_stg_readings", O.sql(O.norm("stg", STG_SPEC)))
+@register("m1_stg_readings", O.sql(O.norm("stg", STG_SPEC + " b:is_suspicious")))
 def q_m1(spark, sf_dir):
-    return inputs(spark, sf_dir)[1].drop("is_suspicious")
+    return inputs(spark, sf_dir)[1]
 
 
 @register("m2_stg_cities", O.sql(O.norm("stg_cities", CITY_SPEC)))
@@ -136,3 +137,305 @@ def q_m6(spark, sf_dir):
 @register("m7_extreme_weather", O.sql(O.norm("m7", M7_SPEC), "m7"))
 def q_m7(spark, sf_dir):
     return m7(spark, sf_dir)
+
+
+# ------------------------------------------------------------- panels ---
+
+PANEL_CITY = "NATION_7"
+RECENT = O.AS_OF_RECENT
+
+
+def _runs(spark, sf_dir):
+    return bindings.pipeline_runs(spark, sf_dir)
+
+
+@register("d01_city_map", O.sql(
+    "SELECT city_name, latitude, longitude, avg_temp_c FROM m5", "m5"))
+def q_d01(spark, sf_dir):
+    return panels.city_map(m5(spark, sf_dir))
+
+
+@register("d02_city_ranking", O.sql(
+    "SELECT city_name, country, region, avg_temp_c, min_temp_c, max_temp_c, "
+    "avg_humidity_pct, avg_windspeed_kmh FROM m5", "m5"))
+def q_d02(spark, sf_dir):
+    return panels.city_ranking(m5(spark, sf_dir))
+
+
+@register("d03_total_readings", O.sql("SELECT COUNT(*) AS total_readings FROM readings"))
+def q_d03(spark, sf_dir):
+    return panels.total_readings(bindings.readings(spark, sf_dir))
+
+
+@register("d04_last_run_rows", O.sql(
+    "SELECT CAST(rows_loaded AS BIGINT) AS rows_loaded FROM pipeline_runs "
+    "ORDER BY created_at DESC NULLS FIRST, id DESC LIMIT 1"))
+def q_d04(spark, sf_dir):
+    return panels.last_run_rows(_runs(spark, sf_dir))
+
+
+@register("d05_run_count", O.sql("SELECT COUNT(*) AS total_runs FROM pipeline_runs"))
+def q_d05(spark, sf_dir):
+    return panels.run_count(_runs(spark, sf_dir))
+
+
+@register("d06_active_cities", O.sql(
+    f"SELECT COUNT(DISTINCT city_id) AS cities_active FROM readings "
+    f"WHERE timestamp > {RECENT} - INTERVAL '2 hours'"))
+def q_d06(spark, sf_dir):
+    return panels.active_cities(bindings.readings(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("d08_recent_runs", O.sql(
+    "SELECT run_id, CAST(rows_fetched AS BIGINT) AS rows_fetched, "
+    "CAST(rows_loaded AS BIGINT) AS rows_loaded, status, created_at FROM pipeline_runs "
+    "ORDER BY created_at DESC NULLS FIRST, id DESC LIMIT 20"))
+def q_d08(spark, sf_dir):
+    return panels.recent_runs(_runs(spark, sf_dir), 20)
+
+
+@register("d09_anomalies_24h", O.sql(
+    f"SELECT COUNT(*) AS anomalies_24h FROM m6 WHERE is_anomaly = true "
+    f"AND reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
+def q_d09(spark, sf_dir):
+    return panels.anomalies_24h(m6(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("d10_max_abs_z", O.sql(
+    f"SELECT ROUND(MAX(ABS(z_score)), 2) AS max_z_score FROM m6 "
+    f"WHERE reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
+def q_d10(spark, sf_dir):
+    return panels.max_abs_z(m6(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("d11_extremes_24h", O.sql(
+    f"SELECT COUNT(*) AS extreme_count FROM m6 WHERE anomaly_severity = 'extreme' "
+    f"AND reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
+def q_d11(spark, sf_dir):
+    return panels.extremes_24h(m6(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("d12_cities_flagged", O.sql(
+    f"SELECT COUNT(DISTINCT city_name) AS cities_flagged FROM m6 WHERE is_anomaly = true "
+    f"AND reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
+def q_d12(spark, sf_dir):
+    return panels.cities_flagged(m6(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("d13_top_anomalies", O.sql(
+    "SELECT city_name, reading_at, CAST(temperature_c AS DOUBLE) AS temperature_c, "
+    "ROUND(z_score, 3) AS z_score, anomaly_severity FROM m6 WHERE is_anomaly = true "
+    "ORDER BY ABS(z_score) DESC NULLS FIRST, city_name, reading_at LIMIT 25", "m6"))
+def q_d13(spark, sf_dir):
+    return panels.top_anomalies(m6(spark, sf_dir), 25)
+
+
+@register("d14_anomalous_cities", O.sql(
+    "SELECT city_name, COUNT(*) AS anomaly_count FROM m6 WHERE is_anomaly = true "
+    "GROUP BY city_name ORDER BY anomaly_count DESC, city_name LIMIT 15", "m6"))
+def q_d14(spark, sf_dir):
+    return panels.anomalous_cities(m6(spark, sf_dir), 15)
+
+
+@register("d15_recent_events", O.sql(
+    "SELECT city_name, country, reading_at, CAST(temperature_c AS DOUBLE) AS temperature_c, "
+    "CAST(windspeed_kmh AS DOUBLE) AS windspeed_kmh, "
+    "CAST(precipitation_mm AS DOUBLE) AS precipitation_mm, event_type FROM m7 "
+    "ORDER BY reading_at DESC NULLS FIRST, city_name, event_type LIMIT 20", "m7"))
+def q_d15(spark, sf_dir):
+    return panels.recent_events(m7(spark, sf_dir), 20)
+
+
+_CITY_WHERE = f"WHERE city_name = '{PANEL_CITY}'"
+_LATEST = "ORDER BY date DESC NULLS FIRST, country, continent, region"
+
+
+@register("d16_city_series", O.sql(
+    f"SELECT date AS time, avg_temp_c, min_temp_c, max_temp_c FROM m3 {_CITY_WHERE}", "m3"))
+def q_d16(spark, sf_dir):
+    return panels.city_series(m3(spark, sf_dir), PANEL_CITY)
+
+
+@register("d17_city_rain", O.sql(
+    f"SELECT CAST(date AS VARCHAR) AS date, total_precip_mm FROM m3 {_CITY_WHERE} "
+    f"{_LATEST} LIMIT 30", "m3"))
+def q_d17(spark, sf_dir):
+    return panels.city_rain(m3(spark, sf_dir), PANEL_CITY, 30)
+
+
+@register("d18_city_condition", O.sql(
+    f"SELECT dominant_condition FROM m3 {_CITY_WHERE} {_LATEST} LIMIT 1", "m3"))
+def q_d18(spark, sf_dir):
+    return panels.city_condition(m3(spark, sf_dir), PANEL_CITY)
+
+
+@register("d19_city_humidity", O.sql(
+    f"SELECT ROUND(avg_humidity_pct, 1) AS humidity FROM m3 {_CITY_WHERE} {_LATEST} LIMIT 1",
+    "m3"))
+def q_d19(spark, sf_dir):
+    return panels.city_humidity(m3(spark, sf_dir), PANEL_CITY)
+
+
+@register("d20_city_temp", O.sql(
+    f"SELECT avg_temp_c FROM m3 {_CITY_WHERE} {_LATEST} LIMIT 1", "m3"))
+def q_d20(spark, sf_dir):
+    return panels.city_temp(m3(spark, sf_dir), PANEL_CITY)
+
+
+@register("d21_city_wind", O.sql(
+    f"SELECT avg_windspeed_kmh FROM m3 {_CITY_WHERE} {_LATEST} LIMIT 1", "m3"))
+def q_d21(spark, sf_dir):
+    return panels.city_wind(m3(spark, sf_dir), PANEL_CITY)
+
+
+@register("d22_city_names", O.sql("SELECT DISTINCT city_name FROM m3", "m3"))
+def q_d22(spark, sf_dir):
+    return panels.city_names(m3(spark, sf_dir))
+
+
+# ------------------------------------------------------- data quality ---
+
+_DQ_COUNTS = (
+    f"dq AS (SELECT COUNT(DISTINCT city_id) AS city_count, "
+    f"COUNT(*) FILTER (WHERE temperature IS NULL) AS null_count, "
+    f"COUNT(*) FILTER (WHERE temperature < -90 OR temperature > 60) AS extreme_count "
+    f"FROM readings WHERE timestamp > {RECENT} - INTERVAL '2 hours')")
+_DQ_REPORT = (
+    "SELECT 'coverage' AS check_name, city_count AS observed, city_count >= 45 AS passed, "
+    "CASE WHEN city_count >= 45 THEN NULL ELSE 'LOW COVERAGE: only ' || city_count "
+    "|| '/50 cities in last 2 hours' END AS message FROM dq "
+    "UNION ALL SELECT 'null_temperatures', null_count, null_count = 0, "
+    "CASE WHEN null_count = 0 THEN NULL ELSE 'NULL TEMPERATURES: ' || null_count "
+    "|| ' rows in last 2 hours' END FROM dq "
+    "UNION ALL SELECT 'extreme_values', extreme_count, extreme_count = 0, "
+    "CASE WHEN extreme_count = 0 THEN NULL ELSE 'EXTREME VALUES: ' || extreme_count "
+    "|| ' rows outside −90°C to 60°C' END FROM dq")
+
+
+@register("q04_dq_report", O.with_models(_DQ_REPORT, _DQ_COUNTS))
+def q_q04(spark, sf_dir):
+    return quality.dq_report(bindings.readings(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("q01_coverage", O.with_models(
+    f"SELECT * FROM ({_DQ_REPORT}) WHERE check_name = 'coverage'", _DQ_COUNTS))
+def q_q01(spark, sf_dir):
+    return quality.check_coverage(bindings.readings(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("q05_freshness", O.sql(
+    f"SELECT COUNT(*) AS recent_count, COUNT(DISTINCT city_id) AS city_count, "
+    f"MAX(timestamp) AS latest_timestamp FROM readings "
+    f"WHERE timestamp > {RECENT} - INTERVAL '10 minutes'"))
+def q_q05(spark, sf_dir):
+    return quality.freshness(bindings.streaming_readings(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("q06_stream_volume", O.sql(
+    f"SELECT COUNT(*) FILTER (WHERE timestamp > {RECENT} - INTERVAL '1 hour') AS hour_count, "
+    f"COUNT(DISTINCT city_id) AS total_cities FROM readings"))
+def q_q06(spark, sf_dir):
+    return quality.stream_volume(bindings.streaming_readings(spark, sf_dir), AS_OF_RECENT)
+
+
+_TEST_SOURCES = {
+    "stg_weather_readings": "stg",
+    "stg_cities": "stg_cities",
+    "daily_summary": "m3",
+    "temperature_anomalies": "m6",
+    "temperature_anomalies[z_score IS NOT NULL]": "(SELECT * FROM m6 WHERE z_score IS NOT NULL)",
+    "city_comparisons": "m5",
+    "weekly_trends": "m4",
+    "extreme_weather": "m7",
+}
+
+
+@register("q07_column_tests", O.sql(
+    O.column_tests_sql(quality.COLUMN_TESTS, _TEST_SOURCES), "m3", "m4", "m5", "m6", "m7"))
+def q_q07(spark, sf_dir):
+    _, stg, cities = inputs(spark, sf_dir)
+    a6 = marts.temperature_anomalies(stg, cities, AS_OF_BASELINE)
+    frames = {
+        "stg_weather_readings": stg,
+        "stg_cities": cities,
+        "daily_summary": marts.daily_summary(stg, cities),
+        "temperature_anomalies": a6,
+        "temperature_anomalies[z_score IS NOT NULL]": a6.where(F.col("z_score").isNotNull()),
+        "city_comparisons": marts.city_comparisons(stg, cities),
+        "weekly_trends": marts.weekly_trends(stg, cities),
+        "extreme_weather": marts.extreme_weather(stg, cities),
+    }
+    return quality.union_all([quality.column_tests(m, frames[m], t)
+                              for m, t in quality.COLUMN_TESTS.items()])
+
+
+_Q8 = f"""
+SELECT 'daily_summary_has_rows' AS check_name, CAST(COUNT(*) AS DOUBLE) AS observed,
+       COUNT(*) > 0 AS passed FROM m3
+UNION ALL
+SELECT 'daily_summary_null_temp_rate', CAST(COUNT(*) FILTER (WHERE avg_temp_c IS NULL) AS DOUBLE)
+       / NULLIF(COUNT(*), 0),
+       COALESCE(CAST(COUNT(*) FILTER (WHERE avg_temp_c IS NULL) AS DOUBLE)
+                / NULLIF(COUNT(*), 0) < 0.05, TRUE) FROM m3
+UNION ALL
+SELECT 'city_comparisons_cities', CAST(COUNT(DISTINCT city_name) AS DOUBLE),
+       COUNT(DISTINCT city_name) >= 45 FROM m5
+UNION ALL
+SELECT 'anomalies_max_abs_z', MAX(ABS(z_score)), COALESCE(MAX(ABS(z_score)) < 10, TRUE)
+FROM m6 WHERE z_score IS NOT NULL
+UNION ALL
+SELECT 'extreme_event_types_valid',
+       CAST(COUNT(DISTINCT CASE WHEN event_type NOT IN ('Thunderstorm', 'Heatwave', 'Freeze',
+            'High winds', 'Heavy rain', 'Other') THEN event_type END) AS DOUBLE),
+       COUNT(DISTINCT CASE WHEN event_type NOT IN ('Thunderstorm', 'Heatwave', 'Freeze',
+            'High winds', 'Heavy rain', 'Other') THEN event_type END) = 0 FROM m7
+UNION ALL
+SELECT 'weekly_rolling_avg_not_null',
+       CAST(COUNT(*) FILTER (WHERE temp_7day_rolling_avg IS NULL
+                             AND day < {O.AS_OF_BASELINE} - INTERVAL '7 days') AS DOUBLE),
+       COUNT(*) FILTER (WHERE temp_7day_rolling_avg IS NULL
+                        AND day < {O.AS_OF_BASELINE} - INTERVAL '7 days') = 0 FROM m4
+UNION ALL
+SELECT 'city_comparisons_coordinates',
+       CAST(COUNT(*) FILTER (WHERE latitude IS NULL OR longitude IS NULL) AS DOUBLE),
+       COUNT(*) FILTER (WHERE latitude IS NULL OR longitude IS NULL) = 0 FROM m5"""
+
+
+@register("q08_mart_invariants", O.sql(_Q8, "m3", "m4", "m5", "m6", "m7"))
+def q_q08(spark, sf_dir):
+    _, stg, cities = inputs(spark, sf_dir)
+    return quality.mart_invariants(
+        marts.daily_summary(stg, cities), marts.weekly_trends(stg, cities),
+        marts.city_comparisons(stg, cities),
+        marts.temperature_anomalies(stg, cities, AS_OF_BASELINE),
+        marts.extreme_weather(stg, cities), AS_OF_BASELINE)
+
+
+@register("q09_run_status", O.sql(
+    "SELECT run_id, CAST(rows_fetched - rows_loaded AS BIGINT) AS errors, "
+    "CASE WHEN rows_fetched - rows_loaded = 0 THEN 'success' ELSE 'partial' END "
+    "AS derived_status FROM pipeline_runs"))
+def q_q09(spark, sf_dir):
+    runs = _runs(spark, sf_dir)
+    errors = (F.col("rows_fetched") - F.col("rows_loaded")).cast("bigint")
+    return runs.select("run_id", errors.alias("errors"),
+                       quality.run_status(errors).alias("derived_status"))
+
+
+@register("q10_key_checks", O.sql("""
+SELECT 'readings_duplicate_keys' AS check_name,
+       CAST(COUNT(*) - COUNT(DISTINCT (city_id, timestamp)) AS BIGINT) AS violations
+FROM readings
+UNION ALL
+SELECT 'readings_orphan_city', COUNT(*) FROM readings r
+WHERE r.city_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cities c WHERE c.id = r.city_id)
+UNION ALL
+SELECT 'runs_bad_status', COUNT(*) FROM pipeline_runs
+WHERE status IS NOT NULL AND status NOT IN ('success', 'partial', 'failed')
+UNION ALL
+SELECT 'runs_duplicate_id', CAST(COUNT(id) - COUNT(DISTINCT id) AS BIGINT) FROM pipeline_runs"""))
+def q_q10(spark, sf_dir):
+    r = bindings.readings(spark, sf_dir)
+    runs = _runs(spark, sf_dir)
+    c = bindings.cities(spark, sf_dir)
+    return quality.key_checks(r, c, runs)

@@ -61,7 +61,7 @@ CITY_EXPRS = {
     "id": "n_nationkey",
     "name": "n_name",
     "country": "n_name",
-    "country_code": "lpad(CAST(n_nationkey AS VARCHAR(2)), 2, '0')",
+    "country_code": "lpad(CAST(n_nationkey AS STRING), 2, '0')",
     "continent": _case("r_name", CONTINENT_OF_REGION),
     "latitude": "CAST(n_nationkey * 3 - 36 AS DECIMAL(8,5))",
     "longitude": "CAST(n_nationkey * 14 - 168 AS DECIMAL(8,5))",
@@ -71,13 +71,13 @@ CITY_EXPRS = {
 
 RUN_EXPRS = {
     "id": "CAST(o_orderkey AS INT)",
-    "run_id": "CAST(o_orderkey AS VARCHAR)",
+    "run_id": "CAST(o_orderkey AS STRING)",
     "city_id": "CAST(NULL AS INT)",
     "rows_fetched": "CAST(o_custkey + CASE WHEN o_orderstatus = 'O' THEN 0 ELSE o_orderkey % 7 + 1 END AS INT)",
     "rows_loaded": "CAST(o_custkey AS INT)",
     "status": _case("o_orderstatus", RUN_STATUS_OF_ORDER),
     "duration_ms": "CAST(NULL AS INT)",
-    "error_msg": "CAST(NULL AS VARCHAR)",
+    "error_msg": "CAST(NULL AS STRING)",
 }
 
 
@@ -121,7 +121,7 @@ def duckdb_ctes() -> str:
         [r["city_id"] + " AS city_id", "ts AS timestamp"]
         + [f"{r[c]} AS {c}" for c in ["temperature", "feels_like", "precipitation",
                                        "windspeed", "humidity", "weather_code"]])
-    ccols = ",\n    ".join(f"{v.replace('VARCHAR(2)', 'VARCHAR')} AS {k}"
+    ccols = ",\n    ".join(f"{v} AS {k}"
                            for k, v in CITY_EXPRS.items())
     runcols = ",\n    ".join([f"{v} AS {k}" for k, v in RUN_EXPRS.items()]
                              + ["o_orderdate AS created_at"])
@@ -129,3 +129,9 @@ def duckdb_ctes() -> str:
         f"readings AS (SELECT\n    {rcols}\n  FROM events),\n"
         f"cities AS (SELECT\n    {ccols}\n  FROM nation JOIN region ON n_regionkey = r_regionkey),\n"
         f"pipeline_runs AS (SELECT\n    {runcols}\n  FROM orders)")
+
+
+def streaming_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``streaming_readings`` shape (key + temperature, windspeed, code) of the readings."""
+    return readings(spark, sf_dir).select("city_id", "timestamp", "temperature", "windspeed",
+                                          "weather_code")
