@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 
 from stratus import oracles as O
 from stratus.operators import quality
-from stratus.plans import marts, panels, staging
-from stratus.sources import bindings
+from stratus.plans import marts, panels, scenarios, staging
+from stratus.sources import bindings, landing
+from stratus.streaming import jobs
 
 AS_OF_BASELINE = datetime(2024, 2, 10, 0, 0, 0)
 AS_OF_RECENT = datetime(2024, 1, 30, 12, 0, 0)
@@ -439,3 +440,181 @@ def q_q10(spark, sf_dir):
     runs = _runs(spark, sf_dir)
     c = bindings.cities(spark, sf_dir)
     return quality.key_checks(r, c, runs)
+
+
+# -------------------------------------------------- landing and sinks ---
+
+_REV = "TIMESTAMP '2024-01-16 00:00:00'"
+_RC = "FROM readings r JOIN cities c ON c.id = r.city_id"
+
+
+@register("s1_landing_scan", O.sql(f"""
+SELECT lower(replace(c.name, ' ', '_')) AS city,
+       strftime(r.timestamp, '%Y') AS year,
+       strftime(r.timestamp, '%m') AS month,
+       strftime(r.timestamp, '%d') AS day,
+       '00' AS hour,
+       CAST(row_number() OVER (PARTITION BY r.city_id, CAST(r.timestamp AS DATE)
+                               ORDER BY r.timestamp) - 1 AS BIGINT) AS pos,
+       strftime(r.timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS time,
+       CAST(r.temperature + 1 AS DOUBLE) AS temperature_2m,
+       CAST(r.feels_like AS DOUBLE) AS apparent_temperature,
+       CAST(r.precipitation AS DOUBLE) AS precipitation,
+       CAST(r.windspeed AS DOUBLE) AS windspeed_10m,
+       CAST(r.humidity AS BIGINT) AS relative_humidity_2m,
+       CAST(r.weather_code AS BIGINT) AS weathercode
+{_RC}"""))
+def q_s1(spark, sf_dir):
+    base_a, _ = scenarios.land_two_runs(spark, sf_dir)
+    return landing.explode_hourly(landing.read_landing(spark, base_a))
+
+
+@register("j5_city_landings", O.sql(
+    "SELECT CAST(id AS BIGINT) AS id, name, id IN (SELECT city_id FROM readings) AS landed "
+    "FROM cities"))
+def q_j5(spark, sf_dir):
+    base_a, _ = scenarios.land_two_runs(spark, sf_dir)
+    return landing.city_landing_status(landing.read_landing(spark, base_a),
+                                       bindings.cities(spark, sf_dir))
+
+
+@register("k2_upsert_table", O.sql(f"""
+SELECT CAST(r.city_id AS BIGINT) AS city_id, r.timestamp,
+       CAST(CASE WHEN r.timestamp >= {_REV} THEN r.temperature ELSE r.temperature + 1 END
+            AS DOUBLE) AS temperature,
+       CAST(r.feels_like AS DOUBLE) AS feels_like,
+       CAST(r.precipitation AS DOUBLE) AS precipitation,
+       CAST(r.windspeed AS DOUBLE) AS windspeed,
+       CAST(r.humidity AS BIGINT) AS humidity,
+       CAST(r.weather_code AS BIGINT) AS weather_code,
+       CAST(r.timestamp AS DATE) AS reading_date
+{_RC}"""))
+def q_k2(spark, sf_dir):
+    table, _ = scenarios.two_loads(spark, sf_dir)
+    return spark.read.parquet(table)
+
+
+@register("k4_run_log", O.sql(f"""
+SELECT 1 AS id, 'load-1' AS run_id,
+       CAST((SELECT COUNT(*) {_RC}) + (SELECT COUNT(*) FROM cities
+             WHERE id NOT IN (SELECT city_id FROM readings)) AS BIGINT) AS rows_fetched,
+       CAST((SELECT COUNT(*) {_RC}) AS BIGINT) AS rows_loaded,
+       CASE WHEN (SELECT COUNT(*) FROM cities WHERE id NOT IN (SELECT city_id FROM readings)) = 0
+            THEN 'success' ELSE 'partial' END AS status,
+       TIMESTAMP '2024-02-01 00:00:00' AS created_at
+UNION ALL
+SELECT 2, 'load-2',
+       CAST(2 * (SELECT COUNT(*) {_RC} WHERE r.timestamp >= {_REV})
+            + (SELECT COUNT(*) FROM cities WHERE id NOT IN
+               (SELECT city_id FROM readings WHERE timestamp >= {_REV})) AS BIGINT),
+       CAST(2 * (SELECT COUNT(*) {_RC} WHERE r.timestamp >= {_REV}) AS BIGINT),
+       CASE WHEN (SELECT COUNT(*) FROM cities WHERE id NOT IN
+                  (SELECT city_id FROM readings WHERE timestamp >= {_REV})) = 0
+            THEN 'success' ELSE 'partial' END,
+       TIMESTAMP '2024-02-01 00:00:00'"""))
+def q_k4(spark, sf_dir):
+    _, runs = scenarios.two_loads(spark, sf_dir)
+    return spark.read.parquet(runs).select("id", "run_id", "rows_fetched", "rows_loaded",
+                                           "status", "created_at")
+
+
+# ------------------------------------------------------------ streaming ---
+
+_FIRST = f"""
+SELECT r.city_id, r.timestamp, r.temperature, r.windspeed, r.weather_code {_RC}
+WHERE r.weather_code <> 42"""
+_REPLAY_NEW = f"""
+SELECT r.city_id, r.timestamp, r.temperature + 1 AS temperature, r.windspeed, r.weather_code
+{_RC} WHERE r.weather_code = 42 AND r.timestamp >= {_REV}"""
+
+
+@register("t1_stream_readings_sink", O.sql(f"""
+SELECT CAST(city_id AS BIGINT) AS city_id, timestamp, CAST(temperature AS DOUBLE) AS temperature,
+       CAST(windspeed AS DOUBLE) AS windspeed, CAST(weather_code AS BIGINT) AS weather_code,
+       CAST(timestamp AS DATE) AS reading_date
+FROM ({_FIRST} UNION ALL {_REPLAY_NEW}) t"""))
+def q_t1(spark, sf_dir):
+    table, _ = scenarios.stream_to_table(spark, sf_dir)
+    return spark.read.parquet(table)
+
+
+@register("t7_stream_quarantine", O.sql(f"""
+SELECT CAST(r.city_id AS VARCHAR) AS key, CAST(r.city_id % 3 AS BIGINT) AS partition,
+       epoch_us(r.timestamp) AS offset
+{_RC} WHERE r.weather_code = 42"""))
+def q_t7(spark, sf_dir):
+    _, quarantine = scenarios.stream_to_table(spark, sf_dir)
+    return spark.read.parquet(quarantine).select("key", "partition", "offset")
+
+
+_BASELINE = f"""
+base AS (
+  SELECT r.city_id,
+         {O.exact_mean('r.temperature')} AS mean_temp,
+         {O.exact_avg('r.temperature', 2)} AS mean_temp_2dp,
+         {O.exact_stddev('r.temperature')} AS stddev_temp
+  FROM readings r
+  WHERE r.timestamp >= {O.AS_OF_BASELINE} - INTERVAL '30 days' AND r.temperature IS NOT NULL
+    AND r.city_id IN (SELECT id FROM cities)
+  GROUP BY r.city_id
+  HAVING COUNT(*) >= 24
+)"""
+
+
+@register("a15_raw_baseline", O.with_models(
+    "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, mean_temp_2dp, stddev_temp FROM base",
+    _BASELINE))
+def q_a15(spark, sf_dir):
+    return jobs.raw_baseline(bindings.readings(spark, sf_dir), AS_OF_BASELINE,
+                             bindings.cities(spark, sf_dir))
+
+
+@register("a16_robust_stats", O.sql(
+    "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, stddev_temp, p25, p75, "
+    "sample_size FROM rolling_stats", "m6"))
+def q_a16(spark, sf_dir):
+    _, stg, _ = inputs(spark, sf_dir)
+    return marts.robust_stats(stg, AS_OF_BASELINE)
+
+
+_MSGS = f"""
+msgs AS (
+  SELECT r.city_id, c.name AS city_name, c.country, c.continent, r.timestamp,
+         CAST(r.temperature AS DOUBLE) AS temperature, CAST(r.windspeed AS DOUBLE) AS windspeed,
+         CAST(r.weather_code AS INTEGER) AS weather_code, '1.0' AS schema_version
+  {_RC} WHERE r.weather_code <> 42
+  UNION ALL
+  SELECT r.city_id, c.name, c.country, c.continent, r.timestamp,
+         CAST(r.temperature + 1 AS DOUBLE), CAST(r.windspeed AS DOUBLE),
+         CAST(r.weather_code AS INTEGER), '1.0'
+  {_RC} WHERE r.timestamp >= {_REV}
+)"""
+
+
+@register("t3_stream_alerts", O.with_models(f"""
+SELECT CAST(m.city_id AS BIGINT) AS city_id, m.city_name, m.country, m.continent, m.timestamp,
+       m.temperature, m.windspeed, CAST(m.weather_code AS BIGINT) AS weather_code,
+       m.schema_version, 'temperature_anomaly' AS alert_type,
+       ROUND((m.temperature - b.mean_temp) / b.stddev_temp, 3) AS z_score,
+       b.mean_temp_2dp AS baseline_mean, ROUND(b.stddev_temp, 2) AS baseline_stddev,
+       CASE WHEN ABS((m.temperature - b.mean_temp) / b.stddev_temp) > 3 THEN 'extreme'
+            ELSE 'significant' END AS severity
+FROM msgs m JOIN base b ON b.city_id = m.city_id
+WHERE m.temperature IS NOT NULL AND b.stddev_temp > 0
+  AND ABS((m.temperature - b.mean_temp) / b.stddev_temp) > 2""", _BASELINE, _MSGS))
+def q_t3(spark, sf_dir):
+    out = scenarios.stream_alerts(spark, sf_dir, AS_OF_BASELINE)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@register("n5_message_roundtrip", O.with_models(f"""
+SELECT CAST(city_id AS VARCHAR) AS key, CAST(city_id AS BIGINT) AS city_id, city_name, country,
+       continent, timestamp, temperature, windspeed, CAST(weather_code AS BIGINT) AS weather_code,
+       schema_version FROM (
+  SELECT r.city_id, c.name AS city_name, c.country, c.continent, r.timestamp,
+         CAST(r.temperature AS DOUBLE) AS temperature, CAST(r.windspeed AS DOUBLE) AS windspeed,
+         r.weather_code, '1.0' AS schema_version {_RC}) t"""))
+def q_n5(spark, sf_dir):
+    msgs = jobs.to_messages(bindings.readings(spark, sf_dir), bindings.cities(spark, sf_dir))
+    good, _ = jobs.decode(msgs.drop("timestamp"))
+    return good
