@@ -7,6 +7,7 @@ codegen; none is a Python UDF.
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,28 +53,50 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _memo(fn):
+    """Cache an expression builder when every argument is a plain name or number.
+
+    Building a long CASE chain costs one JVM round trip per node; the built
+    Column is an immutable, unresolved expression, so it is reused.
+    """
+    cache: dict = {}
+
+    def wrapper(*args):
+        if all(isinstance(a, (str, int, float)) for a in args):
+            if args not in cache:
+                cache[args] = fn(*args)
+            return cache[args]
+        return fn(*args)
+    wrapper.__doc__, wrapper.__name__ = fn.__doc__, fn.__name__
+    return wrapper
+
+
+@_memo
 def in_range_or_null(c, lo, hi) -> Column:
     """Keep ``c`` when ``lo <= c <= hi`` (inclusive), else NULL."""
     c = _c(c)
     return F.when(c.between(lo, hi), c)
 
 
+@_memo
 def at_least_or_null(c, lo) -> Column:
     """Keep ``c`` when ``c >= lo``, else NULL."""
     c = _c(c)
     return F.when(c >= lo, c)
 
 
+@_memo
 def c_to_f(c) -> Column:
     """Celsius -> Fahrenheit, rounded to 2 places, only for valid temperatures.
 
     Decimal arithmetic, so 20.55 -> 68.99 exactly (no binary-float drift).
     """
     c = _c(c)
-    f = F.round(c * F.lit(9).cast("decimal(2,0)") / 5 + 32, 2).cast("decimal(7,2)")
+    f = F.round(c * F.lit(Decimal("1.8")) + 32, 2).cast("decimal(7,2)")
     return F.when(c.between(TEMP_MIN, TEMP_MAX), f)
 
 
+@_memo
 def weather_label(code) -> Column:
     """P5: weather code -> label; unmatched and NULL codes give Unknown."""
     code = _c(code)
@@ -84,6 +107,7 @@ def weather_label(code) -> Column:
     return out.otherwise(F.lit(UNKNOWN_LABEL))
 
 
+@_memo
 def is_suspicious(temperature, humidity) -> Column:
     """Raw temperature or humidity outside the valid range.
 
@@ -96,6 +120,7 @@ def is_suspicious(temperature, humidity) -> Column:
             .otherwise(F.lit(False)))
 
 
+@_memo
 def region_of(continent) -> Column:
     """Continent -> region."""
     c = _c(continent)
@@ -106,6 +131,7 @@ def region_of(continent) -> Column:
     return out.otherwise(F.lit(OTHER_REGION))
 
 
+@_memo
 def is_extreme_event(temperature_c, windspeed_kmh, precipitation_mm, condition) -> Column:
     """P10: disjunctive extreme-event predicate, strict bounds."""
     t, w, p, cond = map(_c, (temperature_c, windspeed_kmh, precipitation_mm, condition))
@@ -113,6 +139,7 @@ def is_extreme_event(temperature_c, windspeed_kmh, precipitation_mm, condition)
             | (cond == "Thunderstorm"))
 
 
+@_memo
 def event_type(temperature_c, windspeed_kmh, precipitation_mm, condition) -> Column:
     """Event label by priority Thunderstorm > Heatwave > Freeze > High winds > Heavy rain."""
     t, w, p, cond = map(_c, (temperature_c, windspeed_kmh, precipitation_mm, condition))
@@ -141,6 +168,7 @@ def iqr_score(x, mean, p25, p75) -> Column:
     return safe_div(_c(x).cast("double") - _c(mean), _c(p75) - _c(p25))
 
 
+@_memo
 def severity(z) -> Column:
     """|z| > 3 extreme, > 2 significant, otherwise (and NULL) normal."""
     a = F.abs(_c(z))
@@ -149,11 +177,13 @@ def severity(z) -> Column:
             .otherwise(F.lit("normal")))
 
 
+@_memo
 def is_anomaly(z) -> Column:
     """|z| > 2; NULL when z is NULL."""
     return F.abs(_c(z)) > SIGNIFICANT_Z
 
 
+@_memo
 def alert_severity(z) -> Column:
     """F16: severity of a streamed alert (only called for |z| > 2)."""
     return F.when(F.abs(_c(z)) > EXTREME_Z, F.lit("extreme")).otherwise(F.lit("significant"))
@@ -169,10 +199,12 @@ def exact_avg(c, scale: int, precision: int = 10) -> Column:
     with ``u`` = sum in units of 10^-scale and ``n`` = non-null count,
     ``round = sign(u) * floor((2|u| + n) / 2n)``. Both inputs are algebraic
     aggregates, so the plan keeps a map-side partial aggregation; Spark's own
-    ``avg(decimal)`` would round twice (to 6 places, then to ``scale``).
+    ``avg(decimal)`` would round twice (to 6 places, then to ``scale``). The
+    per-row sum is a 64-bit integer (overflow raises under ANSI, and needs
+    ~10^14 rows in one group); only the per-group finish uses wide decimals.
     """
     c = _c(c)
-    units = F.sum((c * F.lit(10 ** scale)).cast("decimal(38,0)"))
+    units = F.sum((c * F.lit(10 ** scale)).cast("bigint")).cast("decimal(38,0)")
     n = F.nullif(F.count(c), F.lit(0)).cast("decimal(38,0)")
     q = (F.lit(2) * F.abs(units) + n).cast("decimal(38,0)")
     rounded = F.signum(units).cast("decimal(38,0)") * _int_div(q, n * 2)
@@ -188,10 +220,15 @@ def _int_div(a: Column, b: Column) -> Column:
     return ((a - a % b) / b).cast("decimal(38,0)")
 
 
-def exact_mean(c) -> Column:
-    """Mean as a double from the exact decimal sum: one rounding, order-independent."""
+def exact_mean(c, scale: int = 2) -> Column:
+    """Mean as a double from the exact integer sum: order-independent.
+
+    ``sum(units) / 10^scale`` is one correctly rounded division (the integer
+    sum is exact below 2^53), then divided by the count.
+    """
     c = _c(c)
-    return F.sum(c.cast("decimal(38,2)")).cast("double") / F.nullif(F.count(c), F.lit(0))
+    units = F.sum((c * F.lit(10 ** scale)).cast("bigint"))
+    return units.cast("double") / float(10 ** scale) / F.nullif(F.count(c), F.lit(0))
 
 
 def exact_stddev_samp(c, scale: int = 2) -> Column:
@@ -203,8 +240,10 @@ def exact_stddev_samp(c, scale: int = 2) -> Column:
     are floating point. NULL for fewer than two values (as STDDEV).
     """
     c = _c(c)
-    u = (c * F.lit(10 ** scale)).cast("decimal(38,0)")
-    s1 = F.sum(u)
+    u = (c * F.lit(10 ** scale)).cast("bigint")
+    s1 = F.sum(u).cast("decimal(38,0)")
+    # u^2 summed as a wide decimal: a 64-bit sum of squares could overflow for
+    # a hot group at scale.
     s2 = F.sum((u * u).cast("decimal(38,0)"))
     n = F.count(c)
     num = (n.cast("decimal(38,0)") * s2 - s1 * s1).cast("decimal(38,0)")

@@ -15,12 +15,21 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
+# Size-check results per (session, plan, bound): a plan is counted once per session.
+_CHECKED: dict[tuple[int, int, int], bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows, so the check itself is bounded.
+    Counts at most ``max_rows + 1`` rows, so the check itself is bounded. The
+    answer is remembered for the same plan in the same session, so building
+    several marts over one dimension runs the check once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -43,8 +43,8 @@ READING_EXPRS = {
                    "ELSE CAST(least(value, 999) - 40 AS DECIMAL(5,2)) END",
     "feels_like": "CASE WHEN event_id % 50 = 7 THEN NULL "
                   "ELSE CAST(least(value, 999) - 40 - (event_id % 5) AS DECIMAL(5,2)) END",
-    "precipitation": "CAST((event_id * 7 % 31) * 0.5 - 0.5 AS DECIMAL(6,2))",
-    "windspeed": "CAST((event_id % 97) * 0.9 - 0.9 AS DECIMAL(5,2))",
+    "precipitation": "CAST(CAST(event_id * 7 % 31 AS INT) * 0.5 - 0.5 AS DECIMAL(6,2))",
+    "windspeed": "CAST(CAST(event_id % 97 AS INT) * 0.9 - 0.9 AS DECIMAL(5,2))",
 }
 SPARK_ONLY = {
     "humidity": "CAST(CAST(get_json_object(props, '$.k') AS INT) + 3 AS SMALLINT)",
