@@ -191,23 +191,25 @@ def alert_severity(z) -> Column:
 
 # ------------------------------------------------------------ aggregates ---
 
-def exact_avg(c, scale: int, precision: int = 10) -> Column:
+def exact_avg(c, scale: int, precision: int = 10, in_scale: int | None = None) -> Column:
     """A3: ``ROUND(AVG(c), scale)`` computed exactly, half away from zero.
 
-    ``c`` must be a decimal (or integer) column with at most ``scale``
-    fractional digits. The mean is rounded once, from the exact sum and count:
-    with ``u`` = sum in units of 10^-scale and ``n`` = non-null count,
-    ``round = sign(u) * floor((2|u| + n) / 2n)``. Both inputs are algebraic
-    aggregates, so the plan keeps a map-side partial aggregation; Spark's own
-    ``avg(decimal)`` would round twice (to 6 places, then to ``scale``). The
-    per-row sum is a 64-bit integer (overflow raises under ANSI, and needs
-    ~10^14 rows in one group); only the per-group finish uses wide decimals.
+    ``c`` is a decimal or integer column with at most ``in_scale`` fractional
+    digits (default ``scale``). With ``u`` = the sum in units of 10^-in_scale
+    and ``n`` the non-null count, the rounded mean in units of 10^-scale is
+    ``sign(u) * floor((2|u|*10^scale + n*10^in_scale) / (2n*10^in_scale))``.
+    Both inputs are algebraic aggregates, so the plan keeps a map-side partial
+    aggregation; Spark's own ``avg(decimal)`` would round twice (to 6 places,
+    then to ``scale``). The per-row sum is a 64-bit integer (overflow raises
+    under ANSI, and needs ~10^14 rows in one group); only the per-group
+    finish uses wide decimals.
     """
     c = _c(c)
-    units = F.sum((c * F.lit(10 ** scale)).cast("bigint")).cast("decimal(38,0)")
+    k = scale if in_scale is None else in_scale
+    units = F.sum((c * F.lit(10 ** k)).cast("bigint")).cast("decimal(38,0)")
     n = F.nullif(F.count(c), F.lit(0)).cast("decimal(38,0)")
-    q = (F.lit(2) * F.abs(units) + n).cast("decimal(38,0)")
-    rounded = F.signum(units).cast("decimal(38,0)") * _int_div(q, n * 2)
+    num = (F.lit(2 * 10 ** scale) * F.abs(units) + n * F.lit(10 ** k)).cast("decimal(38,0)")
+    rounded = F.signum(units).cast("decimal(38,0)") * _int_div(num, n * F.lit(2 * 10 ** k))
     return (rounded / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
 
 

@@ -203,7 +203,8 @@ def q_d09(spark, sf_dir):
 
 
 @register("d10_max_abs_z", O.sql(
-    f"SELECT ROUND(MAX(ABS(z_score)), 2) AS max_z_score FROM m6 "
+    f"SELECT CAST(ROUND(CAST(MAX(ABS(z_score)) AS DECIMAL(12,3)), 2) AS DOUBLE) AS max_z_score "
+    f"FROM m6 "
     f"WHERE reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
 def q_d10(spark, sf_dir):
     return panels.max_abs_z(m6(spark, sf_dir), AS_OF_RECENT)

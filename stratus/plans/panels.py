@@ -77,9 +77,13 @@ def anomalies_24h(m6: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def max_abs_z(m6: DataFrame, as_of: datetime) -> DataFrame:
-    """Largest |z| in the last 24 hours, rounded to 2 places."""
+    """Largest |z| in the last 24 hours, rounded to 2 places.
+
+    z is already rounded to 3 places, so the second rounding is done on the
+    exact decimal (2.175 -> 2.18), not on its binary approximation.
+    """
     return _last_day(m6, as_of).agg(
-        F.round(F.max(F.abs("z_score")), 2).alias("max_z_score"))
+        F.round(F.max(F.abs("z_score")).cast("decimal(12,3)"), 2).alias("max_z_score"))
 
 
 def extremes_24h(m6: DataFrame, as_of: datetime) -> DataFrame:
