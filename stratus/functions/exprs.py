@@ -213,6 +213,18 @@ def exact_avg(c, scale: int, precision: int = 10, in_scale: int | None = None) -
     return (rounded / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
 
 
+def exact_sum(c, scale: int = 2, precision: int = 38) -> Column:
+    """A5: ``SUM(c)`` of a decimal with ``scale`` fractional digits, exactly.
+
+    Summed as 64-bit integer units (cheap per row, overflow raises under ANSI)
+    and turned back into ``decimal(precision, scale)`` once per group; NULL
+    when every input is NULL.
+    """
+    c = _c(c)
+    units = F.sum((c * F.lit(10 ** scale)).cast("bigint"))
+    return (units.cast("decimal(38,0)") / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
+
+
 def _int_div(a: Column, b: Column) -> Column:
     """Exact floor division of two non-negative decimal(38,0) columns.
 

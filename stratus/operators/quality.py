@@ -72,6 +72,16 @@ def check_coverage(readings: DataFrame, as_of: datetime, min_cities: int = MIN_C
     return dq_report(readings, as_of, min_cities).where(F.col("check_name") == "coverage")
 
 
+def check_nulls(readings: DataFrame, as_of: datetime) -> DataFrame:
+    """Q2: NULL temperatures in the last 2 hours must be 0."""
+    return dq_report(readings, as_of).where(F.col("check_name") == "null_temperatures")
+
+
+def check_range(readings: DataFrame, as_of: datetime) -> DataFrame:
+    """Q3: temperatures outside -90..60 in the last 2 hours must be 0."""
+    return dq_report(readings, as_of).where(F.col("check_name") == "extreme_values")
+
+
 # ------------------------------------------------------ stream monitors ---
 
 def freshness(stream_table: DataFrame, as_of: datetime,

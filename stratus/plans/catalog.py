@@ -168,6 +168,11 @@ def q_d03(spark, sf_dir):
     return panels.total_readings(bindings.readings(spark, sf_dir))
 
 
+@register("d07_total_readings", O.sql("SELECT COUNT(*) AS total_readings FROM readings"))
+def q_d07(spark, sf_dir):
+    return panels.total_readings(bindings.readings(spark, sf_dir))
+
+
 @register("d04_last_run_rows", O.sql(
     "SELECT CAST(rows_loaded AS BIGINT) AS rows_loaded FROM pipeline_runs "
     "ORDER BY created_at DESC NULLS FIRST, id DESC LIMIT 1"))
@@ -325,6 +330,18 @@ def q_q01(spark, sf_dir):
     return quality.check_coverage(bindings.readings(spark, sf_dir), AS_OF_RECENT)
 
 
+@register("q02_null_temperatures", O.with_models(
+    f"SELECT * FROM ({_DQ_REPORT}) WHERE check_name = 'null_temperatures'", _DQ_COUNTS))
+def q_q02(spark, sf_dir):
+    return quality.check_nulls(bindings.readings(spark, sf_dir), AS_OF_RECENT)
+
+
+@register("q03_out_of_range", O.with_models(
+    f"SELECT * FROM ({_DQ_REPORT}) WHERE check_name = 'extreme_values'", _DQ_COUNTS))
+def q_q03(spark, sf_dir):
+    return quality.check_range(bindings.readings(spark, sf_dir), AS_OF_RECENT)
+
+
 @register("q05_freshness", O.sql(
     f"SELECT COUNT(*) AS recent_count, COUNT(DISTINCT city_id) AS city_count, "
     f"MAX(timestamp) AS latest_timestamp FROM readings "

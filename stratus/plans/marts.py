@@ -36,7 +36,7 @@ def daily_summary(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> D
            .agg(X.exact_avg("temperature_c", 2, 5).alias("avg_temp_c"),
                 F.min("temperature_c").alias("min_temp_c"),
                 F.max("temperature_c").alias("max_temp_c"),
-                F.sum(F.col("precipitation_mm").cast("decimal(38,2)")).alias("total_precip_mm"),
+                X.exact_sum("precipitation_mm", 2).alias("total_precip_mm"),
                 X.exact_avg("windspeed_kmh", 2, 5).alias("avg_windspeed_kmh"),
                 X.exact_avg("humidity_pct", 1, 4).alias("avg_humidity_pct"),
                 F.mode("weather_condition", deterministic=True).alias("dominant_condition"),
@@ -99,7 +99,7 @@ def city_comparisons(stg: DataFrame, cities: DataFrame, ordered: bool = False) -
                 F.max("temperature_c").alias("max_temp_c"),
                 X.exact_avg("windspeed_kmh", 2, 5).alias("avg_windspeed_kmh"),
                 X.exact_avg("humidity_pct", 1, 4).alias("avg_humidity_pct"),
-                F.sum(F.col("precipitation_mm").cast("decimal(38,2)")).alias("total_precip_mm"),
+                X.exact_sum("precipitation_mm", 2).alias("total_precip_mm"),
                 F.count(F.lit(1)).alias("total_readings")))
     if ordered:
         out = out.orderBy(desc_nulls_first("avg_temp_c"))

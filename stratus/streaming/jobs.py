@@ -89,6 +89,26 @@ def to_messages(readings: DataFrame, cities: DataFrame) -> DataFrame:
                     "timestamp")
 
 
+def current_weather(df: DataFrame, col: str = "current_weather") -> DataFrame:
+    """``temperature``, ``windspeed`` and ``weather_code`` of a nested API struct.
+
+    Missing fields (or a missing struct) give NULL rather than an error.
+    """
+    fields = set(df.schema[col].dataType.fieldNames()) if col in df.columns else set()
+
+    def get(name, typ):
+        return (F.col(f"{col}.{name}") if name in fields else F.lit(None)).cast(typ)
+    return df.select("*", get("temperature", "double").alias("temperature"),
+                     get("windspeed", "double").alias("windspeed"),
+                     get("weathercode", "int").alias("weather_code"))
+
+
+def write_kafka(messages: DataFrame, bootstrap: str, topic: str = READINGS_TOPIC) -> None:
+    """K5: publish ``key, value`` rows to a topic (batch)."""
+    (messages.select("key", "value").write.format("kafka")
+     .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+
+
 def decode(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parse message JSON; return ``(good, bad)``.
 
