@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus import oracles as O
-from stratus.operators import quality
+from stratus.operators import quality, sinks
 from stratus.plans import marts, panels, scenarios, staging
 from stratus.sources import bindings, landing
 from stratus.streaming import jobs
@@ -636,3 +636,17 @@ def q_n5(spark, sf_dir):
     msgs = jobs.to_messages(bindings.readings(spark, sf_dir), bindings.cities(spark, sf_dir))
     good, _ = jobs.decode(msgs.drop("timestamp"))
     return good
+
+
+@register("a13_null_rate", O.sql(
+    "SELECT CAST(COUNT(*) FILTER (WHERE temperature IS NULL) AS DOUBLE) / NULLIF(COUNT(*), 0) "
+    "AS null_rate FROM readings"))
+def q_a13(spark, sf_dir):
+    return quality.null_rate(bindings.readings(spark, sf_dir), "temperature")
+
+
+@register("k7_mart_build", O.sql(O.norm("m3", M3_SPEC), "m3"))
+def q_k7(spark, sf_dir):
+    path = scenarios.scratch_dir(spark, "mart-daily-summary")
+    sinks.build_mart(m3(spark, sf_dir), path)
+    return spark.read.parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stratus.functions import exprs as X
 from stratus.plans import pipeline
-from stratus.session import scratch_dir
+from stratus.session import scratch_dir  # noqa: F401 — re-exported for catalog
 from stratus.sources import bindings, landing
 from stratus.streaming import jobs
 

@@ -68,10 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unique folder for tables a job writes, under the shared checkpoint dir."""
+def scratch_dir(spark: SparkSession, purpose: str, create: bool = False) -> str:
+    """A fresh, unique folder for tables a job writes, under the shared checkpoint dir.
+
+    Spark writers create the folder themselves; ``create=True`` makes it up
+    front (local paths only) for callers that place files there directly.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/stratus/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
+    if create and ("://" not in path or path.startswith("file:")):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path

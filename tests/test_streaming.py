@@ -31,7 +31,7 @@ def run_sink(spark, src):
 
 
 def test_sink_dedupes_quarantines_and_replays(spark):
-    src = scratch_dir(spark, "t-stream-src")
+    src = scratch_dir(spark, "t-stream-src", create=True)
     t1 = "2024-01-05T01:00:00.000000Z"
     write_batch(src, "b1.json", [("1", msg(1, t1, 10.0), 1), ("1", msg(1, t1, 99.0), 2),
                                  ("2", '{"city_id": 2, "tempera', 3),
@@ -52,7 +52,7 @@ def test_sink_dedupes_quarantines_and_replays(spark):
 
 
 def test_alerts_guards(spark):
-    src = scratch_dir(spark, "t-alert-src")
+    src = scratch_dir(spark, "t-alert-src", create=True)
     t1 = "2024-01-05T01:00:00.000000Z"
     write_batch(src, "b1.json", [("1", msg(1, t1, 30.0), 1), ("1", msg(1, t1, 11.0), 2),
                                  ("2", msg(2, t1, 99.0), 3), ("3", msg(3, t1, 99.0), 4),
