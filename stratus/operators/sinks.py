@@ -30,6 +30,34 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _existing_partitions(spark: SparkSession, path: str, dates: list) -> list[str]:
+    """Directories ``path/reading_date=<d>`` that exist, for the given dates."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for d in dates:
+        p = f"{path.rstrip('/')}/{PARTITION_COL}={d.isoformat()}"
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            out.append(p)
+    return out
+
+
+def touched_target(spark: SparkSession, path: str, incoming: DataFrame) -> DataFrame | None:
+    """The target table restricted to the dates ``incoming`` touches, or None.
+
+    Only the touched ``reading_date=`` directories are listed and read — a
+    load or micro-batch never lists the whole (multi-year) table. The list of
+    touched dates is tiny (one entry per day present in the batch).
+    """
+    dates = [r[0] for r in incoming.select(PARTITION_COL).distinct().collect()
+             if r[0] is not None]
+    parts = _existing_partitions(spark, path, dates)
+    if not parts:
+        return None
+    return spark.read.option("basePath", path).parquet(*parts)
+
+
 def latest_per_key(updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Last write wins: for each key keep the row with the greatest ``order`` tuple.
 
@@ -70,19 +98,16 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame,
     """K2: ``INSERT ... ON CONFLICT (keys) DO UPDATE`` — the latest update replaces all measures.
 
     1. ``updates`` is reduced to its last write per key (landing order ``order``).
-    2. Target rows are read only from the dates the updates touch (a semi join
-       on the partition column, which dynamic partition pruning turns into a
-       directory filter), and rows whose key is being updated are dropped
-       (anti join on the key).
+    2. Target rows are read only from the dates the updates touch (only those
+       partition directories are listed), and rows whose key is being updated
+       are dropped (anti join on the key).
     3. The union is swapped in partition by partition.
     """
     order = list(order)
     latest = _with_partition(latest_per_key(updates, keys, order), ts_col)
-    if table_exists(spark, path):
-        target = spark.read.parquet(path)
-        touched = latest.select(PARTITION_COL).distinct()
-        kept = (target.join(touched, PARTITION_COL, "left_semi")
-                      .join(latest.select(*keys), keys, "left_anti"))
+    target = touched_target(spark, path, latest)
+    if target is not None:
+        kept = target.join(latest.select(*keys), keys, "left_anti")
         merged = kept.unionByName(latest.select(*target.columns))
     else:
         merged = latest
@@ -101,13 +126,11 @@ def insert_absent(spark: SparkSession, path: str, batch: DataFrame,
     """
     order = list(order)
     first = _with_partition(first_per_key(batch, keys, order), ts_col)
-    if table_exists(spark, path):
-        target = spark.read.parquet(path)
-        touched = first.select(PARTITION_COL).distinct()
-        existing = target.join(touched, PARTITION_COL, "left_semi").select(*keys)
-        new = first.join(existing, keys, "left_anti").select(*target.columns)
+    target = touched_target(spark, path, first)
+    if target is not None:
+        new = first.join(target.select(*keys), keys, "left_anti").select(*target.columns)
     else:
-        new = first
+        new = first.select(*[c for c in first.columns if c not in order])
     (new.sortWithinPartitions(PARTITION_COL, *keys)
         .write.mode("append").partitionBy(PARTITION_COL).parquet(path))
 

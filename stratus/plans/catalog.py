@@ -373,19 +373,20 @@ _TEST_SOURCES = {
     O.column_tests_sql(quality.COLUMN_TESTS, _TEST_SOURCES), "m3", "m4", "m5", "m6", "m7"))
 def q_q07(spark, sf_dir):
     _, stg, cities = inputs(spark, sf_dir)
-    a6 = marts.temperature_anomalies(stg, cities, AS_OF_BASELINE)
+    m = marts.build_all(stg, cities, AS_OF_BASELINE)
+    a6 = m["temperature_anomalies"]
     frames = {
-        "stg_weather_readings": stg,
+        "stg_weather_readings": m["stg"],
         "stg_cities": cities,
-        "daily_summary": marts.daily_summary(stg, cities),
+        "daily_summary": m["daily_summary"],
         "temperature_anomalies": a6,
         "temperature_anomalies[z_score IS NOT NULL]": a6.where(F.col("z_score").isNotNull()),
-        "city_comparisons": marts.city_comparisons(stg, cities),
-        "weekly_trends": marts.weekly_trends(stg, cities),
-        "extreme_weather": marts.extreme_weather(stg, cities),
+        "city_comparisons": m["city_comparisons"],
+        "weekly_trends": m["weekly_trends"],
+        "extreme_weather": m["extreme_weather"],
     }
-    return quality.union_all([quality.column_tests(m, frames[m], t)
-                              for m, t in quality.COLUMN_TESTS.items()])
+    return quality.union_all([quality.column_tests(name, frames[name], t)
+                              for name, t in quality.COLUMN_TESTS.items()])
 
 
 _Q8 = f"""
@@ -423,11 +424,10 @@ SELECT 'city_comparisons_coordinates',
 @register("q08_mart_invariants", O.sql(_Q8, "m3", "m4", "m5", "m6", "m7"))
 def q_q08(spark, sf_dir):
     _, stg, cities = inputs(spark, sf_dir)
+    m = marts.build_all(stg, cities, AS_OF_BASELINE)
     return quality.mart_invariants(
-        marts.daily_summary(stg, cities), marts.weekly_trends(stg, cities),
-        marts.city_comparisons(stg, cities),
-        marts.temperature_anomalies(stg, cities, AS_OF_BASELINE),
-        marts.extreme_weather(stg, cities), AS_OF_BASELINE)
+        m["daily_summary"], m["weekly_trends"], m["city_comparisons"],
+        m["temperature_anomalies"], m["extreme_weather"], AS_OF_BASELINE)
 
 
 @register("q09_run_status", O.sql(
