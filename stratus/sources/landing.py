@@ -35,17 +35,30 @@ def partition_values(run_ts) -> list:
             F.date_format(ts, "dd").alias("day"), F.date_format(ts, "HH").alias("hour")]
 
 
+# Largest number of readings one landed document may hold.
+MAX_DOC_ELEMENTS = 10_000
+
+
 def landing_docs(readings: DataFrame, cities: DataFrame, run_ts,
-                 measure_shift=None) -> DataFrame:
+                 measure_shift=None, max_elements: int = MAX_DOC_ELEMENTS) -> DataFrame:
     """Build landed documents from readings: one per city per run.
 
     ``run_ts`` is a column giving each reading's run (its interval start).
-    Arrays are ordered by reading time; the group is one city's readings of
-    one run, which the source itself bounds (one API response). The optional
-    ``measure_shift`` adds a constant to temperatures (used to stage revisions).
+    Arrays are ordered by reading time. A document is one ``collect_list``
+    group, so its size is capped: one scalar aggregate finds the largest
+    (city, run) group, and if it exceeds ``max_elements`` every group is split
+    into ``k`` hash chunks of its timestamps (several documents per run, each
+    a JSON line of the run's object) — a hot city never gathers unboundedly
+    many readings in one task. The optional ``measure_shift`` adds a constant
+    to temperatures (used to stage revisions).
     """
     r = joins.with_city(readings.withColumn("__run_ts", run_ts), cities,
                         [F.col("name").alias("__city_name")])
+    largest = (r.groupBy("__city_name", "__run_ts").count()
+                .agg(F.max("count")).first()[0]) or 0
+    k = max(1, -(-largest // max_elements))
+    r = r.withColumn("__chunk", F.pmod(F.xxhash64("timestamp"), F.lit(k)) if k > 1
+                     else F.lit(0))
     temp = F.col("temperature")
     if measure_shift is not None:
         temp = temp + F.lit(measure_shift)
@@ -58,7 +71,7 @@ def landing_docs(readings: DataFrame, cities: DataFrame, run_ts,
         F.col("windspeed").cast("double").alias("windspeed_10m"),
         F.col("humidity").cast("int").alias("relative_humidity_2m"),
         F.col("weather_code").cast("int").alias("weathercode"))
-    grouped = (r.groupBy("__city_name", "__run_ts")
+    grouped = (r.groupBy("__city_name", "__run_ts", "__chunk")
                 .agg(F.sort_array(F.collect_list(element)).alias("__els")))
     hourly = F.struct(*[F.col("__els")[f].alias(f) for f in
                         ["time", "temperature_2m", "apparent_temperature", "precipitation",

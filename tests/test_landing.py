@@ -48,3 +48,20 @@ def test_typed_readings_and_city_resolution(spark):
     assert len(g) == 1 and g[0].city_id == 7 and str(g[0].temperature) == "12.50"
     assert bad.count() == 2                              # unparsable time, overflowing value
     assert [r.name for r in missing.collect()] == ["Oslo"]
+
+
+def test_landing_docs_are_capped(spark):
+    from datetime import datetime, timedelta
+    from decimal import Decimal
+    from pyspark.sql import functions as F
+    from stratus import schemas as S
+    t0 = datetime(2024, 1, 1)
+    rows = [(1, t0 + timedelta(minutes=i), Decimal("1.00"), None, None, None, None, None)
+            for i in range(50)]
+    readings = spark.createDataFrame(rows, S.READINGS)
+    cities = spark.createDataFrame([(1, "Oslo")], "id int, name string")
+    docs = landing.landing_docs(readings, cities, F.date_trunc("day", "timestamp"),
+                                max_elements=20)
+    sizes = [r[0] for r in docs.select(F.size("hourly.time")).collect()]
+    assert sum(sizes) == 50 and max(sizes) < 50 and len(sizes) >= 3
+    assert landing.explode_hourly(docs).count() == 50
