@@ -1,0 +1,51 @@
+"""Named aggregate operators (A1, A2, A9-A14), each one distributed aggregate.
+
+All are algebraic or have a partial form, so Spark combines map-side before
+the single exchange; global (keyless) forms end in one tiny final task.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stratus.functions import exprs as X
+
+
+def row_count(df: DataFrame, keys: list[str] | None = None, alias: str = "n") -> DataFrame:
+    """A1: ``COUNT(*)``, grouped by ``keys`` or global."""
+    cnt = F.count(F.lit(1)).alias(alias)
+    return df.groupBy(*keys).agg(cnt) if keys else df.agg(cnt)
+
+
+def distinct_count(df: DataFrame, col: str, alias: str | None = None) -> DataFrame:
+    """A2: exact ``COUNT(DISTINCT col)`` (never approximate)."""
+    return df.agg(F.count_distinct(col).alias(alias or f"distinct_{col}"))
+
+
+def min_samples(agg: DataFrame, count_col: str, n: int = 24) -> DataFrame:
+    """``HAVING COUNT(*) >= n``."""
+    return agg.where(F.col(count_col) >= n)
+
+
+def recent_summary(df: DataFrame, as_of: datetime, window: str, ts_col: str = "timestamp"
+                   ) -> DataFrame:
+    """``COUNT(*), MAX(ts)`` over rows later than ``as_of - window``."""
+    return (df.where(X.since(ts_col, as_of, window))
+              .agg(F.count(F.lit(1)).alias("recent_count"), F.max(ts_col).alias("latest")))
+
+
+def max_abs(df: DataFrame, col: str, scale: int | None = None, alias: str | None = None
+            ) -> DataFrame:
+    """``MAX(ABS(col))``, optionally ``ROUND(..., scale)`` on the exact decimal."""
+    m = F.max(F.abs(col))
+    if scale is not None:
+        m = F.round(m.cast("decimal(38,6)"), scale)
+    return df.agg(m.alias(alias or f"max_abs_{col}"))
+
+
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """``SELECT DISTINCT col`` (hash aggregate, partial per task)."""
+    return df.select(col).distinct()

@@ -9,7 +9,6 @@ partition overwrite.
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,6 +168,3 @@ def stage_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
 
-
-def unique_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:8]}"

@@ -119,10 +119,3 @@ def stream_alerts(spark: SparkSession, sf_dir: str, as_of: datetime) -> str:
                         scratch_dir(spark, "ckpt-alerts"), available_now=True)
     q.awaitTermination()
     return out
-
-
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    from stratus.operators.sinks import table_exists
-    if table_exists(spark, path):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], schema)

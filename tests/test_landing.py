@@ -65,3 +65,25 @@ def test_landing_docs_are_capped(spark):
     sizes = [r[0] for r in docs.select(F.size("hourly.time")).collect()]
     assert sum(sizes) == 50 and max(sizes) < 50 and len(sizes) >= 3
     assert landing.explode_hourly(docs).count() == 50
+
+
+def test_relanding_a_run_replaces_only_that_run(spark):
+    from datetime import datetime, timedelta
+    from decimal import Decimal
+    from pyspark.sql import functions as F
+    from stratus import schemas as S
+    t0 = datetime(2024, 1, 1, 5)
+    rows = [(1, t0 + timedelta(days=d), Decimal("1.00"), None, None, None, None, None)
+            for d in range(3)]
+    readings = spark.createDataFrame(rows, S.READINGS)
+    cities = spark.createDataFrame([(1, "New York")], "id int, name string")
+    base = scratch_dir(spark, "t-reland")
+    run = F.date_trunc("day", "timestamp")
+    landing.write_landing(landing.landing_docs(readings, cities, run), base)
+    # re-land day 2 only, with revised values
+    landing.write_landing(landing.landing_docs(readings.where(F.dayofmonth("timestamp") == 2),
+                                               cities, run, measure_shift=5), base)
+    got = sorted((r.day, r.temperature_2m) for r in
+                 landing.explode_hourly(landing.read_landing(spark, base)).collect())
+    assert got == [("01", 1.0), ("02", 6.0), ("03", 1.0)]
+    assert {r.city for r in landing.read_landing(spark, base).collect()} == {"new_york"}

@@ -58,3 +58,18 @@ def test_column_tests_and_key_checks(spark):
     got = dict((x.check_name, x.violations) for x in quality.key_checks(r, cities, runs).collect())
     assert got == {"readings_duplicate_keys": 1, "readings_orphan_city": 1,
                    "runs_bad_status": 1, "runs_duplicate_id": 1}
+
+
+def test_named_aggregates(spark):
+    from stratus.operators import aggregates as A
+    rows = [(1, AS_OF - timedelta(minutes=5), -3.0), (2, AS_OF - timedelta(hours=3), 2.5),
+            (1, AS_OF + timedelta(hours=1), None)]
+    r = readings(spark, rows)
+    assert A.row_count(r).first()[0] == 3
+    assert sorted(tuple(x) for x in A.row_count(r, ["city_id"]).collect()) == [(1, 2), (2, 1)]
+    assert A.distinct_count(r, "city_id").first()[0] == 2
+    s = A.recent_summary(r, AS_OF, "1 hour").first()
+    assert s.recent_count == 2
+    assert A.max_abs(r, "temperature", 2).first()[0] == D("3.00")
+    assert sorted(x[0] for x in A.distinct_values(r, "city_id").collect()) == [1, 2]
+    assert A.min_samples(A.row_count(r, ["city_id"]), "n", 2).count() == 1
