@@ -16,7 +16,12 @@ DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
 # Size-check results per (session, plan, bound): a plan is counted once per session.
-_CHECKED: dict[tuple[int, int, int], bool] = {}
+_CHECKED: dict[tuple[str, int, int], bool] = {}
+
+
+def session_key(spark) -> str:
+    """Identity of the running application (unique per SparkContext)."""
+    return spark.sparkContext.applicationId
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
@@ -26,15 +31,39 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
     answer is remembered for the same plan in the same session, so building
     several marts over one dimension runs the check once.
     """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]
 
 
+# Cached snapshots of dimensions that passed the check, per (session, plan).
+_SNAPSHOTS: dict[tuple[str, int], DataFrame] = {}
+
+
 def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it passes the size check, else unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    """``df`` with a broadcast hint if it passes the size check, else unchanged.
+
+    A dimension that passes is also cached once per session (its size is
+    proven, so the cache is bounded): later plans broadcast from that
+    snapshot instead of re-running the dimension's own joins each time.
+    ``forget_dimensions()`` drops the snapshots (e.g. after the dimension
+    table changed).
+    """
+    if not fits_broadcast(df, max_rows):
+        return df
+    key = (session_key(df.sparkSession), df.semanticHash())
+    if key not in _SNAPSHOTS:
+        _SNAPSHOTS[key] = df.cache()
+    return F.broadcast(_SNAPSHOTS[key])
+
+
+def forget_dimensions() -> None:
+    """Drop cached dimension snapshots and size-check results."""
+    for d in _SNAPSHOTS.values():
+        d.unpersist()
+    _SNAPSHOTS.clear()
+    _CHECKED.clear()
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",

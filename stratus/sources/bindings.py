@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.operators.joins import join_dimension
+from stratus.operators.joins import join_dimension, session_key
 
 # Fixed binding values (also used verbatim by the oracle SQL).
 WEATHER_CODE_CYCLE = [0, 1, 2, 3, 45, 48, 51, 53, 55, 61, 63, 65, 71, 73, 75, 77, 80, 81,
@@ -81,8 +81,16 @@ RUN_EXPRS = {
 }
 
 
+# The driver's tables are read-only: one relation per (session, file) is reused.
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (session_key(spark), path)
+    if key not in _RELATIONS:
+        _RELATIONS[key] = spark.read.parquet(path)
+    return _RELATIONS[key]
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
