@@ -25,15 +25,19 @@ REQUIRED_CONF = {
 
 
 def build_session(master: str | None = None, app: str = "stratus",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
-    ``master``/``shuffle_partitions`` are for local runs and tests; on a
-    cluster leave them unset so the cluster's own values apply.
+    ``master``/``shuffle_partitions``/``driver_memory`` are for local runs and
+    tests (in local mode all tasks run in the driver JVM, whose default heap
+    is 1 GB); on a cluster leave them unset so the cluster's values apply.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)

@@ -11,7 +11,7 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     from stratus.session import build_session
-    s = build_session("local[8]", app="stratus-tests", shuffle_partitions=8)
+    s = build_session("local[8]", app="stratus-tests", shuffle_partitions=8, driver_memory="4g")
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
