@@ -13,7 +13,6 @@ the DuckDB oracle both evaluate, so the two sides see identical inputs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratus.operators.joins import join_dimension, session_key
 

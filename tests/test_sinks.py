@@ -2,7 +2,6 @@
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from conftest import D
 from stratus.operators import sinks
