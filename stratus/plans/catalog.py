@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from stratus import oracles as O
 from stratus.operators import quality, sinks
 from stratus.plans import marts, panels, scenarios, staging
+from stratus.session import ensure_semantics
 from stratus.sources import bindings, landing
 from stratus.streaming import jobs
 
@@ -30,7 +31,10 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 def register(name: str, oracle: str | None):
     def deco(fn: Builder) -> Builder:
-        REGISTRY[name] = (lambda spark, sf_dir: edge(fn(spark, sf_dir)), oracle)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_semantics(spark)
+            return edge(fn(spark, sf_dir))
+        REGISTRY[name] = (run, oracle)
         return fn
     return deco
 

@@ -50,6 +50,21 @@ def build_session(master: str | None = None, app: str = "stratus",
     return spark
 
 
+# Settings whose values change results (not just speed).
+SEMANTIC_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
+
+
+def ensure_semantics(spark: SparkSession) -> SparkSession:
+    """Pin the settings results depend on (UTC session time, ANSI) on any session."""
+    for k, v in SEMANTIC_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
