@@ -235,7 +235,7 @@ def q_d12(spark, sf_dir):
 
 @register("d13_top_anomalies", O.sql(
     "SELECT city_name, reading_at, CAST(temperature_c AS DOUBLE) AS temperature_c, "
-    "ROUND(z_score, 3) AS z_score, anomaly_severity FROM m6 WHERE is_anomaly = true "
+    "ROUND(z_score, 3) + 0.0 AS z_score, anomaly_severity FROM m6 WHERE is_anomaly = true "
     "ORDER BY ABS(z_score) DESC NULLS FIRST, city_name, reading_at LIMIT 25", "m6"))
 def q_d13(spark, sf_dir):
     return panels.top_anomalies(m6(spark, sf_dir), 25)
@@ -617,7 +617,7 @@ msgs AS (
 SELECT CAST(m.city_id AS BIGINT) AS city_id, m.city_name, m.country, m.continent, m.timestamp,
        m.temperature, m.windspeed, CAST(m.weather_code AS BIGINT) AS weather_code,
        m.schema_version, 'temperature_anomaly' AS alert_type,
-       ROUND((m.temperature - b.mean_temp) / b.stddev_temp, 3) AS z_score,
+       ROUND((m.temperature - b.mean_temp) / b.stddev_temp, 3) + 0.0 AS z_score,
        b.mean_temp_2dp AS baseline_mean, ROUND(b.stddev_temp, 2) AS baseline_stddev,
        CASE WHEN ABS((m.temperature - b.mean_temp) / b.stddev_temp) > 3 THEN 'extreme'
             ELSE 'significant' END AS severity

@@ -120,12 +120,24 @@ def robust_stats(stg: DataFrame, as_of: datetime,
                .groupBy("city_id")
                .agg(X.exact_mean(t).alias("mean_temp"),
                     X.exact_stddev_samp(t).alias("stddev_temp"),
-                    F.percentile(t.cast("double"), 0.25).alias("p25"),
-                    F.percentile(t.cast("double"), 0.75).alias("p75"),
+                    exact_percentile(t, 0.25).alias("p25"),
+                    exact_percentile(t, 0.75).alias("p75"),
                     F.count(F.lit(1)).alias("sample_size"))
                .where(F.col("sample_size") >= min_samples))            # A9
 
 
+def exact_percentile(c, p: float, scale: int = 2):
+    """``PERCENTILE_CONT(p)`` of a ``scale``-decimal column, exact.
+
+    Interpolates over integer units (10^-scale): for quartiles the fraction is
+    a multiple of 1/4, so the interpolated value is exact in double, and one
+    division by 10^scale rounds it correctly (interpolating the decimals as
+    doubles leaves last-bit noise such as -26.785000000000004).
+    """
+    units = (F.col(c) if isinstance(c, str) else c) * F.lit(10 ** scale)
+    return F.percentile(units.cast("bigint"), p) / float(10 ** scale)
+
+
 def temperature_anomalies(stg: DataFrame, cities: DataFrame, as_of: datetime,
                           ordered: bool = False) -> DataFrame:
     """M6: every staged reading scored against its city's fixed 30-day baseline.
