@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from stratus.functions import exprs as X
-from stratus.plans import pipeline
+from stratus.plans import etl
 from stratus.session import scratch_dir  # noqa: F401 — re-exported for catalog
 from stratus.sources import bindings, landing
 from stratus.streaming import jobs
@@ -59,10 +59,10 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     cities = bindings.cities(spark, sf_dir)
     table = scratch_dir(spark, "readings")
     runs = scratch_dir(spark, "pipeline-runs")
-    pipeline.load_runs(spark, [(base_a, None)], table, runs, cities, "load-1",
+    etl.load_runs(spark, [(base_a, None)], table, runs, cities, "load-1",
                        created_at=LOAD_TIME)
     run_day = F.concat_ws("-", "year", "month", "day")
-    pipeline.load_runs(spark, [(base_a, run_day >= REVISION_FROM.strftime("%Y-%m-%d")),
+    etl.load_runs(spark, [(base_a, run_day >= REVISION_FROM.strftime("%Y-%m-%d")),
                                (base_b, None)],
                        table, runs, cities, "load-2", created_at=LOAD_TIME)
     return table, runs

@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from stratus import schemas as S
-from stratus.plans import pipeline
+from stratus.plans import etl
 from stratus.session import scratch_dir
 from stratus.sources import landing
 
@@ -25,9 +25,9 @@ def test_load_runs_upserts_and_logs(spark):
     landing.write_landing(landing.landing_docs(readings.where(F.hour("timestamp") >= 5), cities,
                                                day + F.expr("INTERVAL 1 HOUR"), 10), base2)
     table, runs = scratch_dir(spark, "t-tab"), scratch_dir(spark, "t-runs")
-    r1 = pipeline.load_runs(spark, [(base1, None)], table, runs, cities, "r1")
+    r1 = etl.load_runs(spark, [(base1, None)], table, runs, cities, "r1")
     assert (r1.rows_loaded, r1.errors, r1.rejected) == (4, 1, 0)   # Oslo has no landing
-    r2 = pipeline.load_runs(spark, [(base2, None)], table, runs, cities, "r2")
+    r2 = etl.load_runs(spark, [(base2, None)], table, runs, cities, "r2")
     assert r2.rows_loaded == 2
     got = sorted((r.timestamp.hour, float(r.temperature))
                  for r in spark.read.parquet(table).collect())
