@@ -8,9 +8,10 @@ once on the reading key for the upsert and write Parquet.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from datetime import datetime
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,21 +27,26 @@ class LoadResult:
     rejected: int
 
 
-def landed_updates(spark: SparkSession, sources: list[tuple[str, Column | None]],
-                   cities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Landed documents of the selected runs as reading updates.
+def read_runs(spark: SparkSession, sources: list[tuple[str, Column | None]]) -> DataFrame:
+    """Landed documents of the selected runs.
 
     ``sources`` lists ``(landing_base, run_filter)``; a filter is a predicate
     on the partition columns (``city``, ``year`` .. ``hour``), so it prunes
     landing directories before any file is read.
-    Returns ``(updates, rejected, missing_cities)``; ``updates`` carries the
-    landing order ``run_ts`` (the run's interval start) and ``pos``.
     """
     frames = []
     for base, run_filter in sources:
         d = landing.read_landing(spark, base)
         frames.append(d.where(run_filter) if run_filter is not None else d)
-    docs = reduce(DataFrame.unionByName, frames)
+    return reduce(DataFrame.unionByName, frames)
+
+
+def updates_from(docs: DataFrame, cities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Landed documents as reading updates: ``(updates, rejected, missing_cities)``.
+
+    ``updates`` carries the landing order ``run_ts`` (the run's interval start)
+    and ``pos``; ``missing_cities`` are cities without any landed document.
+    """
     present, missing = landing.resolve_cities(docs, cities)
     rows = landing.explode_hourly(present).withColumn(
         "run_ts", F.to_timestamp(F.format_string("%s-%s-%s %s:00:00", "year", "month", "day",
@@ -51,6 +57,12 @@ def landed_updates(spark: SparkSession, sources: list[tuple[str, Column | None]]
     return updates, rejected, missing
 
 
+def landed_updates(spark: SparkSession, sources: list[tuple[str, Column | None]],
+                   cities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """:func:`read_runs` then :func:`updates_from`."""
+    return updates_from(read_runs(spark, sources), cities)
+
+
 def load_runs(spark: SparkSession, sources: list[tuple[str, Column | None]], table: str,
               runs_log: str, cities: DataFrame, run_id: str,
               created_at: datetime | None = None) -> LoadResult:
@@ -58,12 +70,19 @@ def load_runs(spark: SparkSession, sources: list[tuple[str, Column | None]], tab
 
     ``rows_loaded`` counts the landed rows upserted (observed during the
     write, no extra pass); ``errors`` counts cities with no landed document.
+    The selected documents — one load's runs, small next to the table — are
+    persisted for the load, so its several actions parse the JSON once; a
+    lost executor's blocks are recomputed from the landed files.
     """
-    updates, rejected, missing = landed_updates(spark, sources, cities)
-    observed, obs = quality.counted(updates, f"load_{run_id}")
-    sinks.upsert(spark, table, observed)
-    rows_loaded = int(obs.get["rows"])
-    errors = missing.count()
-    n_rejected = rejected.count()
+    docs = read_runs(spark, sources).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        updates, rejected, missing = updates_from(docs, cities)
+        observed, obs = quality.counted(updates, f"load_{run_id}")
+        sinks.upsert(spark, table, observed)
+        rows_loaded = int(obs.get["rows"])
+        errors = missing.count()
+        n_rejected = rejected.count()
+    finally:
+        docs.unpersist()
     sinks.log_run(spark, runs_log, run_id, rows_loaded, errors, created_at)
     return LoadResult(run_id, rows_loaded, errors, n_rejected)
