@@ -104,7 +104,8 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame,
     """
     order = list(order)
     latest = _with_partition(latest_per_key(updates, keys, order), ts_col)
-    target = touched_target(spark, path, latest)
+    # same dates as ``latest``, without running its aggregation twice
+    target = touched_target(spark, path, _with_partition(updates.select(ts_col), ts_col))
     if target is not None:
         kept = target.join(latest.select(*keys), keys, "left_anti")
         merged = kept.unionByName(latest.select(*target.columns))
@@ -125,7 +126,7 @@ def insert_absent(spark: SparkSession, path: str, batch: DataFrame,
     """
     order = list(order)
     first = _with_partition(first_per_key(batch, keys, order), ts_col)
-    target = touched_target(spark, path, first)
+    target = touched_target(spark, path, _with_partition(batch.select(ts_col), ts_col))
     if target is not None:
         new = first.join(target.select(*keys), keys, "left_anti").select(*target.columns)
     else:

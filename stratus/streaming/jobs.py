@@ -215,14 +215,20 @@ def run_readings_sink(source: DataFrame, table: str, checkpoint: str, quarantine
     spark = source.sparkSession
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        good, bad = decode(batch)
-        rows, null_keys = to_table_rows(good)
-        rejected = (bad.select("key", "value", "partition", "offset")
-                    .unionByName(null_keys.select(
-                        F.col("city_id").cast("string").alias("key"),
-                        F.lit(None).cast("string").alias("value"), "partition", "offset")))
-        rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine)
-        sinks.insert_absent(spark, table, rows, order=["partition", "offset"])
+        # the micro-batch feeds several actions (quarantine, date lookup, append)
+        batch = batch.persist()
+        try:
+            good, bad = decode(batch)
+            rows, null_keys = to_table_rows(good)
+            rejected = (bad.select("key", "value", "partition", "offset")
+                        .unionByName(null_keys.select(
+                            F.col("city_id").cast("string").alias("key"),
+                            F.lit(None).cast("string").alias("value"), "partition", "offset")))
+            (rejected.withColumn("batch_id", F.lit(batch_id))
+             .write.mode("append").parquet(quarantine))
+            sinks.insert_absent(spark, table, rows, order=["partition", "offset"])
+        finally:
+            batch.unpersist()
 
     return (source.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint)
