@@ -110,3 +110,10 @@ def test_staging_drops_null_keys_and_suspicious(spark):
     assert len(out) == 2
     assert out[0].windspeed_kmh is None and out[0].temperature_c == D("10.00")
     assert out[1].weather_condition == "Unknown" and out[1].temperature_c is None
+
+
+def test_exact_percentile_interpolates_without_float_noise(spark):
+    vals = [D(v) for v in ["-26.79", "-26.78", "-26.78", "-26.79", "-26.77", "14.22", "14.23"]]
+    df = spark.createDataFrame([(v,) for v in vals], "x decimal(5,2)")
+    p25, p75 = df.agg(marts.exact_percentile("x", 0.25), marts.exact_percentile("x", 0.75)).first()
+    assert p25 == -26.785 and p75 == -6.275     # positions 1.5 and 4.5 of 7 sorted values

@@ -73,3 +73,12 @@ def test_named_aggregates(spark):
     assert A.max_abs(r, "temperature", 2).first()[0] == D("3.00")
     assert sorted(x[0] for x in A.distinct_values(r, "city_id").collect()) == [1, 2]
     assert A.min_samples(A.row_count(r, ["city_id"]), "n", 2).count() == 1
+
+
+def test_single_checks_match_report(spark):
+    recent = AS_OF - timedelta(minutes=30)
+    r = readings(spark, [(1, recent, None), (2, recent, 95.0), (3, recent, 20.0)])
+    n = quality.check_nulls(r, AS_OF).first()
+    x = quality.check_range(r, AS_OF).first()
+    assert (n.observed, n.passed) == (1, False) and n.message.startswith("NULL TEMPERATURES: 1")
+    assert (x.observed, x.passed) == (1, False) and x.message.startswith("EXTREME VALUES: 1")

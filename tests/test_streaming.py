@@ -77,3 +77,27 @@ def test_decode_splits_malformed(spark):
     assert len(g) == 1 and g[0].temperature == 1.5
     assert g[0].timestamp == datetime(2024, 1, 5, 1)
     assert [r.key for r in bad.collect()] == ["2"]
+
+
+def test_messages_keep_null_fields_and_key_by_city(spark):
+    from decimal import Decimal
+    from stratus import schemas as S
+    readings = spark.createDataFrame(
+        [(3, datetime(2024, 1, 5, 1, 2, 3, 456789), None, None, None, Decimal("4.50"), None, 61)],
+        S.READINGS)
+    cities = spark.createDataFrame([(3, "Oslo", "NO", "Europe")],
+                                   "id int, name string, country string, continent string")
+    m = jobs.to_messages(readings, cities).first()
+    body = json.loads(m.value)
+    assert m.key == "3" and body["temperature"] is None and body["windspeed"] == 4.5
+    assert body["timestamp"] == "2024-01-05T01:02:03.456789Z" and body["schema_version"] == "1.0"
+    assert list(body) == ["city_id", "city_name", "country", "continent", "timestamp",
+                          "temperature", "windspeed", "weather_code", "schema_version"]
+
+
+def test_current_weather_defaults(spark):
+    df = spark.createDataFrame([((21.5, 3.0),), (None,)],
+                               "current_weather struct<temperature:double, windspeed:double>")
+    got = [tuple(r) for r in jobs.current_weather(df)
+           .select("temperature", "windspeed", "weather_code").collect()]
+    assert got == [(21.5, 3.0, None), (None, None, None)]
