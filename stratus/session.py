@@ -24,6 +24,22 @@ REQUIRED_CONF = {
 }
 
 
+# Suggested cluster settings for ~100 TB of readings (applied by the cluster
+# operator, never forced by the library):
+# - 512 MB scan splits: 100 TB / 512 MB ~ 200k scan tasks instead of ~800k at
+#   the 128 MB default, i.e. ~25 waves on 1000 executors x 8 cores.
+# - Shuffle partitions sized for the largest shuffle, the upsert of one load
+#   (marts only shuffle partial aggregates); AQE coalesces the rest toward
+#   the 256 MB advisory size and splits skewed partitions.
+CLUSTER_HINTS = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, app: str = "stratus",
                   shuffle_partitions: int | None = None,
                   driver_memory: str | None = None) -> SparkSession:
