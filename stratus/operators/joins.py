@@ -38,7 +38,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
 
 
 # Cached snapshots of dimensions that passed the check, per (session, plan).
-_SNAPSHOTS: dict[tuple[str, int], DataFrame] = {}
+_SNAPSHOTS: dict[tuple[str, int, tuple], DataFrame] = {}
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -52,7 +52,8 @@ def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFr
     """
     if not fits_broadcast(df, max_rows):
         return df
-    key = (session_key(df.sparkSession), df.semanticHash())
+    # semanticHash ignores output names, so the names are part of the key
+    key = (session_key(df.sparkSession), df.semanticHash(), tuple(df.columns))
     if key not in _SNAPSHOTS:
         _SNAPSHOTS[key] = df.cache()
     return F.broadcast(_SNAPSHOTS[key])
