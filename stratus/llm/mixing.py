@@ -65,8 +65,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
                         F.least(cap.cast("double"), F.lit(level) * F.col("weight")).alias("target"))
 
 
-def _same_source(a: DataFrame, b: DataFrame) -> Column:
-    return a["source"].eqNullSafe(b["source"])
+def _with_source(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
+    """``a`` with the columns of ``b`` for the same source; null is a source."""
+    other = b.withColumnRenamed("source", "__source")
+    return a.join(other, F.col("source").eqNullSafe(F.col("__source")), how).drop("__source")
 
 
 def thresholds(rows: DataFrame, budgets: DataFrame, hash_bits: int = HASH_BITS,
@@ -82,18 +84,17 @@ def thresholds(rows: DataFrame, budgets: DataFrame, hash_bits: int = HASH_BITS,
     for level in range(1, hash_bits // level_bits + 1):
         last = level * level_bits >= hash_bits
         above, here = hash_bits - (level - 1) * level_bits, hash_bits - level * level_bits
-        inside = rows.join(state.select("source", "prefix"), _same_source(rows, state)
-                           & (F.shiftright(rows["place"], above) == state["prefix"]))
-        sums = (inside.select(rows["source"], F.shiftright("place", here).alias("bucket"), "size")
+        inside = _with_source(rows.select("source", "size", "place"), state.select("source", "prefix")).where(
+            F.shiftright("place", above) == F.col("prefix"))
+        sums = (inside.select("source", F.shiftright("place", here).alias("bucket"), "size")
                       .groupBy("source", "bucket")
                       .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")))
         running = F.sum("size").over(Window.partitionBy("source").orderBy("bucket"))
         sums = sums.withColumn("before", running - F.col("size"))
-        ends = (sums.join(state, _same_source(sums, state)).drop(state["source"])
+        ends = (_with_source(sums, state)
                     .where(F.col("below") + F.col("before") + F.col("size") > F.col("budget"))
                     .groupBy("source").agg(F.min(F.struct("bucket", "before", "size", "n")).alias("end")))
-        step = written(state.join(ends, _same_source(state, ends), "left").drop(ends["source"]),
-                       "thresholds")
+        step = written(_with_source(state, ends, "left"), "thresholds")
         # no bucket passes the budget: all of the prefix is taken
         whole = step.where(F.col("end").isNull()).select(
             "source", F.shiftleft(F.col("prefix") + 1, above).alias("threshold"))
@@ -121,8 +122,8 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_T
     goal = written(goal.withColumn("whole", whole.cast("long")), "targets")
     ends = thresholds(rows, goal.select("source", (
         F.col("target") - F.col("whole") * F.col("source_size")).alias("budget")))
-    return written(goal.join(ends, _same_source(goal, ends), "left").drop(ends["source"])
-                       .withColumn("threshold", F.coalesce("threshold", F.lit(0).cast("long"))), "plan")
+    return written(_with_source(goal, ends, "left").withColumn(
+        "threshold", F.coalesce("threshold", F.lit(0).cast("long"))), "plan")
 
 
 def _copies() -> Column:
@@ -139,7 +140,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
     """doc_id, size, source_size, target, taken for every row."""
     rows = _rows(docs)
     goal = plan(rows, weights, most)
-    return rows.join(goal, _same_source(rows, goal)).select(
+    return _with_source(rows, goal).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
 
 

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from stratus.llm import quality_classifier, simhash
+from stratus.llm import mixing, pii, quality_classifier, sentencepiece_codec, simhash
 from stratus.llm.common import read
 
 
+def op2_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.encoded(read(spark, sf_dir, "documents"))
+
+
+def op4_pii_surrogates(spark, sf_dir):
+    return pii.surrogate_texts(read(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicate_classes(read(spark, sf_dir, "documents"))
 
@@ -15,5 +23,11 @@ def op8_quality_classifier(spark, sf_dir):
                                               read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_near_dedup, op8_quality_classifier)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_sentencepiece, op4_pii_surrogates, op6_simhash_near_dedup, op8_quality_classifier,
+    op10_mixing)}
+ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL}
