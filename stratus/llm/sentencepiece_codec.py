@@ -4,8 +4,9 @@ The vocabulary of a public SentencePiece model is read; its scores are merge
 ranks, which Zipf's law turns into log probabilities, -log(rank + 1). A text's
 lattice holds every piece at every place, and UTF-8 byte pieces where no
 single-character piece exists. No piece has white space after another
-character, so the lattice is a chain of small lattices, one for each run of
-spaces with the word behind it.
+character, nor a Latin letter beside another kind of character (checked on
+loading), so the lattice is a chain of small ones, one for each run of spaces
+with the letters or the other characters behind it.
 
 A chunk's forward Viterbi scores give its best segmentation, and are the exact
 heuristic of the backward A* search that lists its N best. The N best of a text
@@ -40,12 +41,16 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 BYTE_LOG_PROBABILITY = -20.0
 SPACE = "▁"
-_CHUNK = re.compile(r"\n| *[^ \n]+| +")
+# Places where no piece crosses: around line ends, before spaces, between Latin letters and others.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+_CHUNK = re.compile(rf"\n| *[{_LATIN}]+| *[^{_LATIN} \n]+| +")
 # Texts per block, chunk length up to which chunks are solved together and kept, kept chunks.
 BLOCK = 256
 SHORT = 32
 KEPT = 400_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.uint64(0xC2B2AE3D27D4EB4F)
+_MASK = np.uint64((1 << 20) - 1)
 
 
 @dataclass
@@ -56,13 +61,28 @@ class Vocabulary:
     scores: np.ndarray                     # by id
     ids: dict[str, int]                    # of ordinary pieces
     byte_ids: list[int]
-    hashes: np.ndarray                     # of the ordinary pieces, sorted, for many lookups at once
+    hashes: np.ndarray                     # of the ordinary pieces, for many lookups at once
     hash_ids: np.ndarray                   # their ids
     _kept: dict = field(default_factory=dict, repr=False)
     _searched: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.longest = max(map(len, self.ids))
+        self.known_scores = np.append(self.scores[self.hash_ids], -np.inf)
+        self.known_ids = np.append(self.hash_ids, -1).astype(np.int32)
+        self.known_hashes = np.append(self.hashes, np.uint64(0))
+        # positions of the pieces by some bits of their hash; those that collide go to the next table
+        none, left, self.tables = len(self.hashes), np.arange(len(self.hashes)), []
+        for shift in (44, 30, 16):
+            slot = ((self.hashes[left] * _SPREAD >> np.uint64(shift)) & _MASK).astype(np.int64)
+            table = np.full(int(_MASK) + 1, none, np.int32)
+            table[slot] = left
+            left = left[table[slot] != left]
+            self.tables.append((np.uint64(shift), table))
+            if not len(left):
+                break
+        if len(left):
+            raise ValueError("the hashes of the pieces collide")
 
     def parts(self) -> tuple:
         """The fields, as plain values that travel to the workers."""
@@ -83,15 +103,11 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 rank += 1
                 plain = piece.replace(SPACE, " ")
-                if " " in plain.lstrip(" ") or "\n" in plain:
-                    raise ValueError("pieces may not hold white space after another character")
+                if len(_CHUNK.findall(plain)) != 1:
+                    raise ValueError(f"piece {plain!r} crosses a place where texts are cut")
                 ids[plain], strings[i], scores[i] = i, plain.encode(), -np.log(rank + 1)
         hashes = np.array([Vocabulary._hash(p) for p in ids], np.uint64)
-        order = np.argsort(hashes)
-        if len(np.unique(hashes)) != len(hashes):
-            raise ValueError("two pieces share a hash")
-        return Vocabulary(strings, scores, ids, byte_ids, hashes[order],
-                          np.array(list(ids.values()), np.int64)[order])
+        return Vocabulary(strings, scores, ids, byte_ids, hashes, np.array(list(ids.values()), np.int64))
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -143,6 +159,17 @@ class Vocabulary:
 
     # -- many chunks ---------------------------------------------------------
 
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Positions of hashes among the pieces' (their number where there is none)."""
+        none = len(self.hashes)
+        found = np.full(len(h), none, np.int32)
+        spread = h * _SPREAD
+        for shift, table in self.tables:
+            at = table[((spread >> shift) & _MASK).astype(np.int64)]
+            hit = self.known_hashes[at] == h
+            found[hit] = at[hit]
+        return found
+
     def solve(self, chunks: list[str]) -> dict[str, tuple[bytes, float]]:
         """Best ids (as little-endian uint16 bytes) and gap to the second best, by chunk."""
         out, by_length = {}, {}
@@ -174,18 +201,18 @@ class Vocabulary:
             h = np.zeros(n, np.uint64)
             for end in range(start + 1, min(length, start + self.longest) + 1):
                 h = h * _BASE + codes[end - 1]
-                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                known = self.hashes[at] == h
-                ids = np.where(known, self.hash_ids[at], -1)
-                s = np.where(known, self.scores[self.hash_ids[at]], -np.inf)
+                at = self._find(h)
+                s = self.known_scores[at]
                 if end == start + 1:
-                    s = np.where(known, s, BYTE_LOG_PROBABILITY * width[start])
+                    s = np.where(at < len(self.hashes), s, BYTE_LOG_PROBABILITY * width[start])
+                elif (s == -np.inf).all():
+                    continue
                 a, b = one[start] + s, two[start] + s
                 better = a > one[end]
                 two[end] = np.maximum(np.minimum(one[end], a), np.where(better, b, two[end]))
-                last[end] = np.where(better, start, last[end])
-                edge[end] = np.where(better, ids, edge[end])
-                one[end] = np.where(better, a, one[end])
+                last[end][better] = start
+                edge[end][better] = self.known_ids[at[better]]
+                one[end] = np.maximum(one[end], a)
         gaps = (one[length] - two[length]).tolist()
         # walk back from the ends of all chunks at once; ids fill the rows from the right
         own, at = np.zeros((n, length), "<u2"), np.full(n, length)
@@ -218,27 +245,27 @@ class Vocabulary:
 
     # -- texts ---------------------------------------------------------------
 
-    def best(self, texts: list[str | None]) -> list[tuple[list[str], list[tuple[bytes, float]]]]:
-        """Chunks of each text and their solutions."""
+    def best(self, texts: list[str | None]) -> list[tuple[list[str], tuple, tuple]]:
+        """Chunks of each text, their best ids (as bytes) and their gaps to the second best."""
         split = [_CHUNK.findall(" " + t) if t else [] for t in texts]
         if len(self._kept) > KEPT:
             self._kept.clear()
         new = set().union(*split) - self._kept.keys()
         self._kept.update(self.solve(list(new)))
-        out = [(chunks, [self._kept[c] for c in chunks]) for chunks in split]
+        get = self._kept.__getitem__
+        out = [(chunks, *zip(*map(get, chunks))) if chunks else ([], (), ()) for chunks in split]
         for c in new:
             if len(c) > SHORT:
                 del self._kept[c]
         return out
 
-    def alternatives(self, chunks: list[str], solved: list[tuple[bytes, float]], n: int):
+    def alternatives(self, chunks: list[str], blobs: tuple, gaps: tuple, n: int):
         """The 2nd to nth best of a text: (score below the best, [(place, drop, ids), ...])."""
         if n < 2 or not chunks:
             return []
-        blobs, gaps = zip(*solved)
         gaps = np.array(gaps)
         k = min(n - 1, len(gaps))
-        places = np.sort(np.argsort(gaps, kind="stable")[:k])
+        places = np.sort(np.argpartition(gaps, k - 1)[:k])
         sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 2
         starts = np.cumsum(sizes) - sizes
         ways = [(0.0, ())]
@@ -258,8 +285,7 @@ class Vocabulary:
         return ways[1:]
 
     def encode(self, text: str | None) -> list[int]:
-        _, solved = self.best([text])[0]
-        return np.frombuffer(b"".join(s[0] for s in solved), "<u2").tolist()
+        return np.frombuffer(b"".join(self.best([text])[0][1]), "<u2").tolist()
 
     def decode(self, ids) -> str:
         """The text of a list of ids."""
@@ -298,15 +324,15 @@ def encoded(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "t
                 part = batch.slice(at, BLOCK)
                 texts = part.column(part.num_columns - 1).to_pylist()
                 counts, ids, scores, ways, exact = [], [], [], [], []
-                for t, (chunks, solved) in zip(texts, vocabulary.best(texts)):
-                    own = np.frombuffer(b"".join([s[0] for s in solved]), "<u2").astype(np.int32)
+                for t, (chunks, blobs, gaps) in zip(texts, vocabulary.best(texts)):
+                    own = np.frombuffer(b"".join(blobs), "<u2").astype(np.int32)
                     score = float(vocabulary.scores[own].sum())
                     counts.append(len(own))
                     ids.append(own)
                     scores.append(score)
                     ways.append([{"score": score - cost, "edits": [
                         {"at": a, "drop": d, "ids": list(i)} for a, d, i in edits]}
-                        for cost, edits in vocabulary.alternatives(chunks, solved, n)])
+                        for cost, edits in vocabulary.alternatives(chunks, blobs, gaps, n)])
                     exact.append(vocabulary.decode(own.tolist()) == (t or ""))
                 offsets = np.zeros(len(counts) + 1, np.int32)
                 np.cumsum(counts, out=offsets[1:])
