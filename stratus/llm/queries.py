@@ -2,32 +2,57 @@
 
 from __future__ import annotations
 
-from stratus.llm import mixing, pii, quality_classifier, sentencepiece_codec, simhash
+from stratus.llm import (chat, fingerprint, mixing, pii, quality_classifier, quality_rules,
+                         sentencepiece_codec, simhash, url_filter, warc)
 from stratus.llm.common import read
 
 
+def op1_url_filter(spark, sf_dir):
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
 def op2_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.encoded(read(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark, sf_dir):
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op4_pii_surrogates(spark, sf_dir):
     return pii.surrogate_texts(read(spark, sf_dir, "documents"))
 
 
+def op5_chat_formatting(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    return chat.format_all(turns.union(extra))
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicate_classes(read(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark, sf_dir):
+    return fingerprint.compare_with_next(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark, sf_dir):
     return quality_classifier.score_documents(read(spark, sf_dir, "documents"),
                                               read(spark, sf_dir, "labels"))
 
 
+def op9_quality_rules(spark, sf_dir):
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op4_pii_surrogates, op6_simhash_near_dedup, op8_quality_classifier,
+    op1_url_filter, op2_sentencepiece, op3_warc, op4_pii_surrogates, op5_chat_formatting,
+    op6_simhash_near_dedup, op7_fingerprints, op8_quality_classifier, op9_quality_rules,
     op10_mixing)}
 ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL}
