@@ -1,0 +1,124 @@
+"""Classifier and weak supervision on held-out labels, counts against a plain version."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from stratus.llm import quality_classifier as Q
+from stratus.llm import quality_rules as R
+from stratus.llm.common import read
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string"
+
+
+def plain_counts(text):
+    words = re.findall("[^\x20\x09-\x0d]+", text or "")
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = set()
+    for i, w in enumerate(zip(words, words[1:], words[2:])):
+        if windows[w] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [x for x in (text or "").split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+            len(lines) - len(set(lines)), len(covered))
+
+
+def texts():
+    rng = np.random.default_rng(1)
+    pool = ["a", "b", "c", "é", "日本", "#x", "$$|", "A!", "end.", "\u00a0", "\x1f"]
+    out = [None, "", " \n\t", "a b c a b c", "a a a a", "l\nl\nl \n\n", "x\u2028y", "w " * 50_000]
+    for _ in range(80):
+        out.append("".join(str(rng.choice(pool)) + str(rng.choice([" ", "\n", "\t", "  ", "\r", "\x0b"]))
+                           for _ in range(int(rng.integers(0, 90)))))
+    return out
+
+
+def test_counts_match_the_plain_version(spark):
+    rows = list(enumerate(texts()))
+    docs = spark.createDataFrame([(i, t, 9) for i, t in rows], DOCS + ", n_words int")
+    got = {r.doc_id: r for r in R.judge(docs).collect()}
+    for i, t in rows:
+        expected = plain_counts(t)
+        assert tuple(got[i][c] for c in R.COUNTS[:5]) == expected, repr(t)[:80]
+        assert got[i].base_failed == (expected[0] < 50 or 100 * expected[4] > 50 * expected[0])
+        assert not (got[i].base_failed and got[i].kept)
+    assert R.judge(docs.limit(0)).count() == 0
+
+
+def test_em_finds_the_accuracies_of_simulated_rules():
+    rng = np.random.default_rng(2)
+    good = rng.random(20_000) < 0.8
+    votes = np.zeros((20_000, 5), int)
+    for i, (right, cast) in enumerate([(0.95, 0.9), (0.9, 0.8), (0.85, 0.9), (0.8, 0.7), (0.6, 0.9)]):
+        says = np.where(rng.random(20_000) < right, good, ~good)
+        votes[:, i] = np.where(rng.random(20_000) < cast, np.where(says, 1, -1), 0)
+    patterns, weight = np.unique(votes, axis=0, return_counts=True)
+    posterior = R.estimate(patterns, weight.astype(float))
+    known = {tuple(p): x for p, x in zip(patterns, posterior)}
+    found = np.array([known[tuple(v)] for v in votes]) >= 0.5
+    majority = votes.sum(axis=1) > 0
+    assert (found == good).mean() > max(0.93, (majority == good).mean())
+
+
+def test_rules_keep_good_documents(spark):
+    rows = (R.judge(read(spark, SF, "documents")).join(read(spark, SF, "labels"), "doc_id")
+             .where("not base_failed").toPandas())
+    assert rows[rows.quality == 1].kept.mean() > 0.97
+    assert rows[rows.quality == 0].kept.mean() < 0.2
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    rows = Q.score_documents(read(spark, SF, "documents"), read(spark, SF, "labels"))
+    return rows.join(read(spark, SF, "labels"), "doc_id").toPandas()
+
+
+def test_held_out_labels_are_predicted(scored):
+    rows = scored[scored.held_out]
+    assert (rows.predicted == rows.quality).mean() > 0.95
+    assert ((scored.predicted == 1) == (scored.score >= 0.3)).all()
+    assert scored.score.between(0, 1).all()
+
+
+def test_learning_ignores_held_out_labels_and_other_columns(spark):
+    docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
+    from pyspark.sql import functions as F
+    flipped = labels.withColumn("quality", F.when(Q.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    other = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None).cast("string")).withColumn(
+        "score", F.lit(1.0)).withColumn("statistics", F.lit("clash"))
+    a = {r.doc_id: round(r.score, 9) for r in Q.score_documents(docs, labels).collect()}
+    b = {r.doc_id: round(r.score, 9) for r in Q.score_documents(other, flipped).collect()}
+    assert a == b
+
+
+def test_odd_inputs(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "a"), (3, "a"), (None, "b")], DOCS)
+    empty = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r.score for r in Q.score_documents(docs, empty).collect()] == [0.5] * 5
+    one_class = spark.createDataFrame([(1, 1), (2, 1), (2, None), (9, 0)], "doc_id long, quality int")
+    assert {r.score for r in Q.score_documents(docs, one_class).collect()} == {1.0}
+    both = spark.createDataFrame([(i, i % 2) for i in range(1, 4)] + [(None, 1)], "doc_id long, quality int")
+    rows = Q.score_documents(docs, both).collect()
+    assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
+    assert Q.score_documents(docs.limit(0), both).count() == 0
+    assert Q.keep_good(docs, one_class).columns == docs.columns
+
+
+def test_cholesky_scores_equal_the_plain_densities(spark):
+    rng = np.random.default_rng(6)
+    p = len(Q.STATISTICS)
+    x = {k: rng.normal(k, 1 + k, (400, p)) for k in (0, 1)}
+    rows = [(k, [float(v) for v in r]) for k in (0, 1) for r in x[k]]
+    model = Q.fit(spark.createDataFrame(rows, "label int, v array<double>"), "v", "label", pooled=0.0, identity=0.0)
+    probe = rng.normal(0.5, 1.5, (50, p))
+    logs = []
+    for k in (0, 1):
+        mean, cov = x[k].mean(axis=0), np.cov(x[k].T, bias=True)
+        d = probe - mean
+        logs.append(-0.5 * (d * np.linalg.solve(cov, d.T).T).sum(axis=1) - 0.5 * np.linalg.slogdet(cov)[1])
+    raw = logs[1] - logs[0]
+    squashed = np.clip(np.sign(raw) * np.log1p(abs(raw)), -Q.SQUASHED_LIMIT, Q.SQUASHED_LIMIT)
+    assert np.allclose(model.odds(probe), squashed, atol=1e-3)
