@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -45,7 +45,7 @@ HEAT_C, FREEZE_C, HIGH_WIND_KMH, HEAVY_RAIN_MM = 35, -10, 60, 10
 EVENT_TYPES = ["Thunderstorm", "Heatwave", "Freeze", "High winds", "Heavy rain", "Other"]
 # Anomaly thresholds on |z|.
 SIGNIFICANT_Z, EXTREME_Z = 2, 3
-SEVERITIES = ["normal", "significant", "extreme"]
+SEVERITIES = ["extreme", "significant", "normal"]
 # ---------------------------------------------------------------------------
 
 
@@ -206,8 +206,20 @@ def exact_avg(c, scale: int, precision: int = 10, in_scale: int | None = None) -
     """
     c = _c(c)
     k = scale if in_scale is None else in_scale
-    units = F.sum((c * F.lit(10 ** k)).cast("bigint")).cast("decimal(38,0)")
-    n = F.nullif(F.count(c), F.lit(0)).cast("decimal(38,0)")
+    return rounded_mean(F.sum(units_of(c, k)), F.count(c), scale, precision, k)
+
+
+def units_of(c, scale: int) -> Column:
+    """``c`` as a whole number of units of 10^-scale."""
+    return (_c(c) * F.lit(10 ** scale)).cast("bigint")
+
+
+def rounded_mean(units: Column, count: Column, scale: int, precision: int = 10,
+                 in_scale: int | None = None) -> Column:
+    """The finish of :func:`exact_avg`, from a sum in units of 10^-in_scale and its count."""
+    k = scale if in_scale is None else in_scale
+    units = units.cast("decimal(38,0)")
+    n = F.nullif(count, F.lit(0)).cast("decimal(38,0)")
     num = (F.lit(2 * 10 ** scale) * F.abs(units) + n * F.lit(10 ** k)).cast("decimal(38,0)")
     rounded = F.signum(units).cast("decimal(38,0)") * _int_div(num, n * F.lit(2 * 10 ** k))
     return (rounded / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
@@ -234,6 +246,20 @@ def _int_div(a: Column, b: Column) -> Column:
     return ((a - a % b) / b).cast("decimal(38,0)")
 
 
+# Fractional digits that a daily mean keeps before it is averaged again.
+MEAN_DIGITS = 16
+
+
+def wide_mean(units: Column, count: Column, in_scale: int = 2) -> Column:
+    """Mean as a whole number of 10^-16, rounded half away from zero (decimal(38,0))."""
+    u = units.cast("decimal(38,0)")
+    n = F.nullif(count, F.lit(0)).cast("decimal(38,0)")
+    shift = F.lit(2 * 10 ** (MEAN_DIGITS - in_scale)).cast("decimal(18,0)")
+    num = (F.abs(u).cast("decimal(20,0)") * shift).cast("decimal(38,0)") + n
+    whole = _int_div(num.cast("decimal(38,0)"), (n * F.lit(2)).cast("decimal(38,0)"))
+    return (F.signum(u).cast("decimal(2,0)") * whole).cast("decimal(38,0)")
+
+
 def exact_mean(c, scale: int = 2) -> Column:
     """Mean as a double from the exact integer sum: order-independent.
 
@@ -241,8 +267,12 @@ def exact_mean(c, scale: int = 2) -> Column:
     sum is exact below 2^53), then divided by the count.
     """
     c = _c(c)
-    units = F.sum((c * F.lit(10 ** scale)).cast("bigint"))
-    return units.cast("double") / float(10 ** scale) / F.nullif(F.count(c), F.lit(0))
+    return mean_of(F.sum(units_of(c, scale)), F.count(c), scale)
+
+
+def mean_of(units: Column, count: Column, scale: int = 2) -> Column:
+    """The finish of :func:`exact_mean`."""
+    return units.cast("double") / float(10 ** scale) / F.nullif(count, F.lit(0))
 
 
 def exact_stddev_samp(c, scale: int = 2) -> Column:
@@ -255,17 +285,28 @@ def exact_stddev_samp(c, scale: int = 2) -> Column:
     """
     c = _c(c)
     u = (c * F.lit(10 ** scale)).cast("bigint")
-    s1 = F.sum(u).cast("decimal(38,0)")
     # u^2 summed as a wide decimal: a 64-bit sum of squares could overflow for
     # a hot group at scale.
-    s2 = F.sum((u * u).cast("decimal(38,0)"))
-    n = F.count(c)
+    return stddev_of(F.sum(u), F.sum((u * u).cast("decimal(38,0)")), F.count(c), scale)
+
+
+def stddev_of(s1: Column, s2: Column, n: Column, scale: int = 2) -> Column:
+    """The finish of :func:`exact_stddev_samp`, from the sums of u and u^2 and the count."""
+    s1 = s1.cast("decimal(38,0)")
     num = (n.cast("decimal(38,0)") * s2 - s1 * s1).cast("decimal(38,0)")
     den = n.cast("double") * (n - 1).cast("double")
     var = F.when(n > 1, num.cast("double") / den / float(10 ** (2 * scale)))
     return F.sqrt(var)
 
 
+def overflowed(pairs: list[tuple[Column, Column]]) -> Column:
+    """The one reject rule for measures: a value is present but does not fit its column."""
+    bad = F.lit(False)
+    for raw, stored in pairs:
+        bad = bad | (raw.isNotNull() & stored.isNull())
+    return bad
+
+
 # ------------------------------------------------------------ time / text ---
 
 def ts_literal(as_of: datetime, ntz: bool = False) -> Column:
@@ -281,6 +322,21 @@ def since(c, as_of: datetime, interval: str, inclusive: bool = False,
     return _c(c) >= lo if inclusive else _c(c) > lo
 
 
+def recent(df: DataFrame, c: str, as_of: datetime, interval: str, inclusive: bool = False,
+           ntz: bool = False, partition: str = "reading_date") -> DataFrame:
+    """Rows of ``df`` that satisfy :func:`since`.
+
+    On a table partitioned by the day of ``c`` the implied bound on the
+    partition column is added, so older days are pruned before any file is
+    opened.
+    """
+    out = df.where(since(c, as_of, interval, inclusive, ntz))
+    if partition in df.columns:
+        day = F.to_date(ts_literal(as_of, True) - F.expr(f"INTERVAL {interval}"))
+        out = out.where(F.col(partition) >= day)
+    return out
+
+
 def older_than(c, as_of: datetime, interval: str, ntz: bool = False) -> Column:
     """``c < as_of - INTERVAL``."""
     return _c(c) < ts_literal(as_of, ntz) - F.expr(f"INTERVAL {interval}")

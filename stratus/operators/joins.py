@@ -1,8 +1,9 @@
 """Join operators.
 
-Dimension joins broadcast the small side only after its size is checked; a
-dimension that fails the check is joined with a normal shuffle join (and AQE
-may still switch strategy at runtime from real statistics).
+Dimension joins broadcast the small side only after its size is checked, at
+each use, so a dimension that grew is never broadcast on an old answer; one
+that fails the check is joined with a normal shuffle join (and adaptive
+execution may still switch strategy at runtime from real statistics).
 """
 
 from __future__ import annotations
@@ -10,67 +11,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension we broadcast must have at most this many rows; a city row is
-# ~200 bytes, so the default keeps any broadcast well under 100 MB.
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
+# A side we broadcast is at most this large, as JSON text (an upper bound of its row size).
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+# The check stops reading here: more rows than this are never broadcast.
+MAX_BROADCAST_ROWS = 500_000
 
 
-# Size-check results per (session, plan, bound): a plan is counted once per session.
-_CHECKED: dict[tuple[str, int, int], bool] = {}
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES,
+                   max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` holds at most ``max_bytes`` (and ``max_rows``) now.
 
-
-def session_key(spark) -> str:
-    """Identity of the running application (unique per SparkContext)."""
-    return spark.sparkContext.applicationId
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows, so the check itself is bounded. The
-    answer is remembered for the same plan in the same session, so building
-    several marts over one dimension runs the check once.
-    """
-    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
-
-
-# Cached snapshots of dimensions that passed the check, per (session, plan).
-_SNAPSHOTS: dict[tuple[str, int, tuple], DataFrame] = {}
-
-
-def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it passes the size check, else unchanged.
-
-    A dimension that passes is also cached once per session (its size is
-    proven, so the cache is bounded): later plans broadcast from that
-    snapshot instead of re-running the dimension's own joins each time.
-    ``forget_dimensions()`` drops the snapshots (e.g. after the dimension
-    table changed).
+    Reads at most ``max_rows + 1`` rows, so the check itself is bounded; the
+    answer is not kept, so it is never older than the plan it decides on.
     """
-    if not fits_broadcast(df, max_rows):
-        return df
-    # semanticHash ignores output names, so the names are part of the key
-    key = (session_key(df.sparkSession), df.semanticHash(), tuple(df.columns))
-    if key not in _SNAPSHOTS:
-        _SNAPSHOTS[key] = df.cache()
-    return F.broadcast(_SNAPSHOTS[key])
+    size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    rows, held = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    return rows <= max_rows and (held or 0) <= max_bytes
 
 
-def forget_dimensions() -> None:
-    """Drop cached dimension snapshots and size-check results."""
-    for d in _SNAPSHOTS.values():
-        d.unpersist()
-    _SNAPSHOTS.clear()
-    _CHECKED.clear()
+def bounded(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it passes the size check, else unchanged."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join a fact table to a dimension, broadcasting the dimension if it is small."""
-    return fact.join(bounded(dim, max_rows), on, how)
+    return fact.join(bounded(dim, max_bytes), on, how)
 
 
 def with_city(readings: DataFrame, cities: DataFrame, cols: list[str],
@@ -94,5 +61,5 @@ def left_anti(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame
 def missing_keys(expected: DataFrame, present: DataFrame, key_expected: str,
                  key_present: str) -> DataFrame:
     """J5 helper: rows of ``expected`` with no match in ``present``."""
-    p = present.select(F.col(key_present).alias("__k")).distinct()
+    p = bounded(present.select(F.col(key_present).alias("__k")).distinct())
     return expected.join(p, F.col(key_expected) == F.col("__k"), "left_anti")

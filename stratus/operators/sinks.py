@@ -1,10 +1,10 @@
 """Table sinks on Parquet: upsert (K2), insert-if-absent (K3), run log (K4), marts (K7/K8).
 
 Tables are Parquet directories partitioned by a date column, so a load
-rewrites only the dates it touches. A merge never overwrites a path it is
-still lazily reading: the merged partitions are first written to a fresh
-folder under the shared checkpoint dir, then swapped in with a dynamic
-partition overwrite.
+rewrites only the dates it touches: a dynamic partition overwrite stages its
+files and moves them in when the whole job has succeeded. Rows are dealt to
+the writing tasks by date, with large dates split and small ones put together
+by size, so the number of files per date follows its bytes.
 """
 
 from __future__ import annotations
@@ -13,48 +13,37 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from stratus import schemas as S
-from stratus.session import scratch_dir
+from stratus.session import remove_dir, scratch_dir
 
 PARTITION_COL = "reading_date"
 
 
+def _children(spark: SparkSession, path: str) -> set[str]:
+    """Names in a folder (one listing); empty when it does not exist."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(folder)} if fs.exists(folder) else set()
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 — resolves the file listing
-        return True
-    except AnalysisException:
-        return False
-
-
-def _existing_partitions(spark: SparkSession, path: str, dates: list) -> list[str]:
-    """Directories ``path/reading_date=<d>`` that exist, for the given dates."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for d in dates:
-        p = f"{path.rstrip('/')}/{PARTITION_COL}={d.isoformat()}"
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        if hp.getFileSystem(conf).exists(hp):
-            out.append(p)
-    return out
+    return any(not n.startswith(("_", ".")) for n in _children(spark, path))
 
 
 def touched_target(spark: SparkSession, path: str, incoming: DataFrame) -> DataFrame | None:
     """The target table restricted to the dates ``incoming`` touches, or None.
 
-    Only the touched ``reading_date=`` directories are listed and read — a
-    load or micro-batch never lists the whole (multi-year) table. The list of
-    touched dates is tiny (one entry per day present in the batch).
+    Only the touched ``reading_date=`` directories are read — a load or
+    micro-batch never reads the whole (multi-year) table. The list of touched
+    dates is tiny (one entry per day present in the batch).
     """
-    dates = [r[0] for r in incoming.select(PARTITION_COL).distinct().collect()
-             if r[0] is not None]
-    parts = _existing_partitions(spark, path, dates)
-    if not parts:
+    dates = {f"{PARTITION_COL}={r[0].isoformat()}"
+             for r in incoming.select(PARTITION_COL).distinct().collect() if r[0] is not None}
+    found = sorted(dates & _children(spark, path))
+    if not found:
         return None
-    return spark.read.option("basePath", path).parquet(*parts)
+    return spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/{d}" for d in found])
 
 
 def latest_per_key(updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -81,14 +70,9 @@ def _with_partition(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.to_date(ts_col))
 
 
-def _swap_in(spark: SparkSession, merged: DataFrame, path: str, sort_cols: list[str]) -> None:
-    """Write ``merged`` to a fresh folder, then overwrite only its partitions in ``path``."""
-    stage = scratch_dir(spark, "merge")
-    (merged.sortWithinPartitions(PARTITION_COL, *sort_cols)
-           .write.mode("overwrite").partitionBy(PARTITION_COL).parquet(stage))
-    (spark.read.parquet(stage)
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(PARTITION_COL).parquet(path))
+def _by_date(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Deal rows to writing tasks by date, sized by bytes, sorted for the partitioned writer."""
+    return df.hint("rebalance", PARTITION_COL).sortWithinPartitions(PARTITION_COL, *keys)
 
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame,
@@ -96,22 +80,25 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame,
            ts_col: str = "timestamp") -> None:
     """K2: ``INSERT ... ON CONFLICT (keys) DO UPDATE`` — the latest update replaces all measures.
 
-    1. ``updates`` is reduced to its last write per key (landing order ``order``).
-    2. Target rows are read only from the dates the updates touch (only those
-       partition directories are listed), and rows whose key is being updated
-       are dropped (anti join on the key).
-    3. The union is swapped in partition by partition.
+    1. ``updates`` is reduced to its last write per key (landing order
+       ``order``) and that result is written once; dates, keys and rows are
+       all taken from those files.
+    2. Target rows are read only from the dates the updates touch, and rows
+       whose key is being updated are dropped (anti join on the key).
+    3. The union replaces the touched partitions (dynamic overwrite), and the
+       files of step 1 are removed.
     """
-    order = list(order)
-    latest = _with_partition(latest_per_key(updates, keys, order), ts_col)
-    # same dates as ``latest``, without running its aggregation twice
-    target = touched_target(spark, path, _with_partition(updates.select(ts_col), ts_col))
+    stage = scratch_dir(spark, "updates")
+    _with_partition(latest_per_key(updates, keys, list(order)), ts_col).write.parquet(stage)
+    latest = spark.read.parquet(stage)
+    target = touched_target(spark, path, latest)
+    merged = latest
     if target is not None:
         kept = target.join(latest.select(*keys), keys, "left_anti")
         merged = kept.unionByName(latest.select(*target.columns))
-    else:
-        merged = latest
-    _swap_in(spark, merged, path, keys)
+    (_by_date(merged, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                           .partitionBy(PARTITION_COL).parquet(path))
+    remove_dir(spark, stage)
 
 
 def insert_absent(spark: SparkSession, path: str, batch: DataFrame,
@@ -131,8 +118,23 @@ def insert_absent(spark: SparkSession, path: str, batch: DataFrame,
         new = first.join(target.select(*keys), keys, "left_anti").select(*target.columns)
     else:
         new = first.select(*[c for c in first.columns if c not in order])
-    (new.sortWithinPartitions(PARTITION_COL, *keys)
-        .write.mode("append").partitionBy(PARTITION_COL).parquet(path))
+    _by_date(new, keys).write.mode("append").partitionBy(PARTITION_COL).parquet(path)
+
+
+def compact(spark: SparkSession, path: str, dates: list, keys: list[str] = S.READING_KEY) -> None:
+    """Rewrite the given dates of a table with files sized by bytes (after many small appends)."""
+    wanted = {f"{PARTITION_COL}={d.isoformat()}" for d in dates} & _children(spark, path)
+    if wanted:
+        rows = spark.read.option("basePath", path).parquet(
+            *[f"{path.rstrip('/')}/{d}" for d in sorted(wanted)])
+        (_by_date(rows, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                             .partitionBy(PARTITION_COL).parquet(path))
+
+
+def append_once(df: DataFrame, path: str, name: str, value) -> None:
+    """Write ``df`` as partition ``name=value``; running it again replaces that partition only."""
+    (df.withColumn(name, F.lit(value)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path))
 
 
 def log_run(spark: SparkSession, path: str, run_id: str, rows_loaded: int, errors: int,

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus import oracles as O
+from stratus import schemas as S
 from stratus.operators import quality, sinks
 from stratus.plans import marts, panels, scenarios, staging
 from stratus.session import ensure_semantics
 from stratus.sources import bindings, landing
+from stratus.sources.tables import read_readings, read_runs, read_table
 from stratus.streaming import jobs
 
 AS_OF_BASELINE = datetime(2024, 2, 10, 0, 0, 0)
@@ -62,29 +64,31 @@ def inputs(spark: SparkSession, sf_dir: str):
     return raw, staging.stg_readings(raw), staging.stg_cities(bindings.cities(spark, sf_dir))
 
 
-def m3(spark, sf_dir):
-    _, stg, cities = inputs(spark, sf_dir)
-    return marts.daily_summary(stg, cities)
+MART_OF = {"m3": "daily_summary", "m4": "weekly_trends", "m5": "city_comparisons",
+           "m6": "temperature_anomalies", "m7": "extreme_weather"}
 
 
-def m4(spark, sf_dir):
+def mart(spark, sf_dir, name: str) -> DataFrame:
+    """A mart as its model computes it."""
     _, stg, cities = inputs(spark, sf_dir)
-    return marts.weekly_trends(stg, cities)
+    if name == "m6":
+        return marts.temperature_anomalies(stg, cities, AS_OF_BASELINE)
+    return getattr(marts, MART_OF[name])(stg, cities)
 
 
-def m5(spark, sf_dir):
-    _, stg, cities = inputs(spark, sf_dir)
-    return marts.city_comparisons(stg, cities)
+# Folder of the marts built for (application, tables); each mart is built on first use.
+_BUILT: dict[tuple[str, str], dict[str, str]] = {}
 
 
-def m6(spark, sf_dir, as_of: datetime = AS_OF_BASELINE):
-    _, stg, cities = inputs(spark, sf_dir)
-    return marts.temperature_anomalies(stg, cities, as_of)
-
-
-def m7(spark, sf_dir):
-    _, stg, cities = inputs(spark, sf_dir)
-    return marts.extreme_weather(stg, cities)
+def built(spark, sf_dir, name: str) -> DataFrame:
+    """A mart as dashboards and tests read it, from its files."""
+    known = _BUILT.setdefault((spark.sparkContext.applicationId, sf_dir), {})
+    if name not in known:
+        _, stg, cities = inputs(spark, sf_dir)
+        base = scenarios.scratch_dir(spark, "marts")
+        marts.build_all(stg, cities, AS_OF_BASELINE, base, [MART_OF[name]])
+        known[name] = f"{base}/{MART_OF[name]}"
+    return read_table(spark, known[name])
 
 
 # ----------------------------------------------------- staging and marts ---
@@ -121,27 +125,27 @@ def q_m2(spark, sf_dir):
 
 @register("m3_daily_summary", O.sql(O.norm("m3", M3_SPEC), "m3"))
 def q_m3(spark, sf_dir):
-    return m3(spark, sf_dir)
+    return mart(spark, sf_dir, "m3")
 
 
 @register("m4_weekly_trends", O.sql(O.norm("m4", M4_SPEC), "m4"))
 def q_m4(spark, sf_dir):
-    return m4(spark, sf_dir)
+    return mart(spark, sf_dir, "m4")
 
 
 @register("m5_city_comparisons", O.sql(O.norm("m5", M5_SPEC), "m5"))
 def q_m5(spark, sf_dir):
-    return m5(spark, sf_dir)
+    return mart(spark, sf_dir, "m5")
 
 
 @register("m6_temperature_anomalies", O.sql(O.norm("m6", M6_SPEC), "m6"))
 def q_m6(spark, sf_dir):
-    return m6(spark, sf_dir)
+    return mart(spark, sf_dir, "m6")
 
 
 @register("m7_extreme_weather", O.sql(O.norm("m7", M7_SPEC), "m7"))
 def q_m7(spark, sf_dir):
-    return m7(spark, sf_dir)
+    return mart(spark, sf_dir, "m7")
 
 
 # ------------------------------------------------------------- panels ---
@@ -157,14 +161,14 @@ def _runs(spark, sf_dir):
 @register("d01_city_map", O.sql(
     "SELECT city_name, latitude, longitude, avg_temp_c FROM m5", "m5"))
 def q_d01(spark, sf_dir):
-    return panels.city_map(m5(spark, sf_dir))
+    return panels.city_map(built(spark, sf_dir, "m5"))
 
 
 @register("d02_city_ranking", O.sql(
     "SELECT city_name, country, region, avg_temp_c, min_temp_c, max_temp_c, "
     "avg_humidity_pct, avg_windspeed_kmh FROM m5", "m5"))
 def q_d02(spark, sf_dir):
-    return panels.city_ranking(m5(spark, sf_dir))
+    return panels.city_ranking(built(spark, sf_dir, "m5"))
 
 
 @register("d03_total_readings", O.sql("SELECT COUNT(*) AS total_readings FROM readings"))
@@ -208,7 +212,7 @@ def q_d08(spark, sf_dir):
     f"SELECT COUNT(*) AS anomalies_24h FROM m6 WHERE is_anomaly = true "
     f"AND reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
 def q_d09(spark, sf_dir):
-    return panels.anomalies_24h(m6(spark, sf_dir), AS_OF_RECENT)
+    return panels.anomalies_24h(built(spark, sf_dir, "m6"), AS_OF_RECENT)
 
 
 @register("d10_max_abs_z", O.sql(
@@ -216,21 +220,21 @@ def q_d09(spark, sf_dir):
     f"FROM m6 "
     f"WHERE reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
 def q_d10(spark, sf_dir):
-    return panels.max_abs_z(m6(spark, sf_dir), AS_OF_RECENT)
+    return panels.max_abs_z(built(spark, sf_dir, "m6"), AS_OF_RECENT)
 
 
 @register("d11_extremes_24h", O.sql(
     f"SELECT COUNT(*) AS extreme_count FROM m6 WHERE anomaly_severity = 'extreme' "
     f"AND reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
 def q_d11(spark, sf_dir):
-    return panels.extremes_24h(m6(spark, sf_dir), AS_OF_RECENT)
+    return panels.extremes_24h(built(spark, sf_dir, "m6"), AS_OF_RECENT)
 
 
 @register("d12_cities_flagged", O.sql(
     f"SELECT COUNT(DISTINCT city_name) AS cities_flagged FROM m6 WHERE is_anomaly = true "
     f"AND reading_at > {RECENT} - INTERVAL '24 hours'", "m6"))
 def q_d12(spark, sf_dir):
-    return panels.cities_flagged(m6(spark, sf_dir), AS_OF_RECENT)
+    return panels.cities_flagged(built(spark, sf_dir, "m6"), AS_OF_RECENT)
 
 
 @register("d13_top_anomalies", O.sql(
@@ -238,14 +242,14 @@ def q_d12(spark, sf_dir):
     "ROUND(z_score, 3) + 0.0 AS z_score, anomaly_severity FROM m6 WHERE is_anomaly = true "
     "ORDER BY ABS(z_score) DESC NULLS FIRST, city_name, reading_at LIMIT 25", "m6"))
 def q_d13(spark, sf_dir):
-    return panels.top_anomalies(m6(spark, sf_dir), 25)
+    return panels.top_anomalies(built(spark, sf_dir, "m6"), 25)
 
 
 @register("d14_anomalous_cities", O.sql(
     "SELECT city_name, COUNT(*) AS anomaly_count FROM m6 WHERE is_anomaly = true "
     "GROUP BY city_name ORDER BY anomaly_count DESC, city_name LIMIT 15", "m6"))
 def q_d14(spark, sf_dir):
-    return panels.anomalous_cities(m6(spark, sf_dir), 15)
+    return panels.anomalous_cities(built(spark, sf_dir, "m6"), 15)
 
 
 @register("d15_recent_events", O.sql(
@@ -254,7 +258,7 @@ def q_d14(spark, sf_dir):
     "CAST(precipitation_mm AS DOUBLE) AS precipitation_mm, event_type FROM m7 "
     "ORDER BY reading_at DESC NULLS FIRST, city_name, event_type LIMIT 20", "m7"))
 def q_d15(spark, sf_dir):
-    return panels.recent_events(m7(spark, sf_dir), 20)
+    return panels.recent_events(built(spark, sf_dir, "m7"), 20)
 
 
 _CITY_WHERE = f"WHERE city_name = '{PANEL_CITY}'"
@@ -264,44 +268,44 @@ _LATEST = "ORDER BY date DESC NULLS FIRST, country, continent, region"
 @register("d16_city_series", O.sql(
     f"SELECT date AS time, avg_temp_c, min_temp_c, max_temp_c FROM m3 {_CITY_WHERE}", "m3"))
 def q_d16(spark, sf_dir):
-    return panels.city_series(m3(spark, sf_dir), PANEL_CITY)
+    return panels.city_series(built(spark, sf_dir, "m3"), PANEL_CITY)
 
 
 @register("d17_city_rain", O.sql(
     f"SELECT CAST(date AS VARCHAR) AS date, total_precip_mm FROM m3 {_CITY_WHERE} "
     f"{_LATEST} LIMIT 30", "m3"))
 def q_d17(spark, sf_dir):
-    return panels.city_rain(m3(spark, sf_dir), PANEL_CITY, 30)
+    return panels.city_rain(built(spark, sf_dir, "m3"), PANEL_CITY, 30)
 
 
 @register("d18_city_condition", O.sql(
     f"SELECT dominant_condition FROM m3 {_CITY_WHERE} {_LATEST} LIMIT 1", "m3"))
 def q_d18(spark, sf_dir):
-    return panels.city_condition(m3(spark, sf_dir), PANEL_CITY)
+    return panels.city_condition(built(spark, sf_dir, "m3"), PANEL_CITY)
 
 
 @register("d19_city_humidity", O.sql(
     f"SELECT ROUND(avg_humidity_pct, 1) AS humidity FROM m3 {_CITY_WHERE} {_LATEST} LIMIT 1",
     "m3"))
 def q_d19(spark, sf_dir):
-    return panels.city_humidity(m3(spark, sf_dir), PANEL_CITY)
+    return panels.city_humidity(built(spark, sf_dir, "m3"), PANEL_CITY)
 
 
 @register("d20_city_temp", O.sql(
     f"SELECT avg_temp_c FROM m3 {_CITY_WHERE} {_LATEST} LIMIT 1", "m3"))
 def q_d20(spark, sf_dir):
-    return panels.city_temp(m3(spark, sf_dir), PANEL_CITY)
+    return panels.city_temp(built(spark, sf_dir, "m3"), PANEL_CITY)
 
 
 @register("d21_city_wind", O.sql(
     f"SELECT avg_windspeed_kmh FROM m3 {_CITY_WHERE} {_LATEST} LIMIT 1", "m3"))
 def q_d21(spark, sf_dir):
-    return panels.city_wind(m3(spark, sf_dir), PANEL_CITY)
+    return panels.city_wind(built(spark, sf_dir, "m3"), PANEL_CITY)
 
 
 @register("d22_city_names", O.sql("SELECT DISTINCT city_name FROM m3", "m3"))
 def q_d22(spark, sf_dir):
-    return panels.city_names(m3(spark, sf_dir))
+    return panels.city_names(built(spark, sf_dir, "m3"))
 
 
 # ------------------------------------------------------- data quality ---
@@ -311,16 +315,19 @@ _DQ_COUNTS = (
     f"COUNT(*) FILTER (WHERE temperature IS NULL) AS null_count, "
     f"COUNT(*) FILTER (WHERE temperature < -90 OR temperature > 60) AS extreme_count "
     f"FROM readings WHERE timestamp > {RECENT} - INTERVAL '2 hours')")
-_DQ_REPORT = (
-    "SELECT 'coverage' AS check_name, city_count AS observed, city_count >= 45 AS passed, "
-    "CASE WHEN city_count >= 45 THEN NULL ELSE 'LOW COVERAGE: only ' || city_count "
-    "|| '/50 cities in last 2 hours' END AS message FROM dq "
-    "UNION ALL SELECT 'null_temperatures', null_count, null_count = 0, "
-    "CASE WHEN null_count = 0 THEN NULL ELSE 'NULL TEMPERATURES: ' || null_count "
-    "|| ' rows in last 2 hours' END FROM dq "
-    "UNION ALL SELECT 'extreme_values', extreme_count, extreme_count = 0, "
-    "CASE WHEN extreme_count = 0 THEN NULL ELSE 'EXTREME VALUES: ' || extreme_count "
-    "|| ' rows outside −90°C to 60°C' END FROM dq")
+def _issue_sql(text: str, count: str) -> str:
+    """An issue text of the report as a SQL concatenation around its count."""
+    before, after = text.format(window=quality.DQ_WINDOW, expected=quality.EXPECTED_CITIES).split("%d")
+    return f"'{before}' || {count} || '{after}'"
+
+
+_DQ_CHECKS = [("coverage", "city_count", f"city_count >= {quality.MIN_CITIES}", quality.LOW_COVERAGE),
+              ("null_temperatures", "null_count", "null_count = 0", quality.NULL_TEMPERATURES),
+              ("extreme_values", "extreme_count", "extreme_count = 0", quality.EXTREME_VALUES)]
+_DQ_REPORT = " UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, {n} AS observed, {ok} AS passed, "
+    f"CASE WHEN NOT ({ok}) THEN {_issue_sql(text, n)} END AS message FROM dq"
+    for name, n, ok, text in _DQ_CHECKS)
 
 
 @register("q04_dq_report", O.with_models(_DQ_REPORT, _DQ_COUNTS))
@@ -334,6 +341,15 @@ def q_q01(spark, sf_dir):
     return quality.check_coverage(bindings.readings(spark, sf_dir), AS_OF_RECENT)
 
 
+@register("q01_coverage_reached", O.with_models(
+    "SELECT 'coverage' AS check_name, city_count AS observed, city_count >= 20 AS passed, "
+    "CASE WHEN city_count < 20 THEN 'LOW COVERAGE: only ' || city_count "
+    "|| '/50 cities in last 1 day' END AS message FROM dq",
+    _DQ_COUNTS.replace("2 hours", "1 day")))
+def q_q01_reached(spark, sf_dir):
+    return quality.check_coverage(bindings.readings(spark, sf_dir), AS_OF_RECENT, 20, "1 day")
+
+
 @register("q02_null_temperatures", O.with_models(
     f"SELECT * FROM ({_DQ_REPORT}) WHERE check_name = 'null_temperatures'", _DQ_COUNTS))
 def q_q02(spark, sf_dir):
@@ -366,7 +382,6 @@ _TEST_SOURCES = {
     "stg_cities": "stg_cities",
     "daily_summary": "m3",
     "temperature_anomalies": "m6",
-    "temperature_anomalies[z_score IS NOT NULL]": "(SELECT * FROM m6 WHERE z_score IS NOT NULL)",
     "city_comparisons": "m5",
     "weekly_trends": "m4",
     "extreme_weather": "m7",
@@ -377,18 +392,8 @@ _TEST_SOURCES = {
     O.column_tests_sql(quality.COLUMN_TESTS, _TEST_SOURCES), "m3", "m4", "m5", "m6", "m7"))
 def q_q07(spark, sf_dir):
     _, stg, cities = inputs(spark, sf_dir)
-    m = marts.build_all(stg, cities, AS_OF_BASELINE)
-    a6 = m["temperature_anomalies"]
-    frames = {
-        "stg_weather_readings": m["stg"],
-        "stg_cities": cities,
-        "daily_summary": m["daily_summary"],
-        "temperature_anomalies": a6,
-        "temperature_anomalies[z_score IS NOT NULL]": a6.where(F.col("z_score").isNotNull()),
-        "city_comparisons": m["city_comparisons"],
-        "weekly_trends": m["weekly_trends"],
-        "extreme_weather": m["extreme_weather"],
-    }
+    frames = {"stg_weather_readings": stg, "stg_cities": cities,
+              **{model: built(spark, sf_dir, m) for m, model in MART_OF.items()}}
     return quality.union_all([quality.column_tests(name, frames[name], t)
                               for name, t in quality.COLUMN_TESTS.items()])
 
@@ -427,11 +432,7 @@ SELECT 'city_comparisons_coordinates',
 
 @register("q08_mart_invariants", O.sql(_Q8, "m3", "m4", "m5", "m6", "m7"))
 def q_q08(spark, sf_dir):
-    _, stg, cities = inputs(spark, sf_dir)
-    m = marts.build_all(stg, cities, AS_OF_BASELINE)
-    return quality.mart_invariants(
-        m["daily_summary"], m["weekly_trends"], m["city_comparisons"],
-        m["temperature_anomalies"], m["extreme_weather"], AS_OF_BASELINE)
+    return quality.mart_invariants(*(built(spark, sf_dir, m) for m in MART_OF), AS_OF_BASELINE)
 
 
 @register("q09_run_status", O.sql(
@@ -468,6 +469,9 @@ def q_q10(spark, sf_dir):
 
 _REV = "TIMESTAMP '2024-01-16 00:00:00'"
 _RC = "FROM readings r JOIN cities c ON c.id = r.city_id"
+_UNFIT = (f"r.city_id = {scenarios.OVERFLOW_CITY} AND r.weather_code = {scenarios.OVERFLOW_CODE}")
+_CUT = f"r.city_id = {scenarios.CUT_CITY} AND hour(r.timestamp) = {scenarios.CUT_HOUR}"
+_LOST = f"(({_UNFIT}) OR ({_CUT}))"
 
 
 @register("s1_landing_scan", O.sql(f"""
@@ -476,7 +480,7 @@ SELECT lower(replace(c.name, ' ', '_')) AS city,
        strftime(r.timestamp, '%m') AS month,
        strftime(r.timestamp, '%d') AS day,
        '00' AS hour,
-       CAST(row_number() OVER (PARTITION BY r.city_id, CAST(r.timestamp AS DATE)
+       CAST(row_number() OVER (PARTITION BY r.city_id, date_trunc('hour', r.timestamp)
                                ORDER BY r.timestamp) - 1 AS BIGINT) AS pos,
        strftime(r.timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS time,
        CAST(r.temperature + 1 AS DOUBLE) AS temperature_2m,
@@ -487,7 +491,7 @@ SELECT lower(replace(c.name, ' ', '_')) AS city,
        CAST(r.weather_code AS BIGINT) AS weathercode
 {_RC}"""))
 def q_s1(spark, sf_dir):
-    base_a, _ = scenarios.land_two_runs(spark, sf_dir)
+    base_a = scenarios.land_provisional(spark, sf_dir)
     return landing.explode_hourly(landing.read_landing(spark, base_a))
 
 
@@ -495,7 +499,7 @@ def q_s1(spark, sf_dir):
     "SELECT CAST(id AS BIGINT) AS id, name, id IN (SELECT city_id FROM readings) AS landed "
     "FROM cities"))
 def q_j5(spark, sf_dir):
-    base_a, _ = scenarios.land_two_runs(spark, sf_dir)
+    base_a = scenarios.land_provisional(spark, sf_dir)
     return landing.city_landing_status(landing.read_landing(spark, base_a),
                                        bindings.cities(spark, sf_dir))
 
@@ -510,44 +514,60 @@ SELECT CAST(r.city_id AS BIGINT) AS city_id, r.timestamp,
        CAST(r.humidity AS BIGINT) AS humidity,
        CAST(r.weather_code AS BIGINT) AS weather_code,
        CAST(r.timestamp AS DATE) AS reading_date
-{_RC}"""))
+{_RC} WHERE r.timestamp >= {_REV} OR NOT {_LOST}"""))
 def q_k2(spark, sf_dir):
-    table, _ = scenarios.two_loads(spark, sf_dir)
-    return spark.read.parquet(table)
+    table, _, _ = scenarios.two_loads(spark, sf_dir)
+    return read_readings(spark, table)
 
 
-@register("k4_run_log", O.sql(f"""
-SELECT 1 AS id, 'load-1' AS run_id,
-       CAST((SELECT COUNT(*) {_RC}) + (SELECT COUNT(*) FROM cities
-             WHERE id NOT IN (SELECT city_id FROM readings)) AS BIGINT) AS rows_fetched,
-       CAST((SELECT COUNT(*) {_RC}) AS BIGINT) AS rows_loaded,
-       CASE WHEN (SELECT COUNT(*) FROM cities WHERE id NOT IN (SELECT city_id FROM readings)) = 0
-            THEN 'success' ELSE 'partial' END AS status,
+def _load_sql(n: int, where: str, times: int) -> str:
+    """One run-log row: rows of a load over the readings ``where``, its errors counted by city."""
+    return f"""
+SELECT {n} AS id, 'load-{n}' AS run_id, loaded + errors AS rows_fetched, loaded AS rows_loaded,
+       CASE WHEN errors = 0 THEN 'success' ELSE 'partial' END AS status,
        TIMESTAMP '2024-02-01 00:00:00' AS created_at
-UNION ALL
-SELECT 2, 'load-2',
-       CAST(2 * (SELECT COUNT(*) {_RC} WHERE r.timestamp >= {_REV})
-            + (SELECT COUNT(*) FROM cities WHERE id NOT IN
-               (SELECT city_id FROM readings WHERE timestamp >= {_REV})) AS BIGINT),
-       CAST(2 * (SELECT COUNT(*) {_RC} WHERE r.timestamp >= {_REV}) AS BIGINT),
-       CASE WHEN (SELECT COUNT(*) FROM cities WHERE id NOT IN
-                  (SELECT city_id FROM readings WHERE timestamp >= {_REV})) = 0
-            THEN 'success' ELSE 'partial' END,
-       TIMESTAMP '2024-02-01 00:00:00'"""))
+FROM (SELECT CAST((SELECT {times} * COUNT(*) {_RC} WHERE {where})
+                  - (SELECT COUNT(*) {_RC} WHERE {where} AND {_LOST}) AS BIGINT) AS loaded,
+             CAST((SELECT COUNT(*) FROM cities WHERE id NOT IN (SELECT r.city_id FROM readings r WHERE {where}))
+                  + (SELECT COUNT(DISTINCT r.city_id) {_RC} WHERE {where} AND {_LOST}) AS BIGINT) AS errors)"""
+
+
+@register("k4_run_log", O.sql(
+    _load_sql(1, "true", 1) + " UNION ALL " + _load_sql(2, f"r.timestamp >= {_REV}", 2)))
 def q_k4(spark, sf_dir):
-    _, runs = scenarios.two_loads(spark, sf_dir)
-    return spark.read.parquet(runs).select("id", "run_id", "rows_fetched", "rows_loaded",
-                                           "status", "created_at")
+    _, runs, _ = scenarios.two_loads(spark, sf_dir)
+    return read_runs(spark, runs).select("id", "run_id", "rows_fetched", "rows_loaded",
+                                         "status", "created_at")
+
+
+def _rejects_sql(n: int, where: str) -> str:
+    slug = "lower(replace(c.name, ' ', '_'))"
+    return f"""
+SELECT 'load-{n}' AS run_id, {slug} AS city, 'row out of range' AS reason, COUNT(*) AS n
+{_RC} WHERE {where} AND {_UNFIT} GROUP BY c.name
+UNION ALL
+SELECT 'load-{n}', {slug}, 'unreadable document', COUNT(DISTINCT CAST(r.timestamp AS DATE))
+{_RC} WHERE {where} AND {_CUT} GROUP BY c.name"""
+
+
+@register("k4_rejects", O.sql(
+    _rejects_sql(1, "true") + " UNION ALL " + _rejects_sql(2, f"r.timestamp >= {_REV}")))
+def q_k4_rejects(spark, sf_dir):
+    _, _, rejects = scenarios.two_loads(spark, sf_dir)
+    return (spark.read.parquet(rejects).where(F.length("original") > 0)
+                 .groupBy("run_id", "city", "reason").agg(F.count(F.lit(1)).alias("n")))
 
 
 # ------------------------------------------------------------ streaming ---
 
+_NOT_STORED = (f"(r.weather_code = {scenarios.BROKEN_CODE} OR (r.weather_code = {scenarios.UNFIT_CODE} "
+               f"AND r.city_id IN ({scenarios.OVERFLOW_CITY}, {scenarios.NO_ID_CITY})))")
 _FIRST = f"""
 SELECT r.city_id, r.timestamp, r.temperature, r.windspeed, r.weather_code {_RC}
-WHERE r.weather_code <> 42"""
+WHERE NOT {_NOT_STORED}"""
 _REPLAY_NEW = f"""
 SELECT r.city_id, r.timestamp, r.temperature + 1 AS temperature, r.windspeed, r.weather_code
-{_RC} WHERE r.weather_code = 42 AND r.timestamp >= {_REV}"""
+{_RC} WHERE {_NOT_STORED} AND r.timestamp >= {_REV}"""
 
 
 @register("t1_stream_readings_sink", O.sql(f"""
@@ -562,11 +582,17 @@ def q_t1(spark, sf_dir):
 
 @register("t7_stream_quarantine", O.sql(f"""
 SELECT CAST(r.city_id AS VARCHAR) AS key, CAST(r.city_id % 3 AS BIGINT) AS partition,
-       epoch_us(r.timestamp) AS offset
-{_RC} WHERE r.weather_code = 42"""))
+       epoch_us(r.timestamp) AS offset,
+       CASE WHEN r.weather_code = {scenarios.BROKEN_CODE} THEN 'malformed'
+            WHEN r.city_id = {scenarios.NO_ID_CITY} THEN 'no city' ELSE 'overflow' END AS kind
+{_RC} WHERE {_NOT_STORED}"""))
 def q_t7(spark, sf_dir):
     _, quarantine = scenarios.stream_to_table(spark, sf_dir)
-    return spark.read.parquet(quarantine).select("key", "partition", "offset")
+    value = F.col("value")
+    kind = (F.when(value.contains('"city_id":null'), "no city")
+             .when(value.contains(f'"temperature":{scenarios.OVERFLOW_VALUE}.0'), "overflow")
+             .when(~value.endswith("}"), "malformed"))
+    return spark.read.parquet(quarantine).select("key", "partition", "offset", kind.alias("kind"))
 
 
 _BASELINE = f"""
@@ -593,7 +619,7 @@ def q_a15(spark, sf_dir):
 
 @register("a16_robust_stats", O.sql(
     "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, stddev_temp, p25, p75, "
-    "sample_size FROM rolling_stats", "m6"))
+    "sample_size FROM city_stats", "m6"))
 def q_a16(spark, sf_dir):
     _, stg, _ = inputs(spark, sf_dir)
     return marts.robust_stats(stg, AS_OF_BASELINE)
@@ -613,7 +639,7 @@ msgs AS (
 )"""
 
 
-@register("t3_stream_alerts", O.with_models(f"""
+_ALERTS = f"""
 SELECT CAST(m.city_id AS BIGINT) AS city_id, m.city_name, m.country, m.continent, m.timestamp,
        m.temperature, m.windspeed, CAST(m.weather_code AS BIGINT) AS weather_code,
        m.schema_version, 'temperature_anomaly' AS alert_type,
@@ -623,12 +649,31 @@ SELECT CAST(m.city_id AS BIGINT) AS city_id, m.city_name, m.country, m.continent
             ELSE 'significant' END AS severity
 FROM msgs m JOIN base b ON b.city_id = m.city_id
 WHERE m.temperature IS NOT NULL AND b.stddev_temp > 0
-  AND ABS((m.temperature - b.mean_temp) / b.stddev_temp) > 2""", _BASELINE, _MSGS))
+  AND ABS((m.temperature - b.mean_temp) / b.stddev_temp) > 2"""
+
+
+@register("t3_stream_alerts", O.with_models(_ALERTS, _BASELINE, _MSGS))
 def q_t3(spark, sf_dir):
     out = scenarios.stream_alerts(spark, sf_dir, AS_OF_BASELINE)
     return spark.read.parquet(out).drop("batch_id")
 
 
+_ALERT_KEYS = [f.name for f in S.READING_MESSAGE.fields] + S.ALERT_FIELDS
+
+
+@register("k6_alert_messages", O.with_models(
+    f"SELECT CAST(city_id AS VARCHAR) AS key, '{','.join(_ALERT_KEYS)}' AS fields, a.* FROM ({_ALERTS}) a",
+    _BASELINE, _MSGS))
+def q_k6(spark, sf_dir):
+    out = scenarios.stream_alerts(spark, sf_dir, AS_OF_BASELINE)
+    sent = jobs.to_alert_messages(spark.read.parquet(out))
+    schema = T.StructType(S.READING_MESSAGE.fields + [
+        T.StructField(f, T.StringType() if f in ("alert_type", "severity") else T.DoubleType())
+        for f in S.ALERT_FIELDS])
+    return sent.select("key", F.array_join(F.json_object_keys("value"), ",").alias("fields"),
+                       F.from_json("value", schema).alias("m")).select("key", "fields", "m.*")
+
+
 @register("n5_message_roundtrip", O.with_models(f"""
 SELECT CAST(city_id AS VARCHAR) AS key, CAST(city_id AS BIGINT) AS city_id, city_name, country,
        continent, timestamp, temperature, windspeed, CAST(weather_code AS BIGINT) AS weather_code,
@@ -639,7 +684,7 @@ SELECT CAST(city_id AS VARCHAR) AS key, CAST(city_id AS BIGINT) AS city_id, city
 def q_n5(spark, sf_dir):
     msgs = jobs.to_messages(bindings.readings(spark, sf_dir), bindings.cities(spark, sf_dir))
     good, _ = jobs.decode(msgs.drop("timestamp"))
-    return good
+    return good.drop("value")
 
 
 @register("a13_null_rate", O.sql(
@@ -652,5 +697,5 @@ def q_a13(spark, sf_dir):
 @register("k7_mart_build", O.sql(O.norm("m3", M3_SPEC), "m3"))
 def q_k7(spark, sf_dir):
     path = scenarios.scratch_dir(spark, "mart-daily-summary")
-    sinks.build_mart(m3(spark, sf_dir), path)
+    sinks.build_mart(mart(spark, sf_dir, "m3"), path)
     return spark.read.parquet(path)

@@ -1,12 +1,13 @@
 """Batch ETL (the reference's hourly DAG), as Spark jobs.
 
 ``read_landing -> resolve_cities -> explode_hourly -> typed_readings -> upsert
--> log_run -> dq_report``. The driver only plans; executors read JSON, shuffle
+-> quarantine -> log_run -> dq_report``. The driver only plans; executors read JSON, shuffle
 once on the reading key for the upsert and write Parquet.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -15,9 +16,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.operators import quality, sinks
+from stratus import schemas as S
+from stratus.functions import exprs as X
+from stratus.operators import joins, quality, sinks
 from stratus.sources import landing
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class LoadResult:
@@ -25,6 +30,7 @@ class LoadResult:
     rows_loaded: int
     errors: int
     rejected: int
+    report: list
 
 
 def read_runs(spark: SparkSession, sources: list[tuple[str, Column | None]]) -> DataFrame:
@@ -42,47 +48,63 @@ def read_runs(spark: SparkSession, sources: list[tuple[str, Column | None]]) ->
 
 
 def updates_from(docs: DataFrame, cities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Landed documents as reading updates: ``(updates, rejected, missing_cities)``.
+    """Landed documents as reading updates: ``(updates, rejects, missing_cities)``.
 
     ``updates`` carries the landing order ``run_ts`` (the run's interval start)
-    and ``pos``; ``missing_cities`` are cities without any landed document.
+    and ``pos``. ``rejects`` (city, reason, original) holds rows that cannot be
+    stored, unreadable documents and documents of unknown cities, each with
+    its text. ``missing_cities`` are cities without any landed document.
     """
-    present, missing = landing.resolve_cities(docs, cities)
+    broken = docs.where(F.col(S.CORRUPT).isNotNull()).select(
+        "city", F.lit("unreadable document").alias("reason"), F.col(S.CORRUPT).alias("original"))
+    readable = docs.where(F.col(S.CORRUPT).isNull())
+    present, _ = landing.resolve_cities(readable, cities)
+    _, missing = landing.resolve_cities(docs, cities)
+    unknown = joins.missing_keys(
+        readable, cities.select(X.slug("name").alias("slug")), "city", "slug").select(
+        "city", F.lit("unknown city").alias("reason"), F.to_json("hourly").alias("original"))
     rows = landing.explode_hourly(present).withColumn(
         "run_ts", F.to_timestamp(F.format_string("%s-%s-%s %s:00:00", "year", "month", "day",
                                                  "hour")))
-    good, rejected = landing.typed_readings(rows)
+    good, bad = landing.typed_readings(rows)
     updates = good.select("city_id", "timestamp", *[d for _, d, _ in landing.MEASURES],
                           "run_ts", "pos")
-    return updates, rejected, missing
-
-
-def landed_updates(spark: SparkSession, sources: list[tuple[str, Column | None]],
-                   cities: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """:func:`read_runs` then :func:`updates_from`."""
-    return updates_from(read_runs(spark, sources), cities)
+    rejects = broken.unionByName(unknown).unionByName(bad.select("city", F.lit("row out of range").alias("reason"),
+                                            "original"))
+    return updates, rejects, missing
 
 
 def load_runs(spark: SparkSession, sources: list[tuple[str, Column | None]], table: str,
-              runs_log: str, cities: DataFrame, run_id: str,
-              created_at: datetime | None = None) -> LoadResult:
-    """Load landed runs into the readings table (K2) and append the run log (K4).
-
-    ``rows_loaded`` counts the landed rows upserted (observed during the
-    write, no extra pass); ``errors`` counts cities with no landed document.
-    The selected documents — one load's runs, small next to the table — are
-    persisted for the load, so its several actions parse the JSON once; a
-    lost executor's blocks are recomputed from the landed files.
+              runs_log: str, cities: DataFrame, run_id: str, quarantine: str,
+              created_at: datetime | None = None, as_of: datetime | None = None) -> LoadResult:
+    """Load landed runs into the readings table (K2), log the run (K4) and check the table (Q4).
+
+    Each city is loaded on its own terms: what cannot be stored goes to the
+    ``quarantine`` table (partition ``run_id``, replaced when the run is
+    repeated) with its text, everything else is upserted. ``errors`` counts
+    the cities with no landed document, an unreadable one or a rejected row;
+    any error makes the run ``partial``. ``rows_loaded`` is observed on the
+    rows read for the upsert. The selected documents — one load's runs, small
+    next to the table — are persisted for the load, so its actions parse the
+    JSON once; a lost executor's blocks are recomputed from the landed files.
+    ``report`` is the data-quality report as of ``as_of`` (default: now); its
+    issues are logged and never fail the load.
     """
     docs = read_runs(spark, sources).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        updates, rejected, missing = updates_from(docs, cities)
+        updates, rejects, missing = updates_from(docs, cities)
         observed, obs = quality.counted(updates, f"load_{run_id}")
         sinks.upsert(spark, table, observed)
         rows_loaded = int(obs.get["rows"])
-        errors = missing.count()
-        n_rejected = rejected.count()
+        sinks.append_once(rejects, quarantine, "run_id", run_id)
+        failed = rejects.groupBy("city").agg(F.count(F.lit(1)).alias("n")).unionByName(
+            missing.select(X.slug("name").alias("city"), F.lit(0).cast("bigint").alias("n")))
+        errors, rejected = failed.agg(F.count_distinct("city"), F.sum("n")).first()
     finally:
         docs.unpersist()
     sinks.log_run(spark, runs_log, run_id, rows_loaded, errors, created_at)
-    return LoadResult(run_id, rows_loaded, errors, n_rejected)
+    report = quality.dq_report(spark.read.parquet(table), as_of or datetime.now()).collect()
+    for row in report:
+        if not row["passed"]:
+            log.warning("run %s: %s", run_id, row["message"])
+    return LoadResult(run_id, rows_loaded, errors, rejected or 0, report)

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.functions import exprs as X
-from stratus.operators import joins
+from stratus.operators import joins, sinks
 from stratus.operators.ordering import asc_nulls_last, desc_nulls_first
+from stratus.sources.tables import read_table
 
 # Minimum readings per city before its baseline is trusted.
 MIN_BASELINE_SAMPLES = 24
@@ -30,17 +31,30 @@ def daily_summary(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> D
                    "windspeed_kmh", "humidity_pct", "weather_condition"),
         cities,
         [F.col("name").alias("city_name"), "country", "continent", "region"])
-    out = (base
-           .groupBy("city_name", "country", "continent", "region",
-                    F.to_date("reading_at").alias("date"))
-           .agg(X.exact_avg("temperature_c", 2, 5).alias("avg_temp_c"),
-                F.min("temperature_c").alias("min_temp_c"),
-                F.max("temperature_c").alias("max_temp_c"),
-                X.exact_sum("precipitation_mm", 2).alias("total_precip_mm"),
-                X.exact_avg("windspeed_kmh", 2, 5).alias("avg_windspeed_kmh"),
-                X.exact_avg("humidity_pct", 1, 4).alias("avg_humidity_pct"),
-                F.mode("weather_condition", deterministic=True).alias("dominant_condition"),
-                F.count(F.lit(1)).alias("reading_count")))
+    keys = ["city_name", "country", "continent", "region", "date"]
+    # sums by condition first (hash aggregate over the readings), then the few conditions of a day
+    sums = (base.groupBy(*keys[:4], F.to_date("reading_at").alias("date"), "weather_condition")
+                .agg(F.sum(X.units_of("temperature_c", 2)).alias("t"),
+                     F.count("temperature_c").alias("tn"),
+                     F.min("temperature_c").alias("lo"), F.max("temperature_c").alias("hi"),
+                     F.sum(X.units_of("precipitation_mm", 2)).alias("p"),
+                     F.sum(X.units_of("windspeed_kmh", 2)).alias("w"),
+                     F.count("windspeed_kmh").alias("wn"),
+                     F.sum(X.units_of("humidity_pct", 1)).alias("h"),
+                     F.count("humidity_pct").alias("hn"),
+                     F.count(F.lit(1)).alias("n")))
+    most = F.min(F.when(F.col("weather_condition").isNotNull(),
+                        F.struct((-F.col("n")).alias("n"), "weather_condition")))
+    out = (sums.groupBy(*keys)
+           .agg(X.rounded_mean(F.sum("t"), F.sum("tn"), 2, 5).alias("avg_temp_c"),
+                F.min("lo").alias("min_temp_c"),
+                F.max("hi").alias("max_temp_c"),
+                (F.sum("p").cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
+                .alias("total_precip_mm"),
+                X.rounded_mean(F.sum("w"), F.sum("wn"), 2, 5).alias("avg_windspeed_kmh"),
+                X.rounded_mean(F.sum("h"), F.sum("hn"), 1, 4).alias("avg_humidity_pct"),
+                most["weather_condition"].alias("dominant_condition"),
+                F.sum("n").alias("reading_count")))
     if ordered:
         out = out.orderBy(F.col("date").desc_nulls_first(), asc_nulls_last("city_name"))
     return out
@@ -58,16 +72,14 @@ def weekly_trends(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> D
            .select("city_id", "reading_at", "temperature_c"),
         cities,
         [F.col("name").alias("city_name"), "continent", "region"])
+    units, n = F.sum(X.units_of("temperature_c", 2)), F.count("temperature_c")
     daily = (base
              .groupBy("city_id", "city_name", "continent", "region",
                       F.date_trunc("day", "reading_at").alias("day"))
-             .agg(X.exact_avg("temperature_c", 2, 5).alias("daily_avg_temp_c"),
-                  X.exact_mean("temperature_c").alias("__daily_mean")))
+             .agg(X.rounded_mean(units, n, 2, 5).alias("daily_avg_temp_c"),
+                  X.wide_mean(units, n).alias("__daily_mean")))
     out = rolling_mean(daily, "city_id", "day", "__daily_mean", rows=7,
-                       alias="__rolling")
-    out = (out.withColumn("temp_7day_rolling_avg",
-                          F.round("__rolling", 2).cast("decimal(7,2)"))
-              .drop("__rolling", "__daily_mean"))
+                       alias="temp_7day_rolling_avg").drop("__daily_mean")
     if ordered:
         out = out.orderBy(asc_nulls_last("city_name"), F.col("day").desc_nulls_first())
     return out
@@ -75,13 +87,20 @@ def weekly_trends(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> D
 
 def rolling_mean(df: DataFrame, part: str, order: str, value: str, rows: int,
                  alias: str) -> DataFrame:
-    """Mean over the current row and the ``rows - 1`` rows before it in ``order``.
+    """Mean over the current row and the ``rows - 1`` rows before it in ``order``, to 2 places.
 
-    A ROWS frame: gaps in the ordering stretch the span; short histories use
-    what exists, so the result is never NULL where ``value`` is not.
+    ``value`` is a whole number of 10^-16 (:func:`exprs.wide_mean`); the frame's
+    sum is divided and rounded once, half away from zero, so ties come out as
+    in decimal arithmetic. A ROWS frame: gaps in the ordering stretch the span;
+    short histories use what exists, so the result is never NULL where
+    ``value`` is not.
     """
     w = Window.partitionBy(part).orderBy(order).rowsBetween(-(rows - 1), Window.currentRow)
-    return df.withColumn(alias, F.avg(value).over(w))
+    out = (df.withColumn("__sum", F.sum(F.col(value).cast("decimal(28,0)")).over(w))
+             .withColumn("__count", F.count(value).over(w)))
+    return (out.withColumn(alias, X.rounded_mean(F.col("__sum"), F.col("__count"), 2, 7,
+                                                 X.MEAN_DIGITS))
+               .drop("__sum", "__count"))
 
 
 def city_comparisons(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> DataFrame:
@@ -110,50 +129,62 @@ def robust_stats(stg: DataFrame, as_of: datetime,
                  min_samples: int = MIN_BASELINE_SAMPLES) -> DataFrame:
     """Per-city mean, sample stddev, p25, p75 and count over the trailing 30 days.
 
-    Mean and stddev come from exact decimal moments (algebraic, map-side
-    combined); the exact percentiles keep a value->count map per group, bounded
-    by the number of distinct 2-decimal temperatures (at most 15,001).
+    Readings are counted by city and temperature first (a hash aggregate,
+    combined map-side); moments and percentiles come from that table, at most
+    15,001 rows per city (the staged range in steps of 0.01).
     """
-    t = F.col("temperature_c")
-    return (stg.where(X.since("reading_at", as_of, BASELINE_WINDOW, inclusive=True, ntz=True)
-                      & t.isNotNull())
-               .groupBy("city_id")
-               .agg(X.exact_mean(t).alias("mean_temp"),
-                    X.exact_stddev_samp(t).alias("stddev_temp"),
-                    exact_percentile(t, 0.25).alias("p25"),
-                    exact_percentile(t, 0.75).alias("p75"),
-                    F.count(F.lit(1)).alias("sample_size"))
-               .where(F.col("sample_size") >= min_samples))            # A9
-
-
-def exact_percentile(c, p: float, scale: int = 2):
-    """``PERCENTILE_CONT(p)`` of a ``scale``-decimal column, exact.
-
-    Interpolates over integer units (10^-scale): for quartiles the fraction is
-    a multiple of 1/4, so the interpolated value is exact in double, and one
-    division by 10^scale rounds it correctly (interpolating the decimals as
-    doubles leaves last-bit noise such as -26.785000000000004).
+    recent = X.recent(stg, "reading_at", as_of, BASELINE_WINDOW, inclusive=True, ntz=True)
+    # one row per city and distinct temperature: a hot city is spread over its values
+    counts = (recent.where(F.col("temperature_c").isNotNull())
+                    .groupBy("city_id", X.units_of("temperature_c", 2).alias("u"))
+                    .agg(F.count(F.lit(1)).alias("c")))
+    city = Window.partitionBy("city_id")
+    upto = F.sum("c").over(city.orderBy("u").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("upto", upto).withColumn("n", F.sum("c").over(city))
+    u, c = F.col("u"), F.col("c")
+    return (ranked.groupBy("city_id")
+                  .agg(X.mean_of(F.sum(u * c), F.first("n")).alias("mean_temp"),
+                       X.stddev_of(F.sum(u * c), F.sum((u * u * c).cast("decimal(38,0)")),
+                                   F.first("n")).alias("stddev_temp"),
+                       ranked_percentile(0.25).alias("p25"),
+                       ranked_percentile(0.75).alias("p75"),
+                       F.first("n").alias("sample_size"))
+                  .where(F.col("sample_size") >= min_samples))         # A9
+
+
+def ranked_percentile(p: float, scale: int = 2):
+    """``PERCENTILE_CONT(p)`` over counted values: columns u, upto (running count), n.
+
+    Interpolates between the values at the positions around (n - 1) p, in
+    whole units of 10^-scale: for quartiles the fraction is a multiple of 1/4,
+    so the result is exact in double before the one division by 10^scale.
     """
-    units = (F.col(c) if isinstance(c, str) else c) * F.lit(10 ** scale)
-    return F.percentile(units.cast("bigint"), p) / float(10 ** scale)
+    place = (F.col("n") - 1) * F.lit(p)
+    low = F.min(F.when(F.col("upto") > F.floor(place), F.col("u")))
+    high = F.min(F.when(F.col("upto") > F.ceil(place), F.col("u")))
+    part = F.first(place - F.floor(place))
+    return (low + part * (high - low)) / float(10 ** scale)
 
 
 def temperature_anomalies(stg: DataFrame, cities: DataFrame, as_of: datetime,
                           ordered: bool = False) -> DataFrame:
     """M6: every staged reading scored against its city's fixed 30-day baseline.
 
-    J2 as one broadcast: the per-city stats are joined to the size-checked
-    dimension first; the result has at most one row per city, so it is
-    broadcast into the (unshuffled) scan of all readings.
+    J2: the per-city stats are joined to the dimension first; the result has at
+    most one row per city, so it is broadcast into the (unshuffled) scan of
+    all readings exactly when the dimension passes the size check.
     """
     stats = robust_stats(stg, as_of)
-    dim = joins.bounded(cities.select(
+    dim = cities.select(
         F.col("id").alias("__city_key"), F.col("name").alias("city_name"),
-        "country", "continent", "region"))
-    dim = dim.join(stats, F.col("__city_key") == stats.city_id).drop("city_id")
+        "country", "continent", "region")
+    small = joins.fits_broadcast(dim)
+    dim = (F.broadcast(dim) if small else dim).join(
+        stats, F.col("__city_key") == stats.city_id).drop("city_id")
+    dim = F.broadcast(dim) if small else dim          # at most one row per city
     r = stg.where(F.col("temperature_c").isNotNull()).select(
         "city_id", "reading_at", "temperature_c", "weather_condition")
-    j = r.join(F.broadcast(dim), F.col("city_id") == F.col("__city_key"))
+    j = r.join(dim, F.col("city_id") == F.col("__city_key"))
     z = X.z_score("temperature_c", "mean_temp", "stddev_temp")
     out = j.select(
         "city_id", "city_name", "country", "continent", "region", "reading_at",
@@ -189,22 +220,23 @@ def extreme_weather(stg: DataFrame, cities: DataFrame, ordered: bool = False) ->
     return out
 
 
-def build_all(stg: DataFrame, cities: DataFrame, as_of: datetime,
-              materialize: bool = True) -> dict[str, DataFrame]:
-    """All five marts over one staged input.
+def build_all(stg: DataFrame, cities: DataFrame, as_of: datetime, base: str,
+              names: list[str] | None = None) -> dict[str, DataFrame]:
+    """K7: build the marts ``names`` (default: all five) under ``base`` and read them back.
 
-    With ``materialize`` the staged readings are checkpointed once (written to
-    the shared ``spark.checkpoint.dir``, lineage cut) so the marts read that
-    copy instead of each re-scanning and re-validating the raw table; a lost
-    executor re-reads the checkpoint files rather than recomputing staging.
+    Each mart is written once as Parquet; dashboards and tests read those
+    files, with column pruning and pushed filters.
     """
-    if materialize:
-        stg = stg.checkpoint(eager=True)
-    return {
-        "daily_summary": daily_summary(stg, cities),
-        "weekly_trends": weekly_trends(stg, cities),
-        "city_comparisons": city_comparisons(stg, cities),
-        "temperature_anomalies": temperature_anomalies(stg, cities, as_of),
-        "extreme_weather": extreme_weather(stg, cities),
-        "stg": stg,
+    builds = {
+        "daily_summary": lambda: daily_summary(stg, cities),
+        "weekly_trends": lambda: weekly_trends(stg, cities),
+        "city_comparisons": lambda: city_comparisons(stg, cities),
+        "temperature_anomalies": lambda: temperature_anomalies(stg, cities, as_of),
+        "extreme_weather": lambda: extreme_weather(stg, cities),
     }
+    out = {}
+    for name in names or builds:
+        path = f"{base.rstrip('/')}/{name}"
+        sinks.build_mart(builds[name](), path)
+        out[name] = read_table(stg.sparkSession, path)
+    return out

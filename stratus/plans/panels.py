@@ -53,7 +53,7 @@ def run_count(runs: DataFrame) -> DataFrame:
 
 def active_cities(readings: DataFrame, as_of: datetime, window: str = "2 hours") -> DataFrame:
     """Distinct cities with a reading later than ``as_of - 2 hours``."""
-    return (readings.where(X.since("timestamp", as_of, window))
+    return (X.recent(readings, "timestamp", as_of, window)
                     .agg(F.count_distinct("city_id").alias("cities_active")))
 
 
@@ -67,7 +67,7 @@ def recent_runs(runs: DataFrame, k: int = 20) -> DataFrame:
 
 
 def _last_day(m6: DataFrame, as_of: datetime) -> DataFrame:
-    return m6.where(X.since("reading_at", as_of, "24 hours", ntz=True))
+    return X.recent(m6, "reading_at", as_of, "24 hours", ntz=True)
 
 
 def anomalies_24h(m6: DataFrame, as_of: datetime) -> DataFrame:

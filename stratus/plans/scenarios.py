@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from stratus import schemas as S
 from stratus.functions import exprs as X
 from stratus.plans import etl
 from stratus.session import scratch_dir  # noqa: F401 — re-exported for catalog
@@ -29,60 +30,93 @@ def _revision_pred(col: str = "timestamp"):
     return F.col(col) >= X.ts_literal(REVISION_FROM)
 
 
-def land_two_runs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Land every reading provisionally, then its revision.
+# Faults planted in the provisional run: city 7's readings with this code carry a temperature that
+# fits no column, city 11's documents of one hour are cut short.
+OVERFLOW_CITY, OVERFLOW_CODE, OVERFLOW_VALUE = 7, 42, 12345
+CUT_CITY, CUT_HOUR, CUT_CHARS = 11, 3, 7
 
-    Each run lands one whole day per city (the reference asks for
-    ``forecast_days=1``): the provisional run starts at the day's 00:00, the
-    revising run one hour later. Returns the landing roots
-    ``(provisional, revised)``.
-    """
+
+def land_provisional(spark: SparkSession, sf_dir: str, faults: bool = False) -> str:
+    """Land every reading provisionally, one run per day and city, starting at the day's 00:00."""
     raw = bindings.readings(spark, sf_dir)
+    if faults:
+        wild = (F.col("city_id") == OVERFLOW_CITY) & (F.col("weather_code") == OVERFLOW_CODE)
+        raw = raw.withColumn("temperature", F.when(wild, F.lit(OVERFLOW_VALUE).cast("decimal(7,2)"))
+                             .otherwise(F.col("temperature")))
     cities = bindings.cities(spark, sf_dir)
+    base = scratch_dir(spark, "landing-provisional")
+    docs = landing.landing_docs(raw, cities, F.date_trunc("day", "timestamp"), PROVISIONAL_SHIFT)
+    if not faults:
+        landing.write_landing(docs, base)
+        return base
+    city = cities.where(F.col("id") == CUT_CITY).select(X.slug("name").alias("city"))
+    hour = F.hour(X.parse_hour(F.get("hourly.time", F.lit(0))))
+    landing.write_landing(docs.join(city, "city", "left_anti").unionByName(
+        docs.join(city, "city", "left_semi").where(hour != CUT_HOUR)), base)
+    text = F.to_json(F.struct("hourly"))
+    (docs.join(city, "city", "left_semi").where(hour == CUT_HOUR)
+         .select(F.substring(text, F.lit(1), F.length(text) - CUT_CHARS).alias("value"), *S.LANDING_PARTITIONS)
+         .write.mode("append").partitionBy(*S.LANDING_PARTITIONS).text(base))
+    return base
+
+
+def land_revised(spark: SparkSession, sf_dir: str) -> str:
+    """Land the readings from the revision day on again, by runs one hour later."""
+    raw = bindings.readings(spark, sf_dir).where(_revision_pred())
+    base = scratch_dir(spark, "landing-revised")
     day = F.date_trunc("day", "timestamp")
-    base_a = scratch_dir(spark, "landing-provisional")
-    base_b = scratch_dir(spark, "landing-revised")
-    landing.write_landing(landing.landing_docs(raw, cities, day, PROVISIONAL_SHIFT), base_a)
-    landing.write_landing(
-        landing.landing_docs(raw.where(_revision_pred()), cities,
-                             day + F.expr("INTERVAL 1 HOUR")), base_b)
-    return base_a, base_b
+    landing.write_landing(landing.landing_docs(raw, bindings.cities(spark, sf_dir),
+                                               day + F.expr("INTERVAL 1 HOUR")), base)
+    return base
 
 
-def two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Load 1: all provisional runs. Load 2: provisional runs from the revision day
-    (re-delivered) together with all revised runs; the later run wins per key.
+def two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Load 1: all provisional runs, faults among them. Load 2: provisional runs from the revision
+    day (re-delivered) together with all revised runs; the later run wins per key.
 
-    Returns ``(readings_table, run_log)`` paths.
+    Returns ``(readings_table, run_log, quarantine)`` paths.
     """
-    base_a, base_b = land_two_runs(spark, sf_dir)
+    base_a = land_provisional(spark, sf_dir, faults=True)
+    base_b = land_revised(spark, sf_dir)
     cities = bindings.cities(spark, sf_dir)
-    table = scratch_dir(spark, "readings")
-    runs = scratch_dir(spark, "pipeline-runs")
-    etl.load_runs(spark, [(base_a, None)], table, runs, cities, "load-1",
-                       created_at=LOAD_TIME)
+    table, runs, rejects = (scratch_dir(spark, n) for n in ("readings", "pipeline-runs", "rejects"))
     run_day = F.concat_ws("-", "year", "month", "day")
-    etl.load_runs(spark, [(base_a, run_day >= REVISION_FROM.strftime("%Y-%m-%d")),
-                               (base_b, None)],
-                       table, runs, cities, "load-2", created_at=LOAD_TIME)
-    return table, runs
+    for run_id, sources in (
+            ("load-1", [(base_a, None)]),
+            ("load-2", [(base_a, run_day >= REVISION_FROM.strftime("%Y-%m-%d")), (base_b, None)])):
+        etl.load_runs(spark, sources, table, runs, cities, run_id, rejects,
+                      created_at=LOAD_TIME, as_of=LOAD_TIME)
+    return table, runs, rejects
+
 
+# Faults planted in the first delivery: readings with code 42 arrive cut short; of those with code
+# 45, city 7's carry a temperature that fits no column and city 8's have no city id.
+BROKEN_CODE, UNFIT_CODE, NO_ID_CITY = 42, 45, 8
 
-def message_files(spark: SparkSession, sf_dir: str) -> str:
+
+def message_files(spark: SparkSession, sf_dir: str, unfit: bool = False) -> str:
     """Write the reading stream as two deliveries of JSON message files.
 
-    Delivery 1: one message per reading; readings with the unmapped weather
-    code 42 arrive truncated (malformed JSON). Delivery 2 (an at-least-once
+    Delivery 1: one message per reading, malformed for the broken code and
+    (with ``unfit``) not storable for two cities. Delivery 2 (an at-least-once
     redelivery) re-sends every reading from the revision day on, intact but
     with the provisional temperature. Offsets order delivery 2 after 1.
     """
     raw = bindings.readings(spark, sf_dir)
     cities = bindings.cities(spark, sf_dir)
     path = scratch_dir(spark, "messages")
-    first = jobs.to_messages(raw, cities)
-    bad = F.col("value").contains('"weather_code":42,')
-    first = first.withColumn("value", F.when(bad, F.expr("substr(value, 1, length(value) - 5)"))
-                             .otherwise(F.col("value")))
+    value = F.col("value")
+
+    def code(n):
+        return value.contains(f'"weather_code":{n},')
+
+    sent = F.when(code(BROKEN_CODE), F.substring(value, F.lit(1), F.length(value) - 5))
+    if unfit:
+        sent = (sent.when(code(UNFIT_CODE) & (F.col("key") == str(OVERFLOW_CITY)), F.regexp_replace(
+                    value, '"temperature":[^,]*', f'"temperature":{OVERFLOW_VALUE}.0'))
+                    .when(code(UNFIT_CODE) & (F.col("key") == str(NO_ID_CITY)), F.regexp_replace(
+                        value, '"city_id":[^,]*', '"city_id":null')))
+    first = jobs.to_messages(raw, cities).withColumn("value", sent.otherwise(value))
     micros = F.unix_micros(F.col("timestamp"))
     (first.select("key", "value", (F.col("key").cast("int") % 3).alias("partition"),
                   micros.alias("offset"))
@@ -98,7 +132,7 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
 
 def stream_to_table(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Run the readings sink job over the message files; return ``(table, quarantine)``."""
-    src_path = message_files(spark, sf_dir)
+    src_path = message_files(spark, sf_dir, unfit=True)
     table = scratch_dir(spark, "streaming-readings")
     quarantine = scratch_dir(spark, "quarantine")
     q = jobs.run_readings_sink(jobs.file_source(spark, src_path, files_per_trigger=4), table,

@@ -25,6 +25,7 @@ def cleaned_readings(readings: DataFrame) -> DataFrame:
         "weather_code",
         X.weather_label("weather_code").alias("weather_condition"),
         X.is_suspicious("temperature", "humidity").alias("is_suspicious"),
+        *[c for c in ("reading_date",) if c in readings.columns],
     )
 
 

@@ -60,8 +60,9 @@ HOURLY = T.StructType([
     T.StructField("weathercode", T.ArrayType(T.IntegerType())),
 ])
 LANDING_PARTITIONS = ["city", "year", "month", "day", "hour"]
+CORRUPT = "_corrupt"
 LANDING = T.StructType(
-    [T.StructField("hourly", HOURLY)]
+    [T.StructField("hourly", HOURLY), T.StructField(CORRUPT, T.StringType())]
     + [T.StructField(p, T.StringType()) for p in LANDING_PARTITIONS])
 
 # Stream message for one reading.

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.operators.joins import join_dimension, session_key
+from stratus.operators.joins import join_dimension
 
 # Fixed binding values (also used verbatim by the oracle SQL).
 WEATHER_CODE_CYCLE = [0, 1, 2, 3, 45, 48, 51, 53, 55, 61, 63, 65, 71, 73, 75, 77, 80, 81,
@@ -39,9 +39,9 @@ def _case(col: str, pairs) -> str:
 READING_EXPRS = {
     "city_id": f"CAST(user_id % {CITY_MODULUS} AS INT)",
     "temperature": "CASE WHEN event_id % 50 = 7 THEN NULL "
-                   "ELSE CAST(least(value, 999) - 40 AS DECIMAL(5,2)) END",
+                   "ELSE CAST(value - 40 AS DECIMAL(5,2)) END",
     "feels_like": "CASE WHEN event_id % 50 = 7 THEN NULL "
-                  "ELSE CAST(least(value, 999) - 40 - (event_id % 5) AS DECIMAL(5,2)) END",
+                  "ELSE CAST(value - 40 - (event_id % 5) AS DECIMAL(5,2)) END",
     "precipitation": "CAST(CAST(event_id * 7 % 31 AS INT) * 0.5 - 0.5 AS DECIMAL(6,2))",
     "windspeed": "CAST(CAST(event_id % 97 AS INT) * 0.9 - 0.9 AS DECIMAL(5,2))",
 }
@@ -86,7 +86,7 @@ _RELATIONS: dict[tuple[str, str], DataFrame] = {}
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (session_key(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _RELATIONS:
         _RELATIONS[key] = spark.read.parquet(path)
     return _RELATIONS[key]
@@ -108,7 +108,7 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``cities`` dimension from ``nation`` x ``region`` (region is 5 rows)."""
     n = _table(spark, sf_dir, "nation")
     r = _table(spark, sf_dir, "region")
-    j = join_dimension(n, r, n.n_regionkey == r.r_regionkey, max_rows=10_000)
+    j = join_dimension(n, r, n.n_regionkey == r.r_regionkey)
     return j.selectExpr(*(f"{v} AS {k}" for k, v in CITY_EXPRS.items()))
 
 

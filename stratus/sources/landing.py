@@ -35,30 +35,18 @@ def partition_values(run_ts) -> list:
             F.date_format(ts, "dd").alias("day"), F.date_format(ts, "HH").alias("hour")]
 
 
-# Largest number of readings one landed document may hold.
-MAX_DOC_ELEMENTS = 10_000
-
-
 def landing_docs(readings: DataFrame, cities: DataFrame, run_ts,
-                 measure_shift=None, max_elements: int = MAX_DOC_ELEMENTS) -> DataFrame:
-    """Build landed documents from readings: one per city per run.
-
-    ``run_ts`` is a column giving each reading's run (its interval start).
-    Arrays are ordered by reading time. A document is one ``collect_list``
-    group, so its size is capped: one scalar aggregate finds the largest
-    (city, run) group, and if it exceeds ``max_elements`` every group is split
-    into ``k`` hash chunks of its timestamps (several documents per run, each
-    a JSON line of the run's object) — a hot city never gathers unboundedly
-    many readings in one task. The optional ``measure_shift`` adds a constant
-    to temperatures (used to stage revisions).
+                 measure_shift=None) -> DataFrame:
+    """Build landed documents from readings: one per city, run and hour of reading.
+
+    ``run_ts`` is a column giving each reading's run (its interval start). A
+    document gathers one hour of one city, a naturally small group that does
+    not grow with the history; a run's object holds its documents as JSON
+    lines. Arrays are ordered by reading time. The optional ``measure_shift``
+    adds a constant to temperatures (used to stage revisions).
     """
     r = joins.with_city(readings.withColumn("__run_ts", run_ts), cities,
                         [F.col("name").alias("__city_name")])
-    largest = (r.groupBy("__city_name", "__run_ts").count()
-                .agg(F.max("count")).first()[0]) or 0
-    k = max(1, -(-largest // max_elements))
-    r = r.withColumn("__chunk", F.pmod(F.xxhash64("timestamp"), F.lit(k)) if k > 1
-                     else F.lit(0))
     temp = F.col("temperature")
     if measure_shift is not None:
         temp = temp + F.lit(measure_shift)
@@ -71,7 +59,7 @@ def landing_docs(readings: DataFrame, cities: DataFrame, run_ts,
         F.col("windspeed").cast("double").alias("windspeed_10m"),
         F.col("humidity").cast("int").alias("relative_humidity_2m"),
         F.col("weather_code").cast("int").alias("weathercode"))
-    grouped = (r.groupBy("__city_name", "__run_ts", "__chunk")
+    grouped = (r.groupBy("__city_name", "__run_ts", F.date_trunc("hour", "timestamp").alias("__hour"))
                 .agg(F.sort_array(F.collect_list(element)).alias("__els")))
     hourly = F.struct(*[F.col("__els")[f].alias(f) for f in
                         ["time", "temperature_2m", "apparent_temperature", "precipitation",
@@ -80,18 +68,22 @@ def landing_docs(readings: DataFrame, cities: DataFrame, run_ts,
                           *partition_values("__run_ts"))
 
 
+# A run's documents are written by up to this many tasks.
+FILES_PER_RUN = 4
+
+
 def write_landing(docs: DataFrame, base: str, num_tasks: int | None = None) -> None:
     """K1: write documents under ``city=/year=/month=/day=/hour=``.
 
     Dynamic partition overwrite: re-landing a run replaces exactly its own
-    objects and leaves every other run untouched. Documents are hash-
-    distributed by their partition values into ``num_tasks`` (default: the
-    cluster's parallelism) tasks, so every object is written by one task (one
-    file per run directory) and the many small objects are opened in parallel
-    rather than by the few tasks a size-based coalesce would leave.
+    objects and leaves every other run untouched. Documents are dealt by their
+    partition values and a hash of their first time into ``num_tasks``
+    (default: the cluster's parallelism) tasks, so a large run is written by
+    several tasks and the many small objects are opened in parallel.
     """
     n = num_tasks or docs.sparkSession.sparkContext.defaultParallelism
-    (docs.repartition(n, *S.LANDING_PARTITIONS)
+    part = F.pmod(F.xxhash64(F.get("hourly.time", F.lit(0))), F.lit(FILES_PER_RUN))
+    (docs.repartition(n, *S.LANDING_PARTITIONS, part)
          .write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*S.LANDING_PARTITIONS)
@@ -103,8 +95,10 @@ def read_landing(spark: SparkSession, base: str) -> DataFrame:
 
     Partition columns are declared as strings in the schema, so ``month=04``
     stays ``"04"``; filters on them prune directories before any file is read.
+    A document that is not valid JSON has its text in ``_corrupt``.
     """
-    return spark.read.schema(S.LANDING).json(base)
+    return (spark.read.schema(S.LANDING).option("mode", "PERMISSIVE")
+                 .option("columnNameOfCorruptRecord", S.CORRUPT).json(base))
 
 
 def explode_hourly(docs: DataFrame) -> DataFrame:
@@ -117,7 +111,7 @@ def explode_hourly(docs: DataFrame) -> DataFrame:
     """
     exploded = docs.select("*", F.posexplode("hourly.time").alias("__pos", "__time"))
     return exploded.select(
-        *[c for c in docs.columns if c != "hourly"],
+        *[c for c in docs.columns if c not in ("hourly", S.CORRUPT)],
         F.col("__pos").alias("pos"),
         F.col("__time").alias("time"),
         *[F.get(F.col(f"hourly.{src}"), F.col("__pos")).alias(src) for src, _, _ in MEASURES])
@@ -128,18 +122,20 @@ def typed_readings(exploded: DataFrame, city_id_col: str = "city_id") -> tuple[D
 
     Returns ``(good, rejected)``. A row is rejected when its time cannot be
     parsed or a present measure overflows its column type — one bad value
-    cannot fail the load.
+    cannot fail the load. A rejected row keeps its raw values as JSON in
+    ``original``.
     """
     srcs = {src for src, _, _ in MEASURES}
     other = [c for c in exploded.columns if c not in srcs]
     typed = exploded.select(
         *other,
+        F.to_json(F.struct(*[c for c in ["time", *sorted(srcs)] if c in exploded.columns]),
+                  {"ignoreNullFields": "false"}).alias("original"),
         *[F.col(src).alias(f"__raw_{src}") for src, _, _ in MEASURES],
         X.parse_hour("time").cast("timestamp").alias("timestamp"),
         *[F.col(src).try_cast(t).alias(dst) for src, dst, t in MEASURES])
-    bad = F.col("timestamp").isNull()
-    for src, dst, _ in MEASURES:
-        bad = bad | (F.col(f"__raw_{src}").isNotNull() & F.col(dst).isNull())
+    bad = F.col("timestamp").isNull() | X.overflowed(
+        [(F.col(f"__raw_{src}"), F.col(dst)) for src, dst, _ in MEASURES])
     out_cols = [city_id_col, "timestamp"] + [dst for _, dst, _ in MEASURES]
     good = typed.where(~bad).select(*out_cols, *[c for c in other if c not in out_cols])
     return good, typed.where(bad)
@@ -160,8 +156,9 @@ def resolve_cities(landed: DataFrame, cities: DataFrame) -> tuple[DataFrame, Dat
 
 
 def city_landing_status(docs: DataFrame, cities: DataFrame) -> DataFrame:
-    """J5 report: every city with ``landed`` = whether any document exists for it."""
-    slugs = docs.select(F.col("city").alias("__slug")).distinct().withColumn("__hit", F.lit(True))
+    """J5 report: every city with ``landed`` = whether any readable document exists for it."""
+    readable = F.col(S.CORRUPT).isNull() | F.col("hourly").isNotNull()
+    slugs = docs.where(readable).select(F.col("city").alias("__slug")).distinct().withColumn("__hit", F.lit(True))
     dim = cities.select("id", "name", X.slug("name").alias("__slug"))
     return (dim.join(slugs, "__slug", "left")
                .select("id", "name", F.coalesce("__hit", F.lit(False)).alias("landed")))

@@ -11,6 +11,7 @@ shape) in tests.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from datetime import datetime
 
@@ -22,13 +23,14 @@ from stratus import schemas as S
 from stratus.functions import exprs as X
 from stratus.operators import joins, sinks
 
+log = logging.getLogger(__name__)
+
 # Fixed values of the reference's stream.
 READINGS_TOPIC = "weather.readings.raw"
 ALERTS_TOPIC = "weather.alerts"
 SCHEMA_VERSION = "1.0"
 ALERT_TYPE = "temperature_anomaly"
-BATCH_SIZE = 100                 # messages per micro-batch (T2)
-POLL_INTERVAL = "300 seconds"    # cadence (T5)
+POLL_INTERVAL = "300 seconds"    # cadence of the producer and of baseline refreshes (T5)
 BASELINE_WINDOW = "30 days"
 MIN_BASELINE_SAMPLES = 24
 
@@ -38,23 +40,26 @@ SOURCE_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
 ])
-MESSAGE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 # ------------------------------------------------------------- sources ---
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str = READINGS_TOPIC,
-                 max_offsets: int = BATCH_SIZE, **options) -> DataFrame:
+                 max_offsets: int | None = None, **options) -> DataFrame:
     """Subscribe to the readings topic; ``earliest`` on first start.
 
+    A micro-batch takes all that has arrived unless ``max_offsets`` bounds it
+    (T2), so the sink never falls behind by its own setting.
+
     Offsets live in the query checkpoint (committed after each micro-batch),
     which replaces the consumer group's manual commits.
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", topic)
-         .option("startingOffsets", "earliest")
-         .option("maxOffsetsPerTrigger", max_offsets))
+         .option("startingOffsets", "earliest"))
+    if max_offsets:
+        r = r.option("maxOffsetsPerTrigger", max_offsets)
     for k, v in options.items():
         r = r.option(k, v)
     return r.load().select(F.col("key").cast("string"), F.col("value").cast("string"),
@@ -79,7 +84,7 @@ def to_messages(readings: DataFrame, cities: DataFrame) -> DataFrame:
                                            "continent"])
     body = F.struct(
         "city_id", "city_name", "country", "continent",
-        F.concat(F.date_format("timestamp", MESSAGE_TIME_FORMAT), F.lit("Z")).alias("timestamp"),
+        X.iso_utc("timestamp").alias("timestamp"),
         F.col("temperature").cast("double").alias("temperature"),
         F.col("windspeed").cast("double").alias("windspeed"),
         F.col("weather_code").cast("int").alias("weather_code"),
@@ -120,21 +125,24 @@ def decode(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
         "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     bad_cond = F.col("m").isNull() | F.col("m._corrupt").isNotNull()
     good = parsed.where(~bad_cond).select(
-        *[c for c in messages.columns if c != "value"],
-        *[F.col(f"m.{f.name}").alias(f.name) for f in S.READING_MESSAGE.fields])
+        *messages.columns, *[F.col(f"m.{f.name}").alias(f.name) for f in S.READING_MESSAGE.fields])
     return good, parsed.where(bad_cond).select(*messages.columns)
 
 
 def to_table_rows(good: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Project to ``streaming_readings``; rows violating NOT NULL keys are rejected."""
-    rows = good.select(
-        "city_id", "timestamp",
-        F.col("temperature").try_cast("decimal(5,2)").alias("temperature"),
-        F.col("windspeed").try_cast("decimal(5,2)").alias("windspeed"),
-        F.col("weather_code").try_cast("smallint").alias("weather_code"),
+    """Project to ``streaming_readings``; split off rows that cannot be stored.
+
+    A row is rejected when a key column is NULL or a present measure does not
+    fit its column (the batch load's rule); it keeps the columns of ``good``,
+    the message text among them.
+    """
+    typed = {"temperature": "decimal(5,2)", "windspeed": "decimal(5,2)", "weather_code": "smallint"}
+    bad = (F.col("city_id").isNull() | F.col("timestamp").isNull()
+           | X.overflowed([(F.col(c), F.col(c).try_cast(t)) for c, t in typed.items()]))
+    rows = good.where(~bad).select(
+        "city_id", "timestamp", *[F.col(c).try_cast(t).alias(c) for c, t in typed.items()],
         *[c for c in ("partition", "offset") if c in good.columns])
-    null_key = F.col("city_id").isNull() | F.col("timestamp").isNull()
-    return rows.where(~null_key), rows.where(null_key)
+    return rows, good.where(bad)
 
 
 # ------------------------------------------------------------ baselines ---
@@ -151,8 +159,8 @@ def raw_baseline(readings: DataFrame, as_of: datetime, cities: DataFrame | None
     known cities, which bounds it by the (size-checked) dimension.
     """
     t = F.col("temperature")
-    out = (readings.where(X.since("timestamp", as_of, BASELINE_WINDOW, inclusive=True)
-                          & t.isNotNull())
+    out = (X.recent(readings, "timestamp", as_of, BASELINE_WINDOW, inclusive=True)
+           .where(t.isNotNull())
            .groupBy("city_id")
            .agg(X.exact_mean(t).alias("mean_temp"),
                 X.exact_avg(t, 2, 7).cast("double").alias("mean_temp_2dp"),
@@ -170,10 +178,10 @@ def score_alerts(readings: DataFrame, baselines: DataFrame) -> DataFrame:
     """Alerts for readings more than 2 sigma from their city's baseline.
 
     No alert when the city has no baseline (inner join), the temperature is
-    NULL, or the baseline stddev is 0. ``baselines`` holds at most one row per
-    known city, so it is broadcast.
+    NULL, or the baseline stddev is 0. ``baselines`` is broadcast if it passes
+    the size check.
     """
-    j = readings.join(F.broadcast(baselines), "city_id")
+    j = joins.join_dimension(readings, baselines, "city_id")
     z = X.z_score("temperature", "mean_temp", "stddev_temp")
     ok = F.col("temperature").isNotNull() & (F.col("stddev_temp") > 0)
     scored = j.where(ok).withColumn("__z", z).where(F.abs("__z") > X.SIGNIFICANT_Z)
@@ -189,27 +197,30 @@ def score_alerts(readings: DataFrame, baselines: DataFrame) -> DataFrame:
 def to_alert_messages(alerts: DataFrame) -> DataFrame:
     """K6: alert messages keyed like readings, for the alerts topic."""
     fields = [f.name for f in S.READING_MESSAGE.fields] + S.ALERT_FIELDS
-    body = F.struct(*[F.col(f) for f in fields if f != "timestamp"],
-                    F.concat(F.date_format("timestamp", MESSAGE_TIME_FORMAT), F.lit("Z"))
-                     .alias("timestamp"))
+    body = F.struct(*[X.iso_utc(f).alias(f) if f == "timestamp" else F.col(f) for f in fields])
     return alerts.select(F.col("city_id").cast("string").alias("key"),
                          F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
 
 
 # ----------------------------------------------------------------- jobs ---
 
-def trigger_opts(available_now: bool = False) -> dict:
-    """T5: fixed 5-minute cadence on a cluster; ``availableNow`` drains and stops (tests)."""
-    return {"availableNow": True} if available_now else {"processingTime": POLL_INTERVAL}
+def _start(writer, available_now: bool, cadence: str | None = None):
+    """Start a query: at ``cadence`` (or as data arrives), or drain what is there and stop (tests)."""
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif cadence:
+        writer = writer.trigger(processingTime=cadence)
+    return writer.start()
 
 
 def run_readings_sink(source: DataFrame, table: str, checkpoint: str, quarantine: str,
                       available_now: bool = False):
     """Messages -> ``streaming_readings`` with first-write-wins per key.
 
-    Each micro-batch: decode (bad JSON and NULL keys go to ``quarantine``),
-    keep the earliest offset per key, drop keys already stored, append. The
-    sink is idempotent, so replaying a batch after a failure adds nothing; no
+    Each micro-batch: decode, keep the earliest offset per key, drop keys
+    already stored, append. What cannot be decoded or stored goes to
+    ``quarantine`` with its text, as partition ``batch_id``. Both writes are
+    idempotent, so replaying a batch after a failure adds nothing; no
     watermark, so late messages are accepted whatever their age.
     """
     spark = source.sparkSession
@@ -219,44 +230,44 @@ def run_readings_sink(source: DataFrame, table: str, checkpoint: str, quarantine
         batch = batch.persist()
         try:
             good, bad = decode(batch)
-            rows, null_keys = to_table_rows(good)
-            rejected = (bad.select("key", "value", "partition", "offset")
-                        .unionByName(null_keys.select(
-                            F.col("city_id").cast("string").alias("key"),
-                            F.lit(None).cast("string").alias("value"), "partition", "offset")))
-            (rejected.withColumn("batch_id", F.lit(batch_id))
-             .write.mode("append").parquet(quarantine))
+            rows, unfit = to_table_rows(good)
+            message = ["key", "value", "partition", "offset"]
+            sinks.append_once(bad.select(*message).unionByName(unfit.select(*message)),
+                              quarantine, "batch_id", batch_id)
             sinks.insert_absent(spark, table, rows, order=["partition", "offset"])
         finally:
             batch.unpersist()
 
-    return (source.writeStream.foreachBatch(per_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger_opts(available_now))
-            .start())
+    return _start(source.writeStream.foreachBatch(per_batch)
+                  .option("checkpointLocation", checkpoint), available_now)
 
 
 def run_alerts(source: DataFrame, baseline_fn: Callable[[], DataFrame], sink: Callable,
-               checkpoint: str, available_now: bool = False):
-    """Score every decoded reading against baselines refreshed once per micro-batch.
-
-    ``baseline_fn`` is evaluated per batch (a failure yields no baselines, and
-    readings still flow to the other query). ``sink(alerts_df, batch_id)``
-    writes the alerts — e.g. ``to_alert_messages`` to Kafka, or Parquet.
-    At-least-once, like the reference's alert producer.
+               checkpoint: str, available_now: bool = False, cadence: str | None = POLL_INTERVAL):
+    """Score every decoded reading against baselines refreshed once per micro-batch.
+
+    ``baseline_fn`` is evaluated and its (bounded) result computed before
+    anything is scored. If that fails, while planning or while running, the
+    cause is logged as a warning and the batch passes without alerts — it is
+    not retried, as readings must not wait for baselines. ``sink(alerts_df,
+    batch_id)`` writes the alerts — e.g. ``to_alert_messages`` to Kafka
+    (at-least-once, like the reference's alert producer), or Parquet.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         good, _ = decode(batch)
         try:
-            baselines = baseline_fn()
-        except Exception:  # noqa: BLE001 — reference: load failure -> no baselines
+            baselines = baseline_fn().persist()
+            baselines.count()
+        except Exception:  # noqa: BLE001
+            log.warning("batch %s passes without alerts: no baselines", batch_id, exc_info=True)
             return
-        sink(score_alerts(good.drop("key", "partition", "offset"), baselines), batch_id)
+        try:
+            sink(score_alerts(good.drop("key", "value", "partition", "offset"), baselines), batch_id)
+        finally:
+            baselines.unpersist()
 
-    return (source.writeStream.foreachBatch(per_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger_opts(available_now))
-            .start())
+    return _start(source.writeStream.foreachBatch(per_batch)
+                  .option("checkpointLocation", checkpoint), available_now, cadence)
 
 
 def kafka_sink(bootstrap: str, topic: str = ALERTS_TOPIC) -> Callable:
@@ -268,6 +279,7 @@ def kafka_sink(bootstrap: str, topic: str = ALERTS_TOPIC) -> Callable:
 
 
 def parquet_sink(path: str) -> Callable:
+    """Alerts as Parquet partition ``batch_id``; a replayed batch replaces its own."""
     def write(alerts: DataFrame, batch_id: int) -> None:
-        alerts.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+        sinks.append_once(alerts, path, "batch_id", batch_id)
     return write

@@ -50,21 +50,22 @@ def test_typed_readings_and_city_resolution(spark):
     assert [r.name for r in missing.collect()] == ["Oslo"]
 
 
-def test_landing_docs_are_capped(spark):
+def test_a_document_holds_one_hour_at_any_size(spark):
     from datetime import datetime, timedelta
     from decimal import Decimal
     from pyspark.sql import functions as F
     from stratus import schemas as S
     t0 = datetime(2024, 1, 1)
-    rows = [(1, t0 + timedelta(minutes=i), Decimal("1.00"), None, None, None, None, None)
-            for i in range(50)]
+    rows = [(1, t0 + timedelta(seconds=40 * i), Decimal("1.00"), None, None, None, None, None)
+            for i in range(270)]
     readings = spark.createDataFrame(rows, S.READINGS)
     cities = spark.createDataFrame([(1, "Oslo")], "id int, name string")
-    docs = landing.landing_docs(readings, cities, F.date_trunc("day", "timestamp"),
-                                max_elements=20)
-    sizes = [r[0] for r in docs.select(F.size("hourly.time")).collect()]
-    assert sum(sizes) == 50 and max(sizes) < 50 and len(sizes) >= 3
-    assert landing.explode_hourly(docs).count() == 50
+    docs = landing.landing_docs(readings, cities, F.date_trunc("day", "timestamp"))
+    assert [r[0] for r in docs.select(F.size("hourly.time")).collect()] == [90, 90, 90]
+    base = scratch_dir(spark, "t-hours")
+    landing.write_landing(docs, base)
+    found = landing.explode_hourly(landing.read_landing(spark, base)).collect()
+    assert len(found) == 270 and max(r.pos for r in found) == 89
 
 
 def test_relanding_a_run_replaces_only_that_run(spark):

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import types as T
 
 from conftest import D
@@ -112,8 +113,74 @@ def test_staging_drops_null_keys_and_suspicious(spark):
     assert out[1].weather_condition == "Unknown" and out[1].temperature_c is None
 
 
-def test_exact_percentile_interpolates_without_float_noise(spark):
-    vals = [D(v) for v in ["-26.79", "-26.78", "-26.78", "-26.79", "-26.77", "14.22", "14.23"]]
-    df = spark.createDataFrame([(v,) for v in vals], "x decimal(5,2)")
-    p25, p75 = df.agg(marts.exact_percentile("x", 0.25), marts.exact_percentile("x", 0.75)).first()
-    assert p25 == -26.785 and p75 == -6.275     # positions 1.5 and 4.5 of 7 sorted values
+def test_percentiles_interpolate_without_float_noise(spark):
+    vals = ["-26.79", "-26.78", "-26.78", "-26.79", "-26.77", "14.22", "14.23"]
+    stg = spark.createDataFrame([(1, datetime(2024, 1, 1), D(v)) for v in vals] + [(2, datetime(2024, 1, 1), D("1.00"))],
+                                "city_id int, reading_at timestamp_ntz, temperature_c decimal(5,2)")
+    got = {r.city_id: r for r in marts.robust_stats(stg, datetime(2024, 1, 2), min_samples=1).collect()}
+    assert (got[1].p25, got[1].p75) == (-26.785, -6.275)     # positions 1.5 and 4.5 of 7 sorted values
+    assert (got[2].p25, got[2].p75, got[2].mean_temp, got[2].stddev_temp) == (1.0, 1.0, 1.0, None)
+    # by hand: sum -105.46 of 7; squares about the mean
+    mean = -105.46 / 7
+    var = sum((float(v) - mean) ** 2 for v in vals) / 6
+    assert abs(got[1].mean_temp - mean) < 1e-12 and abs(got[1].stddev_temp - var ** 0.5) < 1e-9
+
+
+@pytest.mark.parametrize("values,expected", [
+    (["0.01", "0.06"], "0.04"),                  # 0.035 rounds away from zero
+    (["-0.01", "-0.06"], "-0.04"), (["1.00", "1.01"], "1.01"), (["2.00", "2.00", "2.01"], "2.00")])
+def test_rolling_mean_is_decimal(spark, values, expected):
+    rows = [(1, datetime(2024, 1, 1 + i), D(v)) for i, v in enumerate(values)]
+    stg = spark.createDataFrame(rows, "city_id int, reading_at timestamp_ntz, temperature_c decimal(5,2)")
+    last = marts.weekly_trends(stg, cities(spark)).orderBy("day").collect()[-1]
+    assert str(last.temp_7day_rolling_avg) == expected
+
+
+def test_rolling_mean_averages_unrounded_days(spark):
+    # day 1: 0.01, 0.02, 0.02 -> 0.01666..; day 2: 0.02 -> mean 0.018333.. -> 0.02
+    rows = [(1, datetime(2024, 1, 1, h), D(v)) for h, v in enumerate(["0.01", "0.02", "0.02"])]
+    rows += [(1, datetime(2024, 1, 2), D("0.02")), (1, datetime(2024, 1, 20), D("0.00"))]
+    stg = spark.createDataFrame(rows, "city_id int, reading_at timestamp_ntz, temperature_c decimal(5,2)")
+    got = [str(r.temp_7day_rolling_avg) for r in marts.weekly_trends(stg, cities(spark)).orderBy("day").collect()]
+    assert got == ["0.02", "0.02", "0.01"]       # the third: 0.03666.. / 3, seven rows not seven days
+
+
+def test_dominant_condition_ties_take_the_first_label(spark):
+    ts = datetime(2024, 1, 5)
+    rows = [(1, ts + timedelta(hours=h), 1.0, 0, 0, 50, code) for h, code in enumerate([61, 61, 0, 0, 95])]
+    out = marts.daily_summary(staging.stg_readings(readings(spark, rows)), cities(spark)).first()
+    assert (out.dominant_condition, out.reading_count) == ("Clear sky", 5)
+
+
+def _ordered(spark):
+    ts = datetime(2024, 1, 5)
+    rows = [(c, ts + timedelta(days=d, hours=h), t, 0, 70, 50, 0)
+            for c in (1, 2) for d in range(3) for h, t in enumerate([1.0 + c, None if c == 2 else 5.0])]
+    return staging.stg_readings(readings(spark, rows)), spark.createDataFrame(
+        [(1, "B", "X", "Europe", "EMEA", D("1"), D("1")), (2, "A", "X", "Europe", "EMEA", D("2"), D("2"))],
+        "id int, name string, country string, continent string, region string, latitude decimal(8,5), "
+        "longitude decimal(8,5)")
+
+
+def test_mart_orders(spark):
+    stg, dim = _ordered(spark)
+    daily = [(r.date.day, r.city_name) for r in marts.daily_summary(stg, dim, ordered=True).collect()]
+    assert daily == [(7, "A"), (7, "B"), (6, "A"), (6, "B"), (5, "A"), (5, "B")]
+    weekly = [(r.city_name, r.day.day) for r in marts.weekly_trends(stg, dim, ordered=True).collect()]
+    assert weekly == [("A", 7), ("A", 6), ("A", 5), ("B", 7), ("B", 6), ("B", 5)]
+    assert [r.city_name for r in marts.city_comparisons(stg, dim, ordered=True).collect()] == ["B", "A"]
+    z = [r.z_score for r in marts.temperature_anomalies(stg.union(stg).union(stg).union(stg).union(stg).union(stg)
+                                                        .union(stg).union(stg).union(stg), dim,
+                                                        datetime(2024, 1, 8), ordered=True).collect()]
+    known = [abs(x) for x in z if x is not None]
+    assert known and known == sorted(known, reverse=True) and all(x is None for x in z[len(known):])
+    events = [r.reading_at for r in marts.extreme_weather(stg, dim, ordered=True).collect()]
+    assert events == sorted(events, reverse=True) and len(events) == 12
+
+
+def test_null_orders(spark):
+    from stratus.operators import ordering
+    df = spark.createDataFrame([(2,), (None,), (1,), (3,)], "x int")
+    first = [r.x for r in df.orderBy(ordering.desc_nulls_first("x")).collect()]
+    last = [r.x for r in df.orderBy(ordering.asc_nulls_last("x")).collect()]
+    assert first == [None, 3, 2, 1] and last == [1, 2, 3, None]

@@ -60,21 +60,6 @@ def test_column_tests_and_key_checks(spark):
                    "runs_bad_status": 1, "runs_duplicate_id": 1}
 
 
-def test_named_aggregates(spark):
-    from stratus.operators import aggregates as A
-    rows = [(1, AS_OF - timedelta(minutes=5), -3.0), (2, AS_OF - timedelta(hours=3), 2.5),
-            (1, AS_OF + timedelta(hours=1), None)]
-    r = readings(spark, rows)
-    assert A.row_count(r).first()[0] == 3
-    assert sorted(tuple(x) for x in A.row_count(r, ["city_id"]).collect()) == [(1, 2), (2, 1)]
-    assert A.distinct_count(r, "city_id").first()[0] == 2
-    s = A.recent_summary(r, AS_OF, "1 hour").first()
-    assert s.recent_count == 2
-    assert A.max_abs(r, "temperature", 2).first()[0] == D("3.00")
-    assert sorted(x[0] for x in A.distinct_values(r, "city_id").collect()) == [1, 2]
-    assert A.min_samples(A.row_count(r, ["city_id"]), "n", 2).count() == 1
-
-
 def test_single_checks_match_report(spark):
     recent = AS_OF - timedelta(minutes=30)
     r = readings(spark, [(1, recent, None), (2, recent, 95.0), (3, recent, 20.0)])
@@ -82,3 +67,12 @@ def test_single_checks_match_report(spark):
     x = quality.check_range(r, AS_OF).first()
     assert (n.observed, n.passed) == (1, False) and n.message.startswith("NULL TEMPERATURES: 1")
     assert (x.observed, x.passed) == (1, False) and x.message.startswith("EXTREME VALUES: 1")
+
+
+def test_coverage_passes_and_names_its_window(spark):
+    r = readings(spark, [(c, AS_OF - timedelta(minutes=30), 20.0) for c in range(45)])
+    row = quality.check_coverage(r, AS_OF).first()
+    assert (row.observed, row.passed, row.message) == (45, True, None)
+    low = quality.check_coverage(r, AS_OF, 46, "3 hours").first()
+    assert low.message == "LOW COVERAGE: only 45/50 cities in last 3 hours"
+    assert [x.passed for x in quality.dq_report(r, AS_OF).collect()] == [True, True, True]

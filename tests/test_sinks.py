@@ -57,3 +57,41 @@ def test_run_log_status(spark):
     rows = sorted(tuple(r) for r in spark.read.parquet(path)
                   .select("id", "run_id", "rows_fetched", "rows_loaded", "status").collect())
     assert rows == [(1, "a", 10, 10, "success"), (2, "b", 12, 10, "partial")]
+
+
+def test_upsert_removes_its_stage_and_sizes_files_by_date(spark):
+    import os
+    from stratus.session import ensure_checkpoint_dir
+    path = scratch_dir(spark, "t-files")
+    rows = [(c, datetime(2024, 1, 1 + d, h), 1.0, TS, 0) for c in range(20) for d in range(5) for h in range(24)]
+    sinks.upsert(spark, path, updates(spark, rows).repartition(8))
+    folder = path.removeprefix("file:")
+    files = [f for d in os.listdir(folder) if d.startswith("reading_date=")
+             for f in os.listdir(os.path.join(folder, d)) if f.endswith(".parquet")]
+    assert len(files) <= 8
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    assert not [n for n in os.listdir(f"{base}/stratus") if n.startswith("updates-")]
+    before = table(spark, path)
+    sinks.compact(spark, path, [datetime(2024, 1, 2).date(), datetime(2030, 1, 1).date()])
+    assert table(spark, path) == before
+
+
+def test_views_and_declared_tables(spark, tmp_path):
+    from stratus import schemas as S
+    from stratus.sources import tables
+    sinks.stage_view(spark.range(3), "staged_view")
+    assert spark.table("staged_view").count() == 3
+    with open(tmp_path / "cities.csv", "w") as f:
+        f.write("id,name,country,country_code,continent,latitude,longitude,timezone,population\n"
+                "2,São Paulo,Brazil,BR,South America,-23.55,-46.63,America/Sao_Paulo,12300000\n"
+                "1,Oslo,Norway,NO,Europe,59.91,10.75,Europe/Oslo,\n")
+    found = tables.read_cities(spark, f"file:{tmp_path}/cities.csv", "csv")
+    assert found.schema["latitude"].dataType == S.CITIES["latitude"].dataType
+    assert [(r.id, r.population) for r in tables.cities_in_order(found).collect()] == [(1, None), (2, 12300000)]
+    assert tables.read_cities(spark, f"file:{tmp_path}/cities.csv", "csv", ["id"]).columns == ["id"]
+    runs = scratch_dir(spark, "t-runs-read")
+    sinks.log_run(spark, runs, "a", 1, 0)
+    assert tables.read_runs(spark, runs).count() == 1
+    path = scratch_dir(spark, "t-readings-read")
+    sinks.upsert(spark, path, updates(spark, [(1, TS, 1.0, TS, 0)]))
+    assert tables.read_readings(spark, path).first().reading_date == TS.date()

@@ -36,19 +36,24 @@ def test_sink_dedupes_quarantines_and_replays(spark):
     write_batch(src, "b1.json", [("1", msg(1, t1, 10.0), 1), ("1", msg(1, t1, 99.0), 2),
                                  ("2", '{"city_id": 2, "tempera', 3),
                                  ("3", msg(None, t1, 1.0), 4),
-                                 ("4", msg(4, "2020-01-01T00:00:00.000000Z", None), 5)])
+                                 ("4", msg(4, "2020-01-01T00:00:00.000000Z", None), 5),
+                                 ("6", msg(6, t1, 12345.0), 8), ("7", msg(7, t1, 1.0, 99999), 9)])
     write_batch(src, "b2.json", [("1", msg(1, t1, 55.0), 6), ("5", msg(5, t1, 5.0), 7)])
     table, quarantine = run_sink(spark, src)
     rows = sorted((r.city_id, r.temperature) for r in spark.read.parquet(table).collect())
     # first write wins, late (2020) reading accepted, NULL temperature kept
     assert [(c, None if t is None else float(t)) for c, t in rows] == [
         (1, 10.0), (4, None), (5, 5.0)]
-    assert spark.read.parquet(quarantine).count() == 2    # malformed JSON + NULL key
+    # malformed JSON, NULL key, two overflows: each with its text
+    kept = {r.key: r.value for r in spark.read.parquet(quarantine).collect()}
+    assert kept == {"2": '{"city_id": 2, "tempera', "3": msg(None, t1, 1.0), "6": msg(6, t1, 12345.0),
+                    "7": msg(7, t1, 1.0, 99999)}
     # replaying the same files with a fresh checkpoint into the same table adds nothing
     q = jobs.run_readings_sink(jobs.file_source(spark, src), table,
                                scratch_dir(spark, "t-ckpt2"), quarantine, available_now=True)
     q.awaitTermination()
     assert spark.read.parquet(table).count() == 3
+    assert spark.read.parquet(quarantine).count() == 4
 
 
 def test_alerts_guards(spark):
@@ -101,3 +106,52 @@ def test_current_weather_defaults(spark):
     got = [tuple(r) for r in jobs.current_weather(df)
            .select("temperature", "windspeed", "weather_code").collect()]
     assert got == [(21.5, 3.0, None), (None, None, None)]
+
+
+def test_a_baseline_that_fails_while_running_is_logged_and_the_query_goes_on(spark, caplog):
+    from pyspark.sql import functions as F
+    src = scratch_dir(spark, "t-fail-src", create=True)
+    t1 = "2024-01-05T01:00:00.000000Z"
+    write_batch(src, "b1.json", [("1", msg(1, t1, 30.0), 1)])
+    good = spark.createDataFrame([(1, 10.0, 10.0, 5.0)], "city_id int, mean_temp double, "
+                                 "mean_temp_2dp double, stddev_temp double")
+    calls = []
+
+    def baselines():
+        calls.append(1)
+        return good.where(F.raise_error(F.lit("no table")).isNull()) if len(calls) == 1 else good
+
+    out = scratch_dir(spark, "t-fail-alerts")
+    with caplog.at_level("WARNING"):
+        q = jobs.run_alerts(jobs.file_source(spark, src), baselines, jobs.parquet_sink(out),
+                            scratch_dir(spark, "t-fail-ckpt"), available_now=True)
+        q.awaitTermination()
+    assert len(calls) == 1 and "passes without alerts" in caplog.text
+    write_batch(src, "b2.json", [("1", msg(1, t1, 40.0), 2)])
+    q = jobs.run_alerts(jobs.file_source(spark, src), baselines, jobs.parquet_sink(out),
+                        scratch_dir(spark, "t-fail-ckpt2"), available_now=True)
+    q.awaitTermination()
+    assert sorted(r.z_score for r in spark.read.parquet(out).collect()) == [4.0, 6.0]
+
+
+def test_replayed_alert_batch_replaces_its_own(spark):
+    out = scratch_dir(spark, "t-replay-alerts")
+    alerts = spark.createDataFrame([(1, 2.5)], "city_id int, z_score double")
+    for _ in range(2):
+        jobs.parquet_sink(out)(alerts, 7)
+    jobs.parquet_sink(out)(alerts, 8)
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_alert_messages_keep_the_field_order(spark):
+    from stratus import schemas as S
+    row = (3, "Oslo", "NO", "Europe", datetime(2024, 1, 5, 1), 40.5, 1.0, 3, "1.0",
+           "temperature_anomaly", 2.5, 10.0, 4.0, "significant")
+    fields = [f.name for f in S.READING_MESSAGE.fields] + S.ALERT_FIELDS
+    types = [f.dataType.simpleString() for f in S.READING_MESSAGE.fields] + [
+        "string", "double", "double", "double", "string"]
+    alerts = spark.createDataFrame([row], ", ".join(f"{n} {t}" for n, t in zip(fields, types)))
+    m = jobs.to_alert_messages(alerts).first()
+    body = json.loads(m.value)
+    assert m.key == "3" and list(body) == fields and body["timestamp"] == "2024-01-05T01:00:00.000000Z"
+    assert (body["z_score"], body["severity"]) == (2.5, "significant")
