@@ -4,7 +4,7 @@ An entity's surrogate is a keyed function of its canonical form (lower-cased
 address, bare digits, a name with its gender), so one entity has one surrogate
 wherever and however it is written. Digits become digits and letters letters of
 the same case; addresses move to reserved domains and networks, card numbers
-keep their check digit's validity, names follow the title's gender and the
+(with a valid check digit only) stay valid, names follow the title's gender and the
 name's script, and separators, country codes and key names stay as written.
 
 The distinct entities of the corpus are checked against each other: of entities
@@ -50,25 +50,27 @@ _TITLES = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, re
 _NAME = rf"\p{{Lu}}[\p{{L}}'’-]*+(?:\h\p{{Lu}}[\p{{L}}'’-]*+){{0,2}}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _KEYS = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)"
-_ASSIGN = rf"(?i:(?<![A-Za-z]){_KEYS})[\"']?\h{{0,3}}[:=]\h{{0,3}}[\"']?"
+_ASSIGN = rf"(?i:{_KEYS})[\"']?\h{{0,3}}[:=]\h{{0,3}}[\"']?"
 _SECRET = r"[A-Za-z0-9+/_~.-]{6,}+=*+"
 
-# Alternatives in order of preference at one position. Every repeat is anchored at a token start.
+# Alternatives in order of preference at one position. All but addresses start where no ASCII
+# letter or digit stands before (checked once for all), so a token is scanned once.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "secret": (rf"{_ASSIGN}{_SECRET}|(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{{16}}(?![0-9A-Za-z])"
-               r"|(?<![A-Za-z0-9])(?:ghp_|gho_|sk-|pk-|xox[abp]-)[A-Za-z0-9_-]{16,}+"),
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\h?[A-Z0-9]{4}){3,7}(?:\h?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": rf"(?<![0-9])(?<![0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9])(?!\.[0-9])",
-    "card": r"(?<![0-9A-Za-z])[3-6](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
-    "phone": (r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
-              r"[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{8,15}(?![0-9])"),
+    "email": r"(?<![._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "secret": (rf"{_ASSIGN}{_SECRET}|(?:AKIA|ASIA)[0-9A-Z]{{16}}(?![0-9A-Za-z])"
+               r"|(?:ghp_|gho_|sk-|pk-|xox[abp]-)[A-Za-z0-9_-]{16,}+"),
+    "iban": r"[A-Z]{2}[0-9]{2}(?:\h?[A-Z0-9]{4}){3,7}(?:\h?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ip": rf"(?<![0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9])(?!\.[0-9])",
+    "card": r"[3-6](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
+    "phone": (r"(?<!\+)(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
+              r"[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])|(?<!\+)\+[0-9]{8,15}(?![0-9])"),
     "name": rf"(?<!\p{{L}})(?:{_TITLES})\.?\h{_NAME}",
 }
-PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+PATTERN = (r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values())
+           + rf")|(?=[0-9])(?<![0-9])(?:{PATTERNS['ip']})")
 # Every match has one of these: a cheap scan that spares most texts the full patterns.
-_SIGN = rf"[0-9@:=_]|[sp]k-|xox[abp]-|(?:{_TITLES})\.?\h\p{{Lu}}"
+_SIGN = rf"[0-9@:=_-]|(?=[A-Z])(?:{_TITLES})\.?\h\p{{Lu}}"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -76,20 +78,18 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def has_entities(text: Column) -> Column:
-    return text.rlike(_SIGN) & text.rlike(PATTERN)
-
-
 def entities(text: Column) -> Column:
     """The entities of a text, in order of place."""
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    none = F.array().cast("array<string>")
+    return F.when(text.rlike(_SIGN), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none)
 
 
 def kind(entity: Column) -> Column:
-    """Name of the pattern that an entity matched."""
+    """Name of the pattern that an entity matched; "" for a number whose check digit rules out a card."""
     out = F.lit("name")
     for name, p in reversed([x for x in PATTERNS.items() if x[0] != "name"]):
-        out = F.when(entity.rlike(f"^(?:{p})$"), name).otherwise(out)
+        what = F.lit(name) if name != "card" else F.when(_luhn(_digits(entity)) == 0, name).otherwise("")
+        out = F.when(entity.rlike(f"^(?:{p})$"), what).otherwise(out)
     return out
 
 
@@ -140,9 +140,9 @@ def _alike(s: Column, stream: Column, hexadecimal: Column | None = None) -> Colu
         at = _byte(stream, i)
         small = _letters(lower, at) if hexadecimal is None else F.when(
             hexadecimal, _letters(lower[:6], at)).otherwise(_letters(lower, at))
-        return (F.when(ch.rlike("^[0-9]$"), (at % 10).cast("string"))
-                 .when(ch.rlike("^[a-z]$"), small)
-                 .when(ch.rlike("^[A-Z]$"), F.upper(small)).otherwise(ch))
+        return (F.when(ch.between("0", "9"), (at % 10).cast("string"))
+                 .when(ch.between("a", "z"), small)
+                 .when(ch.between("A", "Z"), F.upper(small)).otherwise(ch))
 
     return F.array_join(F.transform(F.split(s, ""), one), "")
 
@@ -217,7 +217,7 @@ def _laid_out(entity: Column, what: Column, new: Column) -> Column:
     """A canonical surrogate written the way ``entity`` is."""
     def digit(ch: Column, i: Column) -> Column:
         left = F.length(_digits(F.substr(entity, i + 1, F.length(entity))))
-        return F.when(ch.rlike("^[0-9]$") & (left <= F.length(new)),
+        return F.when(ch.between("0", "9") & (left <= F.length(new)),
                       F.substr(new, F.length(new) - left + 1, F.lit(1))).otherwise(ch)
     digits = F.array_join(F.transform(F.split(entity, ""), digit), "")
     return (F.when(what.isin("card", "ssn", "phone"), digits)
@@ -226,11 +226,12 @@ def _laid_out(entity: Column, what: Column, new: Column) -> Column:
              .otherwise(F.concat(_prefix(entity, what), new)))
 
 
-def distinct_entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, canon) of every entity of the corpus, once."""
-    found = docs.where(has_entities(F.col(text))).select(F.explode(entities(F.col(text))).alias("e"))
-    return (found.select("e", kind(F.col("e")).alias("kind"))
-                 .select("kind", canonical(F.col("e"), F.col("kind")).alias("canon")).distinct())
+def occurrences(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(content, kind, canon): the entities of each distinct content (the text's hash)."""
+    found = docs.select(F.xxhash64(text).alias("content"), F.explode(entities(F.col(text))).alias("e"))
+    return (found.select("content", "e", kind(F.col("e")).alias("kind"))
+                 .where("kind <> ''").select("content", "kind", canonical(F.col("e"), F.col("kind")).alias("canon"))
+                .distinct())
 
 
 def settle(entities_: DataFrame, key: str = KEY, rounds: int = ROUNDS) -> DataFrame:
@@ -254,49 +255,49 @@ def settle(entities_: DataFrame, key: str = KEY, rounds: int = ROUNDS) -> DataFr
     raise ValueError(f"surrogates still clash after {rounds} rounds: too small a set of values for them")
 
 
-def _replaced(text: Column, counters: Column | None, key: str) -> Column:
-    """``text`` with its entities replaced; ``counters`` maps kind and canon to a counter above 0."""
+def _replaced(text: Column, found: Column, counters: Column | None, key: str) -> Column:
+    """``text`` with the entities ``found`` replaced; ``counters`` maps kind and canon to a counter above 0."""
     def new(e: Column) -> Column:
         def with_kind(what: Column) -> Column:
             def with_canon(canon: Column) -> Column:
                 n = F.lit(0)
                 if counters is not None:
                     n = F.coalesce(F.try_element_at(counters, F.concat_ws("\x1f", what, canon)), F.lit(0))
-                return _laid_out(e, what, surrogate(what, canon, n, key))
-            return _let(canonical(e, what), with_canon)
+                return _let(surrogate(what, canon, n, key), lambda s: _laid_out(e, what, s))
+            return F.when(what == "", e).otherwise(_let(canonical(e, what), with_canon))
         return _let(kind(e), with_kind)
     between = F.split(text, PATTERN, -1)
-    pairs = F.zip_with(F.transform(entities(text), new), F.slice(between, F.lit(2), F.size(between)),
+    pairs = F.zip_with(F.transform(found, new), F.slice(between, F.lit(2), F.size(found)),
                        lambda e, after: F.concat(e, after))
     return F.concat(between[0], F.array_join(pairs, ""))
 
 
-def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` rewritten (and n_chars, where there is one, counted again)."""
-    moved = settle(distinct_entities(docs, text), key).where("counter > 0")
-    has = has_entities(F.col(text))
-    if moved.isEmpty():
-        out = docs.withColumn(text, F.when(has, _replaced(F.col(text), None, key)).otherwise(F.col(text)))
-    else:
-        content = F.xxhash64(text)
-        met = (docs.where(has).select(content.alias("__text"), F.explode(entities(F.col(text))).alias("e"))
-                   .select("__text", "e", kind(F.col("e")).alias("kind"))
-                   .select("__text", "kind", canonical(F.col("e"), F.col("kind")).alias("canon")).distinct()
-                   .join(moved, ["kind", "canon"])
-                   .groupBy("__text").agg(F.map_from_entries(F.collect_set(F.struct(
-                       F.concat_ws("\x1f", "kind", "canon"), F.col("counter")))).alias("__moved")))
-        out = (docs.withColumn("__text", content).join(written(met, "moved"), "__text", "left")
-                   .withColumn(text, F.when(has, _replaced(F.col(text), F.coalesce(
-                       "__moved", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))), key))
-                       .otherwise(F.col(text)))
-                   .drop("__text", "__moved"))
+def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text", kinds: str | None = None) -> DataFrame:
+    """``docs`` with ``text`` rewritten (and n_chars, where there is one, counted again).
+
+    The column ``kinds``, if named, gets the kinds of the entities replaced.
+    """
+    met = written(occurrences(docs, text), "occurrences")
+    moved = settle(met.select("kind", "canon").distinct(), key).where("counter > 0")
+    rows, counters = docs.withColumn("__found", entities(F.col(text))), None
+    if not moved.isEmpty():
+        by_text = (met.join(moved, ["kind", "canon"]).groupBy(F.col("content").alias("__content"))
+                      .agg(F.map_from_entries(F.collect_list(F.struct(
+                          F.concat_ws("\x1f", "kind", "canon"), F.col("counter")))).alias("__moved")))
+        rows = rows.withColumn("__content", F.xxhash64(text)).join(written(by_text, "moved"), "__content", "left")
+        counters = F.coalesce("__moved", F.create_map().cast("map<string,int>"))
+    found = F.col("__found")
+    out = rows.withColumn(text, F.when(F.size(found) > 0, _replaced(F.col(text), found, counters, key))
+                          .otherwise(F.col(text)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    names = docs.columns
+    if kinds:
+        out, names = out.withColumn(kinds, F.filter(F.transform(found, kind), lambda k: k != "")), [*names, kinds]
+    return out.select(*names)
 
 
 def surrogate_texts(docs: DataFrame, key: str = KEY) -> DataFrame:
     """doc_id, text (with surrogates), n_entities and their kinds for every row."""
-    base = docs.select("doc_id", "text", F.transform(F.when(has_entities(F.col("text")), entities(
-        F.col("text"))).otherwise(F.array().cast("array<string>")), kind).alias("kinds"))
-    return pseudonymised(base, key).select("doc_id", "text", F.size("kinds").alias("n_entities"), "kinds")
+    out = pseudonymised(docs.select("doc_id", "text"), key, kinds="kinds")
+    return out.select("doc_id", "text", F.size("kinds").alias("n_entities"), "kinds")
