@@ -74,8 +74,10 @@ def test_payloads_below_the_bound_are_not_revisited(spark):
 
 def test_pointer_jumping(spark):
     links = [("f", 10 * i, 10 * (i + 1)) for i in range(100)] + [("f", 5, 10), ("g", 0, None), ("g", 7, 0), ("h", 3, 0)]
-    got = W.reachable(spark.createDataFrame(links, "file string, offset long, next long"))
-    assert sorted((r.file, r.offset) for r in got.collect()) == [("f", 10 * i) for i in range(100)] + [("g", 0)]
+    links = spark.createDataFrame(links, "file string, offset long, next long")
+    for block_bytes in (7, 64, 1 << 20):
+        got = W.reachable(links, block_bytes).collect()
+        assert sorted((r.file, r.offset) for r in got) == [("f", 10 * i) for i in range(100)] + [("g", 0)]
 
 
 def test_empty_table_and_foreign_file(spark, tmp_path):
