@@ -7,7 +7,7 @@ record a row, so any shared store will do.
 Reading: Spark splits the files at ``\r\n\r\nWARC/1.1\r\n``. Every piece is a
 candidate record, as is every such string inside a payload. From the running
 length of the pieces follows a candidate's offset, from its Content-Length the
-offset of its successor. Pointer jumping from offset 0 of every file (each
+offset of its successor. Pointer jumping from offset 0 of every file (block by block, each
 round doubles the steps) marks the records that a reader would reach; all
 other candidates belong to the payload of the record before them.
 
@@ -22,6 +22,7 @@ has none; an empty table gives no records; extra columns are ignored.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ MAGIC = "WARC/1.1\r\n"
 CRLF = "\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
+# Bytes of a file whose chains one task follows.
+BLOCK_BYTES = 4 * 1024 * 1024
 
 
 def base32_sha1(data: Column) -> Column:
@@ -81,58 +84,110 @@ def _header(name: str) -> Column:
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, row, body): what lies between the magic strings, in reading order."""
+    """(file, block, row, shift, body): what lies between the magic strings, in reading order.
+
+    A magic string may begin with the last line end of another one. The reader
+    finds the first of the two; the second begins the next piece, which then
+    comes twice: whole, and (``shift`` > 0) from behind that magic.
+    """
     read = spark.read.option("lineSep", CRLF + CRLF + MAGIC).text(path)
     starts = F.col("value").startswith(MAGIC) & (F.col("_metadata.file_block_start") == 0)
-    return read.select(
+    rows = read.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"), starts.alias("starts"),
-        F.when(starts, F.substring(F.col("value").cast("binary"), len(MAGIC) + 1, 2**31 - 1))
+        F.when(starts, _from(F.col("value").cast("binary"), len(MAGIC)))
          .otherwise(F.col("value").cast("binary")).alias("body"))
+    twice = F.col("body").cast("string").startswith(CRLF + MAGIC)
+    shifts = F.when(twice, F.array(F.lit(0), F.lit(len(CRLF + MAGIC)))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("shift", F.explode(shifts)).withColumn("body", _from(F.col("body"), F.col("shift")))
+
+
+def _from(data: Column, skip: Column | int) -> Column:
+    """Binary ``data`` without its first ``skip`` bytes."""
+    skip = F.lit(skip) if isinstance(skip, int) else skip
+    return F.substring(data, skip + 1, F.lit(2**31 - 1))
 
 
 def candidates(found: DataFrame) -> DataFrame:
     """Offset, successor and headers of every piece of ``pieces``, without the bodies."""
-    text = F.col("body").cast("string")
-    has_header = F.instr(text, CRLF + CRLF) > 0
-    rows = found.select("file", "block", "row", F.octet_length("body").alias("size"), "body",
-                        F.when(has_header, F.substring_index(text, CRLF + CRLF, 1)).alias("header"))
+    # a header's blank line may be the beginning of the magic string that ends its piece
+    rows = found.select("file", "block", "row", "starts", "shift", F.octet_length("body").alias("size"), "body",
+                        F.substring_index(F.col("body").cast("string"), CRLF + CRLF, 1).alias("header"))
     rows = rows.withColumn("length", F.try_to_number(F.regexp_extract(
         "header", r"(?i)(?:^|\r\n)Content-Length:[ \t]*([0-9]{1,15})[ \t]*(?:\r\n|$)", 1),
         F.lit("999999999999999")).cast("long"))
     start = F.octet_length("header") + 4
     whole = F.substring(F.col("body"), start + 1, F.col("length").cast("int"))
     inside = F.col("size") >= start + F.col("length")
-    rows = rows.select("file", "block", "row", "size", "length", start.alias("start"), inside.alias("inside"),
+    rows = rows.select("file", "block", "row", "starts", "shift", "size", "length", start.alias("start"), inside.alias("inside"),
                        F.when(inside, base32_sha1(whole)).alias("digest"),
                        _header("WARC-Type").alias("record_type"),
                        F.regexp_extract(_header("WARC-Record-ID"), "<urn:page:(.*)>", 1).alias("page_id"),
                        F.regexp_extract(_header("WARC-Refers-To"), "<urn:page:(.*)>", 1).alias("refers_to"),
                        F.regexp_replace(_header("WARC-Payload-Digest"), "^sha1:", "").alias("declared"))
     # bytes before a piece's magic: the pieces before it, each with its magic and the blank line after it
-    before = (Window.partitionBy("file").orderBy("block", "row")
+    before = (Window.partitionBy("file").orderBy("block", "row", "shift")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offset = F.coalesce(F.sum(F.col("size") + len(MAGIC) + 4).over(before), F.lit(0).cast("long"))
+    whole_piece = F.when(F.col("shift") == 0, F.col("size") + len(MAGIC) + 4).otherwise(0)
+    passed = F.coalesce(F.sum(whole_piece).over(before), F.lit(0).cast("long"))
+    # the second magic of a piece stands in the piece itself, behind a line end
+    offset = F.when(F.col("shift") == 0, passed).otherwise(
+        passed - 4 - F.col("size") - F.col("shift") + len(CRLF))
     return rows.withColumn("offset", offset).withColumn(
         "next", F.col("offset") + len(MAGIC) + F.col("start") + F.col("length") + 4)
 
 
-def reachable(links: DataFrame) -> DataFrame:
-    """(file, offset) reached from offset 0 by ``links`` (file, offset, next), by pointer jumping."""
-    here = links.select("file", "offset")
-    jump = written(links.where(F.col("next").isNotNull()), "jumps")
-    reached = written(here.where("offset = 0"), "reached")
+_LINK = "file string, block long, offset long, next long"
+
+
+def _skip_block(rows: pd.DataFrame) -> pd.DataFrame:
+    """Where each candidate's chain leaves its block (``beyond``); successors lie behind, so from the end."""
+    beyond = {}
+    for offset, follower in sorted(zip(rows["offset"], rows["next"]), reverse=True):
+        beyond[offset] = beyond.get(follower, follower)
+    return rows.assign(beyond=[beyond[x] for x in rows["offset"]])
+
+
+def _walk_block(rows: pd.DataFrame) -> pd.DataFrame:
+    """The candidates of a block on the chain from its ``entered`` ones."""
+    followers = dict(zip(rows["offset"], rows["next"]))
+    on = set()
+    for at in rows.loc[rows["entered"], "offset"]:
+        while at in followers and at not in on:
+            on.add(at)
+            at = followers[at]
+    return rows.loc[rows["offset"].isin(on), ["file", "offset"]]
+
+
+def reachable(links: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(file, offset) reached from offset 0 by ``links`` (file, offset, next), by pointer jumping.
+
+    Tasks first follow the chains inside blocks of ``block_bytes`` of a file,
+    so that the jumps go from block to block: their number is the logarithm of
+    a file's blocks, not of its records.
+    """
+    blocks = links.select("file", (F.col("offset") / block_bytes).cast("long").alias("block"), "offset",
+                          F.coalesce("next", F.lit(-1).cast("long")).alias("next"))
+    skipped = written(blocks.groupBy("file", "block").applyInPandas(
+        _skip_block, _LINK + ", beyond long"), "links")
+    there = skipped.select("file", F.col("offset").alias("beyond"))
+    jump = written(skipped.select("file", "offset", "beyond").join(there, ["file", "beyond"]), "jumps")
+    reached = written(skipped.where("offset = 0").select("file", "offset"), "reached")
     seen = reached.count()
     while True:
-        ahead = reached.join(jump, ["file", "offset"]).select("file", F.col("next").alias("offset"))
-        reached = written(reached.union(ahead.join(here, ["file", "offset"], "left_semi")).distinct(), "reached")
+        ahead = reached.join(jump, ["file", "offset"]).select("file", F.col("beyond").alias("offset"))
+        reached = written(reached.union(ahead).distinct(), "reached")
         now = reached.count()
         if now == seen:
-            return reached
+            break
         seen = now
-        further = jump.select("file", F.col("offset").alias("next"), F.col("next").alias("beyond"))
-        jump = written(jump.join(further, ["file", "next"]).select(
-            "file", "offset", F.col("beyond").alias("next")), "jumps")
+        further = jump.select("file", F.col("offset").alias("beyond"), F.col("beyond").alias("top"))
+        jump = written(jump.join(further, ["file", "beyond"]).select(
+            "file", "offset", F.col("top").alias("beyond")), "jumps")
+    entered = skipped.join(reached.withColumn("entered", F.lit(True)), ["file", "offset"], "left")
+    return entered.select("file", "block", "offset", "next", F.coalesce(
+        "entered", F.lit(False)).alias("entered")).groupBy("file", "block").applyInPandas(
+        _walk_block, "file string, offset long")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -142,15 +197,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """
     found = pieces(spark, path)
     table = written(candidates(found), "candidates")
-    roots = reachable(table.select("file", "offset", "next"))
+    records = table.where((F.col("offset") > 0) | F.col("starts"))
+    roots = written(reachable(records.select("file", "offset", "next")), "reached")
     marked = table.join(roots.withColumn("reached", F.lit(True)), ["file", "offset"], "left")
     owner = F.last(F.when(F.col("reached"), F.col("offset")), ignorenulls=True).over(
         Window.partitionBy("file").orderBy("offset"))
     marked = written(marked.withColumn("owner", owner).where(F.col("owner").isNotNull()), "owned")
     records = marked.where("reached")
     cut = records.where(~F.col("inside")).select("file", "owner", F.col("start").alias("from"), F.col("length").alias("bytes"))
-    parts = marked.select("file", "owner", "offset", "block", "row").join(cut, ["file", "owner"])
-    bodies = (found.join(parts, ["file", "block", "row"]).groupBy("file", "owner")
+    # the pieces from the record's own on; of a piece that comes twice only the record's own is cut
+    parts = (marked.where((F.col("shift") == 0) | F.col("reached"))
+                   .select("file", "owner", "offset", "block", "row", "shift").join(cut, ["file", "owner"]))
+    bodies = (found.join(parts, ["file", "block", "row", "shift"]).groupBy("file", "owner")
               .agg(F.first("from").alias("from"), F.first("bytes").alias("bytes"),
                    F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("all")))
     joint = F.lit(CRLF + CRLF + MAGIC).cast("binary")
