@@ -68,21 +68,19 @@ def landing_docs(readings: DataFrame, cities: DataFrame, run_ts,
                           *partition_values("__run_ts"))
 
 
-# A run's documents are written by up to this many tasks.
-FILES_PER_RUN = 4
-
-
-def write_landing(docs: DataFrame, base: str, num_tasks: int | None = None) -> None:
+def write_landing(docs: DataFrame, base: str, num_tasks: int | None = None,
+                  files_per_run: int = 1) -> None:
     """K1: write documents under ``city=/year=/month=/day=/hour=``.
 
     Dynamic partition overwrite: re-landing a run replaces exactly its own
     objects and leaves every other run untouched. Documents are dealt by their
-    partition values and a hash of their first time into ``num_tasks``
-    (default: the cluster's parallelism) tasks, so a large run is written by
-    several tasks and the many small objects are opened in parallel.
+    partition values into ``num_tasks`` (default: the cluster's parallelism)
+    tasks, so the many small objects are opened in parallel. A source whose
+    runs are large sets ``files_per_run``: a hash of a document's first time
+    then deals each run to that many tasks.
     """
     n = num_tasks or docs.sparkSession.sparkContext.defaultParallelism
-    part = F.pmod(F.xxhash64(F.get("hourly.time", F.lit(0))), F.lit(FILES_PER_RUN))
+    part = F.pmod(F.xxhash64(F.get("hourly.time", F.lit(0))), F.lit(files_per_run))
     (docs.repartition(n, *S.LANDING_PARTITIONS, part)
          .write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
