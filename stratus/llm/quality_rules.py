@@ -29,7 +29,13 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 ROUNDS = 200
 # Pseudo-counts of EM: a share of the documents, so that estimates never reach 0 or 1.
-SMOOTHING = 0.01
+SMOOTHING = 1e-6
+# Where EM starts: probability of good with no, one, and more bad votes.
+START = (0.999, 0.01, 0.001)
+# Most often that a rule may call a good document bad. Low-quality documents are of several kinds,
+# each caught by one or two rules and passed by the others; without the bound the estimates call
+# such a kind good, as most rules pass it.
+FALSE_ALARM = 1e-4
 _SPACES = (" ", "\t", "\n", "\v", "\f", "\r")
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
@@ -98,7 +104,7 @@ def rules() -> dict[str, Column]:
         "length": _vote(n >= 80, n < LEAST_WORDS),
         "word_length": _vote(length.between(3, 8), (length < 2.5) | (length > 10)),
         "symbols": _vote(symbols < 0.02, symbols > 0.1),
-        "lines": _vote(lines < 0.1, lines > 0.3),
+        "lines": _vote(lines < 0.3, lines > 0.6),
         "repeats": _vote(repeats < 0.2, repeats > 0.45),
         "upper": _vote(upper < 0.15, upper > 0.4),
         "marks": _vote(marks < 0.05, marks > 0.3),
@@ -107,26 +113,26 @@ def rules() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: np.ndarray, weights: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+def estimate(patterns: np.ndarray, weights: np.ndarray, rounds: int = ROUNDS,
+             false_alarm: float = FALSE_ALARM) -> np.ndarray:
     """Posterior probability of good for each row of ``patterns`` (votes), by EM.
 
-    Votes are independent given the class. It starts from the share of good
-    among each pattern's votes, so rules are taken to be right more often than
-    wrong.
+    Votes are independent given the class. It starts from the number of bad
+    votes (``START``), so rules are taken to be right more often than wrong.
     """
     if not len(patterns):
         return np.zeros(0)
     w = weights / weights.sum()
-    cast = (patterns != 0).sum(axis=1)
-    p = np.where(cast > 0, (patterns > 0).sum(axis=1) / np.maximum(cast, 1), 0.5)
-    p = np.clip(p, 0.05, 0.95)
+    p = np.array(START)[np.minimum((patterns < 0).sum(axis=1), 2)]
     one_hot = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
     for _ in range(rounds):
         logs = []
-        for share in (1 - p, p):
+        for good, share in enumerate((1 - p, p)):
             mass = (w * share)[:, None, None] * one_hot
             vote = mass.sum(axis=0) + SMOOTHING / 3
             vote /= vote.sum(axis=1, keepdims=True)
+            if good:
+                vote[:, 0] = np.minimum(vote[:, 0], false_alarm)
             prior = np.log((w * share).sum() * (1 - SMOOTHING) + SMOOTHING / 2)
             logs.append(prior + (one_hot * np.log(vote)[None]).sum(axis=(1, 2)))
         new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
