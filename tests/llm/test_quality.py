@@ -56,7 +56,7 @@ def test_em_finds_the_accuracies_of_simulated_rules():
         says = np.where(rng.random(20_000) < right, good, ~good)
         votes[:, i] = np.where(rng.random(20_000) < cast, np.where(says, 1, -1), 0)
     patterns, weight = np.unique(votes, axis=0, return_counts=True)
-    posterior = R.estimate(patterns, weight.astype(float))
+    posterior = R.estimate(patterns, weight.astype(float), false_alarm=1.0)
     known = {tuple(p): x for p, x in zip(patterns, posterior)}
     found = np.array([known[tuple(v)] for v in votes]) >= 0.5
     majority = votes.sum(axis=1) > 0
