@@ -205,9 +205,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     marked = written(marked.withColumn("owner", owner).where(F.col("owner").isNotNull()), "owned")
     records = marked.where("reached")
     cut = records.where(~F.col("inside")).select("file", "owner", F.col("start").alias("from"), F.col("length").alias("bytes"))
-    # the pieces from the record's own on; of a piece that comes twice only the record's own is cut
-    parts = (marked.where((F.col("shift") == 0) | F.col("reached"))
-                   .select("file", "owner", "offset", "block", "row", "shift").join(cut, ["file", "owner"]))
+    # the pieces from the record's own on; of a piece that comes twice only the record's own is cut.
+    # Written first: as a rule there are few, and a small table spares the bodies the shuffle.
+    parts = written(marked.where((F.col("shift") == 0) | F.col("reached")).select(
+        "file", "owner", "offset", "block", "row", "shift").join(cut, ["file", "owner"]), "parts")
     bodies = (found.join(parts, ["file", "block", "row", "shift"]).groupBy("file", "owner")
               .agg(F.first("from").alias("from"), F.first("bytes").alias("bytes"),
                    F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("all")))
