@@ -53,6 +53,10 @@ _KEYS = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)"
 _ASSIGN = rf"(?i:{_KEYS})[\"']?\h{{0,3}}[:=]\h{{0,3}}[\"']?"
 _SECRET = r"[A-Za-z0-9+/_~.-]{6,}+=*+"
 
+# Check digits are beyond a regular expression, so cards are sought first (``_marked``) and stand
+# between marks; a mark in the text itself is followed by the second sign.
+_MARK, _OWN_MARK = "\ufdd0", "\ufdd0\ufdd1"
+
 # Alternatives in order of preference at one position. All but addresses start where no ASCII
 # letter or digit stands before (checked once for all), so a token is scanned once.
 PATTERNS = {
@@ -61,7 +65,7 @@ PATTERNS = {
                r"|(?:ghp_|gho_|sk-|pk-|xox[abp]-)[A-Za-z0-9_-]{16,}+"),
     "iban": r"[A-Z]{2}[0-9]{2}(?:\h?[A-Z0-9]{4}){3,7}(?:\h?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9])(?!\.[0-9])",
-    "card": r"[3-6](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "card": rf"{_MARK}[3-6][0-9 -]*+{_MARK}",
     "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
     "phone": (r"(?<!\+)(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
               r"[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])|(?<!\+)\+[0-9]{8,15}(?![0-9])"),
@@ -69,6 +73,17 @@ PATTERNS = {
 }
 PATTERN = (r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values())
            + rf")|(?=[0-9])(?<![0-9])(?:{PATTERNS['ip']})")
+# Ways of writing a card number, in order of preference at one position: unbroken, 4-4-4-4, 4-6-5
+# and 4-6-4, other lengths in fours; last any grouping, the longest one and, at the beginning of
+# a row of numbers, shorter ones.
+CARDS = (r"[3-6][0-9]{12,18}", r"[3-6][0-9]{3}(?:[ -][0-9]{4}){3}", r"[3-6][0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5}",
+         r"[3-6][0-9]{3}(?:[ -][0-9]{4}){2,3}[ -][0-9]{1,3}(?![ -]?[0-9])")
+ODD_CARDS = (r"[3-6](?:[ -]?[0-9]){12,18}",
+             *(rf"(?<![0-9][ -])[3-6](?:[ -]?[0-9]){{{n - 1}}}" for n in (16, 15, 14, 13)))
+_LONG = r"[3-6](?:[ -]?[0-9]){12}"
+_ROW = r"[0-9]++(?:[ -][0-9]++)*+"
+_ROWS = (r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{PATTERNS[k]})" for k in ("email", "secret", "iban", "ip"))
+         + rf"|(?=[(+])(?:{PATTERNS['phone']})|{_ROW})")
 # Every match has one of these: a cheap scan that spares most texts the full patterns.
 _SIGN = rf"[0-9@:=_-]|(?=[A-Z])(?:{_TITLES})\.?\h\p{{Lu}}"
 
@@ -78,18 +93,48 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _marked_row(row: Column, shapes: tuple[str, ...]) -> Column:
+    """A row of numbers with marks around those of its ``shapes`` that are cards by their check digit."""
+    found = F.concat(*[F.regexp_extract_all(row, F.lit(f"(?<![0-9])(?=({s})(?![0-9]))"), F.lit(1)) for s in shapes])
+    cards = F.array_distinct(F.filter(found, lambda c: _luhn(_digits(c)) == 0))
+    one = F.concat(F.lit(f"(?<![0-9{_MARK}])(?:"), F.array_join(cards, "|"), F.lit(")(?![0-9])"))
+    return F.when(F.size(cards) > 0, F.regexp_replace(row, one, F.lit(f"{_MARK}$0{_MARK}"))).otherwise(row)
+
+
+def _marked(text: Column) -> Column:
+    """``text`` with marks around its card numbers.
+
+    A number that its check digit rules out is left to the other patterns, as
+    are the numbers beside a card. A card written in odd groups is looked for
+    only in rows of numbers without a phone or ssn.
+    """
+    other = rf"(?<![0-9])(?:{PATTERNS['ssn']}|{PATTERNS['phone']})"
+
+    def one(found: Column) -> Column:
+        def rest(row: Column) -> Column:
+            return F.when(row.rlike(_LONG) & ~row.rlike(other), _marked_row(row, ODD_CARDS)).otherwise(row)
+        return F.when(found.rlike(f"^{_ROW}$") & found.rlike(_LONG), _let(_marked_row(found, CARDS), rest)).otherwise(found)
+
+    def whole(escaped: Column) -> Column:
+        between = F.split(escaped, _ROWS, -1)
+        found = F.transform(F.regexp_extract_all(escaped, F.lit(_ROWS), F.lit(0)), one)
+        pairs = F.zip_with(found, F.slice(between, F.lit(2), F.size(found)), lambda e, after: F.concat(e, after))
+        return F.concat(between[0], F.array_join(pairs, ""))
+
+    return F.when(text.rlike(_LONG), _let(F.replace(text, F.lit(_MARK), F.lit(_OWN_MARK)), whole)).otherwise(text)
+
+
 def entities(text: Column) -> Column:
-    """The entities of a text, in order of place."""
+    """The entities of a ``_marked`` text, in order of place."""
     none = F.array().cast("array<string>")
     return F.when(text.rlike(_SIGN), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none)
 
 
 def kind(entity: Column) -> Column:
-    """Name of the pattern that an entity matched; "" for a number whose check digit rules out a card."""
+    """Name of the pattern that an entity matched."""
     out = F.lit("name")
     for name, p in reversed([x for x in PATTERNS.items() if x[0] != "name"]):
-        what = F.lit(name) if name != "card" else F.when(_luhn(_digits(entity)) == 0, name).otherwise("")
-        out = F.when(entity.rlike(f"^(?:{p})$"), what).otherwise(out)
+        out = F.when(entity.rlike(f"^(?:{p})$"), name).otherwise(out)
     return out
 
 
@@ -215,6 +260,8 @@ def surrogate(what: Column, canon: Column, counter: Column, key: str = KEY) -> C
 
 def _laid_out(entity: Column, what: Column, new: Column) -> Column:
     """A canonical surrogate written the way ``entity`` is."""
+    entity = F.replace(entity, F.lit(_MARK), F.lit(""))
+
     def digit(ch: Column, i: Column) -> Column:
         left = F.length(_digits(F.substr(entity, i + 1, F.length(entity))))
         return F.when(ch.between("0", "9") & (left <= F.length(new)),
@@ -228,9 +275,9 @@ def _laid_out(entity: Column, what: Column, new: Column) -> Column:
 
 def occurrences(docs: DataFrame, text: str = "text") -> DataFrame:
     """(content, kind, canon): the entities of each distinct content (the text's hash)."""
-    found = docs.select(F.xxhash64(text).alias("content"), F.explode(entities(F.col(text))).alias("e"))
+    found = docs.select(F.xxhash64(text).alias("content"), F.explode(entities(_marked(F.col(text)))).alias("e"))
     return (found.select("content", "e", kind(F.col("e")).alias("kind"))
-                 .where("kind <> ''").select("content", "kind", canonical(F.col("e"), F.col("kind")).alias("canon"))
+                 .select("content", "kind", canonical(F.col("e"), F.col("kind")).alias("canon"))
                 .distinct())
 
 
@@ -256,7 +303,7 @@ def settle(entities_: DataFrame, key: str = KEY, rounds: int = ROUNDS) -> DataFr
 
 
 def _replaced(text: Column, found: Column, counters: Column | None, key: str) -> Column:
-    """``text`` with the entities ``found`` replaced; ``counters`` maps kind and canon to a counter above 0."""
+    """``_marked`` text with the entities ``found`` replaced; ``counters`` maps kind and canon to a counter above 0."""
     def new(e: Column) -> Column:
         def with_kind(what: Column) -> Column:
             def with_canon(canon: Column) -> Column:
@@ -264,7 +311,7 @@ def _replaced(text: Column, found: Column, counters: Column | None, key: str) ->
                 if counters is not None:
                     n = F.coalesce(F.try_element_at(counters, F.concat_ws("\x1f", what, canon)), F.lit(0))
                 return _let(surrogate(what, canon, n, key), lambda s: _laid_out(e, what, s))
-            return F.when(what == "", e).otherwise(_let(canonical(e, what), with_canon))
+            return _let(canonical(e, what), with_canon)
         return _let(kind(e), with_kind)
     between = F.split(text, PATTERN, -1)
     pairs = F.zip_with(F.transform(found, new), F.slice(between, F.lit(2), F.size(found)),
@@ -279,7 +326,8 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text", kinds: st
     """
     met = written(occurrences(docs, text), "occurrences")
     moved = settle(met.select("kind", "canon").distinct(), key).where("counter > 0")
-    rows, counters = docs.withColumn("__found", entities(F.col(text))), None
+    rows = docs.withColumn("__marked", _marked(F.col(text)))
+    rows, counters = rows.withColumn("__found", entities(F.col("__marked"))), None
     if not moved.isEmpty():
         by_text = (met.join(moved, ["kind", "canon"]).groupBy(F.col("content").alias("__content"))
                       .agg(F.map_from_entries(F.collect_list(F.struct(
@@ -287,13 +335,14 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text", kinds: st
         rows = rows.withColumn("__content", F.xxhash64(text)).join(written(by_text, "moved"), "__content", "left")
         counters = F.coalesce("__moved", F.create_map().cast("map<string,int>"))
     found = F.col("__found")
-    out = rows.withColumn(text, F.when(F.size(found) > 0, _replaced(F.col(text), found, counters, key))
-                          .otherwise(F.col(text)))
+    new = _replaced(F.col("__marked"), found, counters, key)
+    new = F.when(F.col(text).rlike(_LONG), F.replace(new, F.lit(_OWN_MARK), F.lit(_MARK))).otherwise(new)
+    out = rows.withColumn(text, F.when(F.size(found) > 0, new).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
     names = docs.columns
     if kinds:
-        out, names = out.withColumn(kinds, F.filter(F.transform(found, kind), lambda k: k != "")), [*names, kinds]
+        out, names = out.withColumn(kinds, F.transform(found, kind)), [*names, kinds]
     return out.select(*names)
 
 

@@ -44,6 +44,34 @@ def test_types_formats_and_coreference(spark):
     assert len(out[11].split()[1].split(".")) == 4 and "10.1.2.3" not in out[11]
 
 
+def luhn(digits):
+    odd = [int(x) * (1 + i % 2) for i, x in enumerate(reversed(digits))]
+    return sum(x - 9 * (x > 9) for x in odd) % 10
+
+
+def test_numbers_beside_numbers(spark):
+    card = "4539 5787 6362 1486"
+    chance = next(f"{i:03}" for i in range(1000) if luhn(f"4539578763621486{i:03}") == 0)
+    wanted = {f"card {card} 12/27": ["card"], "ssn 456-78-9012 2024": ["ssn"], "call 415-555-0132 2024": ["phone"],
+              "415-555-0132 415-555-0199": ["phone", "phone"], f"4539578763621486 {chance}": ["card"],
+              f"{card} {chance}": ["card"], f"2024 {card} 415-555-0132 456-78-9012": ["card", "phone", "ssn"],
+              "3782 822463 10005 1": ["card"], "45395787 63621486": ["card"], "45395787 63621486 12": ["card"],
+              f"{card} {card}": ["card", "card"], "4539578763621487 and 415-555-0132": ["phone"],
+              f"\ufdd0{card}\ufdd0\ufdd1 \ufdd0": ["card"], "\ufdd0 4539578763621487 \ufdd0\ufdd1": [],
+              f"(415) 555-0132 2024 {card}": ["phone", "card"]}
+    for (text, kinds), r in zip(wanted.items(), run(spark, list(wanted))):
+        assert (r.kinds, len(r.text)) == (kinds, len(text)), text
+        assert re.sub("[0-9]", "0", r.text) == re.sub("[0-9]", "0", text)
+        for part in (card, "4539578763621486", "456-78-9012", "415-555-0132", "555-0199", "822463", "63621486"):
+            assert part not in r.text, text
+    out = {t: r.text for t, r in zip(wanted, run(spark, list(wanted)))}
+    new = out[f"card {card} 12/27"][5:24]
+    assert out[f"card {card} 12/27"] == f"card {new} 12/27" and luhn(new.replace(" ", "")) == 0
+    assert out[f"4539578763621486 {chance}"] == new.replace(" ", "") + " " + chance
+    assert out[f"{card} {card}"] == f"{new} {new}" and out[f"2024 {card} 415-555-0132 456-78-9012"][:25] == f"2024 {new} "
+    assert out["call 415-555-0132 2024"].endswith(" 2024") and out["ssn 456-78-9012 2024"].endswith(" 2024")
+
+
 def test_same_key_same_surrogates_other_key_others(spark):
     docs = spark.createDataFrame([(1, "a.b@c.example.org"), (2, "a.b@c.example.org")], "doc_id long, text string")
     first, other = ({r.text for r in P.surrogate_texts(docs, k).collect()} for k in ("k1", "k2"))
