@@ -84,19 +84,24 @@ def _header(name: str) -> Column:
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, row, shift, body): what lies between the magic strings, in reading order.
+    """(file, block, row, heads, starts, shift, body): what lies between the magic strings, in reading order.
+
+    A piece of a file's first block that begins with a magic (``heads``) is the
+    file's first one, without a magic before it, or follows a doubled magic.
+    It comes both ways: whole, and (``starts``) from behind its own magic.
 
     A magic string may begin with the last line end of another one. The reader
     finds the first of the two; the second begins the next piece, which then
     comes twice: whole, and (``shift`` > 0) from behind that magic.
     """
     read = spark.read.option("lineSep", CRLF + CRLF + MAGIC).text(path)
-    starts = F.col("value").startswith(MAGIC) & (F.col("_metadata.file_block_start") == 0)
+    heads = F.col("value").startswith(MAGIC) & (F.col("_metadata.file_block_start") == 0)
+    ways = F.when(F.col("heads"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     rows = read.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"), starts.alias("starts"),
-        F.when(starts, _from(F.col("value").cast("binary"), len(MAGIC)))
-         .otherwise(F.col("value").cast("binary")).alias("body"))
+        F.monotonically_increasing_id().alias("row"), heads.alias("heads"), F.col("value").cast("binary").alias("body"))
+    rows = rows.withColumn("starts", F.explode(ways)).withColumn(
+        "body", F.when(F.col("starts"), _from(F.col("body"), len(MAGIC))).otherwise(F.col("body")))
     twice = F.col("body").cast("string").startswith(CRLF + MAGIC)
     shifts = F.when(twice, F.array(F.lit(0), F.lit(len(CRLF + MAGIC)))).otherwise(F.array(F.lit(0)))
     return rows.withColumn("shift", F.explode(shifts)).withColumn("body", _from(F.col("body"), F.col("shift")))
@@ -111,7 +116,7 @@ def _from(data: Column, skip: Column | int) -> Column:
 def candidates(found: DataFrame) -> DataFrame:
     """Offset, successor and headers of every piece of ``pieces``, without the bodies."""
     # a header's blank line may be the beginning of the magic string that ends its piece
-    rows = found.select("file", "block", "row", "starts", "shift", F.octet_length("body").alias("size"), "body",
+    rows = found.select("file", "block", "row", "heads", "starts", "shift", F.octet_length("body").alias("size"), "body",
                         F.substring_index(F.col("body").cast("string"), CRLF + CRLF, 1).alias("header"))
     rows = rows.withColumn("length", F.try_to_number(F.regexp_extract(
         "header", r"(?i)(?:^|\r\n)Content-Length:[ \t]*([0-9]{1,15})[ \t]*(?:\r\n|$)", 1),
@@ -119,15 +124,18 @@ def candidates(found: DataFrame) -> DataFrame:
     start = F.octet_length("header") + 4
     whole = F.substring(F.col("body"), start + 1, F.col("length").cast("int"))
     inside = F.col("size") >= start + F.col("length")
-    rows = rows.select("file", "block", "row", "starts", "shift", "size", "length", start.alias("start"), inside.alias("inside"),
+    rows = rows.select("file", "block", "row", "heads", "starts", "shift", "size", "length", start.alias("start"), inside.alias("inside"),
                        F.when(inside, base32_sha1(whole)).alias("digest"),
                        _header("WARC-Type").alias("record_type"),
                        F.regexp_extract(_header("WARC-Record-ID"), "<urn:page:(.*)>", 1).alias("page_id"),
                        F.regexp_extract(_header("WARC-Refers-To"), "<urn:page:(.*)>", 1).alias("refers_to"),
                        F.regexp_replace(_header("WARC-Payload-Digest"), "^sha1:", "").alias("declared"))
+    # only a file's first piece begins behind its own magic
+    order = Window.partitionBy("file").orderBy("block", "row", "shift")
+    leads = F.first(F.struct("block", "row")).over(order) == F.struct("block", "row")
+    rows = rows.withColumn("leads", leads).where(~F.col("heads") | (F.col("starts") == F.col("leads")))
     # bytes before a piece's magic: the pieces before it, each with its magic and the blank line after it
-    before = (Window.partitionBy("file").orderBy("block", "row", "shift")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole_piece = F.when(F.col("shift") == 0, F.col("size") + len(MAGIC) + 4).otherwise(0)
     passed = F.coalesce(F.sum(whole_piece).over(before), F.lit(0).cast("long"))
     # the second magic of a piece stands in the piece itself, behind a line end
@@ -208,8 +216,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     # the pieces from the record's own on; of a piece that comes twice only the record's own is cut.
     # Written first: as a rule there are few, and a small table spares the bodies the shuffle.
     parts = written(marked.where((F.col("shift") == 0) | F.col("reached")).select(
-        "file", "owner", "offset", "block", "row", "shift").join(cut, ["file", "owner"]), "parts")
-    bodies = (found.join(parts, ["file", "block", "row", "shift"]).groupBy("file", "owner")
+        "file", "owner", "offset", "block", "row", "starts", "shift").join(cut, ["file", "owner"]), "parts")
+    bodies = (found.join(parts, ["file", "block", "row", "starts", "shift"]).groupBy("file", "owner")
               .agg(F.first("from").alias("from"), F.first("bytes").alias("bytes"),
                    F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("all")))
     joint = F.lit(CRLF + CRLF + MAGIC).cast("binary")
@@ -229,6 +237,9 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     path = scratch_dir(spark, "warc")
     write_archives(pages, path, least_bytes)
     records = written(read_archives(spark, path), "records")
+    n_read, n_written = records.count(), pages.count()
+    if n_read != n_written:
+        raise ValueError(f"{n_read} records read of {n_written} written")
     responses = (records.where("record_type = 'response'").groupBy(
         F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("declared"))
         .agg(F.first("payload_bytes").alias("response_bytes")))

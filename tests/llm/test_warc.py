@@ -65,6 +65,22 @@ def test_small_splits_read_the_same(spark, rows, tmp_path):
         assert all(data[r.offset:].startswith(b"WARC/1.1\r\n") for r in found if r.file == name)
 
 
+@pytest.mark.parametrize("html", ["\r\n\r\nWARC/1.1\r\nWARC/1.1\r\n", "WARC/1.1\r\n" * 2, "WARC/1.1\r\n" * 5 + "x",
+                                  "a" + "\r\n\r\nWARC/1.1\r\nWARC/1.1\r\nContent-Length: 1\r\n\r\n" * 2])
+def test_doubled_magic_line(spark, html):
+    rows = [(i, f"http://h/{i}", html + str(i) if i % 2 else f"page {i}") for i in range(6)] + [(6, "u", html), (7, "u", "z")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    assert sorted((tuple(r) for r in W.round_trip(pages).collect()), key=str) == expected(rows)
+
+
+def test_lost_records_are_an_error(spark, monkeypatch):
+    read = W.read_archives
+    monkeypatch.setattr(W, "read_archives", lambda *a: read(*a).where("page_id <> '2'"))
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "u", "b")], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="1 records read of 2 written"):
+        W.round_trip(pages)
+
+
 def test_payloads_below_the_bound_are_not_revisited(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")],
                                   "page_id long, url string, html string")
