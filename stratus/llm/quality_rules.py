@@ -34,7 +34,7 @@ SMOOTHING = 1e-6
 START = (0.999, 0.01, 0.001)
 # Most often that a rule may call a good document bad. Low-quality documents are of several kinds,
 # each caught by one or two rules and passed by the others; without the bound the estimates call
-# such a kind good, as most rules pass it.
+# such a kind good, as most rules pass it. With it one bad vote rejects in effect (README has figures).
 FALSE_ALARM = 1e-4
 _SPACES = (" ", "\t", "\n", "\v", "\f", "\r")
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
