@@ -1,14 +1,15 @@
 """Homomorphic multiset fingerprints of documents (operator 7).
 
 A paragraph (a line) is hashed to a wide vector: 16 lanes modulo 2^64 from the
-line's bytes and 256 lanes modulo 2^16 to which each of its three-word windows
+line's bytes and 256 lanes modulo 2^32 to which each of its three-word windows
 (three-character windows in lines of fewer words) adds or takes away one. A
 text's fingerprint is the lane-wise sum over its paragraphs, so it does not
 depend on their order, and paragraphs are inserted or deleted by adding or
 subtracting their vectors. Equal multisets of lines have equal fingerprints.
 The second kind of lane also compares texts: the likeness 2ab / (aa + bb) of
 two fingerprints estimates the share of windows they have in common, within
-about 0.06.
+about 0.06. Written out, these lanes take two bytes each where all of a text's
+fit (below 2^15 in absolute value), else four.
 
 Cases: a null text counts as empty (one empty paragraph); rows are compared in
 descending doc_id, nulls last, repeated ids by the hash of their text; the row
@@ -75,7 +76,7 @@ class Fingerprint:
             sign = 1.0 - 2.0 * (mixed & np.uint64(1)).astype(np.float64)
             lanes = np.bincount((mixed >> np.uint64(56)).astype(np.int64), weights=sign,
                                 minlength=LANES).astype(np.int64)
-        return Fingerprint(exact, lanes.astype(np.uint16))
+        return Fingerprint(exact, lanes.astype(np.uint32))
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.exact + other.exact, self.lanes + other.lanes)
@@ -86,21 +87,28 @@ class Fingerprint:
     def __eq__(self, other) -> bool:
         return (self.exact == other.exact).all() and (self.lanes == other.lanes).all()
 
+    def counts(self) -> np.ndarray:
+        """The lanes with their signs."""
+        return self.lanes.view(np.int32)
+
     def __str__(self) -> str:
+        counts = self.counts()
+        short = (counts.astype(np.int16) == counts).all()
         return base64.b64encode(self.exact.astype("<u8").tobytes()
-                                + self.lanes.astype("<u2").tobytes()).decode()
+                                + counts.astype("<i2" if short else "<i4").tobytes()).decode()
 
     @staticmethod
     def parse(text: str) -> Fingerprint:
         raw = base64.b64decode(text)
-        return Fingerprint(np.frombuffer(raw[:8 * EXACT_LANES], "<u8"),
-                           np.frombuffer(raw[8 * EXACT_LANES:], "<u2"))
+        exact, lanes = raw[:8 * EXACT_LANES], raw[8 * EXACT_LANES:]
+        counts = np.frombuffer(lanes, "<i2" if len(lanes) == 2 * LANES else "<i4").astype(np.int32)
+        return Fingerprint(np.frombuffer(exact, "<u8"), counts.view(np.uint32))
 
     def likeness(self, other: Fingerprint) -> float:
         """1 for equal fingerprints, else the estimated share of common windows."""
         if self == other:
             return 1.0
-        a, b = (x.lanes.astype(np.uint16).view(np.int16).astype(np.float64) for x in (self, other))
+        a, b = (x.counts().astype(np.float64) for x in (self, other))
         both = a @ a + b @ b
         return float(min(max(2 * (a @ b) / both, 0.0), 1.0)) if both else 0.0
 

@@ -42,6 +42,22 @@ def test_likeness_follows_the_share_of_common_text():
     assert min(near) > 0.4 > 0.3 > max(far) and abs(np.mean(near) - 2 / 3) < 0.1
 
 
+def test_more_equal_windows_than_two_bytes_hold():
+    a = "word " * 40_000
+    fa, fe = Fingerprint.of(a), edited_fingerprint(a, Fingerprint.of(a), "other text " * 20_000)
+    n, m = 40_000 - 2, len(a) * 2 // 3 // 5 - 2
+    assert abs(fa.counts()).max() == n > 32_767
+    # the edit's lanes: m of the same windows, and those of the two words that it inserts
+    other = Fingerprint.of(edited(a, "other text " * 20_000))
+    assert fe == other and 0.5 < fa.likeness(fe) < 1
+    short = Fingerprint.of("word " * m)
+    k = m - 2
+    assert fa.likeness(short) == pytest.approx(2 * n * k / (n * n + k * k)) and fa.likeness(short) > 0.9
+    for x in (fa, fe, short):
+        assert Fingerprint.parse(str(x)) == x and Fingerprint.parse(str(x)).likeness(fa) == x.likeness(fa)
+    assert fa - short + short == fa and len(str(short)) < len(str(fa))
+
+
 def expected(rows):
     order = sorted(rows, key=lambda r: -r[0])
     out = {}
