@@ -160,7 +160,7 @@ def links(fps: DataFrame, bits: int = MAX_BITS, dense: int = DENSE, block: int =
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS,
             key: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """(key..., fp, component_id) for every row of ``docs``."""
+    """(key..., fp, root, component_id) for every row of ``docs``; ``root`` is a fingerprint of the class."""
     table = written(docs.select(*key, fingerprint_column(F.col(text), shingle).alias("fp")),
                     "fingerprints")
     least = written(table.groupBy("fp").agg(F.min(key[0]).alias("least")), "classes")
@@ -168,9 +168,9 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS,
     rooted = (least.join(joined, least.fp == joined.node, "left")
                    .select("fp", F.coalesce("root", "fp").alias("root"), "least"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id"),
+    named = written(rooted.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id"),
                     "components")
-    return table.join(named, "fp").select(*key, "fp", "component_id")
+    return table.join(named, "fp").select(*key, "fp", "root", "component_id")
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -190,10 +190,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> D
     cols = docs.columns
     keyed = docs.select("doc_id", content.alias("__text"), "text")
     table = classes(keyed, shingle, bits, key=("doc_id", "__text"))
-    # classes whose ids are all null are told apart by their fingerprint
-    first = (table.withColumn("__alone", F.when(F.col("component_id").isNull(), F.col("fp")))
-                  .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy("component_id", "__alone").agg(F.min("__text").alias("__text"))
+    # a repeated or null id may name several classes; the root tells them apart
+    first = (table.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                  .groupBy("root", "component_id").agg(F.min("__text").alias("__text"))
                   .select(F.col("component_id").alias("__id"), "__text").distinct())
     rows = docs.withColumn("__text", content)
     same = rows["doc_id"].eqNullSafe(first["__id"]) & (rows["__text"] == first["__text"])

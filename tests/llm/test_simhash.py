@@ -87,3 +87,12 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}
+
+
+def test_a_repeated_id_names_several_classes(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma", "delta")]
+    rows = [(7, texts[0]), (7, texts[1]), (8, texts[1]), (7, texts[1]), (None, texts[2]), (None, texts[3]), (None, texts[0])]
+    assert all((S.fingerprint(a) ^ S.fingerprint(b)).bit_count() > 3 for a in texts for b in texts if a != b)
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(
+        [(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[3])], key=str)
