@@ -136,14 +136,24 @@ class Vocabulary:
         return best
 
     def n_best(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best segmentations: A* from the end, forward scores as exact heuristic."""
+        """The n best segmentations: A* from the end, forward scores as exact heuristic.
+
+        No position is expanded more than n times: its first n suffixes are the
+        best, and none of the n best segmentations needs a further one. So a
+        run of one letter, where countless paths score the same, takes n steps
+        a position.
+        """
         if not chunk:
             return [(0.0, ())]
         ahead = self.forward(chunk)
         # (-total, order of arrival, position, score of the suffix, linked ids of the suffix)
         agenda, arrived, found = [(-ahead[-1], 0, len(chunk), 0.0, None)], 1, []
+        visits = [0] * (len(chunk) + 1)
         while agenda and len(found) < n:
             _, _, at, suffix, ids = heapq.heappop(agenda)
+            visits[at] += 1
+            if visits[at] > n:
+                continue
             if not at:
                 out = []
                 while ids is not None:

@@ -1,6 +1,7 @@
 """N-best segmentation against enumeration, and exact round trips."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -61,6 +62,23 @@ def test_round_trips(vocabulary):
         assert vocabulary.decode(vocabulary.encode(t)) == t
 
 
+@pytest.mark.parametrize("chunk, n", [("a" * 20_000, 2), ("x" * 5_000, 4), ("ab" * 3_000, 4), ("日" * 4_000, 2)])
+def test_long_runs_end(vocabulary, chunk, n):
+    """Countless equal paths: the search takes n steps a position, not one a path."""
+    began = time.perf_counter()
+    found = vocabulary.n_best(chunk, n)
+    assert time.perf_counter() - began < 5
+    assert all(b"".join(vocabulary.strings[i] for i in ids).decode() == chunk for _, ids in found)
+    assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+    assert len({ids for _, ids in found}) == len(found)
+
+
+@pytest.mark.parametrize("chunk", ["aaaaaaaa", "xxxxxxx", "ababab"])
+def test_n_best_of_runs_matches_enumeration(vocabulary, chunk):
+    expected = [s for s, _ in enumerate_all(vocabulary, chunk)[:6]]
+    assert np.allclose([s for s, _ in vocabulary.n_best(chunk, 6)], expected)
+
+
 def test_spark_encoding_and_decoding(spark, vocabulary):
     texts = [None, "", "The cat sat. The cat sat.", "x" * 3000, "same", "same"]
     docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, ids int")
