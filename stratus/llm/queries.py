@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stratus.llm import (chat, fingerprint, mixing, pii, quality_classifier, quality_rules,
-                         sentencepiece_codec, simhash, url_filter, warc)
+                         sentencepiece_codec, simhash, url_filter, warc, whitening)
 from stratus.llm.common import read
 
 
@@ -51,8 +51,12 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_sentencepiece, op3_warc, op4_pii_surrogates, op5_chat_formatting,
     op6_simhash_near_dedup, op7_fingerprints, op8_quality_classifier, op9_quality_rules,
-    op10_mixing)}
+    op10_mixing, op11_embedding_whitening)}
 ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL}
