@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratus.llm import (chat, fingerprint, mixing, pii, quality_classifier, quality_rules,
+from stratus.llm import (byte_bpe, chat, fingerprint, merkle, mixing, pii, quality_classifier, quality_rules,
                          sentencepiece_codec, simhash, url_filter, warc, whitening)
 from stratus.llm.common import read
 
@@ -55,8 +55,16 @@ def op11_embedding_whitening(spark, sf_dir):
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
 
+def op12_byte_bpe(spark, sf_dir):
+    return byte_bpe.round_trip(read(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.verify_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_sentencepiece, op3_warc, op4_pii_surrogates, op5_chat_formatting,
     op6_simhash_near_dedup, op7_fingerprints, op8_quality_classifier, op9_quality_rules,
-    op10_mixing, op11_embedding_whitening)}
+    op10_mixing, op11_embedding_whitening, op12_byte_bpe, op13_merkle_manifest)}
 ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL}

@@ -121,7 +121,7 @@ def added(rows: DataFrame, block: Callable[[list[bytes]], np.ndarray], size: int
             [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())],
             ["part", "sums"])
 
-    def of_group(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def of_group(key, frame):
         frame = frame.sort_values("part")
         total = np.zeros(size)
         for s in frame["sums"]:
