@@ -9,38 +9,35 @@ by size, so the number of files per date follows its bytes.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratus import files
 from stratus import schemas as S
-from stratus.session import remove_dir, scratch_dir
+from stratus.operators.publish import publish
+from stratus.session import scratch_dir
 
 PARTITION_COL = "reading_date"
 
 
-def _children(spark: SparkSession, path: str) -> set[str]:
-    """Names in a folder (one listing); empty when it does not exist."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return {f.getPath().getName() for f in fs.listStatus(folder)} if fs.exists(folder) else set()
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return any(not n.startswith(("_", ".")) for n in files.children(spark, path))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return any(not n.startswith(("_", ".")) for n in _children(spark, path))
+def touched_dates(rows: DataFrame) -> list[date]:
+    """Days present in a load or micro-batch: one entry a day."""
+    return sorted(r[0] for r in rows.select(PARTITION_COL).distinct().collect() if r[0] is not None)
 
 
-def touched_target(spark: SparkSession, path: str, incoming: DataFrame) -> DataFrame | None:
-    """The target table restricted to the dates ``incoming`` touches, or None.
+def touched_target(spark: SparkSession, path: str, dates: list[date]) -> DataFrame | None:
+    """The target table restricted to ``dates``, or None where it holds none of them.
 
-    Only the touched ``reading_date=`` directories are read — a load or
-    micro-batch never reads the whole (multi-year) table. The list of touched
-    dates is tiny (one entry per day present in the batch).
+    Only their ``reading_date=`` directories are read: a load or micro-batch
+    never reads the whole (multi-year) table.
     """
-    dates = {f"{PARTITION_COL}={r[0].isoformat()}"
-             for r in incoming.select(PARTITION_COL).distinct().collect() if r[0] is not None}
-    found = sorted(dates & _children(spark, path))
+    found = sorted({f"{PARTITION_COL}={d.isoformat()}" for d in dates} & files.children(spark, path))
     if not found:
         return None
     return spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/{d}" for d in found])
@@ -77,7 +74,7 @@ def _by_date(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame,
            keys: list[str] = S.READING_KEY, order: list[str] = ("run_ts", "pos"),
-           ts_col: str = "timestamp") -> None:
+           ts_col: str = "timestamp") -> list[date]:
     """K2: ``INSERT ... ON CONFLICT (keys) DO UPDATE`` — the latest update replaces all measures.
 
     1. ``updates`` is reduced to its last write per key (landing order
@@ -87,46 +84,71 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame,
        whose key is being updated are dropped (anti join on the key).
     3. The union replaces the touched partitions (dynamic overwrite), and the
        files of step 1 are removed.
+
+    Returns the touched dates, which drive the rebuild of what derives from them.
     """
     stage = scratch_dir(spark, "updates")
     _with_partition(latest_per_key(updates, keys, list(order)), ts_col).write.parquet(stage)
     latest = spark.read.parquet(stage)
-    target = touched_target(spark, path, latest)
+    dates = touched_dates(latest)
+    target = touched_target(spark, path, dates)
     merged = latest
     if target is not None:
         kept = target.join(latest.select(*keys), keys, "left_anti")
         merged = kept.unionByName(latest.select(*target.columns))
     (_by_date(merged, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                            .partitionBy(PARTITION_COL).parquet(path))
-    remove_dir(spark, stage)
+    files.remove(spark, stage)
+    return dates
 
 
 def insert_absent(spark: SparkSession, path: str, batch: DataFrame,
                   keys: list[str] = S.READING_KEY, order: list[str] = ("offset",),
-                  ts_col: str = "timestamp") -> None:
+                  ts_col: str = "timestamp", dates: list[date] | None = None) -> list[date]:
     """K3: ``INSERT ... ON CONFLICT DO NOTHING`` — the first write of a key wins.
 
     Within the batch the earliest row (by ``order``, e.g. the source offset)
     per key is kept; keys already in the table are dropped by an anti join
     against the touched dates only; the rest is appended. Replaying a batch
     appends nothing, so an at-least-once source gives an exactly-once table.
+    ``dates`` are the batch's days, where the caller knows them. Returns them.
     """
     order = list(order)
     first = _with_partition(first_per_key(batch, keys, order), ts_col)
-    target = touched_target(spark, path, _with_partition(batch.select(ts_col), ts_col))
+    if dates is None:
+        dates = touched_dates(_with_partition(batch.select(ts_col), ts_col))
+    target = touched_target(spark, path, dates)
     if target is not None:
         new = first.join(target.select(*keys), keys, "left_anti").select(*target.columns)
     else:
         new = first.select(*[c for c in first.columns if c not in order])
     _by_date(new, keys).write.mode("append").partitionBy(PARTITION_COL).parquet(path)
+    return dates
+
+
+# A day is rewritten once it has more files than this, and they are small on average.
+MAX_FILES = 16
+SMALL_BYTES = 64 * 1024 * 1024
+
+
+def crowded(spark: SparkSession, path: str, dates: list[date], max_files: int = MAX_FILES,
+            small_bytes: int = SMALL_BYTES) -> list[date]:
+    """Those of ``dates`` with more than ``max_files`` files of less than ``small_bytes`` on average.
+
+    From listings alone, one a date; no file is opened.
+    """
+    out = []
+    for d in dates:
+        found = files.sizes(spark, f"{path.rstrip('/')}/{PARTITION_COL}={d.isoformat()}")
+        if len(found) > max_files and sum(found.values()) < small_bytes * len(found):
+            out.append(d)
+    return out
 
 
 def compact(spark: SparkSession, path: str, dates: list, keys: list[str] = S.READING_KEY) -> None:
     """Rewrite the given dates of a table with files sized by bytes (after many small appends)."""
-    wanted = {f"{PARTITION_COL}={d.isoformat()}" for d in dates} & _children(spark, path)
-    if wanted:
-        rows = spark.read.option("basePath", path).parquet(
-            *[f"{path.rstrip('/')}/{d}" for d in sorted(wanted)])
+    rows = touched_target(spark, path, dates)
+    if rows is not None:
         (_by_date(rows, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                              .partitionBy(PARTITION_COL).parquet(path))
 
@@ -137,6 +159,30 @@ def append_once(df: DataFrame, path: str, name: str, value) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path))
 
 
+CLAIMS = "_claims"
+
+
+def claim_id(spark: SparkSession, path: str, run_id: str) -> int:
+    """The next id of a run log, claimed by a file that can be created once only.
+
+    Runs at the same time get different ids, in the order of their claims, and
+    no row of the log is read. A run that fails later leaves a gap, as a
+    sequence does. A log without claims (written before there were any) is
+    read once for its greatest id.
+    """
+    claims = f"{path.rstrip('/')}/{CLAIMS}"
+    taken = [int(n) for n in files.children(spark, claims) if n.isdigit()]
+    if taken:
+        n = max(taken) + 1
+    elif table_exists(spark, path):
+        n = (spark.read.parquet(path).agg(F.max("id")).first()[0] or 0) + 1
+    else:
+        n = 1
+    while not files.create_once(spark, f"{claims}/{n:012d}", run_id):
+        n += 1
+    return n
+
+
 def log_run(spark: SparkSession, path: str, run_id: str, rows_loaded: int, errors: int,
             created_at: datetime | None = None) -> DataFrame:
     """K4/Q9: append one run-log row; ``rows_fetched = rows_loaded + errors``.
@@ -144,12 +190,8 @@ def log_run(spark: SparkSession, path: str, run_id: str, rows_loaded: int, error
     ``status`` is ``success`` without errors, else ``partial``; ``created_at``
     defaults to the current time. ``id`` continues the log's sequence.
     """
-    next_id = 1
-    if table_exists(spark, path):
-        mx = spark.read.parquet(path).agg(F.max("id")).first()[0]
-        next_id = (mx or 0) + 1
     row = spark.createDataFrame(
-        [(next_id, run_id, None, rows_loaded + errors, rows_loaded,
+        [(claim_id(spark, path, run_id), run_id, None, rows_loaded + errors, rows_loaded,
           "success" if errors == 0 else "partial", None, None, created_at)],
         S.PIPELINE_RUNS)
     if created_at is None:
@@ -158,16 +200,18 @@ def log_run(spark: SparkSession, path: str, run_id: str, rows_loaded: int, error
     return row
 
 
-def build_mart(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """K7: full rebuild of a mart (``materialized='table'``): overwrite the whole path."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def build_mart(df: DataFrame, path: str, partition_by: list[str] | None = None,
+               replaces: list[str] | None = None) -> None:
+    """K7: build a mart (``materialized='table'``) and publish it at ``path``.
+
+    Readers (:func:`publish.read_published`) see the old mart until the new one
+    is complete. ``replaces`` rebuilds only these values of the first partition
+    column.
+    """
+    publish(df, path, partition_by, replaces)
 
 
 def stage_view(df: DataFrame, name: str) -> DataFrame:
     """K8: a staging model as a lazy temp view (``materialized='view'``)."""
     df.createOrReplaceTempView(name)
     return df
-

@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratus import files
 from stratus import oracles as O
 from stratus import schemas as S
-from stratus.operators import quality, sinks
-from stratus.plans import marts, panels, scenarios, staging
+from stratus.operators import publish, quality, sinks
+from stratus.plans import daily_state, marts, panels, scenarios, staging, warehouse
 from stratus.session import ensure_semantics
 from stratus.sources import bindings, landing
-from stratus.sources.tables import read_readings, read_runs, read_table
+from stratus.sources.tables import read_readings, read_runs
 from stratus.streaming import jobs
 
 AS_OF_BASELINE = datetime(2024, 2, 10, 0, 0, 0)
@@ -76,19 +77,32 @@ def mart(spark, sf_dir, name: str) -> DataFrame:
     return getattr(marts, MART_OF[name])(stg, cities)
 
 
-# Folder of the marts built for (application, tables); each mart is built on first use.
-_BUILT: dict[tuple[str, str], dict[str, str]] = {}
+# Folders of the state and the marts built from (application, tables, their files' names, sizes and times).
+_WAREHOUSES: dict[tuple, str] = {}
+
+
+def stored(spark, sf_dir) -> str:
+    """The warehouse of the tables as they stand now: rewritten tables get a new one."""
+    tables = tuple(files.fingerprint(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in bindings.SOURCES)
+    key = (spark.sparkContext.applicationId, sf_dir, tables)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = scenarios.scratch_dir(spark, "warehouse")
+        daily_state.refresh(spark, bindings.readings(spark, sf_dir), warehouse.state_path(_WAREHOUSES[key]))
+    return _WAREHOUSES[key]
+
+
+def state(spark, sf_dir) -> dict[str, DataFrame]:
+    """The daily state as the baselines read it, from its files."""
+    return warehouse.state(spark, stored(spark, sf_dir))
 
 
 def built(spark, sf_dir, name: str) -> DataFrame:
-    """A mart as dashboards and tests read it, from its files."""
-    known = _BUILT.setdefault((spark.sparkContext.applicationId, sf_dir), {})
-    if name not in known:
-        _, stg, cities = inputs(spark, sf_dir)
-        base = scenarios.scratch_dir(spark, "marts")
-        marts.build_all(stg, cities, AS_OF_BASELINE, base, [MART_OF[name]])
-        known[name] = f"{base}/{MART_OF[name]}"
-    return read_table(spark, known[name])
+    """A mart as dashboards and tests read it, from its files; built on first use."""
+    base, model = stored(spark, sf_dir), MART_OF[name]
+    if publish.version(spark, warehouse.mart_path(base, model)) is None:
+        raw, _, cities = inputs(spark, sf_dir)
+        warehouse.build(spark, base, model, raw, cities, AS_OF_BASELINE)
+    return warehouse.mart(spark, base, model)
 
 
 # ----------------------------------------------------- staging and marts ---
@@ -613,16 +627,26 @@ base AS (
     "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, mean_temp_2dp, stddev_temp FROM base",
     _BASELINE))
 def q_a15(spark, sf_dir):
-    return jobs.raw_baseline(bindings.readings(spark, sf_dir), AS_OF_BASELINE,
-                             bindings.cities(spark, sf_dir))
+    return daily_state.raw_baseline(state(spark, sf_dir), AS_OF_BASELINE, bindings.cities(spark, sf_dir))
+
+
+# A window that begins within a day: that day's readings, the other days' state.
+AS_OF_MIDDAY = datetime(2024, 2, 9, 13, 37, 0)
+
+
+@register("a15_raw_baseline_midday", O.with_models(
+    "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, mean_temp_2dp, stddev_temp FROM base",
+    _BASELINE.replace(O.AS_OF_BASELINE, "TIMESTAMP '2024-02-09 13:37:00'")))
+def q_a15_midday(spark, sf_dir):
+    return daily_state.raw_baseline(state(spark, sf_dir), AS_OF_MIDDAY, bindings.cities(spark, sf_dir),
+                                    bindings.readings(spark, sf_dir))
 
 
 @register("a16_robust_stats", O.sql(
     "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, stddev_temp, p25, p75, "
     "sample_size FROM city_stats", "m6"))
 def q_a16(spark, sf_dir):
-    _, stg, _ = inputs(spark, sf_dir)
-    return marts.robust_stats(stg, AS_OF_BASELINE)
+    return marts.robust_stats_of(daily_state.staged_counts(state(spark, sf_dir), AS_OF_BASELINE))
 
 
 _MSGS = f"""
@@ -698,4 +722,4 @@ def q_a13(spark, sf_dir):
 def q_k7(spark, sf_dir):
     path = scenarios.scratch_dir(spark, "mart-daily-summary")
     sinks.build_mart(mart(spark, sf_dir, "m3"), path)
-    return spark.read.parquet(path)
+    return publish.read_published(spark, path)

@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.functions import exprs as X
-from stratus.operators import joins, sinks
+from stratus.operators import joins
 from stratus.operators.ordering import asc_nulls_last, desc_nulls_first
-from stratus.sources.tables import read_table
+from stratus.plans import daily_state
 
-# Minimum readings per city before its baseline is trusted.
-MIN_BASELINE_SAMPLES = 24
-BASELINE_WINDOW = "30 days"
+# Readings a city needs before its baseline is trusted (A9), and the days it spans.
+MIN_BASELINE_SAMPLES = daily_state.MIN_BASELINE_SAMPLES
+BASELINE_WINDOW = f"{daily_state.BASELINE_DAYS} days"
 
 
 def daily_summary(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> DataFrame:
@@ -34,18 +34,26 @@ def daily_summary(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> D
     keys = ["city_name", "country", "continent", "region", "date"]
     # sums by condition first (hash aggregate over the readings), then the few conditions of a day
     sums = (base.groupBy(*keys[:4], F.to_date("reading_at").alias("date"), "weather_condition")
-                .agg(F.sum(X.units_of("temperature_c", 2)).alias("t"),
-                     F.count("temperature_c").alias("tn"),
-                     F.min("temperature_c").alias("lo"), F.max("temperature_c").alias("hi"),
-                     F.sum(X.units_of("precipitation_mm", 2)).alias("p"),
-                     F.sum(X.units_of("windspeed_kmh", 2)).alias("w"),
-                     F.count("windspeed_kmh").alias("wn"),
-                     F.sum(X.units_of("humidity_pct", 1)).alias("h"),
-                     F.count("humidity_pct").alias("hn"),
-                     F.count(F.lit(1)).alias("n")))
+                .agg(*daily_state.condition_sums()))
+    out = _summed_up(sums, keys)
+    if ordered:
+        out = out.orderBy(F.col("date").desc_nulls_first(), asc_nulls_last("city_name"))
+    return out
+
+
+def daily_summary_of(conditions: DataFrame, cities: DataFrame) -> DataFrame:
+    """M3 merged from the daily state (``daily_state.by_condition``): no reading is read."""
+    keys = ["city_name", "country", "continent", "region", "date"]
+    base = joins.with_city(conditions.withColumnRenamed("reading_date", "date"), cities,
+                           [F.col("name").alias("city_name"), "country", "continent", "region"])
+    return _summed_up(base.groupBy(*keys, "weather_condition").agg(*daily_state.merged_sums()), keys)
+
+
+def _summed_up(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """The finish of M3: the sums of a day's conditions, and its most frequent one."""
     most = F.min(F.when(F.col("weather_condition").isNotNull(),
                         F.struct((-F.col("n")).alias("n"), "weather_condition")))
-    out = (sums.groupBy(*keys)
+    return (sums.groupBy(*keys)
            .agg(X.rounded_mean(F.sum("t"), F.sum("tn"), 2, 5).alias("avg_temp_c"),
                 F.min("lo").alias("min_temp_c"),
                 F.max("hi").alias("max_temp_c"),
@@ -55,9 +63,6 @@ def daily_summary(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> D
                 X.rounded_mean(F.sum("h"), F.sum("hn"), 1, 4).alias("avg_humidity_pct"),
                 most["weather_condition"].alias("dominant_condition"),
                 F.sum("n").alias("reading_count")))
-    if ordered:
-        out = out.orderBy(F.col("date").desc_nulls_first(), asc_nulls_last("city_name"))
-    return out
 
 
 def weekly_trends(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> DataFrame:
@@ -78,13 +83,29 @@ def weekly_trends(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> D
                       F.date_trunc("day", "reading_at").alias("day"))
              .agg(X.rounded_mean(units, n, 2, 5).alias("daily_avg_temp_c"),
                   X.wide_mean(units, n).alias("__daily_mean")))
-    out = rolling_mean(daily, "city_id", "day", "__daily_mean", rows=7,
-                       alias="temp_7day_rolling_avg").drop("__daily_mean")
+    out = _rolling_week(daily)
     if ordered:
         out = out.orderBy(asc_nulls_last("city_name"), F.col("day").desc_nulls_first())
     return out
 
 
+def weekly_trends_of(conditions: DataFrame, cities: DataFrame) -> DataFrame:
+    """M4 merged from the daily state."""
+    days = (conditions.where(F.col("tn") > 0).groupBy("city_id", "reading_date")
+                      .agg(F.sum("t").alias("t"), F.sum("tn").alias("tn")))
+    base = joins.with_city(days, cities, [F.col("name").alias("city_name"), "continent", "region"])
+    units, n = F.col("t"), F.col("tn")
+    return _rolling_week(base.select(
+        "city_id", "city_name", "continent", "region",
+        F.date_trunc("day", F.col("reading_date").cast("timestamp_ntz")).alias("day"),
+        X.rounded_mean(units, n, 2, 5).alias("daily_avg_temp_c"), X.wide_mean(units, n).alias("__daily_mean")))
+
+
+def _rolling_week(daily: DataFrame) -> DataFrame:
+    return rolling_mean(daily, "city_id", "day", "__daily_mean", rows=7,
+                        alias="temp_7day_rolling_avg").drop("__daily_mean")
+
+
 def rolling_mean(df: DataFrame, part: str, order: str, value: str, rows: int,
                  alias: str) -> DataFrame:
     """Mean over the current row and the ``rows - 1`` rows before it in ``order``, to 2 places.
@@ -125,6 +146,20 @@ def city_comparisons(stg: DataFrame, cities: DataFrame, ordered: bool = False) -
     return out
 
 
+def city_comparisons_of(conditions: DataFrame, cities: DataFrame) -> DataFrame:
+    """M5 merged from the daily state."""
+    place = ["city_name", "country", "continent", "region", "latitude", "longitude"]
+    totals = conditions.groupBy("city_id").agg(*daily_state.merged_sums())
+    base = joins.with_city(totals, cities, [F.col("name").alias("city_name"), *place[1:]])
+    return base.groupBy(*place).agg(
+        X.rounded_mean(F.sum("t"), F.sum("tn"), 2, 5).alias("avg_temp_c"),
+        F.min("lo").alias("min_temp_c"), F.max("hi").alias("max_temp_c"),
+        X.rounded_mean(F.sum("w"), F.sum("wn"), 2, 5).alias("avg_windspeed_kmh"),
+        X.rounded_mean(F.sum("h"), F.sum("hn"), 1, 4).alias("avg_humidity_pct"),
+        (F.sum("p").cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)").alias("total_precip_mm"),
+        F.sum("n").alias("total_readings"))
+
+
 def robust_stats(stg: DataFrame, as_of: datetime,
                  min_samples: int = MIN_BASELINE_SAMPLES) -> DataFrame:
     """Per-city mean, sample stddev, p25, p75 and count over the trailing 30 days.
@@ -138,6 +173,11 @@ def robust_stats(stg: DataFrame, as_of: datetime,
     counts = (recent.where(F.col("temperature_c").isNotNull())
                     .groupBy("city_id", X.units_of("temperature_c", 2).alias("u"))
                     .agg(F.count(F.lit(1)).alias("c")))
+    return robust_stats_of(counts, min_samples)
+
+
+def robust_stats_of(counts: DataFrame, min_samples: int = MIN_BASELINE_SAMPLES) -> DataFrame:
+    """A16 from counts by city and temperature (city_id, u in hundredths, c)."""
     city = Window.partitionBy("city_id")
     upto = F.sum("c").over(city.orderBy("u").rowsBetween(Window.unboundedPreceding, 0))
     ranked = counts.withColumn("upto", upto).withColumn("n", F.sum("c").over(city))
@@ -167,14 +207,15 @@ def ranked_percentile(p: float, scale: int = 2):
 
 
 def temperature_anomalies(stg: DataFrame, cities: DataFrame, as_of: datetime,
-                          ordered: bool = False) -> DataFrame:
+                          ordered: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """M6: every staged reading scored against its city's fixed 30-day baseline.
 
     J2: the per-city stats are joined to the dimension first; the result has at
     most one row per city, so it is broadcast into the (unshuffled) scan of
-    all readings exactly when the dimension passes the size check.
+    all readings exactly when the dimension passes the size check. ``stats``
+    are the cities' statistics, where the daily state has them already.
     """
-    stats = robust_stats(stg, as_of)
+    stats = robust_stats(stg, as_of) if stats is None else stats
     dim = cities.select(
         F.col("id").alias("__city_key"), F.col("name").alias("city_name"),
         "country", "continent", "region")
@@ -218,25 +259,3 @@ def extreme_weather(stg: DataFrame, cities: DataFrame, ordered: bool = False) ->
     if ordered:
         out = out.orderBy(F.col("reading_at").desc_nulls_first())
     return out
-
-
-def build_all(stg: DataFrame, cities: DataFrame, as_of: datetime, base: str,
-              names: list[str] | None = None) -> dict[str, DataFrame]:
-    """K7: build the marts ``names`` (default: all five) under ``base`` and read them back.
-
-    Each mart is written once as Parquet; dashboards and tests read those
-    files, with column pruning and pushed filters.
-    """
-    builds = {
-        "daily_summary": lambda: daily_summary(stg, cities),
-        "weekly_trends": lambda: weekly_trends(stg, cities),
-        "city_comparisons": lambda: city_comparisons(stg, cities),
-        "temperature_anomalies": lambda: temperature_anomalies(stg, cities, as_of),
-        "extreme_weather": lambda: extreme_weather(stg, cities),
-    }
-    out = {}
-    for name in names or builds:
-        path = f"{base.rstrip('/')}/{name}"
-        sinks.build_mart(builds[name](), path)
-        out[name] = read_table(stg.sparkSession, path)
-    return out

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions import exprs as X
@@ -125,9 +125,21 @@ def recent_events(m7: DataFrame, k: int = 20) -> DataFrame:
 # ------------------------------------------------------ city deep dive ---
 
 
+# Buckets of a daily summary that is stored by city.
+CITY_BUCKET, CITY_BUCKETS = "city_bucket", 16
+
+
+def city_bucket(name: Column) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(CITY_BUCKETS)).cast("int")
+
+
 def _city(m3: DataFrame, city: str) -> DataFrame:
-    """Rows of one city (a bound parameter, never spliced into SQL text)."""
-    return m3.where(F.col("city_name") == F.lit(city))
+    """Rows of one city (a bound parameter, never spliced into SQL text).
+
+    On a summary stored by city buckets only the city's own bucket is read.
+    """
+    rows = m3.where(F.col("city_name") == F.lit(city))
+    return rows.where(F.col(CITY_BUCKET) == city_bucket(F.lit(city))) if CITY_BUCKET in m3.columns else rows
 
 
 def _latest_day(m3: DataFrame, city: str) -> DataFrame:

@@ -105,12 +105,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def remove_dir(spark: SparkSession, path: str) -> None:
-    """Delete a folder under the checkpoint dir, through its file system."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def scratch_dir(spark: SparkSession, purpose: str, create: bool = False) -> str:
     """A fresh, unique folder for tables a job writes, under the shared checkpoint dir.
 

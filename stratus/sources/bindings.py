@@ -80,16 +80,12 @@ RUN_EXPRS = {
 }
 
 
-# The driver's tables are read-only: one relation per (session, file) is reused.
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+# The tables that the readings and the dimension are made of.
+SOURCES = ("events", "nation", "region")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _RELATIONS:
-        _RELATIONS[key] = spark.read.parquet(path)
-    return _RELATIONS[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
