@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,7 +47,9 @@ OVERLAP = 2_048
 # after white space).
 REACH = 2
 # Pre-tokens whose ids a task keeps.
-KEPT = 300_000
+KEPT = 100_000
+# Rows that a task works on at once.
+BLOCK = 256
 _BYTES = {bytes([i]): i for i in range(256)}
 
 
@@ -92,39 +95,40 @@ def spelt_out(pattern: str) -> str:
     return "".join(out)
 
 
+class _Kept(dict):
+    """Ids of recent pre-tokens, as little-endian int32 bytes."""
+
+    def __init__(self, single):
+        super().__init__()
+        self.single = single
+
+    def __missing__(self, word: str) -> bytes:
+        own = np.array(self.single(word.encode()), "<i4").tobytes()
+        if len(word) < 64:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = own
+        return own
+
+
 class Encoder:
-    """Pre-tokens of a text and their ids; ids of recent pre-tokens are kept."""
+    """Pre-tokens of a text and their ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = re.compile(pattern)
-        self.single = tiktoken.Encoding("ranks", pat_str=r"\s", mergeable_ranks=ranks,
-                                        special_tokens={})._core_bpe.encode_single_piece
-        self.kept: dict[str, list[int]] = {}
-
-    def ids(self, words: list[str]) -> list[int]:
-        out: list[int] = []
-        kept = self.kept
-        for word in words:
-            own = kept.get(word)
-            if own is None:
-                own = self.single(word.encode())
-                if len(word) < 64:
-                    if len(kept) >= KEPT:
-                        kept.clear()
-                    kept[word] = own
-            out += own
-        return out
+        self.get = _Kept(tiktoken.Encoding("ranks", pat_str=r"\s", mergeable_ranks=ranks,
+                                           special_tokens={})._core_bpe.encode_single_piece).__getitem__
 
     def ends(self, text: str, whole: bool) -> list[int]:
         """Ends of the pre-tokens of ``text`` that do not depend on what follows it."""
         safe = len(text) if whole else len(text) - REACH
         return [e for m in self.pattern.finditer(text) if (e := m.end()) <= safe]
 
-    def piece(self, text: str, length: int) -> list[int]:
-        """Ids of the first ``length`` code points, read with the text behind them."""
+    def piece(self, text: str, length: int) -> bytes:
+        """Ids (int32 bytes) of the first ``length`` code points, read with the text behind them."""
         if length == len(text):
-            return self.ids(self.pattern.findall(text))
-        return self.ids([m.group() for m in self.pattern.finditer(text) if m.end() <= length])
+            return b"".join(map(self.get, self.pattern.findall(text)))
+        return b"".join([self.get(m.group()) for m in self.pattern.finditer(text) if m.end() <= length])
 
 
 def _shared(spark, vocabulary: str, pattern: str):
@@ -132,11 +136,17 @@ def _shared(spark, vocabulary: str, pattern: str):
     return spark.sparkContext.broadcast((ranks_of(vocabulary), spelt_out(pattern)))
 
 
-def _ids_array(ids: list[list[int]]) -> pa.Array:
+def _ids_array(ids: list[bytes]) -> pa.Array:
     offsets = np.zeros(len(ids) + 1, np.int32)
-    np.cumsum([len(i) for i in ids], out=offsets[1:])
-    flat = np.fromiter((x for own in ids for x in own), np.int32, int(offsets[-1]))
-    return pa.ListArray.from_arrays(offsets, flat)
+    np.cumsum([len(i) // 4 for i in ids], out=offsets[1:])
+    return pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(ids), "<i4"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``BLOCK`` rows at most: what a task holds besides its input."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            yield batch.slice(at, BLOCK)
 
 
 # -- long texts ---------------------------------------------------------------
@@ -155,7 +165,7 @@ def _edges(texts: DataFrame, chunks: DataFrame, shared, overlap: int) -> DataFra
     """Chunks with the ends of pre-tokens in the stretches that they share with their neighbours."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
-        for batch in batches:
+        for batch in _blocks(batches):
             encoder = encoder or Encoder(*shared.value)
             heads, tails = [], []
             start, stop, last, slices = (batch.column(i).to_pylist() for i in (1, 2, 3, 4))
@@ -211,7 +221,7 @@ def _long_ids(texts: DataFrame, shared, chunk: int, overlap: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
-        for batch in batches:
+        for batch in _blocks(batches):
             encoder = encoder or Encoder(*shared.value)
             start, until, slices = (batch.column(i).to_pylist() for i in (1, 2, 4))
             ids = _ids_array([encoder.piece(t, b - a) for a, b, t in zip(start, until, slices)])
@@ -236,10 +246,10 @@ def encode(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
-        for batch in batches:
+        for batch in _blocks(batches):
             encoder = encoder or Encoder(*shared.value)
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            ids = _ids_array([encoder.piece(t, len(t)) if t else [] for t in texts])
+            ids = _ids_array([encoder.piece(t, len(t)) if t else b"" for t in texts])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], schema.names)
 
     long = F.length(text) > chunk + overlap
@@ -257,16 +267,18 @@ def decode(rows: DataFrame, keep: tuple[str, ...] = ("doc_id",), ids: str = "ids
            vocabulary: str | None = None) -> DataFrame:
     """``keep`` columns and ``decoded`` (binary): the bytes of the ids, one after another."""
     ranks = ranks_of(vocabulary or public_tokenizers.path(VOCABULARY))
-    table = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        table[rank] = token
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+    shared = rows.sparkSession.sparkContext.broadcast(ranks)
     schema = T.StructType([rows.schema[c] for c in keep] + [T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.__getitem__
-        for batch in batches:
-            texts = [b"".join(map(get, own or ())) for own in batch.column(batch.num_columns - 1).to_pylist()]
+        table = np.full(max(shared.value.values()) + 1, b"", object)
+        for token, rank in shared.value.items():
+            table[rank] = token
+        for batch in _blocks(batches):
+            column = batch.column(batch.num_columns - 1)
+            lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+            texts = [b"".join(table[flat[e - n:e]].tolist()) for e, n in zip(ends.tolist(), lengths.tolist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], schema.names)
 
     return rows.select(*keep, ids).mapInArrow(run, schema)
