@@ -45,6 +45,10 @@ HEAT_C, FREEZE_C, HIGH_WIND_KMH, HEAVY_RAIN_MM = 35, -10, 60, 10
 EVENT_TYPES = ["Thunderstorm", "Heatwave", "Freeze", "High winds", "Heavy rain", "Other"]
 # Anomaly thresholds on |z|.
 SIGNIFICANT_Z, EXTREME_Z = 2, 3
+# Fahrenheit from Celsius: 9/5 and 32.
+F_PER_C, F_OFFSET = Decimal("1.8"), 32
+# Days of a baseline, and the readings a city needs for one.
+BASELINE_DAYS, MIN_BASELINE_SAMPLES = 30, 24
 SEVERITIES = ["extreme", "significant", "normal"]
 # ---------------------------------------------------------------------------
 
@@ -92,7 +96,7 @@ def c_to_f(c) -> Column:
     Decimal arithmetic, so 20.55 -> 68.99 exactly (no binary-float drift).
     """
     c = _c(c)
-    f = F.round(c * F.lit(Decimal("1.8")) + 32, 2).cast("decimal(7,2)")
+    f = F.round(c * F.lit(F_PER_C) + F_OFFSET, 2).cast("decimal(7,2)")
     return F.when(c.between(TEMP_MIN, TEMP_MAX), f)
 
 

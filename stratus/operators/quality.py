@@ -7,7 +7,7 @@ and only where the reference itself acts on the value (Q5 raises).
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -265,22 +265,28 @@ def run_status(errors) -> Column:
     return F.when(e == 0, F.lit("success")).otherwise(F.lit("partial"))
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach success/error counters to ``df`` without a second pass.
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Counters of a load or stage, taken while an action on the returned DataFrame runs.
 
-    The counts are filled in when an action on the returned DataFrame runs;
-    read them with ``observation.get``.
+    ``metrics`` are aggregates (by name); no second pass over the data. Read
+    them with ``observation.get`` after the action.
     """
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), obs
 
 
-def key_checks(readings: DataFrame, cities: DataFrame, runs: DataFrame) -> DataFrame:
+def key_checks(readings: DataFrame, cities: DataFrame, runs: DataFrame,
+               days: list[date] | None = None) -> DataFrame:
     """Q10: key, foreign-key and CHECK constraints as violation counts.
 
     ``check_name, violations``: duplicate reading keys, readings whose city is
-    missing, run statuses outside the allowed set, duplicate run ids.
+    missing, run statuses outside the allowed set, duplicate run ids. With
+    ``days`` (those a load has touched) only these days of a table stored by
+    day are read: a key's day follows from its timestamp, so no other day can
+    hold its double.
     """
+    if days is not None:
+        readings = readings.where(F.col("reading_date").isin(days))
     dup_keys = readings.groupBy("city_id", "timestamp").agg(F.count(F.lit(1)).alias("n")).agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations"))
     orphan = orphans(readings, cities, "city_id", "id").agg(

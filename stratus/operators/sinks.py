@@ -74,31 +74,35 @@ def _by_date(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame,
            keys: list[str] = S.READING_KEY, order: list[str] = ("run_ts", "pos"),
-           ts_col: str = "timestamp") -> list[date]:
+           ts_col: str = "timestamp", in_files: bool = False, dates: list[date] | None = None) -> list[date]:
     """K2: ``INSERT ... ON CONFLICT (keys) DO UPDATE`` — the latest update replaces all measures.
 
-    1. ``updates`` is reduced to its last write per key (landing order
-       ``order``) and that result is written once; dates, keys and rows are
-       all taken from those files.
-    2. Target rows are read only from the dates the updates touch, and rows
-       whose key is being updated are dropped (anti join on the key).
-    3. The union replaces the touched partitions (dynamic overwrite), and the
+    1. ``updates`` are written once as they come, unless the caller has them
+       ``in_files`` already. ``dates`` are their days, where the caller knows.
+    2. The target's rows of these days and the updates are reduced together to
+       the last write per key (landing order ``order``, a stored row before
+       any update): one shuffle on the key, combined map-side.
+    3. The result replaces the touched partitions (dynamic overwrite), and the
        files of step 1 are removed.
 
     Returns the touched dates, which drive the rebuild of what derives from them.
     """
-    stage = scratch_dir(spark, "updates")
-    _with_partition(latest_per_key(updates, keys, list(order)), ts_col).write.parquet(stage)
-    latest = spark.read.parquet(stage)
-    dates = touched_dates(latest)
+    stage, order = None, list(order)
+    if not in_files:
+        stage = scratch_dir(spark, "updates")
+        updates.write.parquet(stage)
+        updates = spark.read.parquet(stage)
+    rows = _with_partition(updates, ts_col)
+    dates = touched_dates(rows) if dates is None else sorted(dates)
     target = touched_target(spark, path, dates)
-    merged = latest
     if target is not None:
-        kept = target.join(latest.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(latest.select(*target.columns))
-    (_by_date(merged, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                           .partitionBy(PARTITION_COL).parquet(path))
-    files.remove(spark, stage)
+        before = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order]
+        stored = target.select("*", *before)
+        rows = stored.unionByName(rows.select(*stored.columns))
+    (_by_date(latest_per_key(rows, keys, order), keys).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(path))
+    if stage:
+        files.remove(spark, stage)
     return dates
 
 
@@ -153,8 +157,17 @@ def compact(spark: SparkSession, path: str, dates: list, keys: list[str] = S.REA
                              .partitionBy(PARTITION_COL).parquet(path))
 
 
-def append_once(df: DataFrame, path: str, name: str, value) -> None:
-    """Write ``df`` as partition ``name=value``; running it again replaces that partition only."""
+def append_once(df: DataFrame, path: str, name: str, value, any_rows: bool = True) -> None:
+    """Write ``df`` as partition ``name=value``; running it again replaces that partition only.
+
+    A caller that knows ``df`` to be empty says so (``any_rows``): the partition is removed, nothing is run.
+    """
+    if not any_rows:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(
+            name, str(value))
+        files.remove(spark, f"{path.rstrip('/')}/{folder}")
+        return
     (df.withColumn(name, F.lit(value)).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path))
 

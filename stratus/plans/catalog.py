@@ -73,7 +73,8 @@ def mart(spark, sf_dir, name: str) -> DataFrame:
     """A mart as its model computes it."""
     _, stg, cities = inputs(spark, sf_dir)
     if name == "m6":
-        return marts.temperature_anomalies(stg, cities, AS_OF_BASELINE)
+        stats = marts.robust_stats_of(daily_state.staged_counts(state(spark, sf_dir), AS_OF_BASELINE))
+        return marts.temperature_anomalies(stg, cities, AS_OF_BASELINE, stats=stats)
     return getattr(marts, MART_OF[name])(stg, cities)
 
 
@@ -653,12 +654,12 @@ _MSGS = f"""
 msgs AS (
   SELECT r.city_id, c.name AS city_name, c.country, c.continent, r.timestamp,
          CAST(r.temperature AS DOUBLE) AS temperature, CAST(r.windspeed AS DOUBLE) AS windspeed,
-         CAST(r.weather_code AS INTEGER) AS weather_code, '1.0' AS schema_version
+         CAST(r.weather_code AS INTEGER) AS weather_code, '1.0' AS schema_version, r.timestamp AS reading_time
   {_RC} WHERE r.weather_code <> 42
   UNION ALL
   SELECT r.city_id, c.name, c.country, c.continent, r.timestamp,
          CAST(r.temperature + 1 AS DOUBLE), CAST(r.windspeed AS DOUBLE),
-         CAST(r.weather_code AS INTEGER), '1.0'
+         CAST(r.weather_code AS INTEGER), '1.0', r.timestamp
   {_RC} WHERE r.timestamp >= {_REV}
 )"""
 
@@ -666,7 +667,7 @@ msgs AS (
 _ALERTS = f"""
 SELECT CAST(m.city_id AS BIGINT) AS city_id, m.city_name, m.country, m.continent, m.timestamp,
        m.temperature, m.windspeed, CAST(m.weather_code AS BIGINT) AS weather_code,
-       m.schema_version, 'temperature_anomaly' AS alert_type,
+       m.schema_version, m.reading_time, 'temperature_anomaly' AS alert_type,
        ROUND((m.temperature - b.mean_temp) / b.stddev_temp, 3) + 0.0 AS z_score,
        b.mean_temp_2dp AS baseline_mean, ROUND(b.stddev_temp, 2) AS baseline_stddev,
        CASE WHEN ABS((m.temperature - b.mean_temp) / b.stddev_temp) > 3 THEN 'extreme'
@@ -701,12 +702,14 @@ def q_k6(spark, sf_dir):
 @register("n5_message_roundtrip", O.with_models(f"""
 SELECT CAST(city_id AS VARCHAR) AS key, CAST(city_id AS BIGINT) AS city_id, city_name, country,
        continent, timestamp, temperature, windspeed, CAST(weather_code AS BIGINT) AS weather_code,
-       schema_version FROM (
-  SELECT r.city_id, c.name AS city_name, c.country, c.continent, r.timestamp,
+       schema_version, reading_time FROM (
+  SELECT r.city_id, c.name AS city_name, c.country, c.continent,
+         r.timestamp + INTERVAL '7 minutes' AS timestamp,
          CAST(r.temperature AS DOUBLE) AS temperature, CAST(r.windspeed AS DOUBLE) AS windspeed,
-         r.weather_code, '1.0' AS schema_version {_RC}) t"""))
+         r.weather_code, '1.0' AS schema_version, r.timestamp AS reading_time {_RC}) t"""))
 def q_n5(spark, sf_dir):
-    msgs = jobs.to_messages(bindings.readings(spark, sf_dir), bindings.cities(spark, sf_dir))
+    ingested = F.col("timestamp") + F.expr("INTERVAL 7 MINUTES")
+    msgs = jobs.to_messages(bindings.readings(spark, sf_dir), bindings.cities(spark, sf_dir), ingested)
     good, _ = jobs.decode(msgs.drop("timestamp"))
     return good.drop("value")
 
@@ -723,3 +726,6 @@ def q_k7(spark, sf_dir):
     path = scenarios.scratch_dir(spark, "mart-daily-summary")
     sinks.build_mart(mart(spark, sf_dir, "m3"), path)
     return publish.read_published(spark, path)
+
+
+from stratus.plans import catalog_jobs  # noqa: E402,F401 — registers its queries here

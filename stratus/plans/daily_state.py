@@ -31,9 +31,6 @@ from stratus.operators.sinks import PARTITION_COL
 from stratus.plans import staging
 
 TABLES = ("conditions", "temperatures", "moments")
-# Trailing days of a baseline, and the readings a city needs for one.
-BASELINE_DAYS = 30
-MIN_BASELINE_SAMPLES = 24
 
 
 # -- partial aggregates --------------------------------------------------------
@@ -111,7 +108,7 @@ def read_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 # -- merging -------------------------------------------------------------------
 
 def trailing(cells: DataFrame, of_readings: Callable[[DataFrame], DataFrame], readings: DataFrame | None,
-             as_of: datetime, days: int = BASELINE_DAYS) -> DataFrame:
+             as_of: datetime, days: int = X.BASELINE_DAYS) -> DataFrame:
     """The state of the trailing ``days``: readings from ``as_of - days`` on, this instant included.
 
     Whole days come from the state. Where the window begins within a day, that
@@ -144,7 +141,7 @@ def raw_baseline(state: dict[str, DataFrame], as_of: datetime, cities: DataFrame
                  .agg(X.mean_of(F.sum("raw_s1"), n).alias("mean_temp"),
                       X.rounded_mean(F.sum("raw_s1"), n, 2, 7).cast("double").alias("mean_temp_2dp"),
                       X.stddev_of(F.sum("raw_s1"), F.sum("raw_s2"), n).alias("stddev_temp"), n.alias("n"))
-                 .where(F.col("n") >= MIN_BASELINE_SAMPLES).drop("n"))
+                 .where(F.col("n") >= X.MIN_BASELINE_SAMPLES).drop("n"))
     if cities is not None:
         out = out.join(joins.bounded(cities.select(F.col("id").alias("city_id"))), "city_id")
     return out

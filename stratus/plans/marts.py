@@ -20,8 +20,8 @@ from stratus.operators.ordering import asc_nulls_last, desc_nulls_first
 from stratus.plans import daily_state
 
 # Readings a city needs before its baseline is trusted (A9), and the days it spans.
-MIN_BASELINE_SAMPLES = daily_state.MIN_BASELINE_SAMPLES
-BASELINE_WINDOW = f"{daily_state.BASELINE_DAYS} days"
+MIN_BASELINE_SAMPLES = X.MIN_BASELINE_SAMPLES
+BASELINE_WINDOW = f"{X.BASELINE_DAYS} days"
 
 
 def daily_summary(stg: DataFrame, cities: DataFrame, ordered: bool = False) -> DataFrame:

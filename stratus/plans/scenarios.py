@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus import schemas as S
 from stratus.functions import exprs as X
-from stratus.plans import etl
+from stratus.plans import daily_state, etl
 from stratus.session import scratch_dir  # noqa: F401 — re-exported for catalog
 from stratus.sources import bindings, landing
 from stratus.streaming import jobs
@@ -70,11 +70,13 @@ def land_revised(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
-def two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+def two_loads(spark: SparkSession, sf_dir: str, base: str | None = None,
+              marts: tuple[str, ...] = ()) -> tuple[str, str, str]:
     """Load 1: all provisional runs, faults among them. Load 2: provisional runs from the revision
     day (re-delivered) together with all revised runs; the later run wins per key.
 
-    Returns ``(readings_table, run_log, quarantine)`` paths.
+    Returns ``(readings_table, run_log, quarantine)`` paths. With ``base``, both loads bring the
+    daily state and the ``marts`` there up to date.
     """
     base_a = land_provisional(spark, sf_dir, faults=True)
     base_b = land_revised(spark, sf_dir)
@@ -85,7 +87,7 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
             ("load-1", [(base_a, None)]),
             ("load-2", [(base_a, run_day >= REVISION_FROM.strftime("%Y-%m-%d")), (base_b, None)])):
         etl.load_runs(spark, sources, table, runs, cities, run_id, rejects,
-                      created_at=LOAD_TIME, as_of=LOAD_TIME)
+                      created_at=LOAD_TIME, as_of=LOAD_TIME, base=base, marts=marts)
     return table, runs, rejects
 
 
@@ -94,18 +96,8 @@ def two_loads(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
 BROKEN_CODE, UNFIT_CODE, NO_ID_CITY = 42, 45, 8
 
 
-def message_files(spark: SparkSession, sf_dir: str, unfit: bool = False) -> str:
-    """Write the reading stream as two deliveries of JSON message files.
-
-    Delivery 1: one message per reading, malformed for the broken code and
-    (with ``unfit``) not storable for two cities. Delivery 2 (an at-least-once
-    redelivery) re-sends every reading from the revision day on, intact but
-    with the provisional temperature. Offsets order delivery 2 after 1.
-    """
-    raw = bindings.readings(spark, sf_dir)
-    cities = bindings.cities(spark, sf_dir)
-    path = scratch_dir(spark, "messages")
-    value = F.col("value")
+def _first_delivery(spark: SparkSession, sf_dir: str, unfit: bool) -> DataFrame:
+    raw, cities, value = bindings.readings(spark, sf_dir), bindings.cities(spark, sf_dir), F.col("value")
 
     def code(n):
         return value.contains(f'"weather_code":{n},')
@@ -116,20 +108,46 @@ def message_files(spark: SparkSession, sf_dir: str, unfit: bool = False) -> str:
                     value, '"temperature":[^,]*', f'"temperature":{OVERFLOW_VALUE}.0'))
                     .when(code(UNFIT_CODE) & (F.col("key") == str(NO_ID_CITY)), F.regexp_replace(
                         value, '"city_id":[^,]*', '"city_id":null')))
-    first = jobs.to_messages(raw, cities).withColumn("value", sent.otherwise(value))
-    micros = F.unix_micros(F.col("timestamp"))
-    (first.select("key", "value", (F.col("key").cast("int") % 3).alias("partition"),
-                  micros.alias("offset"))
-          .write.mode("append").json(path))
-    shifted = raw.where(_revision_pred()).withColumn(
+    return jobs.to_messages(raw, cities, F.col("timestamp")).withColumn("value", sent.otherwise(value))
+
+
+def _second_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = bindings.readings(spark, sf_dir).where(_revision_pred()).withColumn(
         "temperature", F.col("temperature") + F.lit(PROVISIONAL_SHIFT))
-    second = jobs.to_messages(shifted, cities)
-    (second.select("key", "value", (F.col("key").cast("int") % 3).alias("partition"),
-                   (F.unix_micros(F.col("timestamp")) + F.lit(10 ** 17)).alias("offset"))
-           .write.mode("append").json(path))
+    return jobs.to_messages(shifted, bindings.cities(spark, sf_dir), F.col("timestamp"))
+
+
+def _deliver(messages: DataFrame, path: str, later: int = 0) -> None:
+    (messages.select("key", "value", (F.col("key").cast("int") % 3).alias("partition"),
+                     (F.unix_micros(F.col("timestamp")) + F.lit(later)).alias("offset"))
+             .write.mode("append").json(path))
+
+
+def message_files(spark: SparkSession, sf_dir: str, unfit: bool = False) -> str:
+    """Write the reading stream as two deliveries of JSON message files.
+
+    Delivery 1: one message per reading, malformed for the broken code and
+    (with ``unfit``) not storable for two cities. Delivery 2 (an at-least-once
+    redelivery) re-sends every reading from the revision day on, intact but
+    with the provisional temperature. Offsets order delivery 2 after 1.
+    """
+    path = scratch_dir(spark, "messages")
+    _deliver(_first_delivery(spark, sf_dir, unfit), path)
+    _deliver(_second_delivery(spark, sf_dir), path, 10 ** 17)
     return path
 
 
+def stream_late(spark: SparkSession, sf_dir: str) -> str:
+    """The revised second half of the month arrives first, everything else later; the table's path."""
+    path, table, checkpoint, quarantine = (scratch_dir(spark, n) for n in (
+        "messages", "streaming-readings", "ckpt-late", "quarantine"))
+    for messages in (_second_delivery(spark, sf_dir), _first_delivery(spark, sf_dir, False)):
+        _deliver(messages, path)
+        jobs.run_readings_sink(jobs.file_source(spark, path, files_per_trigger=8), table, checkpoint, quarantine,
+                               available_now=True).awaitTermination()
+    return table
+
+
 def stream_to_table(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Run the readings sink job over the message files; return ``(table, quarantine)``."""
     src_path = message_files(spark, sf_dir, unfit=True)
@@ -143,13 +161,30 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str, as_of: datetime) -> str:
-    """Run the alert job over the message files against raw-table baselines."""
-    src_path = message_files(spark, sf_dir)
+    """Run the alert job over the message files against baselines merged from the daily state."""
     out = scratch_dir(spark, "alerts")
-    raw = bindings.readings(spark, sf_dir)
-    cities = bindings.cities(spark, sf_dir)
-    q = jobs.run_alerts(jobs.file_source(spark, src_path, files_per_trigger=4),
-                        lambda: jobs.raw_baseline(raw, as_of, cities), jobs.parquet_sink(out),
-                        scratch_dir(spark, "ckpt-alerts"), available_now=True)
-    q.awaitTermination()
+    _alerts(spark, sf_dir, message_files(spark, sf_dir), as_of, out, scratch_dir(spark, "ckpt-alerts"), None)
     return out
+
+
+# Longer than the stream's span, so that no message of either delivery comes behind the watermark.
+ONCE_WITHIN = "60 days"
+
+
+def stream_alerts_once(spark: SparkSession, sf_dir: str, as_of: datetime) -> str:
+    """The same with each reading scored once: delivery 1, a restart, then delivery 2."""
+    path, out, checkpoint = (scratch_dir(spark, n) for n in ("messages", "alerts", "ckpt-alerts"))
+    for messages in (_first_delivery(spark, sf_dir, False), _second_delivery(spark, sf_dir)):
+        _deliver(messages, path)
+        _alerts(spark, sf_dir, path, as_of, out, checkpoint, ONCE_WITHIN)
+    return out
+
+
+def _alerts(spark, sf_dir, path, as_of, out, checkpoint, once_within) -> None:
+    state = scratch_dir(spark, "state")
+    daily_state.refresh(spark, bindings.readings(spark, sf_dir), state)
+    cities = bindings.cities(spark, sf_dir)
+    jobs.run_alerts(jobs.file_source(spark, path, files_per_trigger=4),
+                    lambda: daily_state.raw_baseline(daily_state.read_state(spark, state), as_of, cities),
+                    jobs.parquet_sink(out), checkpoint, available_now=True,
+                    once_within=once_within).awaitTermination()

@@ -65,7 +65,7 @@ LANDING = T.StructType(
     [T.StructField("hourly", HOURLY), T.StructField(CORRUPT, T.StringType())]
     + [T.StructField(p, T.StringType()) for p in LANDING_PARTITIONS])
 
-# Stream message for one reading.
+# Stream message for one reading: the reference's 9 fields and the reading's time.
 READING_MESSAGE = T.StructType([
     T.StructField("city_id", T.IntegerType()),
     T.StructField("city_name", T.StringType()),
@@ -76,5 +76,7 @@ READING_MESSAGE = T.StructType([
     T.StructField("windspeed", T.DoubleType()),
     T.StructField("weather_code", T.IntegerType()),
     T.StructField("schema_version", T.StringType()),
+    # the reading's own hour; ``timestamp`` is the moment of ingest
+    T.StructField("reading_time", T.TimestampType()),
 ])
 ALERT_FIELDS = ["alert_type", "z_score", "baseline_mean", "baseline_stddev", "severity"]

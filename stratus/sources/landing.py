@@ -123,20 +123,25 @@ def typed_readings(exploded: DataFrame, city_id_col: str = "city_id") -> tuple[D
     cannot fail the load. A rejected row keeps its raw values as JSON in
     ``original``.
     """
+    typed = typed_rows(exploded)
+    out_cols = [city_id_col, "timestamp"] + [dst for _, dst, _ in MEASURES]
     srcs = {src for src, _, _ in MEASURES}
-    other = [c for c in exploded.columns if c not in srcs]
-    typed = exploded.select(
-        *other,
+    other = [c for c in exploded.columns if c not in srcs and c not in out_cols]
+    return typed.where(~F.col("unfit")).select(*out_cols, *other), typed.where("unfit").drop("unfit")
+
+
+def typed_rows(exploded: DataFrame) -> DataFrame:
+    """Exploded rows with the readings' types, ``unfit`` (it cannot be stored) and ``original`` (as JSON)."""
+    srcs = {src for src, _, _ in MEASURES}
+    bad = F.col("timestamp").isNull() | X.overflowed(
+        [(F.col(f"__raw_{src}"), F.col(dst)) for src, dst, _ in MEASURES])
+    return exploded.select(
+        *[c for c in exploded.columns if c not in srcs],
         F.to_json(F.struct(*[c for c in ["time", *sorted(srcs)] if c in exploded.columns]),
                   {"ignoreNullFields": "false"}).alias("original"),
         *[F.col(src).alias(f"__raw_{src}") for src, _, _ in MEASURES],
         X.parse_hour("time").cast("timestamp").alias("timestamp"),
-        *[F.col(src).try_cast(t).alias(dst) for src, dst, t in MEASURES])
-    bad = F.col("timestamp").isNull() | X.overflowed(
-        [(F.col(f"__raw_{src}"), F.col(dst)) for src, dst, _ in MEASURES])
-    out_cols = [city_id_col, "timestamp"] + [dst for _, dst, _ in MEASURES]
-    good = typed.where(~bad).select(*out_cols, *[c for c in other if c not in out_cols])
-    return good, typed.where(bad)
+        *[F.col(src).try_cast(t).alias(dst) for src, dst, t in MEASURES]).withColumn("unfit", bad)
 
 
 def resolve_cities(landed: DataFrame, cities: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -29,7 +29,8 @@ def test_load_runs_upserts_and_logs(spark):
     assert (r1.rows_loaded, r1.errors, r1.rejected) == (4, 1, 0)   # Oslo has no landing
     assert [(x.check_name, x.passed) for x in r1.report][0] == ("coverage", False)
     r2 = etl.load_runs(spark, [(base2, None)], table, runs, cities, "r2", rejects, as_of=t0)
-    assert r2.rows_loaded == 2
+    assert r2.rows_loaded == 2 and r2.touched == [t0.date()]
+    assert r2.counters == {"read": 2, "stored": 2, "rejected": 0, "cities_in_error": 1}
     got = sorted((r.timestamp.hour, float(r.temperature))
                  for r in spark.read.parquet(table).collect())
     assert got == [(3, 0.0), (4, 1.0), (5, 12.0), (6, 13.0)]
@@ -64,6 +65,15 @@ def test_faults_are_kept_counted_by_city_and_make_the_run_partial(spark):
     assert kept["oslo"][0] == "row out of range" and "12345.0" in kept["oslo"][1]
     assert kept["atlantis"][0] == "unknown city" and len(kept) == 3
     assert {x.status for x in spark.read.parquet(runs).collect()} == {"partial"}
+    assert r.counters == {"read": 5, "stored": 2, "rejected": 3, "cities_in_error": 4}
+    # the run is repeated without its faults: its rejects go
+    for city in ("oslo", "rome", "atlantis"):
+        with open(os.path.join(base.removeprefix("file:"), f"city={city}/year=2024/month=01/day=01/hour=00/data.json"), "w") as f:
+            f.write(docs["lima"])
+    other = cities.unionByName(spark.createDataFrame([(9, "Atlantis")], cities.schema))
+    r = etl.load_runs(spark, [(base, None)], table, runs, other, "r", rejects)
+    assert (r.rows_loaded, r.errors, r.rejected) == (4, 1, 0)
+    assert "run_id=r" not in os.listdir(rejects.removeprefix("file:"))
 
 
 def test_a_load_without_errors_succeeds(spark):

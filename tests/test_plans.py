@@ -47,9 +47,33 @@ def test_readings_are_hash_aggregated(spark, name):
     assert "ObjectHashAggregate" not in plan(spark, name)
 
 
-def test_baseline_window_reaches_parquet(spark):
-    p = plan(spark, "m6_temperature_anomalies")
-    assert "GreaterThanOrEqual(ts,2024-01-11T00:00)" in p
+def scans(p):
+    """(location, partition filters, pushed filters) of the file scans of a formatted plan."""
+    out = []
+    for part in p.split("\n\n"):
+        if "Location:" in part:
+            lines = {x.split(":", 1)[0]: x.split(":", 1)[1] for x in part.split("\n") if ":" in x}
+            out.append((lines["Location"], lines.get("PartitionFilters", ""), lines.get("PushedFilters", "")))
+    return out
+
+
+@pytest.mark.parametrize("name, table", [("a15_raw_baseline", "moments"), ("a16_robust_stats", "temperatures")])
+def test_baselines_merge_the_daily_state_and_read_no_readings(spark, name, table):
+    found = scans(plan(spark, name))
+    state = [s for s in found if "/state/" in s[0]]
+    assert len(state) == 1 and f"/state/{table}" in state[0][0] and "reading_date" in state[0][1]
+    assert not [s for s in found if "events" in s[0]]
+
+
+def test_anomalies_scan_the_readings_once(spark):
+    found = scans(plan(spark, "m6_temperature_anomalies"))
+    assert len([s for s in found if "events" in s[0]]) == 1 and len([s for s in found if "/state/" in s[0]]) == 1
+
+
+def test_a_window_within_a_day_reads_that_day(spark):
+    found = [s for s in scans(plan(spark, "a15_raw_baseline_midday")) if "events" in s[0]]
+    assert found and all("GreaterThanOrEqual(ts,2024-01-10T13:37)" in s[2] and "LessThan(ts,2024-01-11T00:00)" in s[2]
+                         for s in found)
 
 
 def test_recency_predicates_reach_parquet(spark):
@@ -59,9 +83,53 @@ def test_recency_predicates_reach_parquet(spark):
 
 @pytest.mark.parametrize("name", ["d01_city_map", "d13_top_anomalies", "d16_city_series", "q07_column_tests",
                                   "q08_mart_invariants"])
-def test_panels_and_tests_read_built_marts(spark, name):
+def test_panels_and_tests_read_stored_marts(spark, name):
     p = plan(spark, name)
-    assert "ExistingRDD" not in p and "/marts-" in p
+    assert "Scan ExistingRDD" not in p and "/marts/" in p
+
+
+@pytest.mark.parametrize("name", ["d09_anomalies_24h", "d10_max_abs_z", "d11_extremes_24h", "d12_cities_flagged"])
+def test_panels_of_a_day_list_two_days(spark, name):
+    (where, days, _), = scans(plan(spark, name))
+    assert "temperature_anomalies" in where and "reading_date" in days and "2024-01-29" in days
+    from stratus.plans import catalog
+    mart = catalog.built(spark, SF, "m6")
+    recent = mart.where("reading_date >= date'2024-01-29'").selectExpr("input_file_name() f").distinct().count()
+    whole = mart.selectExpr("input_file_name() f").distinct().count()
+    assert recent <= 2 < whole
+
+
+@pytest.mark.parametrize("name", ["d16_city_series", "d17_city_rain", "d18_city_condition", "d19_city_humidity",
+                                  "d20_city_temp", "d21_city_wind"])
+def test_panels_of_a_city_open_one_bucket_a_month(spark, name):
+    (where, buckets, _), = scans(plan(spark, name))
+    assert "daily_summary" in where and "city_bucket" in buckets
+    from stratus.plans import catalog, panels
+    mart = catalog.built(spark, SF, "m3")
+    own = panels._city(mart, "NATION_7").selectExpr("input_file_name() f", "month").distinct()
+    assert own.count() == own.select("month").distinct().count()
+
+
+def test_stored_marts_follow_rewritten_tables(spark, tmp_path):
+    """D1-D22, Q7 and Q8 read what the tables hold now, also under a path that was read before."""
+    import shutil
+    from pyspark.sql import functions as F
+    for t in ("events", "nation", "region"):
+        shutil.copy(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    at = f"file:{tmp_path}"
+
+    def answers():
+        return {n: sorted(map(str, E.queries()[n](spark, at).collect()))
+                for n in ("d01_city_map", "d09_anomalies_24h", "d16_city_series", "q08_mart_invariants")}
+
+    first = answers()
+    assert answers() == first
+    warmer = spark.read.parquet(f"{SF}/events.parquet").withColumn("value", F.col("value") + 1).toPandas()
+    os.remove(tmp_path / "events.parquet")
+    warmer.to_parquet(tmp_path / "events.parquet", coerce_timestamps="us")
+    spark.catalog.refreshByPath(at)
+    second = answers()
+    assert second["d01_city_map"] != first["d01_city_map"] and second["d16_city_series"] != first["d16_city_series"]
 
 
 def test_recency_prunes_the_partitions_of_a_written_table(spark):

@@ -59,6 +59,56 @@ def test_run_log_status(spark):
     assert rows == [(1, "a", 10, 10, "success"), (2, "b", 12, 10, "partial")]
 
 
+def test_ids_are_claimed_without_reading_the_log(spark):
+    """Loads at the same time get distinct ids; a log from before there were claims goes on."""
+    from concurrent.futures import ThreadPoolExecutor
+    path = scratch_dir(spark, "t-claims")
+    with ThreadPoolExecutor(8) as pool:
+        ids = list(pool.map(lambda i: sinks.claim_id(spark, path, f"run-{i}"), range(24)))
+    assert sorted(ids) == list(range(1, 25))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: sinks.log_run(spark, path, f"r{i}", i, 0), range(4)))
+    rows = spark.read.parquet(path).collect()
+    assert sorted(r.id for r in rows) == [25, 26, 27, 28] and {r.run_id for r in rows} == {"r0", "r1", "r2", "r3"}
+    old = scratch_dir(spark, "t-old-log")
+    spark.read.parquet(path).write.parquet(old)
+    assert sinks.claim_id(spark, old, "next") == 29 and sinks.claim_id(spark, old, "then") == 30
+
+
+def test_upsert_returns_the_touched_dates_and_keeps_the_others(spark):
+    import os
+    path = scratch_dir(spark, "t-touched")
+    days = [datetime(2024, 1, d, 3) for d in (1, 2, 3)]
+    assert sinks.upsert(spark, path, updates(spark, [(1, d, 1.0, TS, 0) for d in days])) == [d.date() for d in days]
+    folder = f"{path.removeprefix('file:')}/reading_date="
+
+    def files(d):
+        return sorted(f for f in os.listdir(f"{folder}{d.date()}") if f.endswith(".parquet"))
+
+    before = [files(d) for d in days]
+    assert sinks.upsert(spark, path, updates(spark, [(1, days[1], 2.0, TS, 0), (2, days[1], None, TS, 1)])) == [
+        days[1].date()]
+    after = [files(d) for d in days]
+    assert before[0] == after[0] and before[2] == after[2] and before[1] != after[1]
+    assert table(spark, path) == [(1, days[0], D("1.00")), (1, days[1], D("2.00")), (1, days[2], D("1.00")),
+                                  (2, days[1], None)]
+
+
+def test_crowded_days_from_listings(spark):
+    path = scratch_dir(spark, "t-crowded")
+    days = [datetime(2024, 1, 1, 3), datetime(2024, 1, 2, 3)]
+    for i in range(5):
+        batch = updates(spark, [(i, days[0], 1.0, TS, 0)] + [(i, days[1], 1.0, TS, 0)] * (i < 2)).withColumnRenamed(
+            "pos", "offset").drop("run_ts")
+        sinks.insert_absent(spark, path, batch)
+    dates = [d.date() for d in days] + [datetime(2030, 1, 1).date()]
+    assert sinks.crowded(spark, path, dates, max_files=4) == [days[0].date()]
+    assert sinks.crowded(spark, path, dates, max_files=4, small_bytes=10) == []
+    before = table(spark, path)
+    sinks.compact(spark, path, [days[0].date()])
+    assert sinks.crowded(spark, path, dates, max_files=1) == [days[1].date()] and table(spark, path) == before
+
+
 def test_upsert_removes_its_stage_and_sizes_files_by_date(spark):
     import os
     from stratus.session import ensure_checkpoint_dir
