@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratus.llm.common import written
+from stratus.operators.joins import bounded
 from stratus.session import scratch_dir
 
 # Fixed values of the format.
@@ -36,6 +37,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "1970-01-01T00:00:00Z"
 # Bytes of a file whose chains one task follows.
 BLOCK_BYTES = 4 * 1024 * 1024
+# Bytes of revisits that are broadcast (as JSON, an upper bound).
+MOST_BROADCAST = 64 * 1024 * 1024
 
 
 def base32_sha1(data: Column) -> Column:
@@ -46,19 +49,32 @@ def base32_sha1(data: Column) -> Column:
                        "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
+def _revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
+    """(page, digest, first) of the pages whose payload a page with a smaller id has already.
+
+    From one pass over the bodies that keeps only their sizes and digests.
+    """
+    body = F.coalesce("html", F.lit(""))
+    known = written(pages.select("page_id", F.octet_length(body).alias("size"),
+                                 base32_sha1(body.cast("binary")).alias("digest")), "digests")
+    known = known.where(F.col("size") >= least_bytes)
+    first = (known.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                  .where((F.col("n") > 1) & F.col("first").isNotNull()))
+    return written(known.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).select(
+        F.col("page_id").alias("page"), F.col("digest").alias("own"), "first").distinct(), "revisits")
+
+
 def _records(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """One column: the records of ``pages`` as text, without their last line end."""
-    base = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"),
+    """One column: the records of ``pages`` as text, without their last line end.
+
+    The revisits are broadcast if they pass the size check, so that no body is
+    shuffled; beyond it bodies and revisits are joined by shuffling both.
+    """
+    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"),
                         F.coalesce("html", F.lit("")).alias("html"))
-    digest = base32_sha1(F.col("html").cast("binary"))
-    known = base.select("page_id", F.octet_length("html").alias("size"), digest.alias("digest"))
-    first = (known.where(F.col("size") >= least_bytes).groupBy("digest")
-                  .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-                  .where((F.col("n") > 1) & F.col("first").isNotNull()))
-    again = (known.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first")))
-                  .select(F.col("page_id").alias("__page"), F.col("digest").alias("__digest"), "first").distinct())
-    rows = base.withColumn("digest", digest)
-    rows = rows.join(again, F.col("page_id").eqNullSafe(F.col("__page")) & (F.col("digest") == F.col("__digest")), "left")
+    rows = rows.withColumn("digest", base32_sha1(F.col("html").cast("binary")))
+    again = bounded(_revisits(pages, least_bytes), MOST_BROADCAST)
+    rows = rows.join(again, F.col("page_id").eqNullSafe(F.col("page")) & (F.col("digest") == F.col("own")), "left")
     revisit = F.col("first").isNotNull()
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
@@ -86,6 +102,9 @@ def _header(name: str) -> Column:
 def pieces(spark: SparkSession, path: str) -> DataFrame:
     """(file, block, row, heads, starts, shift, body): what lies between the magic strings, in reading order.
 
+    ``block`` and ``row`` follow the splits of this very scan; another scan may
+    be split otherwise, so they are used within one job only.
+
     A piece of a file's first block that begins with a magic (``heads``) is the
     file's first one, without a magic before it, or follows a doubled magic.
     It comes both ways: whole, and (``starts``) from behind its own magic.
@@ -114,7 +133,10 @@ def _from(data: Column, skip: Column | int) -> Column:
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """Offset, successor and headers of every piece of ``pieces``, without the bodies."""
+    """Offset, successor, headers and content hash of every piece of ``pieces``, without the bodies.
+
+    Offsets are running sums within a split, on top of the sums of the splits before it.
+    """
     # a header's blank line may be the beginning of the magic string that ends its piece
     rows = found.select("file", "block", "row", "heads", "starts", "shift", F.octet_length("body").alias("size"), "body",
                         F.substring_index(F.col("body").cast("string"), CRLF + CRLF, 1).alias("header"))
@@ -125,24 +147,36 @@ def candidates(found: DataFrame) -> DataFrame:
     whole = F.substring(F.col("body"), start + 1, F.col("length").cast("int"))
     inside = F.col("size") >= start + F.col("length")
     rows = rows.select("file", "block", "row", "heads", "starts", "shift", "size", "length", start.alias("start"), inside.alias("inside"),
+                       _content("body").alias("content"),
                        F.when(inside, base32_sha1(whole)).alias("digest"),
                        _header("WARC-Type").alias("record_type"),
                        F.regexp_extract(_header("WARC-Record-ID"), "<urn:page:(.*)>", 1).alias("page_id"),
                        F.regexp_extract(_header("WARC-Refers-To"), "<urn:page:(.*)>", 1).alias("refers_to"),
                        F.regexp_replace(_header("WARC-Payload-Digest"), "^sha1:", "").alias("declared"))
     # only a file's first piece begins behind its own magic
-    order = Window.partitionBy("file").orderBy("block", "row", "shift")
-    leads = F.first(F.struct("block", "row")).over(order) == F.struct("block", "row")
+    order = Window.partitionBy("file", "block").orderBy("row", "shift")
+    leads = (F.col("block") == 0) & (F.first("row").over(order) == F.col("row"))
     rows = rows.withColumn("leads", leads).where(~F.col("heads") | (F.col("starts") == F.col("leads")))
     # bytes before a piece's magic: the pieces before it, each with its magic and the blank line after it
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole_piece = F.when(F.col("shift") == 0, F.col("size") + len(MAGIC) + 4).otherwise(0)
-    passed = F.coalesce(F.sum(whole_piece).over(before), F.lit(0).cast("long"))
+    rows = written(rows.withColumn("within", F.sum(whole_piece).over(order) - whole_piece)
+                       .withColumn("bytes", whole_piece), "pieces")
+    splits = rows.groupBy("file", "block").agg(F.sum("bytes").alias("sum"))
+    earlier = Window.partitionBy("file").orderBy("block")            # one row a split
+    splits = splits.select("file", "block", (F.sum("sum").over(earlier) - F.col("sum")).alias("ahead"))
+    rows = rows.join(splits, ["file", "block"])
+    passed = F.col("ahead") + F.col("within")
     # the second magic of a piece stands in the piece itself, behind a line end
     offset = F.when(F.col("shift") == 0, passed).otherwise(
         passed - 4 - F.col("size") - F.col("shift") + len(CRLF))
     return rows.withColumn("offset", offset).withColumn(
-        "next", F.col("offset") + len(MAGIC) + F.col("start") + F.col("length") + 4)
+        "next", F.col("offset") + len(MAGIC) + F.col("start") + F.col("length") + 4).drop(
+        "block", "row", "within", "bytes", "ahead")
+
+
+def _content(body: str) -> Column:
+    """What tells the bodies of pieces apart, in any scan."""
+    return F.struct(F.octet_length(body).alias("size"), F.xxhash64(body).alias("a"), F.hash(body).alias("b"))
 
 
 _LINK = "file string, block long, offset long, next long"
@@ -201,34 +235,59 @@ def reachable(links: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """file, offset, page_id (string), record_type, refers_to, declared, payload_bytes, payload_digest.
 
-    The digest is that of the bytes read; a revisit has none of its own.
+    The digest is that of the bytes read; a revisit has none of its own. A
+    response whose digest is not the declared one stops the job that reads it.
     """
-    found = pieces(spark, path)
-    table = written(candidates(found), "candidates")
+    table = written(candidates(pieces(spark, path)), "candidates")
     records = table.where((F.col("offset") > 0) | F.col("starts"))
     roots = written(reachable(records.select("file", "offset", "next")), "reached")
-    marked = table.join(roots.withColumn("reached", F.lit(True)), ["file", "offset"], "left")
-    owner = F.last(F.when(F.col("reached"), F.col("offset")), ignorenulls=True).over(
-        Window.partitionBy("file").orderBy("offset"))
-    marked = written(marked.withColumn("owner", owner).where(F.col("owner").isNotNull()), "owned")
+    # key tables grow with the records: joined by shuffling, whatever their size
+    marked = written(table.join(roots.withColumn("reached", F.lit(True)).hint("merge"), ["file", "offset"], "left"),
+                     "marked")
     records = marked.where("reached")
-    cut = records.where(~F.col("inside")).select("file", "owner", F.col("start").alias("from"), F.col("length").alias("bytes"))
-    # the pieces from the record's own on; of a piece that comes twice only the record's own is cut.
-    # Written first: as a rule there are few, and a small table spares the bodies the shuffle.
-    parts = written(marked.where((F.col("shift") == 0) | F.col("reached")).select(
-        "file", "owner", "offset", "block", "row", "starts", "shift").join(cut, ["file", "owner"]), "parts")
-    bodies = (found.join(parts, ["file", "block", "row", "starts", "shift"]).groupBy("file", "owner")
-              .agg(F.first("from").alias("from"), F.first("bytes").alias("bytes"),
-                   F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("all")))
+    put_together = _cut_payloads(spark, path, marked)
+    found = (records.join(put_together, ["file", "offset"], "left")
+                    .select("file", "offset", "page_id", "record_type", "refers_to", "declared",
+                            F.col("length").alias("payload_bytes"),
+                            F.coalesce("digest", "joined_digest").alias("payload_digest")))
+    wrong = (F.col("record_type") == "response") & ~F.col("payload_digest").eqNullSafe(F.col("declared"))
+    return found.withColumn("payload_digest", F.when(wrong, F.raise_error(F.concat(
+        F.lit("the payload at "), "file", F.lit(" "), F.col("offset").cast("string"),
+        F.lit(" is not the declared one")))).otherwise(F.col("payload_digest")))
+
+
+def _cut_payloads(spark: SparkSession, path: str, marked: DataFrame) -> DataFrame:
+    """(file, offset, joined_digest) of the reached records that magic strings in their payload cut up.
+
+    A record's pieces are those between its offset and its successor's, found
+    by blocks of the file. Their bodies come from a second scan by content, not
+    by place, as that scan may be split otherwise; as a rule they are few, and
+    a small table spares the bodies the shuffle.
+    """
+    block = F.lit(BLOCK_BYTES)
+    cut = marked.where(F.col("reached") & ~F.col("inside")).select(
+        "file", F.col("offset").alias("owner"), F.col("next").alias("end"), F.col("start").alias("from"),
+        F.col("length").alias("bytes"))
+    # a length beyond the end of its file ends with it
+    last = marked.groupBy("file").agg(F.max("offset").alias("last"))
+    cut = cut.join(last, "file").withColumn("place", F.explode(F.sequence(
+        (F.col("owner") / block).cast("long"), (F.least("end", "last") / block).cast("long")))).drop("last")
+    # of a piece that comes twice only the record's own is cut
+    owned = marked.where((F.col("shift") == 0) | F.col("reached")).select(
+        "file", "offset", "content", (F.col("offset") / block).cast("long").alias("place"))
+    parts = written(owned.join(cut, ["file", "place"]).where(
+        (F.col("offset") >= F.col("owner")) & (F.col("offset") < F.col("end"))), "parts")
+    wanted = parts.select("content").distinct()
+    bodies = (pieces(spark, path).select(_content("body").alias("content"), "body")
+              .join(bounded(wanted), "content").groupBy("content").agg(F.first("body").alias("body")))
     joint = F.lit(CRLF + CRLF + MAGIC).cast("binary")
     joined = F.aggregate(F.slice("all", F.lit(2), F.size("all")), F.col("all")[0]["body"],
                          lambda text, x: F.concat(text, joint, x["body"]))
-    put_together = bodies.select("file", F.col("owner").alias("offset"), base32_sha1(
-        F.substring(joined, F.col("from") + 1, F.col("bytes").cast("int"))).alias("joined_digest"))
-    return (records.join(put_together, ["file", "offset"], "left")
-                   .select("file", "offset", "page_id", "record_type", "refers_to", "declared",
-                           F.col("length").alias("payload_bytes"),
-                           F.coalesce("digest", "joined_digest").alias("payload_digest")))
+    whole = (parts.join(bodies, "content").groupBy("file", "owner")
+                  .agg(F.first("from").alias("from"), F.first("bytes").alias("bytes"),
+                       F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("all")))
+    return whole.select("file", F.col("owner").alias("offset"), base32_sha1(
+        F.substring(joined, F.col("from") + 1, F.least(F.col("bytes"), F.lit(2**31 - 1)).cast("int"))).alias("joined_digest"))
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:

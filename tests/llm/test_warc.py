@@ -65,6 +65,47 @@ def test_small_splits_read_the_same(spark, rows, tmp_path):
         assert all(data[r.offset:].startswith(b"WARC/1.1\r\n") for r in found if r.file == name)
 
 
+def test_scans_that_split_differently_read_the_same(spark, rows, tmp_path, monkeypatch):
+    """Executors come and go between the two scans of the archives, and with them the splits."""
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    W.write_archives(pages, f"file:{tmp_path}/a")
+    whole = sorted(tuple(r) for r in W.read_archives(spark, f"file:{tmp_path}/a").collect())
+    written = W.written
+
+    def then_split(df, purpose):
+        out = written(df, purpose)
+        if purpose == "candidates":
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return out
+
+    monkeypatch.setattr(W, "written", then_split)
+    try:
+        again = sorted(tuple(r) for r in W.read_archives(spark, f"file:{tmp_path}/a").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert again == whole and all(r[7] for r in again if r[3] == "response")
+
+
+def test_revisits_beyond_the_broadcast_bound(spark, rows, monkeypatch):
+    monkeypatch.setattr(W, "MOST_BROADCAST", 0)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((tuple(r) for r in W.round_trip(pages).collect()), key=str) == expected(rows)
+
+
+def test_a_payload_that_is_not_the_declared_one_is_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "payload"), (2, "u", "other")], "page_id long, url string, html string").coalesce(1)
+    W.write_archives(pages, f"file:{tmp_path}/a")
+    name = next(f for f in os.listdir(tmp_path / "a") if f.startswith("part"))
+    data = (tmp_path / "a" / name).read_bytes()
+    for f in os.listdir(tmp_path / "a"):
+        os.remove(tmp_path / "a" / f)
+    (tmp_path / "a" / name).write_bytes(data.replace(b"payload", b"pAyload"))
+    with pytest.raises(Exception, match="not the declared one"):
+        W.read_archives(spark, f"file:{tmp_path}/a").collect()
+
+
 @pytest.mark.parametrize("html", ["\r\n\r\nWARC/1.1\r\nWARC/1.1\r\n", "WARC/1.1\r\n" * 2, "WARC/1.1\r\n" * 5 + "x",
                                   "a" + "\r\n\r\nWARC/1.1\r\nWARC/1.1\r\nContent-Length: 1\r\n\r\n" * 2])
 def test_doubled_magic_line(spark, html):
