@@ -60,7 +60,7 @@ def _revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
     known = known.where(F.col("size") >= least_bytes)
     first = (known.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
                   .where((F.col("n") > 1) & F.col("first").isNotNull()))
-    return written(known.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).select(
+    return written(known.join(first.hint("merge"), "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).select(
         F.col("page_id").alias("page"), F.col("digest").alias("own"), "first").distinct(), "revisits")
 
 
@@ -301,7 +301,7 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         raise ValueError(f"{n_read} records read of {n_written} written")
     responses = (records.where("record_type = 'response'").groupBy(
         F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("declared"))
-        .agg(F.first("payload_bytes").alias("response_bytes")))
+        .agg(F.first("payload_bytes").alias("response_bytes")).hint("merge"))
     revisits = records.where("record_type = 'revisit'").join(responses, ["refers_to", "declared"], "left")
     number = lambda c: F.when(F.col(c) != "null", F.col(c)).cast(kind)
     return (records.where("record_type = 'response'").select(
