@@ -25,8 +25,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_hash(*cols: str) -> Column:
-    return F.xxhash64(*cols)
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct: columns added beside it cannot clash with the table's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def unpacked_row(df: DataFrame, row: str, **changed: Column) -> list[Column]:
+    """The columns of ``df`` out of the struct ``row``, those in ``changed`` replaced."""
+    return [(changed[c] if c in changed else F.col(row).getField(c)).alias(c) for c in df.columns]
 
 
 def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.common import WORD, numbered, written
+from stratus.llm.common import WORD, numbered, unpacked_row, whole_row, written
 
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
@@ -147,13 +147,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
 def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, columns unchanged."""
     goal = plan(_rows(docs), weights, most)
-    placed = docs.withColumn("__place", place())
-    joined = placed.join(goal.select(F.col("source").alias("__source"), "source_size", "whole",
-                                     "threshold"), placed["source"].eqNullSafe(F.col("__source")))
-    copies = F.when(goal["source_size"] > 0, goal["whole"] + (
-        F.col("__place") < goal["threshold"]).cast("long")).otherwise(0)
-    return (joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-                  .select(*[placed[c] for c in docs.columns]))
+    rows = docs.select(whole_row(docs).alias("row"), F.col("source"), place().alias("place"))
+    taken = _with_source(rows, goal).withColumn("copy", F.explode(F.array_repeat(F.lit(1), _copies().cast("int"))))
+    return taken.select(*unpacked_row(docs, "row"))
 
 
 ORACLE_SQL = r"""

@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import written
+from stratus.llm.common import unpacked_row, whole_row, written
 
 KEY = "stratus-surrogates"
 ROUNDS = 64
@@ -326,24 +326,24 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text", kinds: st
     """
     met = written(occurrences(docs, text), "occurrences")
     moved = settle(met.select("kind", "canon").distinct(), key).where("counter > 0")
-    rows = docs.withColumn("__marked", _marked(F.col(text)))
-    rows, counters = rows.withColumn("__found", entities(F.col("__marked"))), None
+    rows = docs.select(whole_row(docs).alias("row"), F.col(text).alias("text"), _marked(F.col(text)).alias("marked"))
+    rows, counters = rows.withColumn("found", entities(F.col("marked"))), None
     if not moved.isEmpty():
-        by_text = (met.join(moved, ["kind", "canon"]).groupBy(F.col("content").alias("__content"))
+        by_text = (met.join(moved, ["kind", "canon"]).groupBy("content")
                       .agg(F.map_from_entries(F.collect_list(F.struct(
-                          F.concat_ws("\x1f", "kind", "canon"), F.col("counter")))).alias("__moved")))
-        rows = rows.withColumn("__content", F.xxhash64(text)).join(written(by_text, "moved"), "__content", "left")
-        counters = F.coalesce("__moved", F.create_map().cast("map<string,int>"))
-    found = F.col("__found")
-    new = _replaced(F.col("__marked"), found, counters, key)
-    new = F.when(F.col(text).rlike(_LONG), F.replace(new, F.lit(_OWN_MARK), F.lit(_MARK))).otherwise(new)
-    out = rows.withColumn(text, F.when(F.size(found) > 0, new).otherwise(F.col(text)))
+                          F.concat_ws("\x1f", "kind", "canon"), F.col("counter")))).alias("moved")))
+        rows = rows.withColumn("content", F.xxhash64("text")).join(written(by_text, "moved"), "content", "left")
+        counters = F.coalesce("moved", F.create_map().cast("map<string,int>"))
+    new = _replaced(F.col("marked"), F.col("found"), counters, key)
+    new = F.when(F.col("text").rlike(_LONG), F.replace(new, F.lit(_OWN_MARK), F.lit(_MARK))).otherwise(new)
+    rows = rows.withColumn("new", F.when(F.size("found") > 0, new).otherwise(F.col("text")))
+    changed = {text: F.col("new")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    names = docs.columns
+        changed["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
+    out = unpacked_row(docs, "row", **changed)
     if kinds:
-        out, names = out.withColumn(kinds, F.transform(found, kind)), [*names, kinds]
-    return out.select(*names)
+        out.append(F.transform("found", kind).alias(kinds))
+    return rows.select(*out)
 
 
 def surrogate_texts(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -32,8 +32,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.llm.common import written
+from stratus.llm.common import unpacked_row, whole_row, written
 from stratus.llm.components import components
+from stratus.operators.joins import bounded
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -183,19 +184,31 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BITS) -> D
     """The row with the smallest doc_id of each class, columns unchanged.
 
     Rows that tie (repeated doc_ids) are told apart by a hash of the text, and
-    equal rows are kept once; of a class without any id the row with the
-    smallest text hash stays.
+    of rows alike in both one is kept, that with the least hash of all its
+    columns; of a class without any id the row with the smallest text hash stays.
+
+    What stays is decided on ids and hashes. The rows are then filtered by the
+    keys, which are broadcast if they pass the size check; only rows whose key
+    is repeated are grouped.
     """
-    content = F.xxhash64("text")
-    cols = docs.columns
-    keyed = docs.select("doc_id", content.alias("__text"), "text")
-    table = classes(keyed, shingle, bits, key=("doc_id", "__text"))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("content"), "text")
+    table = written(classes(keyed, shingle, bits, key=("doc_id", "content")), "named")
     # a repeated or null id may name several classes; the root tells them apart
     first = (table.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy("root", "component_id").agg(F.min("__text").alias("__text"))
-                  .select(F.col("component_id").alias("__id"), "__text").distinct())
-    rows = docs.withColumn("__text", content)
-    same = rows["doc_id"].eqNullSafe(first["__id"]) & (rows["__text"] == first["__text"])
-    kept = rows.join(first, same, "left_semi")
-    again = Window.partitionBy("doc_id", "__text").orderBy("__text")
-    return kept.withColumn("__nth", F.row_number().over(again)).where("__nth = 1").select(*cols)
+                  .groupBy("root", "component_id").agg(F.min("content").alias("content"))
+                  .select(F.col("component_id").alias("id"), "content").distinct())
+    often = table.groupBy("doc_id", "content").agg(F.count(F.lit(1)).alias("n"))
+    keep = written(first.join(often, F.col("id").eqNullSafe(F.col("doc_id")) & (first["content"] == often["content"]))
+                   .select("id", first["content"].alias("same"), "n"), "kept-keys")
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("content"))
+
+    def among(keys: DataFrame) -> DataFrame:
+        return rows.join(bounded(keys), F.col("own").eqNullSafe(F.col("id")) & (F.col("content") == F.col("same")),
+                         "left_semi")
+
+    once = among(keep.where("n = 1")).select(*unpacked_row(docs, "row"))
+    repeated = keep.where("n > 1")
+    if repeated.isEmpty():
+        return once
+    one = among(repeated).groupBy("own", "content").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return once.union(one.select(*unpacked_row(docs, "row")))

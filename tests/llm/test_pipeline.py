@@ -46,3 +46,31 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark):
             assert out.columns == docs.columns, name
             out.count()
         P.STAGES[-1][1](spark, docs, SF).count()
+
+
+CLASHES = ["__text", "__nth", "__marked", "__found", "__content", "__moved", "__place", "__copy", "__source", "row", "own",
+           "content", "marked", "found", "new", "moved", "place", "copy", "threshold", "whole", "id", "same", "root", "fp",
+           "component_id", "pattern", "score", "predicted", "held_out", "statistics", "v", "key"]
+
+
+def test_columns_of_any_name_keep_their_values(spark):
+    """Whatever extra columns are called, every stage hands their values on, row by row."""
+    texts = ["the first text holds a good many plain words about rivers and boats " * 6,
+             "mail a.b@c.example.org or call 415-555-0132 about the second text " * 3,
+             "the first text holds a good many plain words about rivers and boats " * 6, None, "", "Mr. John Smith came. " * 9]
+    rows = [(i, t, "en", f"s{i % 2}", None if t is None else len(t), *[f"{c}-{i}" for c in CLASHES])
+            for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+        f"`{c}` string" for c in CLASHES)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        kept = out.collect()
+        assert kept, name
+        for r in kept:
+            assert [r[c] for c in CLASHES] == [f"{c}-{r.doc_id}" for c in CLASHES], name
+            assert (r.lang, r.source) == ("en", f"s{r.doc_id % 2}"), name
+            if name != "pii_surrogates":
+                assert (r.text, r.n_chars) == (texts[r.doc_id], rows[r.doc_id][4]), name
+    assert P.STAGES[-1][1](spark, docs, SF).count() == len(rows)
