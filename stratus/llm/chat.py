@@ -1,10 +1,12 @@
 """Chat formatting of reply trees (operator 5).
 
 Messages with a parent form trees. Self-joins whose reach doubles each round
-(a message to its ancestor 1, 2, 4, ... steps up) enumerate every root-to-leaf
-path as (leaf, message, distance) rows, without the texts. Branches are ranked
-by the mean score of their messages, and each chosen path becomes one
-conversation.
+(a message to its ancestor 1, 2, 4, ... steps up) sum the scores of every
+root-to-leaf path, one row a message and round. Branches are ranked by the mean
+score of their messages; the paths of the chosen ones are enumerated along the
+same jumps, as (leaf, message, distance) rows without the texts, and each
+becomes one conversation. A long trunk under many branches is therefore not
+written out once a branch.
 
 The template is ``<|turn|>`` role ``<|text|>`` text ``<|end|>`` for each turn.
 In roles and texts a control string (the markers' ``<|`` and those of common
@@ -68,46 +70,82 @@ def parsed(text: str) -> list[tuple[str, str]]:
     return turns
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """(tree, leaf, node, up) of every root-to-leaf path of ``messages`` (tree, node, parent).
+def _distinct(messages: DataFrame) -> DataFrame:
+    """Messages with a repeated (tree, node) counted once."""
+    return messages.dropDuplicates(["tree", "node"])
 
-    ``up`` is the distance from the leaf.
+
+def climbed(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Path totals of every message, and the jumps that found them.
+
+    ``messages``: tree, node, parent, score. The first result has (tree, node,
+    above, total, n): the sum and number of the scores from the message up to
+    its root; ``above`` is not null where a cycle has no root. The jumps are
+    (tree, node, above) tables of reach 1, 2, 4, ..: each joins the one before
+    with itself, so there are as many as the depth has binary digits, and each
+    has at most one row a message, however many branches pass through it.
     """
-    nodes = messages.select("tree", "node", "parent").dropDuplicates(["tree", "node"])
-    parents = nodes.select("tree", F.col("node").alias("parent"))
-    linked = nodes.where(F.col("parent").isNotNull()).join(parents, ["tree", "parent"], "left_semi")
-    jump = written(linked.select("tree", "node", F.col("parent").alias("above")), "jumps")
-    leaves = nodes.join(jump.select("tree", F.col("above").alias("node")), ["tree", "node"], "left_anti")
-    members = written(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up")), "paths")
+    nodes = messages.select("tree", "node", "parent", "score")
+    parents = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
+    state = written(nodes.join(parents, ["tree", "parent"], "left").select(
+        "tree", "node", F.when(F.col("there"), F.col("parent")).alias("above"),
+        F.coalesce("score", F.lit(0.0)).alias("total"), F.col("score").isNotNull().cast("long").alias("n")), "climbed")
     most = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    reach = 1
-    while reach < most and not jump.isEmpty():
-        further = (members.join(jump, ["tree", "node"])
-                          .select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + reach).alias("up")))
-        members = written(members.union(further), "paths")
+    jumps, reach = [], 1
+    while True:
+        live = state.where(F.col("above").isNotNull()).select("tree", "node", "above")
+        if reach > most or live.isEmpty():
+            return state, jumps
+        jumps.append(live)
+        next_ = state.select("tree", F.col("node").alias("above"), F.col("above").alias("top"),
+                             F.col("total").alias("more"), F.col("n").alias("further"), F.lit(True).alias("met"))
+        # only messages that have not reached their root are joined
+        moved = state.where(F.col("above").isNotNull()).join(next_, ["tree", "above"]).select(
+            "tree", "node", F.col("top").alias("above"), (F.col("total") + F.col("more")).alias("total"),
+            (F.col("n") + F.col("further")).alias("n"))
+        state = written(state.where(F.col("above").isNull()).unionByName(moved), "climbed")
         reach *= 2
-        if reach < most:
-            upper = jump.select("tree", F.col("node").alias("above"), F.col("above").alias("top"))
-            jump = written(jump.join(upper, ["tree", "above"]).select(
-                "tree", "node", F.col("top").alias("above")), "jumps")
-    roots = nodes.join(linked.select("tree", "node"), ["tree", "node"], "left_anti").select("tree", "node")
-    rooted = members.join(roots, ["tree", "node"], "left_semi").select("tree", "leaf")
-    return members.join(rooted, ["tree", "leaf"], "left_semi")
+
+
+def paths(leaves: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(tree, leaf, node, up) of the paths from ``leaves`` (tree, leaf) to their roots.
+
+    ``up`` is the distance from the leaf. After the jumps of reach 1 .. 2^k a
+    path has its 2^(k+1) lowest messages.
+    """
+    members = leaves.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).alias("up"))
+    for k, jump in enumerate(jumps):
+        further = members.join(jump, ["tree", "node"]).select(
+            "tree", "leaf", F.col("above").alias("node"), (F.col("up") + 2 ** k).alias("up"))
+        members = written(members.union(further), "paths")
+    return members
+
+
+def branches(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(tree, leaf, branch_score) of every root-to-leaf path, and the jumps to enumerate them.
+
+    A branch scores the mean of its messages' scores, nulls left out.
+    """
+    state, jumps = climbed(_distinct(messages))
+    answered = jumps[0].select("tree", F.col("above").alias("node")) if jumps else state.limit(0).select("tree", "node")
+    leaves = state.where(F.col("above").isNull()).join(answered, ["tree", "node"], "left_anti")
+    return leaves.select("tree", F.col("node").alias("leaf"), F.when(
+        F.col("n") > 0, F.col("total") / F.col("n")).alias("branch_score")), jumps
 
 
 def best_branches(messages: DataFrame, per_tree: int = 1) -> DataFrame:
-    """(tree, leaf, node, up, role, text) of the ``per_tree`` best-scored paths of each tree.
+    """(tree, leaf, node, up, branch_score, role, text) of the ``per_tree`` best-scored paths of each tree.
 
-    ``messages``: tree, node, parent, role, text, score.
+    ``messages``: tree, node, parent, role, text, score. Branches are ranked by
+    the totals found along the jumps; only the chosen ones are enumerated.
     """
-    once = messages.dropDuplicates(["tree", "node"])
-    members = written(paths(messages), "paths")
-    scored = members.join(once.select("tree", "node", "score"), ["tree", "node"])
-    ranked = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("branch_score"))
+    found, jumps = branches(messages)
     order = Window.partitionBy("tree").orderBy(F.col("branch_score").desc_nulls_last(), "leaf")
-    chosen = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_tree)
-    return (members.join(chosen.select("tree", "leaf", "branch_score"), ["tree", "leaf"])
-                   .join(once.select("tree", "node", "role", "text"), ["tree", "node"]))
+    chosen = written(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_tree)
+                          .drop("rank"), "chosen")
+    members = paths(chosen, jumps)
+    return (members.join(chosen, ["tree", "leaf"])
+                   .join(_distinct(messages).select("tree", "node", "role", "text"), ["tree", "node"]))
 
 
 def conversations(branches: DataFrame) -> DataFrame:
