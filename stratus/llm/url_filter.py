@@ -7,7 +7,9 @@ split into words by unigram Viterbi (word counts from the texts of all pages,
 an unknown word costs a factor of ten a letter), and a multinomial naive Bayes
 over the host's words and the path's tokens is learnt from the urls with a
 rule. Tokens are hashed to 65,536 features, so the model the tasks get has a
-fixed size.
+fixed size. A word has at most 24 letters (``LONGEST_WORD``): longer runs in
+the pages' texts are no words, and host names are split into words of that
+length at most.
 
 Words, hosts and features are counted by grouped aggregates; the only join on
 a hot key hands each url its host's score, from one row per host, and may be
@@ -65,9 +67,13 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """(word, n): runs of a-z in the lower-cased text of all pages."""
+    """(word, n): whole runs of a-z in the lower-cased text of all pages.
+
+    A run longer than ``LONGEST_WORD`` is no word and is not counted, neither
+    whole nor in pieces.
+    """
     text = F.lower(F.regexp_replace("html", "<[^>]*>", " "))
-    words = F.regexp_extract_all(text, F.lit(f"[a-z]{{1,{LONGEST_WORD}}}+"), F.lit(0))
+    words = F.regexp_extract_all(text, F.lit(f"(?<![a-z])[a-z]{{1,{LONGEST_WORD}}}+(?![a-z])"), F.lit(0))
     return pages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -83,6 +83,13 @@ def test_judged_as_a_plain_naive_bayes_would(spark):
             assert r.verdict == ("block" if odds > 0 else "allow")
 
 
+def test_words_are_whole_runs_of_bounded_length(spark):
+    texts = ["a" * U.LONGEST_WORD + " " + "b" * (U.LONGEST_WORD + 1) + " <b>tag</b> Word word2word", None, "word " * 50_000, ""]
+    df = spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    got = {r.word: r.n for r in U.word_counts(df).collect()}
+    assert got == {"a" * U.LONGEST_WORD: 1, "tag": 1, "word": 50_003}
+
+
 def test_empty_table_and_no_rules(spark):
     schema = "page_id long, url string, html string"
     assert U.judge(spark.createDataFrame([], schema)).count() == 0
