@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.operators import sinks
-from stratus.operators.publish import read_published, version
+from stratus.operators.publish import read_published, tidy, version
 from stratus.operators.sinks import PARTITION_COL
 from stratus.plans import daily_state, marts, staging
 from stratus.plans.panels import CITY_BUCKET, city_bucket
 
 MARTS = ("daily_summary", "weekly_trends", "city_comparisons", "temperature_anomalies", "extreme_weather")
 MONTH = "month"
+# Versions of a table that stay for readers that began before its last rebuilds.
+KEPT_VERSIONS = 3
 
 
 def state_path(base: str) -> str:
@@ -41,19 +43,24 @@ def mart_path(base: str, name: str) -> str:
 
 
 def refresh(spark: SparkSession, base: str, readings: DataFrame, cities: DataFrame, as_of: datetime,
-            days: list[date] | None = None, names: tuple[str, ...] | list[str] = MARTS) -> None:
+            days: list[date] | None = None, names: tuple[str, ...] | list[str] = MARTS,
+            keep: int = KEPT_VERSIONS) -> None:
     """Bring the daily state and the marts ``names`` up to date and publish them.
 
     ``readings`` is the raw table and ``cities`` the staged dimension. ``days``
     are the days whose readings have changed (``sinks.upsert`` returns them);
     None rebuilds everything. A mart or state that was never built is built
-    whole. Each table is published on its own, after the state it comes from.
+    whole. Each table is published on its own, after the state it comes from;
+    its versions before the newest ``keep`` are removed, so a reader has as
+    many rebuilds' time to finish.
     """
     if days is None or version(spark, f"{state_path(base)}/moments") is None:
         days = None
     daily_state.refresh(spark, readings, state_path(base), days)
     for name in names:
         build(spark, base, name, readings, cities, as_of, days)
+    for path in [f"{state_path(base)}/{t}" for t in daily_state.TABLES] + [mart_path(base, n) for n in names]:
+        tidy(spark, path, keep)
 
 
 def build(spark: SparkSession, base: str, name: str, readings: DataFrame, cities: DataFrame, as_of: datetime,
