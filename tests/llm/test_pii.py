@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from stratus.llm import pii as P
 
 
-def run(spark, texts):
+def run(spark, texts, key="a fixed key"):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    return [r for r in P.surrogate_texts(docs).orderBy("doc_id").collect()]
+    return [r for r in P.surrogate_texts(docs, key).orderBy("doc_id").collect()]
 
 
 def test_types_formats_and_coreference(spark):
@@ -80,8 +80,8 @@ def test_same_key_same_surrogates_other_key_others(spark):
 
 def test_clashes_are_settled(spark):
     # 3,000 surnames of one gender draw from 16 ** 3 values: many clash at first
-    people = spark.range(3000).select(F.lit("name").alias("kind"), F.concat(
-        F.lit("m|Person"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("canon"))
+    people = spark.range(3000).select(F.lit("last").alias("kind"), F.concat(
+        F.lit("Person"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("canon"))
     settled = P.settle(people)
     rows = settled.collect()
     assert len({r.surrogate for r in rows}) == len(rows) == 3000
@@ -100,6 +100,78 @@ def test_moved_entities_reach_the_texts(spark):
     assert all(r.n_chars == len(r.text) for r in out.collect() if r.text)
 
 
+def test_a_name_is_one_person_in_a_text(spark):
+    texts = ["Mr. John Smith came. Smith said hi. Mr Smith left. John Smith too. Smithson and blacksmith stay.",
+             "Dr. Kim Lee met Ms Kim Lee; Lee's and Kim Lee.", "John Smith and Smith without a title stay.",
+             "Mr Ann-Lee O'Neill wrote. O'Neill again.", "κ. Νίκος Παππάς ήρθε. Παππάς είπε.", "г-жа Анна Котова. Котова ушла.",
+             "Mr. John Smith and Mr. Adam Smith and Mrs. John Brown"]
+    out = [r.text for r in run(spark, texts)]
+    full, alone, after, again = re.fullmatch(
+        r"Mr\. (\w+ \w+) came\. (\w+) said hi\. Mr (\w+) left\. (\w+ \w+) too\. Smithson and blacksmith stay\.", out[0]).groups()
+    assert full == again and full.split()[1] == alone == after != "Smith" and full.split()[0] != "John"
+    one, two, bare, last = re.fullmatch(r"Dr\. (\w+ \w+) met Ms (\w+ \w+); (\w+)'s and (\w+ \w+)\.", out[1]).groups()
+    assert one == two == last and one.split()[1] == bare and one.split()[0] in P.FIRST_NAMES["latin"]["f"]    # Dr and Ms: one woman
+    assert out[2] == texts[2]
+    first, second = re.fullmatch(r"Mr \w+ (\w+) wrote\. (\w+) again\.", out[3]).groups()
+    assert first == second
+    a, b = re.fullmatch(r"κ\. \w+ (\w+) ήρθε\. (\w+) είπε\.", out[4]).groups()
+    assert a == b != "Παππάς" and re.fullmatch(r"[\u0370-\u03ff]+", a)
+    a, b = re.fullmatch(r"г-жа \w+ (\w+)\. (\w+) ушла\.", out[5]).groups()
+    assert a == b != "Котова" and re.fullmatch("[а-яА-Я]+", a)
+    names = re.findall(r"M\w+\. (\w+) (\w+)", out[6])
+    assert names[0][1] == names[1][1] != names[2][1] and names[0][0] != names[1][0]
+    assert full.split()[1] == names[0][1] and full == " ".join(names[0])       # across texts, too
+
+
+def test_phones_keep_their_country_code_and_are_told_apart_by_it(spark):
+    texts = ["+49 30 1234567 and +49 30 1234567", "030 123 4567", "+1 383 555 6083 or 383-555-6083", "+44 383 555 6083",
+             "+353 1 234 5678", "+7 495 123 4567"]
+    out = [r.text for r in run(spark, texts)]
+    a, b = out[0].split(" and ")
+    assert a == b != "+49 30 1234567" and re.fullmatch(r"\+49 \d\d \d{7}", a)
+    assert re.fullmatch(r"0\d\d \d{3} \d{4}", out[1]) and out[1] != texts[1]
+    us, plain = out[2].split(" or ")
+    assert us.startswith("+1 ") and re.sub(r"\D", "", us)[1:] == re.sub(r"\D", "", plain)
+    assert out[3].startswith("+44 ") and re.sub(r"\D", "", out[3])[2:] != re.sub(r"\D", "", plain)
+    assert out[4].startswith("+353 ") and out[5].startswith("+7 ")
+    assert all(re.sub(r"\d", "0", o) == re.sub(r"\d", "0", t) for o, t in zip(out, texts))
+
+
+def mod97(iban):
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def test_ibans_and_ipv6(spark):
+    texts = ["DE89 3704 0044 0532 0130 00 or DE89370400440532013000.", "GB29NWBK60161331926819", "FR14 2004 1010 0505 0001 3M02 606",
+             "from 2001:DB8:85A3::8A2E:370:7334 to 2001:0db8:85a3:0000:0000:8a2e:0370:7334, ::1 and fe80::1",
+             "at 12:30:45 std::vector a::b stay, 10:20 too"]
+    out = [r.text for r in run(spark, texts)]
+    spaced, tight = re.fullmatch(r"([A-Z0-9 ]+) or ([A-Z0-9]+)\.", out[0]).groups()
+    assert spaced.replace(" ", "") == tight != "DE89370400440532013000" and [len(x) for x in spaced.split()] == [4] * 5 + [2]
+    for o, t in ((tight, "DE89370400440532013000"), (out[1], texts[1]), (out[2].replace(" ", ""), texts[2].replace(" ", ""))):
+        assert mod97(o) == 1 and o[:2] == t[:2] and o[4:] != t[4:]
+        assert re.sub("[A-Z]", "A", re.sub("[0-9]", "0", o)) == re.sub("[A-Z]", "A", re.sub("[0-9]", "0", t))
+    a, b, c, d = re.fullmatch(r"from (\S+) to (\S+), (\S+) and (\S+)", out[3]).groups()
+    assert a.startswith("2001:DB8:") and a == a.upper() and all(x.startswith("2001:db8:") for x in (b, c, d))
+    assert len({a.lower(), b, c, d}) == 4 and out[4] == texts[4]
+
+
+def test_the_key_is_configured_or_drawn(spark):
+    docs = spark.createDataFrame([(1, "a.b@c.example.org")], "doc_id long, text string")
+
+    def text(key=None):
+        return P.surrogate_texts(docs, key).first().text
+
+    drawn = text()
+    assert drawn == text() and len(P.surrogate_key(spark)) == 64
+    spark.conf.set(P.KEY_SETTING, "configured")
+    try:
+        assert text() == text("configured") != drawn
+    finally:
+        spark.conf.unset(P.KEY_SETTING)
+    assert text() == drawn
+
+
 def test_empty_table(spark):
     assert P.surrogate_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
