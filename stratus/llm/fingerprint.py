@@ -21,12 +21,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,6 +128,35 @@ def edited_fingerprint(text: str, own: Fingerprint, following: str) -> Fingerpri
     return own - Fingerprint.of(text[start:]) + Fingerprint.of(text[start:cut] + following[:k])
 
 
+# Bytes of text that one bucket holds on average, and the most buckets (numbers on the driver).
+BUCKET_BYTES = 16 * 1024 * 1024
+MOST_BUCKETS = 20_000
+
+
+def buckets_for(docs: DataFrame) -> int:
+    """As many buckets as the texts' bytes ask for, whatever the session's settings."""
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, min(MOST_BUCKETS, -(-held // BUCKET_BYTES)))
+
+
+def _bucket(bounds: list[int]) -> Column:
+    """How many of the ascending ``bounds`` are above a row's doc_id; one more where it is null.
+
+    Found in two steps, among every ``step``-th bound and then between two of them.
+    """
+    step = max(1, math.isqrt(len(bounds)))
+
+    def numbers(values: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>") if values else F.array().cast("array<long>")
+
+    def passed(values: Column) -> Column:
+        return F.size(F.filter(values, lambda q: q <= F.col("doc_id")))
+
+    whole = passed(numbers(bounds[step - 1::step])) * step
+    rest = passed(F.slice(numbers(bounds), whole + 1, F.lit(step))) if bounds else F.lit(0)
+    return F.when(F.col("doc_id").isNull(), len(bounds) + 1).otherwise(len(bounds) - whole - rest).cast("int")
+
+
 def in_order(docs: DataFrame, parts: int) -> DataFrame:
     """Rows (bucket, ghost, doc_id, text), each partition sorted by bucket and descending doc_id.
 
@@ -140,9 +170,7 @@ def in_order(docs: DataFrame, parts: int) -> DataFrame:
         "hash", F.xxhash64("text"))
     quantiles = docs.select(F.percentile_approx(
         "doc_id", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] if parts > 1 else None
-    bounds = F.array(*[F.lit(int(q)).cast("long") for q in sorted(set(quantiles or []))]).cast("array<long>")
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda q: q > F.col("doc_id"))), F.size(bounds) + 1)
-    keyed = keyed.withColumn("bucket", bucket)
+    keyed = keyed.withColumn("bucket", _bucket(sorted({int(q) for q in quantiles or []})))
     # one row per bucket: its first row, and the bucket before it (before the first: the last)
     all_buckets = Window.orderBy("bucket")
     first = (keyed.groupBy("bucket").agg(F.min(F.struct(
@@ -177,7 +205,7 @@ def _compared(text: str, own: Fingerprint, following: str, next_own: Fingerprint
 
 def compare_with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """doc_id and the fingerprints of each row's text and of its edit with the next row's text."""
-    parts = parts or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or buckets_for(docs)
     names = ["doc_id", *(f.name for f in _SCHEMA)]
     id_type = docs.schema["doc_id"].dataType
 
