@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.llm.common import written
+from stratus.llm.common import Rounds, written
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 LEARNT = "assistant"
@@ -114,10 +114,11 @@ def paths(leaves: DataFrame, jumps: list[DataFrame]) -> DataFrame:
     path has its 2^(k+1) lowest messages.
     """
     members = leaves.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).alias("up"))
+    rounds = Rounds("paths")
     for k, jump in enumerate(jumps):
         further = members.join(jump, ["tree", "node"]).select(
             "tree", "leaf", F.col("above").alias("node"), (F.col("up") + 2 ** k).alias("up"))
-        members = written(members.union(further), "paths")
+        members = rounds.write(members.union(further))
     return members
 
 

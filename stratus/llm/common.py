@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratus import files
 from stratus.session import scratch_dir
 
 # A word is a run of characters other than space and U+0009..U+000D.
@@ -20,11 +21,31 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
     Cuts the lineage: later jobs re-read files any executor can reach.
     """
-    path = scratch_dir(df.sparkSession, purpose)
+    return _written(df, scratch_dir(df.sparkSession, purpose))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """The table that an iteration rewrites every round: like :func:`written`, and the round before is removed.
+
+    For tables of which no earlier round is used again.
+    """
+
+    def __init__(self, purpose: str):
+        self.purpose, self.path = purpose, None
+
+    def write(self, df: DataFrame) -> DataFrame:
+        before, self.path = self.path, scratch_dir(df.sparkSession, self.purpose)
+        out = _written(df, self.path)
+        if before:
+            files.remove(df.sparkSession, before)
+        return out
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of ``df`` in one struct: columns added beside it cannot clash with the table's own."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])

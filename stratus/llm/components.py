@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import written
+from stratus.llm.common import Rounds
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -36,15 +36,16 @@ def components(edges: DataFrame) -> DataFrame:
     Nulls and self links are ignored, repeated links counted once; an edge
     table without links gives no rows.
     """
-    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                  .where("a <> b").distinct(), "edges")
+    rounds = Rounds("edges")
+    now = rounds.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                       .where("a <> b").distinct())
     seen = None
     while True:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if not state[0] or tuple(state) == seen:
             break
         seen = tuple(state)
-        now = written(_star(_star(now, large=True), large=False), "edges")
+        now = rounds.write(_star(_star(now, large=True), large=False))
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         roots.select("node", F.col("node").alias("root")))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.common import written
+from stratus.llm.common import Rounds, written
 from stratus.operators.joins import bounded
 from stratus.session import scratch_dir
 
@@ -213,19 +213,20 @@ def reachable(links: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     skipped = written(blocks.groupBy("file", "block").applyInPandas(
         _skip_block, _LINK + ", beyond long"), "links")
     there = skipped.select("file", F.col("offset").alias("beyond"))
-    jump = written(skipped.select("file", "offset", "beyond").join(there, ["file", "beyond"]), "jumps")
-    reached = written(skipped.where("offset = 0").select("file", "offset"), "reached")
+    jumps, fronts = Rounds("jumps"), Rounds("reached")
+    jump = jumps.write(skipped.select("file", "offset", "beyond").join(there, ["file", "beyond"]))
+    reached = fronts.write(skipped.where("offset = 0").select("file", "offset"))
     seen = reached.count()
     while True:
         ahead = reached.join(jump, ["file", "offset"]).select("file", F.col("beyond").alias("offset"))
-        reached = written(reached.union(ahead).distinct(), "reached")
+        reached = fronts.write(reached.union(ahead).distinct())
         now = reached.count()
         if now == seen:
             break
         seen = now
         further = jump.select("file", F.col("offset").alias("beyond"), F.col("beyond").alias("top"))
-        jump = written(jump.join(further, ["file", "beyond"]).select(
-            "file", "offset", F.col("top").alias("beyond")), "jumps")
+        jump = jumps.write(jump.join(further, ["file", "beyond"]).select(
+            "file", "offset", F.col("top").alias("beyond")))
     entered = skipped.join(reached.withColumn("entered", F.lit(True)), ["file", "offset"], "left")
     return entered.select("file", "block", "offset", "next", F.coalesce(
         "entered", F.lit(False)).alias("entered")).groupBy("file", "block").applyInPandas(

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 from stratus.llm import chat as C
+from stratus.llm import common
 
 
 def test_escape_is_reversible():
@@ -100,14 +101,14 @@ def test_a_trunk_under_many_branches_is_not_written_out_for_each(spark, monkeypa
     rows = [("t", n, n - 1 if n else None, "user", "x", 0.0) for n in range(400)]
     rows += [("t", 1000 + i, 399, "assistant", "y", float(i)) for i in range(400)]
     df = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
-    sizes, write = [], C.written
+    sizes, write = [], common._written
 
-    def counted(d, purpose):
-        out = write(d, purpose)
+    def counted(d, path):
+        out = write(d, path)
         sizes.append(out.count())
         return out
 
-    monkeypatch.setattr(C, "written", counted)
+    monkeypatch.setattr(common, "_written", counted)
     best = C.best_branches(df).collect()
     assert len(best) == 401 and {r.leaf for r in best} == {1399} and max(sizes) <= len(rows)
 
