@@ -128,15 +128,16 @@ def edited_fingerprint(text: str, own: Fingerprint, following: str) -> Fingerpri
     return own - Fingerprint.of(text[start:]) + Fingerprint.of(text[start:cut] + following[:k])
 
 
-# Bytes of text that one bucket holds on average, and the most buckets (numbers on the driver).
+# Bytes of text and rows that one bucket holds on average, and the most buckets (numbers on the driver).
 BUCKET_BYTES = 16 * 1024 * 1024
+BUCKET_ROWS = 2_000
 MOST_BUCKETS = 20_000
 
 
 def buckets_for(docs: DataFrame) -> int:
-    """As many buckets as the texts' bytes ask for, whatever the session's settings."""
-    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, min(MOST_BUCKETS, -(-held // BUCKET_BYTES)))
+    """As many buckets as the texts' bytes and rows ask for, whatever the session's settings."""
+    held, rows = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    return max(1, min(MOST_BUCKETS, max(-(-(held or 0) // BUCKET_BYTES), -(-rows // BUCKET_ROWS))))
 
 
 def _bucket(bounds: list[int]) -> Column:
@@ -185,7 +186,7 @@ def in_order(docs: DataFrame, parts: int) -> DataFrame:
     return (keyed.join(F.broadcast(first), "bucket")
                  .select("doc_id", "hash", "text", F.explode(place).alias("p"))
                  .select("p.bucket", "p.ghost", "doc_id", "hash", "text")
-                 .repartition(parts, "bucket")
+                 .repartitionById(parts, "bucket")
                  .sortWithinPartitions("bucket", "ghost", order, "hash")
                  .select("bucket", "ghost", "doc_id", "text"))
 
