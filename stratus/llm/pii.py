@@ -98,7 +98,7 @@ _MARK, _OWN_MARK = "\ufdd0", "\ufdd0\ufdd1"
 # letter or digit stands before (checked once for all), so a token is scanned once.
 PATTERNS = {
     "email": r"(?<![._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ipv6": (rf"(?<![:.])(?=[A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}"
+    "ipv6": (rf"(?<![:.])(?=[0-9A-Fa-f]{{0,4}}:[0-9A-Fa-f]{{0,4}}:)(?=[A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}"
              rf"|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|::(?:{_HEX}:){{0,6}}{_HEX}|(?:{_HEX}:){{1,7}}:)(?![0-9A-Za-z:])"),
     "secret": (rf"{_ASSIGN}{_SECRET}|(?:AKIA|ASIA)[0-9A-Z]{{16}}(?![0-9A-Za-z])"
                r"|(?:ghp_|gho_|sk-|pk-|xox[abp]-)[A-Za-z0-9_-]{16,}+"),
@@ -426,9 +426,10 @@ def _laid_out(entity: Column, what: Column, new: Column) -> Column:
 def occurrences(docs: DataFrame, text: str = "text") -> DataFrame:
     """(content, kind, canon): the entities of each distinct content (the text's hash)."""
     found = with_entities(docs.select(F.xxhash64(text).alias("content"), F.col(text).alias("text")))
-    every = found.where(F.size("found") > 0).select("content", F.explode(F.flatten(F.transform(
+    # an outer explode: for a plain one Spark infers a filter that finds all entities a second time
+    every = found.select("content", F.explode_outer(F.flatten(F.transform(
         "found", lambda e: parts(e, F.col("known"))))).alias("e"))
-    return every.select("content", "e.kind", "e.canon").distinct()
+    return every.where(F.col("e").isNotNull()).select("content", "e.kind", "e.canon").distinct()
 
 
 def with_entities(rows: DataFrame) -> DataFrame:
