@@ -10,10 +10,11 @@ step down is found from the other side): at most 34 rows, 26 on average. Pairs
 that meet are held to the whole lower bound, then to the exact distance.
 
 Equal fingerprints count once, whatever the number of copies. A cell with more
-than ``DENSE`` fingerprints is not paired by the join: its members are dealt
-into blocks, each pair of blocks is compared in a task of bounded memory, and
-only links that join different groups of that task are returned (a spanning
-forest), so the output follows the number of members.
+than ``DENSE`` fingerprints is split by the values of their four quarters, of
+which a pair within 3 bits has one in common. Where more than ``DENSE`` remain
+together, members are dealt into blocks, each pair of blocks is compared in a
+task of bounded memory, and only links that join different groups of that task
+are returned (a spanning forest), so the output follows the number of members.
 
 Cases: a null or blank text has fingerprint 0 and is linked like any other;
 repeated rows share a class; a null doc_id is never the smallest of a class
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,23 +140,42 @@ def links(fps: DataFrame, bits: int = MAX_BITS, dense: int = DENSE, block: int =
     if not 0 <= bits <= 3:
         raise ValueError("the two-halves grid holds up to 3 bits")
     cells = _cells(fps)
-    counted = cells.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("half", "cell")))
+    crowded = written(cells.groupBy("half", "cell").agg(F.count(F.lit(1)).alias("n"))
+                           .where(F.col("n") > dense).select("half", "cell"), "crowded")
     asked = _questions(cells)
-    sparse = counted.where(F.col("n") <= dense).select(
-        "half", "cell", F.col("fp").alias("b"))
+    sparse = cells.join(crowded, ["half", "cell"], "left_anti").select("half", "cell", F.col("fp").alias("b"))
     pairs = (asked.withColumnRenamed("fp", "a").join(sparse, ["half", "cell"])
                   .where((F.col("up") | (F.col("a") < F.col("b"))) & _within(F.col("a"), F.col("b"), bits))
                   .select("a", "b"))
-    crowded = counted.where(F.col("n") > dense).groupBy("half", "cell").agg(F.first("n").alias("n"))
-    # members and those one step below, dealt into blocks; a pair of blocks is one task
-    met = asked.join(crowded, ["half", "cell"]).withColumn(
-        "blocks", F.ceil(F.col("n") * 17 / block).cast("int"))
+    if crowded.isEmpty():
+        return pairs
+    return pairs.union(_crowded_links(asked.join(crowded, ["half", "cell"]), bits, dense, block))
+
+
+def _crowded_links(met: DataFrame, bits: int, dense: int, block: int) -> DataFrame:
+    """Links among the fingerprints that meet in crowded cells (half, cell, fp).
+
+    Of the four quarters of 16 bits of a pair within three bits one is equal,
+    so a cell is split by the quarters' values. What is still crowded then
+    (fingerprints alike in a half's popcounts and in a quarter) is compared in
+    blocks.
+    """
+    quarters = F.array(*[F.shiftrightunsigned("fp", 16 * q).bitwiseAND(F.lit(0xFFFF)) for q in range(4)])
+    keys = ["half", "cell", "quarter", "value"]
+    split = written(met.select("half", "cell", "fp").distinct().select(
+        "half", "cell", "fp", F.posexplode(quarters).alias("quarter", "value")), "quarters")
+    sizes = split.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    few = split.join(sizes.where((F.col("n") > 1) & (F.col("n") <= dense)).drop("n"), keys)
+    pairs = (few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), keys)
+                .where((F.col("a") < F.col("b")) & _within(F.col("a"), F.col("b"), bits)).select("a", "b"))
+    # members dealt into blocks; a pair of blocks is one task
+    many = split.join(sizes.where(F.col("n") > dense), keys).withColumn(
+        "blocks", F.ceil(F.col("n") / block).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    dealt = (met.withColumn("own", own)
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .select("half", "cell", F.least("own", "other").alias("i"),
-                        F.greatest("own", "other").alias("j"), "fp"))
-    inside = dealt.groupBy("half", "cell", "i", "j").applyInPandas(_block_links(bits), "a long, b long")
+    dealt = (many.withColumn("own", own)
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .select(*keys, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp"))
+    inside = dealt.groupBy(*keys, "i", "j").applyInPandas(_block_links(bits), "a long, b long")
     return pairs.union(inside)
 
 

@@ -61,6 +61,41 @@ def test_classes_match_brute_force(spark, rows, monkeypatch, dense, block):
     assert got == brute_classes(rows)
 
 
+@pytest.mark.parametrize("dense, block", [(16, 2048), (16, 8), (300, 64)])
+def test_crowded_cells_lose_no_link(spark, dense, block):
+    """700 fingerprints of one cell of the lower half: swapped segments below, flipped bits above."""
+    rng = np.random.default_rng(7)
+    base, fps = 0x5AA56996_12345678, set()
+    for _ in range(700):
+        x = int(base)
+        for segment in rng.integers(0, 16, rng.integers(0, 3)):
+            pair = x >> 2 * int(segment) & 3
+            if pair in (1, 2):
+                x ^= 3 << 2 * int(segment)
+        for bit in rng.integers(32, 63, rng.integers(0, 7)):
+            x ^= 1 << int(bit)
+        fps.add(x)
+    fps = sorted(fps)
+    df = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp long")
+    found = {(int(r.a) & (2**64 - 1), int(r.b) & (2**64 - 1)) for r in S.links(df, 3, dense, block).collect()}
+    assert all((a ^ b).bit_count() <= 3 for a, b in found)
+
+    def groups(pairs):
+        root = {f: f for f in fps}
+
+        def find(f):
+            while root[f] != f:
+                f = root[f]
+            return f
+        for a, b in pairs:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+        return {f: find(f) for f in fps}
+
+    every = [(a, b) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 3]
+    assert groups(found) == groups(every) and len(set(groups(every).values())) > 3
+
+
 def test_keep_one_keeps_the_least_id_of_each_class(spark, rows):
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, fp string")
     kept = S.keep_one(docs)
