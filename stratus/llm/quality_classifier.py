@@ -9,8 +9,10 @@ of the two Gaussian log densities, from two triangular products, map-only.
 Cases: a null text counts as empty and gets a score like any other; repeated
 rows are scored alike; labels that are null or belong to no document are
 ignored; with no training row of one class every score is the share of the
-other class (0.5 without any training row). Extra input columns are kept, a
-column named like an output is replaced.
+other class (0.5 without any training row); equal statistics give equal
+scores, and a score at the threshold is predicted good; texts of any length are
+read whole; an empty table gives no rows. ``score_documents`` ignores extra
+columns, ``keep_good`` keeps them, whatever they are called.
 """
 
 from __future__ import annotations
