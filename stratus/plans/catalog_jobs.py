@@ -11,7 +11,7 @@ from stratus import oracles as O
 from stratus.functions import exprs as X
 from stratus.operators import joins, ordering, quality, sinks
 from stratus.plans import daily_state, scenarios, staging, warehouse
-from stratus.plans.catalog import (_ALERTS, _BASELINE, _LOST, _RC, _REV, AS_OF_BASELINE, M3_SPEC,
+from stratus.plans.catalog import (_ALERTS, _BASELINE, _LOST, _RC, _REV, AS_OF_BASELINE, AS_OF_RECENT, M3_SPEC,
                                    M5_SPEC, M6_SPEC, M7_SPEC, MART_OF, edge, inputs, mart, register)
 from stratus.sources import bindings, landing
 from stratus.sources.tables import cities_in_order, read_cities
@@ -123,6 +123,26 @@ def q_t3_once(spark, sf_dir):
     return spark.read.parquet(scenarios.stream_alerts_once(spark, sf_dir, AS_OF_BASELINE)).drop("batch_id")
 
 
+@register("t5_cadence_stream", O.sql(f"""
+SELECT CAST(r.city_id AS BIGINT) AS city_id, r.timestamp, CAST(r.temperature AS DOUBLE) AS temperature,
+       CAST(r.windspeed AS DOUBLE) AS windspeed, CAST(r.weather_code AS BIGINT) AS weather_code,
+       CAST(r.timestamp AS DATE) AS reading_date
+{_RC} WHERE r.weather_code <> {scenarios.BROKEN_CODE}"""))
+def q_t5(spark, sf_dir):
+    """The first delivery at a fixed cadence, a bounded number of files each time."""
+    return spark.read.parquet(scenarios.stream_at_cadence(spark, sf_dir))
+
+
+@register("q05_freshness_check", O.sql(f"""
+SELECT COUNT(*) AS recent_count, COUNT(DISTINCT city_id) AS city_count, MAX(timestamp) AS latest_timestamp
+FROM readings WHERE timestamp > {O.AS_OF_RECENT} - INTERVAL '10 minutes'"""))
+def q_q05_check(spark, sf_dir):
+    """Q5: the monitor that raises where nothing has arrived; here its summary."""
+    found = quality.check_freshness(bindings.streaming_readings(spark, sf_dir), AS_OF_RECENT)
+    return spark.createDataFrame([tuple(found.values())],
+                                 "recent_count long, city_count long, latest_timestamp timestamp")
+
+
 @register("t8_late_stream", O.sql(f"""
 SELECT CAST(r.city_id AS BIGINT) AS city_id, r.timestamp,
        CAST(CASE WHEN r.timestamp >= {_REV} THEN r.temperature + 1 ELSE r.temperature END AS DOUBLE) AS temperature,

@@ -137,6 +137,20 @@ def message_files(spark: SparkSession, sf_dir: str, unfit: bool = False) -> str:
     return path
 
 
+def stream_at_cadence(spark: SparkSession, sf_dir: str) -> str:
+    """The readings sink triggered every second, two files at most each time; the table's path."""
+    path, table, checkpoint, quarantine = (scratch_dir(spark, n) for n in (
+        "messages", "streaming-readings", "ckpt-cadence", "quarantine"))
+    _deliver(_first_delivery(spark, sf_dir, False), path)
+    query = jobs.run_readings_sink(jobs.file_source(spark, path, files_per_trigger=2), table, checkpoint, quarantine,
+                                   cadence="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return table
+
+
 def stream_late(spark: SparkSession, sf_dir: str) -> str:
     """The revised second half of the month arrives first, everything else later; the table's path."""
     path, table, checkpoint, quarantine = (scratch_dir(spark, n) for n in (
