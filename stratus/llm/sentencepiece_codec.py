@@ -33,11 +33,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
 N_BEST = 4
 BYTE_LOG_PROBABILITY = -20.0
 SPACE = "▁"
