@@ -43,7 +43,8 @@ STAGES = [("quality_classifier", keep_good), ("simhash_near_dedup", drop_near_du
           ("sentencepiece_encode", encode_pieces)]
 
 # The classifier's fit, fingerprint classes and piece search are beyond SQL; tests/llm holds the
-# run against a brute-force version.
+# run against its stages called one by one, with the classes found by brute force, and each
+# operator against a plain version of its own.
 ORACLE_SQL = None
 
 
