@@ -26,10 +26,14 @@ BUILD = "build"
 
 @dataclass
 class Version:
-    """``folders``: outermost partition folder (``reading_date=...``; one empty name without) -> build."""
+    """``folders``: outermost partition folder (``reading_date=...``; one empty name without) -> build.
+
+    ``note``: what the builder wants to know at its next build, say what else the table was built from.
+    """
     number: int
     schema: T.StructType
     folders: dict[str, str]
+    note: str = ""
 
 
 def _numbers(spark: SparkSession, root: str) -> list[int]:
@@ -39,7 +43,7 @@ def _numbers(spark: SparkSession, root: str) -> list[int]:
 
 def _load(spark: SparkSession, root: str, number: int) -> Version:
     stored = json.loads(files.read_text(spark, f"{root}/{VERSIONS}/{number:012d}.json"))
-    return Version(number, T.StructType.fromJson(stored["schema"]), stored["folders"])
+    return Version(number, T.StructType.fromJson(stored["schema"]), stored["folders"], stored.get("note", ""))
 
 
 def version(spark: SparkSession, root: str) -> Version | None:
@@ -49,7 +53,7 @@ def version(spark: SparkSession, root: str) -> Version | None:
 
 
 def publish(df: DataFrame, root: str, by: list[str] | None = None,
-            replaces: list[str] | None = None) -> Version:
+            replaces: list[str] | None = None, note: str = "") -> Version:
     """Write ``df`` and make it the table at ``root``.
 
     With ``by`` the table is partitioned. ``replaces`` lists values of the
@@ -71,23 +75,27 @@ def publish(df: DataFrame, root: str, by: list[str] | None = None,
     while True:
         last = version(spark, root)
         kept = {n: b for n, b in last.folders.items() if n not in gone} if last and replaces is not None else {}
-        now = Version(last.number + 1 if last else 1, schema, {**kept, **new})
+        now = Version(last.number + 1 if last else 1, schema, {**kept, **new}, note)
         if files.create_once(spark, f"{root}/{VERSIONS}/{now.number:012d}.json", json.dumps(
-                {"schema": json.loads(schema.json()), "folders": now.folders})):
+                {"schema": json.loads(schema.json()), "folders": now.folders, "note": note})):
             return now
 
 
-def read_published(spark: SparkSession, root: str) -> DataFrame:
+def read_published(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """The newest version of a published table.
 
     The version is fixed here: a build that ends later does not change what
-    this DataFrame reads.
+    this DataFrame reads. ``first`` and ``last`` bound the values of the
+    outermost partition column (as text, so for dates and months): only these
+    folders are listed, of however many the table has.
     """
     root = root.rstrip("/")
     now = version(spark, root)
     if now is None:
         raise FileNotFoundError(f"nothing has been published at {root}")
-    paths = [f"{root}/{b}/{n}".rstrip("/") for n, b in sorted(now.folders.items())]
+    wanted = {n: b for n, b in now.folders.items() if not n or (
+        (first is None or n.split("=", 1)[1] >= first) and (last is None or n.split("=", 1)[1] <= last))}
+    paths = [f"{root}/{b}/{n}".rstrip("/") for n, b in sorted(wanted.items())]
     if not paths:
         return spark.createDataFrame([], now.schema)
     schema = T.StructType([*now.schema, T.StructField(BUILD, T.StringType())])

@@ -214,14 +214,14 @@ def log_run(spark: SparkSession, path: str, run_id: str, rows_loaded: int, error
 
 
 def build_mart(df: DataFrame, path: str, partition_by: list[str] | None = None,
-               replaces: list[str] | None = None) -> None:
+               replaces: list[str] | None = None, note: str = "") -> None:
     """K7: build a mart (``materialized='table'``) and publish it at ``path``.
 
     Readers (:func:`publish.read_published`) see the old mart until the new one
     is complete. ``replaces`` rebuilds only these values of the first partition
     column.
     """
-    publish(df, path, partition_by, replaces)
+    publish(df, path, partition_by, replaces, note)
 
 
 def stage_view(df: DataFrame, name: str) -> DataFrame:

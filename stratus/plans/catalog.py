@@ -73,7 +73,7 @@ def mart(spark, sf_dir, name: str) -> DataFrame:
     """A mart as its model computes it."""
     _, stg, cities = inputs(spark, sf_dir)
     if name == "m6":
-        stats = marts.robust_stats_of(daily_state.staged_counts(state(spark, sf_dir), AS_OF_BASELINE))
+        stats = marts.robust_stats_of(daily_state.staged_counts(state(spark, sf_dir, AS_OF_BASELINE), AS_OF_BASELINE))
         return marts.temperature_anomalies(stg, cities, AS_OF_BASELINE, stats=stats)
     return getattr(marts, MART_OF[name])(stg, cities)
 
@@ -92,9 +92,9 @@ def stored(spark, sf_dir) -> str:
     return _WAREHOUSES[key]
 
 
-def state(spark, sf_dir) -> dict[str, DataFrame]:
-    """The daily state as the baselines read it, from its files."""
-    return warehouse.state(spark, stored(spark, sf_dir))
+def state(spark, sf_dir, as_of: datetime) -> dict[str, DataFrame]:
+    """The daily state as the baselines read it, from the files of their window's days."""
+    return warehouse.state(spark, stored(spark, sf_dir), as_of)
 
 
 def built(spark, sf_dir, name: str) -> DataFrame:
@@ -628,7 +628,7 @@ base AS (
     "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, mean_temp_2dp, stddev_temp FROM base",
     _BASELINE))
 def q_a15(spark, sf_dir):
-    return daily_state.raw_baseline(state(spark, sf_dir), AS_OF_BASELINE, bindings.cities(spark, sf_dir))
+    return daily_state.raw_baseline(state(spark, sf_dir, AS_OF_BASELINE), AS_OF_BASELINE, bindings.cities(spark, sf_dir))
 
 
 # A window that begins within a day: that day's readings, the other days' state.
@@ -639,7 +639,7 @@ AS_OF_MIDDAY = datetime(2024, 2, 9, 13, 37, 0)
     "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, mean_temp_2dp, stddev_temp FROM base",
     _BASELINE.replace(O.AS_OF_BASELINE, "TIMESTAMP '2024-02-09 13:37:00'")))
 def q_a15_midday(spark, sf_dir):
-    return daily_state.raw_baseline(state(spark, sf_dir), AS_OF_MIDDAY, bindings.cities(spark, sf_dir),
+    return daily_state.raw_baseline(state(spark, sf_dir, AS_OF_MIDDAY), AS_OF_MIDDAY, bindings.cities(spark, sf_dir),
                                     bindings.readings(spark, sf_dir))
 
 
@@ -647,7 +647,7 @@ def q_a15_midday(spark, sf_dir):
     "SELECT CAST(city_id AS BIGINT) AS city_id, mean_temp, stddev_temp, p25, p75, "
     "sample_size FROM city_stats", "m6"))
 def q_a16(spark, sf_dir):
-    return marts.robust_stats_of(daily_state.staged_counts(state(spark, sf_dir), AS_OF_BASELINE))
+    return marts.robust_stats_of(daily_state.staged_counts(state(spark, sf_dir, AS_OF_BASELINE), AS_OF_BASELINE))
 
 
 _MSGS = f"""

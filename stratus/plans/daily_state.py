@@ -90,7 +90,7 @@ def refresh(spark: SparkSession, readings: DataFrame, root: str, days: list[date
     _store(by_condition(staging.stg_readings(readings)), f"{root}/conditions", replaced)
     _store(by_temperature(readings), f"{root}/temperatures", replaced)
     # from the files just published: the readings are not read again
-    cells = read_published(spark, f"{root}/temperatures")
+    cells = read_published(spark, f"{root}/temperatures", *((min(replaced), max(replaced)) if replaced else ()))
     if days is not None:
         cells = cells.where(F.col(PARTITION_COL).isin(days))
     _store(moments_of(cells), f"{root}/moments", replaced)
@@ -101,8 +101,16 @@ def _store(rows: DataFrame, root: str, replaced: list[str] | None) -> None:
             [PARTITION_COL], replaced)
 
 
-def read_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_published(spark, f"{root}/{name}") for name in TABLES}
+def read_state(spark: SparkSession, root: str, first: date | None = None,
+               last: date | None = None) -> dict[str, DataFrame]:
+    """The stored tables; with bounds only these days' folders are listed."""
+    return {name: read_published(spark, f"{root}/{name}", *(d and d.isoformat() for d in (first, last)))
+            for name in TABLES}
+
+
+def window_start(as_of: datetime, days: int = X.BASELINE_DAYS) -> date:
+    """The first day of a trailing window, as a bound for :func:`read_state`."""
+    return (as_of - timedelta(days=days)).date()
 
 
 # -- merging -------------------------------------------------------------------

@@ -199,6 +199,7 @@ def _alerts(spark, sf_dir, path, as_of, out, checkpoint, once_within) -> None:
     daily_state.refresh(spark, bindings.readings(spark, sf_dir), state)
     cities = bindings.cities(spark, sf_dir)
     jobs.run_alerts(jobs.file_source(spark, path, files_per_trigger=4),
-                    lambda: daily_state.raw_baseline(daily_state.read_state(spark, state), as_of, cities),
+                    lambda: daily_state.raw_baseline(daily_state.read_state(
+                        spark, state, daily_state.window_start(as_of)), as_of, cities),
                     jobs.parquet_sink(out), checkpoint, available_now=True,
                     once_within=once_within).awaitTermination()

@@ -17,7 +17,7 @@ Only the per-reading marts and the state of touched days read the readings.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,42 +65,58 @@ def refresh(spark: SparkSession, base: str, readings: DataFrame, cities: DataFra
 
 def build(spark: SparkSession, base: str, name: str, readings: DataFrame, cities: DataFrame, as_of: datetime,
           days: list[date] | None = None) -> None:
-    """K7: build one mart from the published state (and, where it is by reading, the readings)."""
-    path = mart_path(base, name)
-    if version(spark, path) is None:
-        days = None
-    stg, state = staging.stg_readings(readings), daily_state.read_state(spark, state_path(base))
+    """K7: build one mart from the published state (and, where it is by reading, the readings).
+
+    Built for ``days`` alone only on top of a mart of the same dimension.
+    """
+    path, note = mart_path(base, name), _dimension(cities)
+    before = version(spark, path)
+    if before is None or before.note != note:
+        days = None                   # a changed dimension changes the rows of every day
+    stg = staging.stg_readings(readings)
+
+    def state(first: date | None = None, last: date | None = None) -> dict[str, DataFrame]:
+        return daily_state.read_state(spark, state_path(base), first, last)
     if name == "daily_summary":
-        cells = state["conditions"]
         months = None if days is None else sorted({f"{d:%Y-%m}" for d in days})
+        cells = state(*_span(months))["conditions"]
         if months is not None:
-            cells = cells.where(F.date_format(PARTITION_COL, "yyyy-MM").isin(months)).where(_within(months))
+            cells = cells.where(F.date_format(PARTITION_COL, "yyyy-MM").isin(months))
         out = marts.daily_summary_of(cells, cities).withColumns({
             MONTH: F.date_format("date", "yyyy-MM"), CITY_BUCKET: city_bucket(F.col("city_name"))})
         sinks.build_mart(_laid_out(out, [MONTH, CITY_BUCKET], ["city_name", "date"]), path,
-                         [MONTH, CITY_BUCKET], months)
+                         [MONTH, CITY_BUCKET], months, note)
     elif name == "weekly_trends":
-        sinks.build_mart(marts.weekly_trends_of(state["conditions"], cities), path)
+        sinks.build_mart(marts.weekly_trends_of(state()["conditions"], cities), path, note=note)
     elif name == "city_comparisons":
-        sinks.build_mart(marts.city_comparisons_of(state["conditions"], cities), path)
+        sinks.build_mart(marts.city_comparisons_of(state()["conditions"], cities), path, note=note)
     elif name == "temperature_anomalies":
-        stats = marts.robust_stats_of(daily_state.staged_counts(state, as_of, readings))
+        stats = marts.robust_stats_of(daily_state.staged_counts(
+            state(daily_state.window_start(as_of)), as_of, readings))
         sinks.build_mart(_by_day(marts.temperature_anomalies(stg, cities, as_of, stats=stats), readings), path,
-                         [PARTITION_COL])
+                         [PARTITION_COL], note=note)
     elif name == "extreme_weather":
         if days is not None:
             day = F.col(PARTITION_COL) if PARTITION_COL in stg.columns else F.to_date("reading_at")
             stg = stg.where(day.isin(days))
         sinks.build_mart(_by_day(marts.extreme_weather(stg, cities), readings), path, [PARTITION_COL],
-                         None if days is None else [d.isoformat() for d in days])
+                         None if days is None else [d.isoformat() for d in days], note)
     else:
         raise ValueError(f"unknown mart {name}")
 
 
-def _within(months: list[str]):
-    """A bound on the partition column that lists only the days from the first month to the last."""
-    first, last = date.fromisoformat(f"{months[0]}-01"), date.fromisoformat(f"{months[-1]}-01")
-    return (F.col(PARTITION_COL) >= F.lit(first)) & (F.col(PARTITION_COL) < F.add_months(F.lit(last), 1))
+def _dimension(cities: DataFrame) -> str:
+    """A fingerprint of the dimension, whatever the order of its rows (one small aggregate)."""
+    rows, total = cities.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*cities.columns).cast("decimal(38,0)"))).first()
+    return f"{rows}:{total}"
+
+
+def _span(months: list[str] | None) -> tuple[date | None, date | None]:
+    """The first and the last day of ascending ``months``."""
+    if not months:
+        return None, None
+    after = date.fromisoformat(f"{months[-1]}-01") + timedelta(days=31)
+    return date.fromisoformat(f"{months[0]}-01"), after.replace(day=1) - timedelta(days=1)
 
 
 def _laid_out(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -120,5 +136,6 @@ def mart(spark: SparkSession, base: str, name: str) -> DataFrame:
     return read_published(spark, mart_path(base, name))
 
 
-def state(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return daily_state.read_state(spark, state_path(base))
+def state(spark: SparkSession, base: str, as_of: datetime | None = None) -> dict[str, DataFrame]:
+    """The daily state; with ``as_of`` only the days of a baseline's window are listed."""
+    return daily_state.read_state(spark, state_path(base), as_of and daily_state.window_start(as_of))

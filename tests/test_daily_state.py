@@ -102,6 +102,31 @@ def test_rebuild_by_touched_days_equals_the_full_build(spark):
     assert set(summary) == {"month=2024-01", "month=2024-02"}
 
 
+def test_a_changed_dimension_rebuilds_every_day(spark):
+    """A city is renamed: a load that touches one day leaves no row with the old name."""
+    rows, dims, as_of = some_readings(random.Random(6), 200, days=70), cities(spark), START + timedelta(days=60)
+    table, base = stored(spark, rows), scratch_dir(spark, "t-state-dims")
+    warehouse.refresh(spark, base, spark.read.parquet(table), dims, as_of)
+    renamed = dims.replace({"City 3": "Renamed"}, subset=["name"])
+    touched = load(spark, table, [(3, START + timedelta(days=2, hours=5), D("40"), None, None, None, None, 0)], run=1)
+    warehouse.refresh(spark, base, spark.read.parquet(table), renamed, as_of, touched)
+    all_equal(spark, table, base, renamed, as_of)
+    assert "Renamed" in {r.city_name for r in warehouse.mart(spark, base, "daily_summary").collect()}
+
+
+def test_only_the_days_of_a_window_are_listed(spark):
+    root = scratch_dir(spark, "t-state-listed")
+    daily_state.refresh(spark, spark.createDataFrame(some_readings(random.Random(7), 400, days=90), S.READINGS), root)
+    as_of = START + timedelta(days=80)
+    near = daily_state.read_state(spark, root, daily_state.window_start(as_of))
+    whole = daily_state.read_state(spark, root)
+    days = {f.split("reading_date=")[1][:10] for f in near["moments"].inputFiles()}
+    assert min(days) >= "2024-02-20" and len(days) <= 41 < len(whole["moments"].inputFiles())
+    assert same(daily_state.raw_baseline(near, as_of), daily_state.raw_baseline(whole, as_of))
+    some = daily_state.read_state(spark, root, date(2024, 1, 5), date(2024, 1, 7))["conditions"]
+    assert {r.reading_date for r in some.collect()} <= {date(2024, 1, d) for d in (5, 6, 7)}
+
+
 @pytest.mark.parametrize("as_of", [START + timedelta(days=30), START + timedelta(days=33, hours=1, seconds=1),
                                    START + timedelta(days=400), START - timedelta(days=3)])
 def test_any_window(spark, as_of):
