@@ -217,3 +217,21 @@ def format_all(turns: DataFrame) -> DataFrame:
     out = written(conversations(best_branches(messages)), "formatted")
     conv_id = F.when(F.col("tree") != "null", F.substring("tree", 2, 1000)).cast(turns.schema["conv_id"].dataType)
     return read_back(out).select(conv_id.alias("conv_id"), *_COLUMNS)
+
+
+_ORDER = "turn NULLS LAST, role NULLS FIRST, text NULLS FIRST"
+_ESCAPED_SQL = rf"regexp_replace({{}}, '([<\[])(\\*){_CONTROL}', '\1\\\2\3', 'g')"
+ORACLE_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS x FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY {_ORDER})) AS turns_sha256,
+       coalesce(sum(length(x)) FILTER (WHERE r = '{LEARNT}'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(x, '' ORDER BY {_ORDER}) FILTER (WHERE r = '{LEARNT}'), '')) AS loss_sha256,
+       sum({len(TURN) + len(TEXT) + len(END)} + length({_ESCAPED_SQL.format('r')})
+           + length({_ESCAPED_SQL.format('x')}))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""

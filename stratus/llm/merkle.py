@@ -225,3 +225,66 @@ def verify_documents(docs: DataFrame) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
         folded(F.coalesce("altered", "leaf"), F.col("path")).alias("folded_root")).withColumn(
         "verified", F.col("folded_root") == F.col("root"))
+
+
+# -- the same in SQL ----------------------------------------------------------
+
+_CRC32 = """
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, step:
+          CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainders)"""
+
+
+def _levels_sql(name: str, leaves: str, levels_: int) -> str:
+    """CTEs ``name``_0 .. of the nodes (g, pos, node, n) above ``leaves``, and their runs."""
+    out = [f"{name}_0 AS ({leaves})"]
+    for k in range(levels_):
+        out.append(f"{name}_{k + 1} AS (SELECT g, pos // {ARITY} AS pos, sha256(string_agg(node, '' ORDER BY pos)) AS node, "
+                   f"(n + {ARITY - 1}) // {ARITY} AS n FROM {name}_{k} WHERE n > 1 GROUP BY g, pos // {ARITY}, n)")
+        out.append(f"{name}_run_{k} AS (SELECT g, pos // {ARITY} AS run, list(node ORDER BY pos) AS nodes "
+                   f"FROM {name}_{k} WHERE n > 1 GROUP BY g, pos // {ARITY})")
+    tops = " UNION ALL ".join(f"SELECT g, node FROM {name}_{k} WHERE n = 1" for k in range(levels_ + 1))
+    return ",\n".join([*out, f"{name}_top AS ({tops})"])
+
+
+def _fold_sql(rows: str, name: str, levels_: int, prefix: str) -> str:
+    """CTEs that fold acc and proof of ``rows`` (g, pos, acc, proof, ..) level by level into ``prefix``."""
+    out, last = [], rows
+    for k in range(levels_):
+        at = f"(r.pos // {ARITY ** k}) % {ARITY}"
+        before, after = f"array_to_string(u.nodes[1:{at}], '')", f"array_to_string(u.nodes[{at} + 2:], '')"
+        out.append(f"{prefix}_{k} AS (SELECT r.* REPLACE (CASE WHEN u.g IS NULL THEN r.acc ELSE sha256({before} || r.acc || {after}) "
+                   f"END AS acc, CASE WHEN u.g IS NULL THEN r.proof ELSE r.proof || {before} || {after} END AS proof) "
+                   f"FROM {last} r LEFT JOIN {name}_run_{k} u ON u.g = r.g AND u.run = r.pos // {ARITY ** (k + 1)})")
+        last = f"{prefix}_{k}"
+    return ",\n".join(out)
+
+
+def oracle_sql(levels_: int = 9, group_levels: int = 4) -> str:
+    """DuckDB SQL of ``verify_documents`` for up to 8^``levels_`` documents of a lang and 8^``group_levels`` langs."""
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(
+            f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+            for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    codes = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)"
+    drawn = (f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: "
+             "xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295) % 3 = 0")
+    lower = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    return f"""
+WITH {_CRC32.strip()},
+d AS (SELECT doc_id, lang, {leaf("text")} AS leaf,
+             CASE WHEN doc_id IS NOT NULL AND {drawn} THEN {leaf(lower)} END AS altered FROM documents, crc),
+langs AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT lang FROM d)),
+e AS (SELECT d.*, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+      FROM d JOIN langs ON d.lang IS NOT DISTINCT FROM langs.lang),
+{_levels_sql("t", "SELECT g, pos, leaf AS node, count(*) OVER (PARTITION BY g) AS n FROM e", levels_)},
+{_levels_sql("u", "SELECT 0 AS g, g AS pos, node, count(*) OVER () AS n FROM t_top", group_levels)},
+start AS (SELECT g, pos, doc_id, leaf, coalesce(altered, leaf) AS acc, '' AS proof FROM e),
+{_fold_sql("start", "t", levels_, "f")},
+upper_start AS (SELECT 0 AS g, r.g AS pos, r.doc_id, r.leaf, t_top.node AS subroot, r.acc, r.proof
+                FROM f_{levels_ - 1} r JOIN t_top ON t_top.g = r.g),
+{_fold_sql("upper_start", "u", group_levels, "h")}
+SELECT doc_id, leaf, subroot, u_top.node AS root, sha256(proof) AS proof_sha256, acc AS folded_root,
+       acc = u_top.node AS verified
+FROM h_{group_levels - 1}, u_top
+"""

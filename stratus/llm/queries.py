@@ -67,4 +67,6 @@ QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_sentencepiece, op3_warc, op4_pii_surrogates, op5_chat_formatting,
     op6_simhash_near_dedup, op7_fingerprints, op8_quality_classifier, op9_quality_rules,
     op10_mixing, op11_embedding_whitening, op12_byte_bpe, op13_merkle_manifest)}
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": warc.ORACLE_SQL, "op5_chat_formatting": chat.ORACLE_SQL, "op10_mixing": mixing.ORACLE_SQL,
+    "op13_merkle_manifest": merkle.oracle_sql()}

@@ -310,3 +310,22 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
                 F.lit(None).cast(kind).alias("refers_to"))
             .union(revisits.select(number("page_id"), "response_bytes", "declared", "record_type",
                                    number("refers_to"))))
+
+
+def _base32_sql(digits: str) -> str:
+    """DuckDB: 40 hexadecimal digits in base32, eight characters from ten digits."""
+    return " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+        f"(((('0x' || substr({digits}, {1 + 10 * part}, 10))::BIGINT >> {shift}) & 31) + 1)::INT, 1)"
+        for part in range(4) for shift in range(35, -1, -5))
+
+
+ORACLE_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS digits,
+             min(page_id) OVER (PARTITION BY html) AS response FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {_base32_sql('digits')} AS payload_digest,
+       CASE WHEN page_id = response OR response IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM q
+"""
