@@ -1,15 +1,18 @@
 """Daily state of the readings: partial aggregates by city and day that merge exactly.
 
-Three published tables, partitioned by ``reading_date``:
+Published tables, the first three partitioned by ``reading_date``:
 
 * ``conditions``: staged readings by city, day and weather condition (sums in
-  whole units, counts, least and greatest temperature). Summaries, trends and
-  comparisons are merged from it.
+  whole units, counts, least and greatest temperature). Summaries and trends are
+  merged from it.
 * ``temperatures``: readings by city, day and temperature, raw and staged. The
   quartiles come from it.
 * ``moments``: count, sum and sum of squares of the raw temperatures by city
   and day, and the same of the staged ones.
 
+* ``months``: the sums of ``conditions`` by city and month, partitioned by month.
+  All-time comparisons merge a row a city and month.
+
 A day's state is a function of the day's readings alone, so a load recomputes
 the days it touched and a repeated load gives the same state. All numbers are
 integers: what is merged from the state equals the aggregate over the readings
@@ -26,11 +29,12 @@ from pyspark.sql import functions as F
 
 from stratus.functions import exprs as X
 from stratus.operators import joins
-from stratus.operators.publish import publish, read_published
+from stratus.operators.publish import publish, read_published, version
 from stratus.operators.sinks import PARTITION_COL
 from stratus.plans import staging
 
-TABLES = ("conditions", "temperatures", "moments")
+TABLES = ("conditions", "temperatures", "moments", "months")
+MONTH = "month"
 
 
 # -- partial aggregates --------------------------------------------------------
@@ -76,6 +80,29 @@ def moments_of(temperatures: DataFrame) -> DataFrame:
             ("s2", F.sum((square * F.col(kind)).cast("decimal(38,0)"))))])
 
 
+def by_month(conditions: DataFrame) -> DataFrame:
+    """The sums of :func:`by_condition` by month and city."""
+    return conditions.groupBy(F.date_format(PARTITION_COL, "yyyy-MM").alias(MONTH), "city_id").agg(*merged_sums())
+
+
+def month_span(months: list[str] | None) -> tuple[date | None, date | None]:
+    """The first and the last day of ascending ``months``."""
+    if not months:
+        return None, None
+    after = date.fromisoformat(f"{months[-1]}-01") + timedelta(days=31)
+    return date.fromisoformat(f"{months[0]}-01"), after.replace(day=1) - timedelta(days=1)
+
+
+def months_of(days: list[date] | None) -> list[str] | None:
+    return None if days is None else sorted({f"{d:%Y-%m}" for d in days})
+
+
+def conditions_of(spark: SparkSession, root: str, months: list[str] | None) -> DataFrame:
+    """The stored conditions of ``months`` (default: all); only these days' folders are listed."""
+    cells = read_state(spark, root, *month_span(months))["conditions"]
+    return cells if months is None else cells.where(F.date_format(PARTITION_COL, "yyyy-MM").isin(months))
+
+
 # -- the stored state ----------------------------------------------------------
 
 def refresh(spark: SparkSession, readings: DataFrame, root: str, days: list[date] | None = None) -> None:
@@ -94,6 +121,9 @@ def refresh(spark: SparkSession, readings: DataFrame, root: str, days: list[date
     if days is not None:
         cells = cells.where(F.col(PARTITION_COL).isin(days))
     _store(moments_of(cells), f"{root}/moments", replaced)
+    months = months_of(days)
+    sums = by_month(conditions_of(spark, root, months)).hint("rebalance", MONTH)
+    publish(sums.sortWithinPartitions(MONTH, "city_id"), f"{root}/months", [MONTH], months)
 
 
 def _store(rows: DataFrame, root: str, replaced: list[str] | None) -> None:
@@ -103,9 +133,10 @@ def _store(rows: DataFrame, root: str, replaced: list[str] | None) -> None:
 
 def read_state(spark: SparkSession, root: str, first: date | None = None,
                last: date | None = None) -> dict[str, DataFrame]:
-    """The stored tables; with bounds only these days' folders are listed."""
-    return {name: read_published(spark, f"{root}/{name}", *(d and d.isoformat() for d in (first, last)))
-            for name in TABLES}
+    """The stored tables there are; with bounds only these days' (months') folders are listed."""
+    bounds = [d and d.isoformat() for d in (first, last)]
+    return {name: read_published(spark, f"{root}/{name}", *(b and b[:7] if name == "months" else b for b in bounds))
+            for name in TABLES if version(spark, f"{root}/{name}")}
 
 
 def window_start(as_of: datetime, days: int = X.BASELINE_DAYS) -> date:

@@ -146,10 +146,10 @@ def city_comparisons(stg: DataFrame, cities: DataFrame, ordered: bool = False) -
     return out
 
 
-def city_comparisons_of(conditions: DataFrame, cities: DataFrame) -> DataFrame:
-    """M5 merged from the daily state."""
+def city_comparisons_of(sums: DataFrame, cities: DataFrame) -> DataFrame:
+    """M5 merged from the daily state: its sums by day and condition, or those by month."""
     place = ["city_name", "country", "continent", "region", "latitude", "longitude"]
-    totals = conditions.groupBy("city_id").agg(*daily_state.merged_sums())
+    totals = sums.groupBy("city_id").agg(*daily_state.merged_sums())
     base = joins.with_city(totals, cities, [F.col("name").alias("city_name"), *place[1:]])
     return base.groupBy(*place).agg(
         X.rounded_mean(F.sum("t"), F.sum("tn"), 2, 5).alias("avg_temp_c"),

@@ -10,14 +10,14 @@ Layout, chosen by who reads it:
   touched days only are rebuilt. Anomalies are rebuilt whole, as each build
   scores all history against a new baseline.
 * ``weekly_trends``, ``city_comparisons``: small, rebuilt whole from the daily
-  state.
+  state, the latter from a row a city and month.
 
 Only the per-reading marts and the state of touched days read the readings.
 """
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ from stratus.plans import daily_state, marts, staging
 from stratus.plans.panels import CITY_BUCKET, city_bucket
 
 MARTS = ("daily_summary", "weekly_trends", "city_comparisons", "temperature_anomalies", "extreme_weather")
-MONTH = "month"
+MONTH = daily_state.MONTH
 # Versions of a table that stay for readers that began before its last rebuilds.
 KEPT_VERSIONS = 3
 
@@ -78,10 +78,8 @@ def build(spark: SparkSession, base: str, name: str, readings: DataFrame, cities
     def state(first: date | None = None, last: date | None = None) -> dict[str, DataFrame]:
         return daily_state.read_state(spark, state_path(base), first, last)
     if name == "daily_summary":
-        months = None if days is None else sorted({f"{d:%Y-%m}" for d in days})
-        cells = state(*_span(months))["conditions"]
-        if months is not None:
-            cells = cells.where(F.date_format(PARTITION_COL, "yyyy-MM").isin(months))
+        months = daily_state.months_of(days)
+        cells = daily_state.conditions_of(spark, state_path(base), months)
         out = marts.daily_summary_of(cells, cities).withColumns({
             MONTH: F.date_format("date", "yyyy-MM"), CITY_BUCKET: city_bucket(F.col("city_name"))})
         sinks.build_mart(_laid_out(out, [MONTH, CITY_BUCKET], ["city_name", "date"]), path,
@@ -89,7 +87,7 @@ def build(spark: SparkSession, base: str, name: str, readings: DataFrame, cities
     elif name == "weekly_trends":
         sinks.build_mart(marts.weekly_trends_of(state()["conditions"], cities), path, note=note)
     elif name == "city_comparisons":
-        sinks.build_mart(marts.city_comparisons_of(state()["conditions"], cities), path, note=note)
+        sinks.build_mart(marts.city_comparisons_of(state()["months"], cities), path, note=note)
     elif name == "temperature_anomalies":
         stats = marts.robust_stats_of(daily_state.staged_counts(
             state(daily_state.window_start(as_of)), as_of, readings))
@@ -111,14 +109,6 @@ def _dimension(cities: DataFrame) -> str:
     return f"{rows}:{total}"
 
 
-def _span(months: list[str] | None) -> tuple[date | None, date | None]:
-    """The first and the last day of ascending ``months``."""
-    if not months:
-        return None, None
-    after = date.fromisoformat(f"{months[-1]}-01") + timedelta(days=31)
-    return date.fromisoformat(f"{months[0]}-01"), after.replace(day=1) - timedelta(days=1)
-
-
 def _laid_out(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     return df.hint("rebalance", *by).sortWithinPartitions(*by, *order)
 

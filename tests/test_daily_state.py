@@ -92,6 +92,10 @@ def test_rebuild_by_touched_days_equals_the_full_build(spark):
     warehouse.refresh(spark, base, spark.read.parquet(table), dims, as_of, touched, keep=1)
     assert len(_numbers(spark, warehouse.mart_path(base, "daily_summary"))) == 1
     all_equal(spark, table, base, dims, as_of)
+    months = version(spark, f"{warehouse.state_path(base)}/months").folders
+    assert set(months) == {"month=2024-01", "month=2024-02"}
+    assert same(marts.city_comparisons_of(warehouse.state(spark, base)["conditions"], dims),
+                marts.city_comparisons_of(warehouse.state(spark, base)["months"], dims))
     state_after = version(spark, f"{warehouse.state_path(base)}/moments").folders
     assert {k for k in state_after if state_after[k] != state_before.get(k)} == {
         "reading_date=2024-01-09", "reading_date=2024-02-20"}
