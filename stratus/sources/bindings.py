@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratus import files
 from stratus.operators.joins import join_dimension
 
 # Fixed binding values (also used verbatim by the oracle SQL).
@@ -84,8 +85,16 @@ RUN_EXPRS = {
 SOURCES = ("events", "nation", "region")
 
 
+# One relation a (application, table, its files' names, sizes and times): a rewritten table is read anew.
+_RELATIONS: dict[tuple, DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path, files.fingerprint(spark, path))
+    if key not in _RELATIONS:
+        _RELATIONS[key] = spark.read.parquet(path)
+    return _RELATIONS[key]
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
